@@ -130,3 +130,56 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props").alias("log"),
         "event_id",
     )
+
+
+def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API clients: customers in good standing (balance >= 0) hold the key
+    'key-<custkey>'; the table stores its SHA-256 digest."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    return c.where(F.col("c_acctbal") >= 0).select(
+        F.sha2(F.concat(F.lit("key-"), F.col("c_custkey").cast("string")), 256).alias("key_digest"),
+        F.col("c_name").alias("client"), F.col("c_mktsegment").alias("api"))
+
+
+def job_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest requests: one per order, presenting its customer's key."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    return o.select(
+        F.concat(F.lit("req-"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.concat(F.lit("key-"), F.col("o_custkey").cast("string")).alias("api_key"),
+        F.concat(F.lit("/data/orders/"), F.col("o_orderkey").cast("string"), F.lit(".h5")).alias("document_path"),
+        F.col("o_orderpriority").alias("mapping_id"),
+        F.col("o_orderdate").alias("submit_time"))
+
+
+def order_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue records for orders: owner = the customer, access = the
+    customer's nation and the order's status."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    return j.select(
+        F.col("o_orderkey").alias("pid"),
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("ownerGroup"),
+        F.array(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")),
+                F.concat(F.lit("s"), F.col("o_orderstatus"))).alias("accessGroups"),
+        F.col("c_nationkey").alias("proposal"))
+
+
+def supplier_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    return s.select(F.col("s_name").alias("user"),
+                    F.array(F.concat(F.lit("c"), F.col("s_suppkey").cast("string")),
+                            F.concat(F.lit("n"), F.col("s_nationkey").cast("string"))).alias("groups"))
+
+
+# Fixed value: the region whose nations have no share folder yet.
+UNSHARED_REGION = "MIDDLE EAST"
+
+
+def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
+    j = n.join(r, n.n_regionkey == r.r_regionkey).where(F.col("r_name") != UNSHARED_REGION)
+    return j.select(F.col("n_nationkey").alias("proposal"),
+                    F.concat(F.lit("/shares/"), F.lower("r_name"), F.lit("/"), F.lower("n_name")).alias("share_folder"))

@@ -324,3 +324,140 @@ ORACLE = {
     "job_current": JOB_CURRENT,
     "job_history": JOB_HISTORY,
 }
+
+JOB_LOOKUP = f"""
+WITH {JOBS_CTE}
+SELECT 'job-' || CAST(c.c_custkey AS VARCHAR) AS id, j.id IS NOT NULL AS found, j.status
+FROM customer c LEFT JOIN jobs j ON j.id = 'job-' || CAST(c.c_custkey AS VARCHAR)
+"""
+
+UNSTARTED_JOBS = f"""
+WITH {JOBS_CTE}
+SELECT id, submit_time, submitter, status_time FROM jobs WHERE status = 'submitted'
+"""
+
+NEXT_JOB = f"""
+WITH {JOBS_CTE}
+SELECT id, submit_time, submitter FROM jobs WHERE status = 'submitted'
+ORDER BY submit_time DESC, id DESC LIMIT 1
+"""
+
+PENDING_TERMINAL = f"""
+WITH {JOBS_CTE}
+SELECT id, status, CASE WHEN status IN ('submitted', 'running') THEN 'pending' ELSE 'terminal' END AS phase
+FROM jobs
+"""
+
+STATUS_TIMELINE = f"""
+WITH {BATCH_CTE}, s AS (
+  SELECT job_id, count(*) AS n_issues, sum(CASE WHEN severity = 'error' THEN 1 ELSE 0 END) AS n_errors,
+         string_agg(chr(10) || ' :  ' || msg, '' ORDER BY seq) AS body
+  FROM issues GROUP BY job_id
+), items AS (
+  SELECT job_id, CAST(2 AS BIGINT) AS pos, 'running' AS status, 'Starting job' AS log FROM batch
+  UNION ALL
+  SELECT b.job_id, CAST(3 AS BIGINT),
+    CASE WHEN coalesce(s.n_errors, 0) > 0 THEN 'error'
+         WHEN coalesce(s.n_issues, 0) > 0 THEN 'complete_with_issues' ELSE 'successful' END,
+    'ingested dataset: ' || b.file_path || ' as '
+      || coalesce(CASE WHEN b.registered THEN sha256(b.file_path) END, 'None') || coalesce(s.body, '')
+  FROM batch b LEFT JOIN s ON b.job_id = s.job_id
+), l AS (SELECT *, string_split(log, chr(10)) AS lines FROM items)
+SELECT job_id, pos, status, CAST(generate_subscripts(lines, 1) - 1 AS INTEGER) AS line_no,
+       unnest(lines) AS line
+FROM l
+"""
+
+REQ_CTE = """
+req AS (
+  SELECT 'req-' || CAST(o_orderkey AS VARCHAR) AS id, o_orderkey,
+         sha256('key-' || CAST(o_custkey AS VARCHAR)) AS digest,
+         '/data/orders/' || CAST(o_orderkey AS VARCHAR) || '.h5' AS document_path,
+         o_orderpriority AS mapping_id, o_orderdate AS submit_time
+  FROM orders
+), cl AS (
+  SELECT sha256('key-' || CAST(c_custkey AS VARCHAR)) AS digest, c_name AS client, c_mktsegment AS api
+  FROM customer WHERE c_acctbal >= 0
+)"""
+
+ADMITTED_REQUESTS = f"""
+WITH {REQ_CTE}
+SELECT r.id, c.client AS submitter, r.document_path, r.mapping_id, r.submit_time
+FROM req r JOIN cl c ON r.digest = c.digest
+"""
+
+REJECTED_REQUESTS = f"""
+WITH {REQ_CTE}
+SELECT r.id, r.document_path, r.submit_time FROM req r
+WHERE NOT EXISTS (SELECT 1 FROM cl c WHERE c.digest = r.digest)
+"""
+
+DUPLICATE_IDS = """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+"""
+
+REGISTRY_FIRST_WINS = """
+SELECT p_brand, p_partkey, p_name, p_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn FROM part
+) WHERE rn = 1
+"""
+
+ORPHAN_EVENTS = f"""
+WITH {REQ_CTE}, acc AS (SELECT r.id FROM req r JOIN cl c ON r.digest = c.digest)
+SELECT 'req-' || CAST(l_orderkey AS VARCHAR) AS id, l_orderkey, l_linenumber, l_linestatus
+FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM acc WHERE acc.id = 'req-' || CAST(l_orderkey AS VARCHAR))
+"""
+
+ORPHAN_CHILDREN = f"""
+WITH {BATCH_CTE}
+SELECT b.file_path, sha256(b.file_path) AS datasetId FROM batch b
+WHERE NOT EXISTS (SELECT 1 FROM batch p WHERE p.registered AND sha256(p.file_path) = sha256(b.file_path))
+"""
+
+ORDER_DATASETS_CTE = """
+ds AS (
+  SELECT o.o_orderkey AS pid, 'c' || CAST(o.o_custkey AS VARCHAR) AS owner,
+         ['n' || CAST(c.c_nationkey AS VARCHAR), 's' || o.o_orderstatus] AS access,
+         c.c_nationkey AS proposal
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+), us AS (
+  SELECT s_name AS "user", ['c' || CAST(s_suppkey AS VARCHAR), 'n' || CAST(s_nationkey AS VARCHAR)] AS groups
+  FROM supplier
+)"""
+
+VISIBLE_DATASETS = f"""
+WITH {ORDER_DATASETS_CTE}
+SELECT u."user", d.pid, true AS can_read, list_contains(u.groups, d.owner) AS can_write
+FROM us u, ds d
+WHERE list_contains(u.groups, d.owner) OR list_has_any(u.groups, d.access)
+"""
+
+SHARE_ROUTING = f"""
+WITH {ORDER_DATASETS_CTE}, sh AS (
+  SELECT n.n_nationkey AS proposal,
+         '/shares/' || lower(r.r_name) || '/' || lower(n.n_name) AS share_folder
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_name <> 'MIDDLE EAST'
+)
+SELECT d.pid, d.proposal, sh.share_folder, sh.share_folder IS NOT NULL AS routed,
+  CASE WHEN sh.share_folder IS NULL THEN 'no share for proposal ' || coalesce(CAST(d.proposal AS VARCHAR), 'None') END
+    AS error_msg
+FROM ds d LEFT JOIN sh ON d.proposal = sh.proposal
+"""
+
+ORACLE.update({
+    "job_lookup": JOB_LOOKUP,
+    "unstarted_jobs": UNSTARTED_JOBS,
+    "next_job": NEXT_JOB,
+    "pending_terminal": PENDING_TERMINAL,
+    "status_timeline": STATUS_TIMELINE,
+    "admitted_requests": ADMITTED_REQUESTS,
+    "rejected_requests": REJECTED_REQUESTS,
+    "duplicate_ids": DUPLICATE_IDS,
+    "registry_first_wins": REGISTRY_FIRST_WINS,
+    "orphan_events": ORPHAN_EVENTS,
+    "orphan_children": ORPHAN_CHILDREN,
+    "visible_datasets": VISIBLE_DATASETS,
+    "share_routing": SHARE_ROUTING,
+})

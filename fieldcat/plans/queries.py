@@ -176,3 +176,108 @@ QUERIES = {
     "job_current": job_current,
     "job_history": job_history,
 }
+
+
+# --- job lookups, timeline --------------------------------------------------------
+
+def job_lookup(spark, sf_dir):
+    ids = read_table(spark, sf_dir, "customer", "c_custkey").select(
+        F.concat(F.lit("job-"), F.col("c_custkey").cast("string")).alias("id"))
+    return jobs.lookup(_jobs(spark, sf_dir), ids)
+
+
+def unstarted_jobs(spark, sf_dir):
+    return jobs.unstarted(_jobs(spark, sf_dir)).select("id", "submit_time", "submitter", "status_time")
+
+
+def next_job(spark, sf_dir):
+    return jobs.next_jobs(_jobs(spark, sf_dir), n=1).select("id", "submit_time", "submitter")
+
+
+def pending_terminal(spark, sf_dir):
+    return jobs.phase(_jobs(spark, sf_dir)).select("id", "status", "phase")
+
+
+def _batch_history(spark, sf_dir):
+    """History items of the ingest batch: running, then the final status
+    with its log (the submitted item carries no log)."""
+    batch, issues = _ingest_batch(spark, sf_dir)
+    final = jobs.final_status(batch, issues).join(jobs.job_log(batch, issues), "job_id")
+    running = batch.select("job_id", F.lit(2).cast("bigint").alias("pos"),
+                           F.lit("running").alias("status"), F.lit("Starting job").alias("log"))
+    done = final.select("job_id", F.lit(3).cast("bigint").alias("pos"), "status", "log")
+    return running.unionByName(done).withColumn("time", F.lit(None).cast("timestamp"))
+
+
+def status_timeline(spark, sf_dir):
+    t = jobs.status_timeline(_batch_history(spark, sf_dir), key="job_id")
+    return t.select("job_id", "pos", "status", "line_no", "line")
+
+
+# --- admission, quality, orphans ------------------------------------------------------
+
+def admitted_requests(spark, sf_dir):
+    acc, _ = jobs.admit(ad.job_requests(spark, sf_dir), ad.clients(spark, sf_dir))
+    return acc.select("id", "submitter", "document_path", "mapping_id", "submit_time")
+
+
+def rejected_requests(spark, sf_dir):
+    _, rej = jobs.admit(ad.job_requests(spark, sf_dir), ad.clients(spark, sf_dir))
+    return rej.select("id", "document_path", "submit_time")
+
+
+def duplicate_ids(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
+    return quality.duplicate_ids(li, ["l_orderkey", "l_linenumber"])
+
+
+def registry_first_wins(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type")
+    return quality.first_wins(p, "p_brand", ["p_partkey"])
+
+
+def orphan_events(spark, sf_dir):
+    acc, _ = jobs.admit(ad.job_requests(spark, sf_dir), ad.clients(spark, sf_dir))
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_linestatus")
+    events = li.select(F.concat(F.lit("req-"), F.col("l_orderkey").cast("string")).alias("id"),
+                       "l_orderkey", "l_linenumber", "l_linestatus")
+    return jobs.orphan_events(events, acc.select("id"))
+
+
+def orphan_children(spark, sf_dir):
+    """Datablocks written for every file; datasets only for registered jobs."""
+    batch, _ = _ingest_batch(spark, sf_dir)
+    blocks = catalog.data_files(ad.doc_files(spark, sf_dir).withColumn("mod_time", F.lit(None).cast("timestamp")))
+    blocks = blocks.select("file_path", F.sha2("file_path", 256).alias("datasetId"))
+    datasets = batch.where("registered").select(F.col("dataset_id").alias("pid"))
+    return catalog.orphans(blocks, datasets, "datasetId", "pid")
+
+
+# --- access -------------------------------------------------------------------------
+
+def visible_datasets(spark, sf_dir):
+    from fieldcat.operators.access import visible
+    return visible(ad.order_datasets(spark, sf_dir), ad.supplier_users(spark, sf_dir))
+
+
+def share_routing(spark, sf_dir):
+    from fieldcat.operators.access import route_shares
+    r = route_shares(ad.order_datasets(spark, sf_dir), ad.shares(spark, sf_dir))
+    return r.select("pid", "proposal", "share_folder", "routed", F.col("issue.msg").alias("error_msg"))
+
+
+QUERIES.update({
+    "job_lookup": job_lookup,
+    "unstarted_jobs": unstarted_jobs,
+    "next_job": next_job,
+    "pending_terminal": pending_terminal,
+    "status_timeline": status_timeline,
+    "admitted_requests": admitted_requests,
+    "rejected_requests": rejected_requests,
+    "duplicate_ids": duplicate_ids,
+    "registry_first_wins": registry_first_wins,
+    "orphan_events": orphan_events,
+    "orphan_children": orphan_children,
+    "visible_datasets": visible_datasets,
+    "share_routing": share_routing,
+})
