@@ -183,3 +183,58 @@ def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = n.join(r, n.n_regionkey == r.r_regionkey).where(F.col("r_name") != UNSHARED_REGION)
     return j.select(F.col("n_nationkey").alias("proposal"),
                     F.concat(F.lit("/shares/"), F.lower("r_name"), F.lit("/"), F.lower("n_name")).alias("share_folder"))
+
+
+def vec_path():
+    return F.concat(F.lit("/data/vectors/vec_"), F.col("vec_id").cast("string"), F.lit(".h5"))
+
+
+def vec_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as vector files: an index array (the time stamps), the
+    vector, its positive components (a shorter array) and a scalar label."""
+    e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    n = F.array(F.size("embedding").cast("bigint"))
+    scalar = F.array().cast("array<bigint>")
+    null_s = F.lit(None).cast("array<string>")
+    null_i = F.lit(None).cast("array<bigint>")
+    null_d = F.lit(None).cast("array<double>")
+
+    def row(key, kind, shape, i=None, d=None):
+        return F.struct(F.lit(key).alias("key"), F.lit(kind).alias("kind"), shape.alias("shape"),
+                        shape.alias("maxshape"), null_s.alias("str_values"),
+                        (i if i is not None else null_i).alias("int_values"),
+                        (d if d is not None else null_d).alias("dbl_values"))
+
+    positive = F.filter("embedding", lambda x: x > 0)
+    return e.select(vec_path().alias("file_path"), F.explode(F.array(
+        row("/vec/index", "f", n, d=F.transform("embedding", lambda x, i: i.cast("double"))),
+        row("/vec/embedding", "f", n, d=F.transform("embedding", lambda x: x.cast("double"))),
+        row("/vec/positive", "f", F.array(F.size(positive).cast("bigint")),
+            d=F.transform(positive, lambda x: x.cast("double"))),
+        row("/vec/label", "i", scalar, i=F.array(F.col("label").cast("bigint"))),
+    )).alias("f")).select("file_path", "f.*")
+
+
+def vec_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each embedding is a one-frame stack (8 x 8 pixels)."""
+    e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return e.select("vec_id", vec_path().alias("file_path"), F.lit(0).alias("frame_idx"),
+                    F.lit(8).alias("height"), F.lit(8).alias("width"),
+                    F.transform("embedding", lambda x: x.cast("double")).alias("pixels"))
+
+
+def conversation_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as frame stacks: the turn is the frame index."""
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return c.select("conv_id", F.concat(F.lit("/data/conversations/conv_"), F.col("conv_id").cast("string"),
+                                        F.lit(".h5")).alias("file_path"),
+                    F.col("turn").alias("frame_idx"), "role", "text")
+
+
+def quantity_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem quantities as 8-bit pixels; a frame is a (returnflag,
+    linestatus) pair."""
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity",
+                    "l_returnflag", "l_linestatus")
+    return li.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus",
+                     F.col("l_quantity").cast("int").alias("v"))

@@ -461,3 +461,151 @@ ORACLE.update({
     "visible_datasets": VISIBLE_DATASETS,
     "share_routing": SHARE_ROUTING,
 })
+
+FRAME_INTENSITY = """
+WITH f AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS px FROM embeddings
+), s AS (SELECT vec_id, px, list_min(px) AS mn, list_max(px) AS mx FROM f)
+SELECT vec_id, CAST(generate_subscripts(px, 1) - 1 AS BIGINT) AS pos,
+       round(205.0 * ln((unnest(px) - mn) + 1.001) / ln((mx - mn) + 1.001), 6) AS intensity
+FROM s
+"""
+
+FRAME_STATS = """
+SELECT vec_id, list_min(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS frame_min,
+       list_max(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS frame_max
+FROM embeddings
+"""
+
+CONTRAST_STRETCH = """
+WITH px AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, CAST(l_quantity AS INTEGER) AS v FROM lineitem
+), h AS (
+  SELECT l_returnflag, l_linestatus, v, count(*) AS c FROM px GROUP BY ALL
+), w AS (
+  SELECT *, sum(c) OVER (PARTITION BY l_returnflag, l_linestatus) AS n,
+         sum(c) OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY v
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+         sum(c) OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY v DESC
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rcum
+  FROM h
+), b AS (
+  SELECT l_returnflag, l_linestatus,
+         min(v) FILTER (WHERE cum > floor(CAST(n AS DOUBLE) * 0.1 / 100.0)) AS lo,
+         max(v) FILTER (WHERE rcum > floor(CAST(n AS DOUBLE) * 0.1 / 100.0)) AS hi
+  FROM w GROUP BY ALL
+)
+SELECT p.l_orderkey, p.l_linenumber, p.l_returnflag, p.l_linestatus, p.v, b.lo, b.hi,
+  CASE WHEN b.hi <= b.lo THEN p.v ELSE CAST(least(greatest(floor(
+    CAST(p.v AS DOUBLE) * (CAST(255.0 AS DOUBLE) / CAST(b.hi - b.lo AS DOUBLE))
+    + (-CAST(b.lo AS DOUBLE)) * (CAST(255.0 AS DOUBLE) / CAST(b.hi - b.lo AS DOUBLE))), 0), 255) AS INTEGER) END
+    AS stretched
+FROM px p JOIN b ON p.l_returnflag = b.l_returnflag AND p.l_linestatus = b.l_linestatus
+"""
+
+FIRST_FRAMES = """
+SELECT conv_id, turn AS frame_idx, role, text FROM conversations WHERE turn < 1
+"""
+
+
+def _norm_all(keys):
+    return f"""
+{FIELDS_CTE.replace("keys(key, key_seq)", "unused_keys(key, key_seq)")}, u AS (
+  SELECT *, CASE WHEN kind = 'S' THEN (len(shape) = 0 OR (len(shape) = 1 AND shape[1] = 1))
+                 ELSE ((len(maxshape) = 1 AND coalesce(maxshape[1] = 1, false)) OR len(shape) = 0) END AS unbox
+  FROM fields WHERE key IN ({_in_list(keys)})
+), norm AS (
+  SELECT file_path, key,
+    CASE WHEN kind = 'S' AND unbox THEN str_values[1]
+         WHEN kind = 'i' AND unbox THEN CAST(int_values[1] AS VARCHAR)
+         WHEN kind = 'S' THEN array_to_string(str_values, ',')
+         WHEN kind = 'i' THEN array_to_string(list_transform(int_values, lambda x: CAST(x AS VARCHAR)), ',')
+    END AS value_text
+  FROM u
+)"""
+
+
+MAPPING_START = f"""
+WITH {_norm_all(['/doc/lang', '/doc/source', '/doc/n_chars', '/doc/title'])}
+SELECT file_path, key AS field, value_text FROM norm
+"""
+
+MAPPING_CONFIG = f"""
+WITH {_norm_all(['/labels/quality', '/labels/toxic', '/doc/n_chars'])}
+SELECT file_path, 'primary' AS stream,
+       CASE WHEN key = '/doc/n_chars' THEN 'doc' ELSE 'labels' END AS device, key AS field, value_text
+FROM norm
+"""
+
+VEC_CTE = """
+v AS (
+  SELECT '/data/vectors/vec_' || CAST(vec_id AS VARCHAR) || '.h5' AS file_path,
+         list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS emb,
+         list_transform(list_filter(embedding, lambda x: x > 0), lambda x: CAST(x AS DOUBLE)) AS pos
+  FROM embeddings
+)"""
+
+MAPPING_EVENTS = f"""
+WITH {VEC_CTE}, e AS (SELECT file_path, emb, pos, unnest(generate_series(1, len(emb))) AS i FROM v)
+SELECT file_path, CAST(i - 1 AS BIGINT) AS seq, CAST(i - 1 AS DOUBLE) AS time_stamp,
+       emb[i] AS vec_embedding, pos[i] AS vec_positive
+FROM e
+"""
+
+MAPPING_EVENT_ISSUES = f"""
+WITH {VEC_CTE}
+SELECT file_path, '/vec/positive' AS field, 'warning' AS severity,
+       'length of /vec/positive (' || CAST(len(pos) AS VARCHAR) || ') differs from time stamps ('
+       || CAST(len(emb) AS VARCHAR) || ')' AS msg
+FROM v WHERE len(pos) <> len(emb)
+"""
+
+MAPPING_PROJECTION = f"""
+WITH {_norm_all(['/doc/lang', '/doc/source', '/doc/n_chars', '/doc/title', '/doc/author'])}, p(out_name, key) AS (
+  VALUES ('language', '/doc/lang'), ('collection', '/doc/source'), ('length', '/doc/n_chars'),
+         ('title', '/doc/title'), ('author', '/doc/author')
+)
+SELECT n.file_path, 'doc_app' AS projection, p.out_name, n.key AS field, n.value_text
+FROM norm n JOIN p ON n.key = p.key
+"""
+
+MAPPING_EXTERNAL = """
+SELECT '/data/vectors/vec_' || CAST(vec_id AS VARCHAR) || '.h5' AS file_path, '/vec/frame' AS key,
+       0 AS frame_idx
+FROM embeddings
+"""
+
+FILE_INVENTORY = """
+SELECT filename AS file_path, regexp_extract(filename, '([^/]+)$', 1) AS file_name,
+       regexp_replace(filename, '/+[^/]*$', '') AS folder, size,
+       CAST(epoch(last_modified) AS BIGINT) AS mod_epoch
+FROM read_blob('/root/testdata/sf0.01/*.parquet')
+"""
+
+DATABLOCKS = """
+SELECT sha256(filename) AS datasetId, size, CAST(1 AS BIGINT) AS n_files,
+       regexp_extract(filename, '([^/]+)$', 1) AS df_path, size AS df_size, 'RawDatasets' AS df_type
+FROM read_blob('/root/testdata/sf0.01/*.parquet')
+"""
+
+ATTACHMENTS = """
+SELECT page_id, sha256(url) AS datasetId, 'data:image/jpg;base64,' || to_base64(encode(html)) AS thumbnail,
+       'raw image' AS caption
+FROM pages
+"""
+
+ORACLE.update({
+    "frame_intensity": FRAME_INTENSITY,
+    "frame_stats": FRAME_STATS,
+    "contrast_stretch": CONTRAST_STRETCH,
+    "first_frames": FIRST_FRAMES,
+    "mapping_start": MAPPING_START,
+    "mapping_config": MAPPING_CONFIG,
+    "mapping_events": MAPPING_EVENTS,
+    "mapping_event_issues": MAPPING_EVENT_ISSUES,
+    "mapping_projection": MAPPING_PROJECTION,
+    "mapping_external": MAPPING_EXTERNAL,
+    "file_inventory": FILE_INVENTORY,
+    "datablocks": DATABLOCKS,
+    "attachments": ATTACHMENTS,
+})

@@ -281,3 +281,136 @@ QUERIES.update({
     "visible_datasets": visible_datasets,
     "share_routing": share_routing,
 })
+
+
+# --- frames ---------------------------------------------------------------------------
+
+def frame_intensity_q(spark, sf_dir):
+    from fieldcat.operators import frames as fr
+    f = fr.with_intensity(ad.vec_frames(spark, sf_dir))
+    return f.select("vec_id", F.posexplode("intensity").alias("pos", "i")).select(
+        "vec_id", F.col("pos").cast("bigint").alias("pos"), F.round("i", 6).alias("intensity"))
+
+
+def frame_stats_q(spark, sf_dir):
+    from fieldcat.operators import frames as fr
+    return fr.frame_stats(ad.vec_frames(spark, sf_dir)).select("vec_id", "frame_min", "frame_max")
+
+
+def contrast_stretch_q(spark, sf_dir):
+    from fieldcat.operators import frames as fr
+    out = fr.contrast_stretch(ad.quantity_pixels(spark, sf_dir), ["l_returnflag", "l_linestatus"], "v")
+    return out.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "v",
+                      "lo", "hi", "stretched")
+
+
+def first_frames_q(spark, sf_dir):
+    from fieldcat.operators import frames as fr
+    return fr.first_frames(ad.conversation_frames(spark, sf_dir), n=1).select(
+        "conv_id", "frame_idx", "role", "text")
+
+
+# --- mapping-driven documents ----------------------------------------------------------
+
+def _doc_norm(spark, sf_dir, mapping):
+    from fieldcat.sources.mapping import Mapping  # noqa: F401
+    keys = [r.field for r in mapping.md_fields.unionByName(
+        mapping.conf_fields.select("name", "field", "seq")).select("field").distinct().collect()]
+    f = fld.select_fields(ad.doc_fields(spark, sf_dir), keys)
+    return fld.value_text(fld.normalise(f)).select("file_path", "key", "value_text")
+
+
+def mapping_start(spark, sf_dir):
+    from fieldcat.operators.mapping import start_docs
+    from fieldcat.sources.mapping import packaged_mapping
+    m = packaged_mapping(spark)
+    return start_docs(_doc_norm(spark, sf_dir, m), m).select("file_path", "field", "value_text")
+
+
+def mapping_config(spark, sf_dir):
+    from fieldcat.operators.mapping import config_docs
+    from fieldcat.sources.mapping import packaged_mapping
+    m = packaged_mapping(spark)
+    return config_docs(_doc_norm(spark, sf_dir, m), m).select("file_path", "stream", "device", "field",
+                                                              "value_text")
+
+
+def mapping_events(spark, sf_dir):
+    from fieldcat.operators.mapping import event_rows
+    from fieldcat.sources.mapping import packaged_mapping
+    rows, _ = event_rows(ad.vec_fields(spark, sf_dir), packaged_mapping(spark))
+    return rows
+
+
+def mapping_event_issues(spark, sf_dir):
+    from fieldcat.operators.mapping import event_rows
+    from fieldcat.sources.mapping import packaged_mapping
+    _, issues = event_rows(ad.vec_fields(spark, sf_dir), packaged_mapping(spark))
+    return issues.select("file_path", "field", "issue.severity", "issue.msg")
+
+
+def mapping_projection(spark, sf_dir):
+    from fieldcat.operators.mapping import project
+    from fieldcat.sources.mapping import packaged_mapping
+    m = packaged_mapping(spark)
+    keys = [r.field for r in m.projections.select("field").distinct().collect()]
+    norm = fld.value_text(fld.normalise(fld.select_fields(ad.doc_fields(spark, sf_dir), keys)))
+    return project(norm.select("file_path", "key", "value_text"), m)
+
+
+def mapping_external(spark, sf_dir):
+    from fieldcat.operators.mapping import external_refs
+    from fieldcat.sources.mapping import packaged_mapping
+    return external_refs(ad.vec_frames(spark, sf_dir), packaged_mapping(spark))
+
+
+# --- files ------------------------------------------------------------------------------
+
+def _inventory(spark, sf_dir):
+    from fieldcat.sources.files import scan_files
+    inv = scan_files(spark, sf_dir, glob="*.parquet")
+    return inv.withColumn("file_path", F.regexp_replace("file_path", "^file:", "")) \
+              .withColumn("folder", F.regexp_replace("folder", "^file:", ""))
+
+
+def file_inventory(spark, sf_dir):
+    inv = _inventory(spark, sf_dir)
+    return inv.select("file_path", "file_name", "folder", "size",
+                      F.unix_timestamp("mod_time").alias("mod_epoch"))
+
+
+def datablocks_q(spark, sf_dir):
+    inv = _inventory(spark, sf_dir)
+    blocks = catalog.data_files(inv)
+    out = blocks.join(inv.select("file_path", "size"), "file_path").select(
+        F.sha2("file_path", 256).alias("datasetId"), F.col("size").alias("size"),
+        F.size("dataFileList").cast("bigint").alias("n_files"),
+        F.col("dataFileList")[0]["path"].alias("df_path"),
+        F.col("dataFileList")[0]["size"].alias("df_size"),
+        F.col("dataFileList")[0]["type"].alias("df_type"))
+    return out
+
+
+def attachments_q(spark, sf_dir):
+    from fieldcat.functions.files import data_uri
+    p = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return p.select("page_id", F.sha2("url", 256).alias("datasetId"),
+                    data_uri(F.encode("html", "UTF-8")).alias("thumbnail"),
+                    F.lit("raw image").alias("caption"))
+
+
+QUERIES.update({
+    "frame_intensity": frame_intensity_q,
+    "frame_stats": frame_stats_q,
+    "contrast_stretch": contrast_stretch_q,
+    "first_frames": first_frames_q,
+    "mapping_start": mapping_start,
+    "mapping_config": mapping_config,
+    "mapping_events": mapping_events,
+    "mapping_event_issues": mapping_event_issues,
+    "mapping_projection": mapping_projection,
+    "mapping_external": mapping_external,
+    "file_inventory": file_inventory,
+    "datablocks": datablocks_q,
+    "attachments": attachments_q,
+})
