@@ -26,7 +26,7 @@ def ownership(df: DataFrame, user: str | Column = "username", beamline: str = "b
 
 
 def dataset_records(meta: DataFrame, user: str | Column = "username",
-                    aliases: dict | None = None) -> DataFrame:
+                    aliases: dict | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """One raw-dataset record per file.
 
     ``meta`` columns: file_path, size, mod_time (timestamp or null), file_name,
@@ -58,6 +58,7 @@ def dataset_records(meta: DataFrame, user: str | Column = "username",
         "ownerGroup",
         "accessGroups",
         F.col("file_path"),
+        *carry,
     )
 
 

@@ -186,3 +186,7 @@ def status_timeline(history: DataFrame, key: str = "id") -> DataFrame:
     lines = F.split(F.col("log"), r"\n|\\n")
     return history.where(F.col("log").isNotNull()).select(
         key, "pos", "time", "status", F.posexplode(lines).alias("line_no", "line"))
+
+
+def issue_col(severity: str, msg: str, stage: str):
+    return issue(severity, msg, stage).alias("issue")

@@ -44,7 +44,13 @@ def documents_with_labels(spark: SparkSession, sf_dir: str, *doc_columns: str) -
 
 def instrument_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the catalogue metadata an instrument file would carry."""
-    d = documents_with_labels(spark, sf_dir, "text", "lang", "source", "n_chars")
+    return instrument_metadata_from(documents_with_labels(spark, sf_dir, "text", "lang", "source", "n_chars"))
+
+
+def instrument_metadata_from(d: DataFrame) -> DataFrame:
+    """``d``: doc_id, text, lang, source, n_chars and (optional) quality, toxic."""
+    if "quality" not in d.columns:
+        d = d.withColumn("quality", F.lit(None).cast("int")).withColumn("toxic", F.lit(None).cast("int"))
     beamline = F.col("source")
     for src, name in reversed(list(BEAMLINE_RENAMES.items())):
         beamline = F.when(F.col("source") == src, F.lit(name)).otherwise(beamline)

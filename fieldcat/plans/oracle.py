@@ -609,3 +609,13 @@ ORACLE.update({
     "datablocks": DATABLOCKS,
     "attachments": ATTACHMENTS,
 })
+
+STREAM_DEDUP = "SELECT event_id, ts, user_id, event_type FROM events"
+
+ORACLE.update({
+    "stream_job_state": JOB_CURRENT,
+    "stream_dedup": STREAM_DEDUP,
+    "stream_upsert": DATASET_CATALOG,
+    "stream_ingest": JOB_FINAL_STATUS,
+    "stream_ingest_log": JOB_LOG,
+})

@@ -414,3 +414,7 @@ QUERIES.update({
     "datablocks": datablocks_q,
     "attachments": attachments_q,
 })
+
+from fieldcat.plans.streaming_queries import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)
