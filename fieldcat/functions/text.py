@@ -13,7 +13,8 @@ def keywords(text: Column | str) -> Column:
     """Split on every non-alphanumeric ASCII character (accented letters are
     separators too), lower-case, drop empty pieces. Null in, null out."""
     c = F.col(text) if isinstance(text, str) else text
-    parts = F.split(c, TERM_SEPARATOR)
+    # splitting on runs of separators gives the same terms with fewer empty pieces
+    parts = F.split(c, TERM_SEPARATOR + "+")
     return F.transform(F.filter(parts, lambda t: F.length(t) > 0), F.lower)
 
 

@@ -20,6 +20,10 @@ from pyspark.sql import types as T
 
 MAX_BUCKETS = 1024
 SAMPLE_PER_BUCKET = 20
+# A group larger than this is "hot" and is split over range buckets; smaller
+# groups are numbered by a plain window (one sort per group, in one task).
+HOT_GROUP_ROWS = 1_000_000
+HOT_GROUP_CONF = "fieldcat.hotGroupRows"
 
 
 def _typed_lit(value, dtype: T.DataType) -> Column:
@@ -75,10 +79,46 @@ def bucket_of(df: DataFrame, sort_cols: list[str], bounds: list[tuple]) -> Colum
     return build(0, len(bounds))
 
 
+def _plain_row_number(df: DataFrame, keys: list[str], order: list[str], rn: str, n: str) -> DataFrame:
+    w = Window.partitionBy(*keys)
+    return (df.withColumn(rn, F.row_number().over(w.orderBy(*order)).cast("bigint"))
+            .withColumn(n, F.count(F.lit(1)).over(w).cast("bigint")))
+
+
+def hot_groups(df: DataFrame, keys: list[str], threshold: int) -> list[tuple]:
+    """Keys of groups with more than ``threshold`` rows. A partial aggregate;
+    the result has at most rows / threshold entries, so it is a bounded
+    driver result."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return [tuple(r[k] for k in keys) for r in sizes.where(F.col("_n") > threshold).select(*keys).collect()]
+
+
 def group_row_number(df: DataFrame, keys: list[str], order: list[str], buckets: int | None = None,
-                     rn: str = "rn", n: str = "n") -> DataFrame:
+                     rn: str = "rn", n: str = "n", hot_threshold: int | None = None) -> DataFrame:
     """Adds ``rn`` (1-based position in the group by ``order``) and ``n``
-    (group size). ``order`` must break all ties within a group."""
+    (group size). ``order`` must break all ties within a group.
+
+    Groups above ``hot_threshold`` rows (conf ``fieldcat.hotGroupRows``) are
+    split over range buckets; the rest use a plain window. Without keys the
+    whole input is one group and is always split."""
+    spark = df.sparkSession
+    if hot_threshold is None:
+        hot_threshold = int(spark.conf.get(HOT_GROUP_CONF, str(HOT_GROUP_ROWS)))
+    if not keys:
+        return _bucketed_row_number(df, keys, order, buckets, rn, n)
+    hot = hot_groups(df, keys, hot_threshold)
+    if not hot:
+        return _plain_row_number(df, keys, order, rn, n)
+    schema = df.select(*keys).schema
+    hot_df = F.broadcast(spark.createDataFrame(hot, schema))
+    hot_rows = df.join(hot_df, keys, "left_semi")
+    cold_rows = df.join(hot_df, keys, "left_anti")
+    return (_plain_row_number(cold_rows, keys, order, rn, n)
+            .unionByName(_bucketed_row_number(hot_rows, keys, order, buckets, rn, n)))
+
+
+def _bucketed_row_number(df: DataFrame, keys: list[str], order: list[str], buckets: int | None,
+                         rn: str, n: str) -> DataFrame:
     spark = df.sparkSession
     if buckets is None:
         buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")) * 4, MAX_BUCKETS)

@@ -75,9 +75,14 @@ def instrument_metadata_from(d: DataFrame) -> DataFrame:
     )
 
 
-def doc_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long field table: one row per (file, key) that exists."""
-    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
+def doc_fields(spark: SparkSession, sf_dir: str, keys: list[str] | None = None) -> DataFrame:
+    """Long field table: one row per (file, key) that exists. With ``keys``
+    only those keys are produced - like a file reader that opens only the
+    requested datasets - so the scan reads only the columns they need."""
+    want = set(keys) if keys is not None else set(DOC_KEYS)
+    doc_cols = {"/doc/lang": "lang", "/doc/source": "source", "/doc/n_chars": "n_chars", "/doc/text": "text"}
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "lang", "source",
+                      *sorted({c for k, c in doc_cols.items() if k in want} - {"lang", "source"}))
     labels = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     docs_path = docs.withColumn("file_path", doc_file_path())
     null_s = F.lit(None).cast("array<string>")
@@ -94,20 +99,28 @@ def doc_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (i if i is not None else null_i).alias("int_values"),
                         (d if d is not None else null_d).alias("dbl_values"))
 
-    doc_rows = docs_path.select("file_path", F.explode(F.array(
-        row("/doc/lang", "S", scalar, scalar, s=F.array("lang")),
-        row("/doc/source", "S", one, one, s=F.array("source")),
-        row("/doc/n_chars", "i", one, one, i=F.array("n_chars")),
-        row("/doc/text", "S", scalar, scalar, s=F.array("text")),
-    )).alias("f"))
-    label_rows = (labels.join(docs_path.select("doc_id", "file_path"), "doc_id")
-                  .select("file_path", F.explode(F.array(
-                      row("/labels/quality", "i", one, unlimited,
-                          i=F.array(F.col("quality").cast("bigint"))),
-                      row("/labels/toxic", "i", scalar, scalar,
-                          i=F.array(F.col("toxic").cast("bigint"))),
-                  )).alias("f")))
-    return doc_rows.unionByName(label_rows).select("file_path", "f.*")
+    doc_rows = [r for k, r in [
+        ("/doc/lang", lambda: row("/doc/lang", "S", scalar, scalar, s=F.array("lang"))),
+        ("/doc/source", lambda: row("/doc/source", "S", one, one, s=F.array("source"))),
+        ("/doc/n_chars", lambda: row("/doc/n_chars", "i", one, one, i=F.array("n_chars"))),
+        ("/doc/text", lambda: row("/doc/text", "S", scalar, scalar, s=F.array("text"))),
+    ] if k in want]
+    label_rows = [r for k, r in [
+        ("/labels/quality", lambda: row("/labels/quality", "i", one, unlimited,
+                                        i=F.array(F.col("quality").cast("bigint")))),
+        ("/labels/toxic", lambda: row("/labels/toxic", "i", scalar, scalar,
+                                      i=F.array(F.col("toxic").cast("bigint")))),
+    ] if k in want]
+    parts = []
+    if doc_rows:
+        parts.append(docs_path.select("file_path", F.explode(F.array(*[r() for r in doc_rows])).alias("f")))
+    if label_rows:
+        parts.append(labels.join(docs_path.select("doc_id", "file_path"), "doc_id")
+                     .select("file_path", F.explode(F.array(*[r() for r in label_rows])).alias("f")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("file_path", "f.*")
 
 
 def doc_files(spark: SparkSession, sf_dir: str) -> DataFrame:

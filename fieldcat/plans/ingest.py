@@ -23,7 +23,7 @@ def ingest_documents(jobs: DataFrame, ctx: DocContext) -> IngestResult:
     files = jobs.select("job_id", F.col("document_path").alias("file_path"))
     meta = ad.instrument_metadata(ctx.spark, ctx.sf_dir).join(files, "file_path")
     datasets = catalog.dataset_records(meta, carry=("job_id",))
-    fields = ad.doc_fields(ctx.spark, ctx.sf_dir).join(files.select("file_path"), "file_path", "left_semi")
+    fields = ad.doc_fields(ctx.spark, ctx.sf_dir, ad.REQUESTED_KEYS).join(files.select("file_path"), "file_path", "left_semi")
     issues = (fld.missing_issues(files, fields, ad.REQUESTED_KEYS)
               .join(files, "file_path").select("job_id", F.col("key_seq").alias("seq"), "issue"))
     return IngestResult(datasets, issues)

@@ -53,18 +53,18 @@ def access_controls(spark, sf_dir):
 # --- field table -------------------------------------------------------------------
 
 def field_extract(spark, sf_dir):
-    f = fld.select_fields(ad.doc_fields(spark, sf_dir), ad.REQUESTED_KEYS)
+    f = fld.select_fields(ad.doc_fields(spark, sf_dir, ad.REQUESTED_KEYS), ad.REQUESTED_KEYS)
     norm = fld.value_text(fld.normalise(f))
     return norm.select("file_path", "key", "value_kind", "value_text", "n_values")
 
 
 def field_pivot(spark, sf_dir):
-    f = fld.select_fields(ad.doc_fields(spark, sf_dir), ad.REQUESTED_KEYS)
+    f = fld.select_fields(ad.doc_fields(spark, sf_dir, ad.REQUESTED_KEYS), ad.REQUESTED_KEYS)
     return fld.pivot_fields(fld.value_text(fld.normalise(f)), ad.REQUESTED_KEYS)
 
 
 def missing_key_issues(spark, sf_dir):
-    iss = fld.missing_issues(ad.doc_files(spark, sf_dir), ad.doc_fields(spark, sf_dir),
+    iss = fld.missing_issues(ad.doc_files(spark, sf_dir), ad.doc_fields(spark, sf_dir, ad.REQUESTED_KEYS),
                              ad.REQUESTED_KEYS)
     return iss.select("file_path", "key", "key_seq", "issue.stage", "issue.severity", "issue.msg")
 
@@ -78,7 +78,7 @@ def _ingest_batch(spark, sf_dir):
                                   specs, path_col="file_path")
     batch = matched.withColumn("dataset_id", F.when(F.col("registered"), F.sha2(F.col("file_path"), 256)))
     reg_err = batch.where(~F.col("registered")).select("job_id", F.lit(-1).alias("seq"), "issue")
-    warn = (fld.missing_issues(batch.where(F.col("registered")), ad.doc_fields(spark, sf_dir),
+    warn = (fld.missing_issues(batch.where(F.col("registered")), ad.doc_fields(spark, sf_dir, ad.REQUESTED_KEYS),
                                ad.REQUESTED_KEYS)
             .join(batch.select("file_path", "job_id"), "file_path")
             .select("job_id", F.col("key_seq").alias("seq"), "issue"))
@@ -316,7 +316,7 @@ def _doc_norm(spark, sf_dir, mapping):
     from fieldcat.sources.mapping import Mapping  # noqa: F401
     keys = [r.field for r in mapping.md_fields.unionByName(
         mapping.conf_fields.select("name", "field", "seq")).select("field").distinct().collect()]
-    f = fld.select_fields(ad.doc_fields(spark, sf_dir), keys)
+    f = fld.select_fields(ad.doc_fields(spark, sf_dir, keys), keys)
     return fld.value_text(fld.normalise(f)).select("file_path", "key", "value_text")
 
 
@@ -354,7 +354,7 @@ def mapping_projection(spark, sf_dir):
     from fieldcat.sources.mapping import packaged_mapping
     m = packaged_mapping(spark)
     keys = [r.field for r in m.projections.select("field").distinct().collect()]
-    norm = fld.value_text(fld.normalise(fld.select_fields(ad.doc_fields(spark, sf_dir), keys)))
+    norm = fld.value_text(fld.normalise(fld.select_fields(ad.doc_fields(spark, sf_dir, keys), keys)))
     return project(norm.select("file_path", "key", "value_text"), m)
 
 
