@@ -75,7 +75,8 @@ def instrument_metadata_from(d: DataFrame) -> DataFrame:
     )
 
 
-def doc_fields(spark: SparkSession, sf_dir: str, keys: list[str] | None = None) -> DataFrame:
+def doc_fields(spark: SparkSession, sf_dir: str, keys: list[str] | None = None,
+               with_doc_id: bool = False) -> DataFrame:
     """Long field table: one row per (file, key) that exists. With ``keys``
     only those keys are produced - like a file reader that opens only the
     requested datasets - so the scan reads only the columns they need."""
@@ -113,14 +114,14 @@ def doc_fields(spark: SparkSession, sf_dir: str, keys: list[str] | None = None)
     ] if k in want]
     parts = []
     if doc_rows:
-        parts.append(docs_path.select("file_path", F.explode(F.array(*[r() for r in doc_rows])).alias("f")))
+        parts.append(docs_path.select("file_path", "doc_id", F.explode(F.array(*[r() for r in doc_rows])).alias("f")))
     if label_rows:
         parts.append(labels.join(docs_path.select("doc_id", "file_path"), "doc_id")
-                     .select("file_path", F.explode(F.array(*[r() for r in label_rows])).alias("f")))
+                     .select("file_path", "doc_id", F.explode(F.array(*[r() for r in label_rows])).alias("f")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("file_path", "f.*")
+    return out.select("file_path", "doc_id", "f.*") if with_doc_id else out.select("file_path", "f.*")
 
 
 def doc_files(spark: SparkSession, sf_dir: str) -> DataFrame:

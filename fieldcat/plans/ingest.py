@@ -20,10 +20,21 @@ class DocContext:
 
 
 def ingest_documents(jobs: DataFrame, ctx: DocContext) -> IngestResult:
+    """Ingest the documents of a set of jobs. When the jobs carry ``doc_id``
+    the document scans are narrowed to the batch's id range (two numbers
+    from the driver), which parquet min/max statistics turn into skipped
+    row groups; the semi-joins then keep exactly the batch's files."""
     files = jobs.select("job_id", F.col("document_path").alias("file_path"))
-    meta = ad.instrument_metadata(ctx.spark, ctx.sf_dir).join(files, "file_path")
+    meta = ad.instrument_metadata(ctx.spark, ctx.sf_dir)
+    fields = ad.doc_fields(ctx.spark, ctx.sf_dir, ad.REQUESTED_KEYS, with_doc_id=True)
+    if "doc_id" in jobs.columns:
+        lo, hi = jobs.agg(F.min("doc_id"), F.max("doc_id")).first()
+        if lo is not None:
+            meta = meta.where(F.col("doc_id").between(lo, hi))
+            fields = fields.where(F.col("doc_id").between(lo, hi))
+    meta = meta.join(files, "file_path")
     datasets = catalog.dataset_records(meta, carry=("job_id",))
-    fields = ad.doc_fields(ctx.spark, ctx.sf_dir, ad.REQUESTED_KEYS).join(files.select("file_path"), "file_path", "left_semi")
+    fields = fields.drop("doc_id").join(files.select("file_path"), "file_path", "left_semi")
     issues = (fld.missing_issues(files, fields, ad.REQUESTED_KEYS)
               .join(files, "file_path").select("job_id", F.col("key_seq").alias("seq"), "issue"))
     return IngestResult(datasets, issues)
