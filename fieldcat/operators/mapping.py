@@ -62,7 +62,9 @@ def event_rows(fields: DataFrame, mapping: Mapping, stream: str = "primary",
     # positions past the last time stamp are dropped
     rows = (per_file.where(F.col(ts_col).isNotNull())
             .select("file_path", n_ts.alias("_n_ts"),
-                    F.posexplode(F.arrays_zip(*[F.col(c) for c in [ts_col] + others])).alias("seq", "z"))
+                    F.posexplode(F.arrays_zip(F.col(ts_col), *[
+                        F.coalesce(F.col(c), F.array().cast("array<double>")).alias(c) for c in others]))
+                    .alias("seq", "z"))
             .where(F.col("seq") < F.col("_n_ts"))
             .select("file_path", F.col("seq").cast("bigint").alias("seq"),
                     F.col("z")[ts_col].alias("time_stamp"), *[F.col("z")[c].alias(c) for c in others]))
