@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 # Fixed value: a term is a maximal run of ASCII letters and digits.
 TERM_SEPARATOR = "[^a-zA-Z0-9]"
+TERM = "[a-zA-Z0-9]+"
 
 
 def keywords(text: Column | str) -> Column:
     """Split on every non-alphanumeric ASCII character (accented letters are
-    separators too), lower-case, drop empty pieces. Null in, null out."""
+    separators too), drop empty pieces, lower-case. Null in, null out.
+
+    Extracting the maximal runs of TERM gives exactly the non-empty pieces
+    of a split on TERM_SEPARATOR, without materialising the empty ones."""
     c = F.col(text) if isinstance(text, str) else text
-    # splitting on runs of separators gives the same terms with fewer empty pieces
-    parts = F.split(c, TERM_SEPARATOR + "+")
-    return F.transform(F.filter(parts, lambda t: F.length(t) > 0), F.lower)
+    return F.transform(F.regexp_extract_all(c, F.lit(TERM), 0), F.lower)
 
 
 def search_terms(text: Column | str) -> Column:
