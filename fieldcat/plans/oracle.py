@@ -386,6 +386,12 @@ SELECT r.id, c.client AS submitter, r.document_path, r.mapping_id, r.submit_time
 FROM req r JOIN cl c ON r.digest = c.digest
 """
 
+JOB_SUBMISSIONS = f"""
+WITH {REQ_CTE}
+SELECT r.id, r.submit_time AS time, 'submitted' AS status, c.client AS submitter, CAST(NULL AS VARCHAR) AS log
+FROM req r JOIN cl c ON r.digest = c.digest
+"""
+
 REJECTED_REQUESTS = f"""
 WITH {REQ_CTE}
 SELECT r.id, r.document_path, r.submit_time FROM req r
@@ -454,6 +460,7 @@ ORACLE.update({
     "status_timeline": STATUS_TIMELINE,
     "admitted_requests": ADMITTED_REQUESTS,
     "rejected_requests": REJECTED_REQUESTS,
+    "job_submissions": JOB_SUBMISSIONS,
     "duplicate_ids": DUPLICATE_IDS,
     "registry_first_wins": REGISTRY_FIRST_WINS,
     "orphan_events": ORPHAN_EVENTS,

@@ -221,6 +221,12 @@ def admitted_requests(spark, sf_dir):
     return acc.select("id", "submitter", "document_path", "mapping_id", "submit_time")
 
 
+def job_submissions(spark, sf_dir):
+    """The first status event (submitted) of every admitted request."""
+    acc, _ = jobs.admit(ad.job_requests(spark, sf_dir), ad.clients(spark, sf_dir))
+    return jobs.initial_events(acc)
+
+
 def rejected_requests(spark, sf_dir):
     _, rej = jobs.admit(ad.job_requests(spark, sf_dir), ad.clients(spark, sf_dir))
     return rej.select("id", "document_path", "submit_time")
@@ -274,6 +280,7 @@ QUERIES.update({
     "status_timeline": status_timeline,
     "admitted_requests": admitted_requests,
     "rejected_requests": rejected_requests,
+    "job_submissions": job_submissions,
     "duplicate_ids": duplicate_ids,
     "registry_first_wins": registry_first_wins,
     "orphan_events": orphan_events,
