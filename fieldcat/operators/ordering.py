@@ -38,12 +38,14 @@ def _typed_lit(value, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
-def range_bounds(df: DataFrame, sort_cols: list[str], buckets: int, seed: int = 7) -> list[tuple]:
+def range_bounds(df: DataFrame, sort_cols: list[str], buckets: int, seed: int = 7,
+                 total: int | None = None) -> list[tuple]:
     """Up to ``buckets - 1`` ascending bounds of the sort key, from a sample
-    of about SAMPLE_PER_BUCKET rows per bucket (a bounded driver result)."""
+    of about SAMPLE_PER_BUCKET rows per bucket (a bounded driver result).
+    ``total`` (the row count, when the caller knows it) saves a scan."""
     if buckets <= 1:
         return []
-    total = df.count()
+    total = df.count() if total is None else total
     if total == 0:
         return []
     frac = min(1.0, SAMPLE_PER_BUCKET * buckets / total)
@@ -85,12 +87,13 @@ def _plain_row_number(df: DataFrame, keys: list[str], order: list[str], rn: str,
             .withColumn(n, F.count(F.lit(1)).over(w).cast("bigint")))
 
 
-def hot_groups(df: DataFrame, keys: list[str], threshold: int) -> list[tuple]:
-    """Keys of groups with more than ``threshold`` rows. A partial aggregate;
-    the result has at most rows / threshold entries, so it is a bounded
-    driver result."""
+def hot_groups(df: DataFrame, keys: list[str], threshold: int) -> tuple[list[tuple], int]:
+    """Keys of groups with more than ``threshold`` rows, and their total row
+    count. A partial aggregate; the result has at most rows / threshold
+    entries, so it is a bounded driver result."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return [tuple(r[k] for k in keys) for r in sizes.where(F.col("_n") > threshold).select(*keys).collect()]
+    rows = sizes.where(F.col("_n") > threshold).collect()
+    return [tuple(r[k] for k in keys) for r in rows], sum(r["_n"] for r in rows)
 
 
 def group_row_number(df: DataFrame, keys: list[str], order: list[str], buckets: int | None = None,
@@ -106,7 +109,7 @@ def group_row_number(df: DataFrame, keys: list[str], order: list[str], buckets:
         hot_threshold = int(spark.conf.get(HOT_GROUP_CONF, str(HOT_GROUP_ROWS)))
     if not keys:
         return _bucketed_row_number(df, keys, order, buckets, rn, n)
-    hot = hot_groups(df, keys, hot_threshold)
+    hot, hot_rows_total = hot_groups(df, keys, hot_threshold)
     if not hot:
         return _plain_row_number(df, keys, order, rn, n)
     schema = df.select(*keys).schema
@@ -114,16 +117,16 @@ def group_row_number(df: DataFrame, keys: list[str], order: list[str], buckets:
     hot_rows = df.join(hot_df, keys, "left_semi")
     cold_rows = df.join(hot_df, keys, "left_anti")
     return (_plain_row_number(cold_rows, keys, order, rn, n)
-            .unionByName(_bucketed_row_number(hot_rows, keys, order, buckets, rn, n)))
+            .unionByName(_bucketed_row_number(hot_rows, keys, order, buckets, rn, n, hot_rows_total)))
 
 
 def _bucketed_row_number(df: DataFrame, keys: list[str], order: list[str], buckets: int | None,
-                         rn: str, n: str) -> DataFrame:
+                         rn: str, n: str, total: int | None = None) -> DataFrame:
     spark = df.sparkSession
     if buckets is None:
         buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")) * 4, MAX_BUCKETS)
     sort_cols = list(keys) + list(order)
-    bounds = range_bounds(df, sort_cols, buckets)
+    bounds = range_bounds(df, sort_cols, buckets, total=total)
     with_b = df.withColumn("_b", bucket_of(df, sort_cols, bounds))
     local = with_b.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)))

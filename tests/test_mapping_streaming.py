@@ -102,3 +102,14 @@ def test_ingest_stream_claims_once_and_isolates_failures(spark):
     got = {r.job_id: r.status for r in ev.collect()}
     assert got == {"j1": "successful", "j2": "complete_with_issues", "j3": "error", "j4": "error"}
     assert ev.count() == 4  # the replayed j1 was not run again
+
+
+def test_field_table_roundtrip(spark):
+    from fieldcat.plans import adapters as ad
+    from fieldcat.sources.fields import read_fields, write_fields
+    path = scratch_dir(spark, "test-fields")
+    write_fields(ad.doc_fields(spark, SF_SMALL, ["/doc/lang", "/labels/quality"]), path)
+    f = read_fields(spark, path, ["/labels/quality"])
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "key" in plan
+    assert f.count() == spark.read.parquet(f"{SF_SMALL}/labels.parquet").count()
