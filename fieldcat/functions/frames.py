@@ -16,12 +16,18 @@ def frame_intensity(pixels: Column | str) -> Column:
     """205 * ln(p - min + 1.001) / max(ln(q - min + 1.001)) for every pixel;
     the maximum of the logs is the log of the largest pixel. Pixels are
     widened to DOUBLE first (integer frames must not wrap)."""
-    px = F.transform(_c(pixels), lambda p: p.cast("double"))
+    px = _c(pixels).cast("array<double>")
     mn, mx = F.array_min(px), F.array_max(px)
     top = F.ln((mx - mn) + F.lit(INTENSITY_OFFSET))
     return F.transform(px, lambda p: F.lit(INTENSITY_SCALE) * F.ln((p - mn) + F.lit(INTENSITY_OFFSET)) / top)
 
 
+def pixel_intensity(p: Column, frame_min: Column, frame_max: Column) -> Column:
+    """The same intensity for one pixel, given its frame's min and max."""
+    return (F.lit(INTENSITY_SCALE) * F.ln((p - frame_min) + F.lit(INTENSITY_OFFSET))
+            / F.ln((frame_max - frame_min) + F.lit(INTENSITY_OFFSET)))
+
+
 def quantise(x: Column | str) -> Column:
     """Truncate to an 8-bit level (domain 0..205 for intensities)."""
     return F.floor(_c(x)).cast("int")

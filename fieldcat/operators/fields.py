@@ -60,8 +60,8 @@ def value_text(norm: DataFrame) -> DataFrame:
     txt = F.coalesce(
         F.col("str_value"), F.col("int_value").cast("string"), F.col("dbl_value").cast("string"),
         F.array_join("str_array", ","),
-        F.array_join(F.transform("int_array", lambda x: x.cast("string")), ","),
-        F.array_join(F.transform("dbl_array", lambda x: x.cast("string")), ","),
+        F.array_join(F.col("int_array").cast("array<string>"), ","),
+        F.array_join(F.col("dbl_array").cast("array<string>"), ","),
     )
     return norm.withColumn("value_text", txt)
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldcat.functions.frames import frame_intensity
+from fieldcat.functions.frames import frame_intensity, pixel_intensity
 from fieldcat.schemas import AUTOCONTRAST_CUTOFF_PERCENT
 
 
@@ -31,10 +31,21 @@ def external_refs(frames: DataFrame, key: str = "/exchange/data", frame_col: str
 
 def frame_stats(frames: DataFrame, pixels: str = "pixels") -> DataFrame:
     """Adds frame_min / frame_max (as DOUBLE)."""
-    px = F.transform(F.col(pixels), lambda p: p.cast("double"))
+    px = F.col(pixels).cast("array<double>")
     return frames.withColumn("frame_min", F.array_min(px)).withColumn("frame_max", F.array_max(px))
 
 
+def intensity_pixels(frames: DataFrame, keys: list[str], pixels: str = "pixels") -> DataFrame:
+    """Long form (keys..., pos, intensity): the frame's min and max are taken
+    from the array, then every pixel is one row and the maths is scalar, so
+    the whole expression stays in generated code (no lambda per pixel)."""
+    px = F.col(pixels).cast("array<double>")
+    return (frames.select(*keys, F.array_min(px).alias("_mn"), F.array_max(px).alias("_mx"),
+                          F.posexplode(px).alias("pos", "_p"))
+            .select(*keys, F.col("pos").cast("bigint").alias("pos"),
+                    pixel_intensity(F.col("_p"), F.col("_mn"), F.col("_mx")).alias("intensity")))
+
+
 def with_intensity(frames: DataFrame, pixels: str = "pixels", out: str = "intensity") -> DataFrame:
     return frames.withColumn(out, frame_intensity(pixels))
 

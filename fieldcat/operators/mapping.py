@@ -37,7 +37,7 @@ def config_docs(norm_text: DataFrame, mapping: Mapping) -> DataFrame:
 
 
 def _numeric(c_int, c_dbl):
-    return F.coalesce(c_dbl, F.transform(c_int, lambda x: x.cast("double")))
+    return F.coalesce(c_dbl, c_int.cast("array<double>"))
 
 
 def event_rows(fields: DataFrame, mapping: Mapping, stream: str = "primary",

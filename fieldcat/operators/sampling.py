@@ -22,6 +22,21 @@ def stride_rows(df: DataFrame, order_by: list, partition_by: list[str] = (),
             .withColumn("row_idx", F.col("_rn") - 1).drop("_rn"))
 
 
+def stride_elements(df: DataFrame, keys: list[str], array_col: str,
+                    sample_size: int = SAMPLE_SIZE) -> DataFrame:
+    """Long form of the array stride sample: (keys..., n_values, step,
+    sample_len, pos, value) for the kept elements, pos being the element's
+    index in the sample. Scalar arithmetic on posexplode output."""
+    n = F.size(array_col).cast("bigint")
+    step = stride_step(n, sample_size)
+    base = df.select(*keys, n.alias("n_values"), step.alias("step"),
+                     F.posexplode(array_col).alias("_i", "value"))
+    return (base.where((F.col("_i") % F.col("step")) == 0)
+            .select(*keys, "n_values", "step",
+                    ((F.col("n_values") + F.col("step") - 1) / F.col("step")).cast("bigint").alias("sample_len"),
+                    (F.col("_i") / F.col("step")).cast("bigint").alias("pos"), "value"))
+
+
 def to_column_json(sample: DataFrame, group_by: list[str], index: str, columns: list[str],
                    out: str = "page_json") -> DataFrame:
     """Per group, ``{"col": {"<index>": value, ...}, ...}`` in index order.

@@ -227,10 +227,11 @@ def vec_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     positive = F.filter("embedding", lambda x: x > 0)
     return e.select(vec_path().alias("file_path"), F.explode(F.array(
-        row("/vec/index", "f", n, d=F.transform("embedding", lambda x, i: i.cast("double"))),
-        row("/vec/embedding", "f", n, d=F.transform("embedding", lambda x: x.cast("double"))),
+        row("/vec/index", "f", n, d=F.when(F.size("embedding") > 0, F.sequence(
+            F.lit(0), F.size("embedding") - 1)).otherwise(F.array()).cast("array<double>")),
+        row("/vec/embedding", "f", n, d=F.col("embedding").cast("array<double>")),
         row("/vec/positive", "f", F.array(F.size(positive).cast("bigint")),
-            d=F.transform(positive, lambda x: x.cast("double"))),
+            d=positive.cast("array<double>")),
         row("/vec/label", "i", scalar, i=F.array(F.col("label").cast("bigint"))),
     )).alias("f")).select("file_path", "f.*")
 
@@ -240,7 +241,7 @@ def vec_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return e.select("vec_id", vec_path().alias("file_path"), F.lit(0).alias("frame_idx"),
                     F.lit(8).alias("height"), F.lit(8).alias("width"),
-                    F.transform("embedding", lambda x: x.cast("double")).alias("pixels"))
+                    F.col("embedding").cast("array<double>").alias("pixels"))
 
 
 def conversation_frames(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,13 +104,8 @@ def registry_match(spark, sf_dir):
 
 def array_stride(spark, sf_dir):
     e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
-    s = e.select("vec_id", F.size("embedding").cast("bigint").alias("n_values"),
-                 stride_step(F.size("embedding")).alias("step"),
-                 stride_array("embedding").alias("sample"))
-    return s.select("vec_id", "n_values", "step", F.size("sample").cast("bigint").alias("sample_len"),
-                    F.posexplode("sample").alias("pos", "value")) \
-        .select("vec_id", "n_values", "step", "sample_len", F.col("pos").cast("bigint").alias("pos"),
-                F.col("value").cast("double").alias("value"))
+    e = e.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    return sampling.stride_elements(e, ["vec_id"], "embedding")
 
 
 def row_stride(spark, sf_dir):
@@ -127,20 +122,20 @@ def event_page_json(spark, sf_dir):
     return sampling.to_column_json(s, ["user_id"], "row_idx", ["event_id", "event_type", "ts"])
 
 
-def _saturated(e):
-    """Embeddings with |x| > 0.2 turned into +/-Inf and x in (-0.001, 0.001) into NaN."""
-    def sat(x):
-        x = x.cast("double")
-        return (F.when(x > 0.2, F.lit(float("inf"))).when(x < -0.2, F.lit(float("-inf")))
-                .when(F.abs(x) < 0.001, F.lit(float("nan"))).otherwise(x))
-    return F.transform(e, sat)
+def _saturated(x):
+    """|x| > 0.2 becomes +/-Inf and x in (-0.001, 0.001) becomes NaN."""
+    x = x.cast("double")
+    return (F.when(x > 0.2, F.lit(float("inf"))).when(x < -0.2, F.lit(float("-inf")))
+            .when(F.abs(x) < 0.001, F.lit(float("nan"))).otherwise(x))
 
 
 def nonfinite_mask(spark, sf_dir):
+    """Element-wise masking in long form (scalar expressions, no lambda)."""
+    from pyspark.sql import types as T
     e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
-    m = e.select("vec_id", mask_nonfinite(_saturated(F.col("embedding"))).alias("masked"))
-    return m.select("vec_id", F.posexplode("masked").alias("pos", "value")) \
-        .select("vec_id", F.col("pos").cast("bigint").alias("pos"), "value")
+    px = e.select("vec_id", F.posexplode("embedding").alias("pos", "x"))
+    return px.select("vec_id", F.col("pos").cast("bigint").alias("pos"),
+                     mask_nonfinite(_saturated(F.col("x")), T.DoubleType()).alias("value"))
 
 
 # --- jobs over job events ------------------------------------------------------------
@@ -294,9 +289,8 @@ QUERIES.update({
 
 def frame_intensity_q(spark, sf_dir):
     from fieldcat.operators import frames as fr
-    f = fr.with_intensity(ad.vec_frames(spark, sf_dir))
-    return f.select("vec_id", F.posexplode("intensity").alias("pos", "i")).select(
-        "vec_id", F.col("pos").cast("bigint").alias("pos"), F.round("i", 6).alias("intensity"))
+    f = fr.intensity_pixels(ad.vec_frames(spark, sf_dir), ["vec_id"])
+    return f.select("vec_id", "pos", F.round("intensity", 6).alias("intensity"))
 
 
 def frame_stats_q(spark, sf_dir):

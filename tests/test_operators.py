@@ -239,3 +239,26 @@ def test_catalog_records(spark):
     blocks = catalog.datablocks(files, catalog.dataset_records(meta)).first()
     assert blocks.datasetId == ds.pid and blocks.dataFileList[0].path == "a.h5"
     assert blocks.dataFileList[0].type == "RawDatasets" and blocks.accessGroups == ds.accessGroups
+
+
+def test_stride_elements_equals_array_form(spark):
+    from fieldcat.functions import stride_array
+    rows = [(i, [float(x) for x in range(n)]) for i, n in enumerate([0, 1, 9, 10, 19, 20, 25, 105])]
+    df = spark.createDataFrame(rows, "id int, a array<double>")
+    arr = {r.id: r.s for r in df.select("id", stride_array("a").alias("s")).collect()}
+    long = sampling.stride_elements(df, ["id"], "a").toPandas()
+    for i, want in arr.items():
+        part = long[long.id == i].sort_values("pos")
+        assert list(part.value) == want
+        assert list(part.pos) == list(range(len(want)))
+        if len(part):
+            assert (part.sample_len == len(want)).all()
+
+
+def test_visibility_functional_login(spark):
+    ds = spark.createDataFrame([("d1", "robot", ["bl1"]), ("d2", "grp", [])],
+                               "pid string, ownerGroup string, accessGroups array<string>")
+    users = spark.createDataFrame([("u1", "robot", ["bl1"]), ("u2", "robot", ["grp"])],
+                                  "user string, login string, groups array<string>")
+    got = sorted(tuple(r) for r in access.visible(ds, users, login="login").collect())
+    assert got == [("u1", "d1", True, True), ("u2", "d1", True, True), ("u2", "d2", True, True)]
