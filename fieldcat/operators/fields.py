@@ -81,7 +81,8 @@ def pivot_fields(norm_text: DataFrame, keys: list[str], value: str = "value_text
 
 def missing_issues(files: DataFrame, fields: DataFrame, keys: list[str],
                    stage: str = "extract") -> DataFrame:
-    """One warning per (file, requested key) with no field row.
+    """One warning per (file, requested key) with no field row; the other
+    columns of ``files`` (e.g. a job id) are carried along.
 
     No cross product: each file's present keys are gathered (at most
     len(keys) per file, a fixed bound), the missing ones are the requested
@@ -90,12 +91,13 @@ def missing_issues(files: DataFrame, fields: DataFrame, keys: list[str],
     wanted = F.array(*[F.lit(k) for k in ks])
     present = (select_fields(fields, ks).groupBy("file_path")
                .agg(F.collect_set("key").alias("_present")))
-    missing = (files.select("file_path").join(present, "file_path", "left")
-               .select("file_path", F.explode(F.array_except(
+    carried = [c for c in files.columns if c != "file_path"]
+    missing = (files.join(present, "file_path", "left")
+               .select("file_path", *carried, F.explode(F.array_except(
                    wanted, F.coalesce("_present", F.array().cast("array<string>")))).alias("key")))
     seq = F.array_position(wanted, F.col("key")).cast("int") - 1
     msg = F.concat(F.lit("dataset not found "), F.col("key"))
-    return missing.select("file_path", "key", seq.alias("key_seq"),
+    return missing.select("file_path", *carried, "key", seq.alias("key_seq"),
                           issue(SEVERITY_WARNING, msg, stage).alias("issue"))
 
 

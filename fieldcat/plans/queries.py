@@ -64,7 +64,8 @@ def field_pivot(spark, sf_dir):
 
 
 def missing_key_issues(spark, sf_dir):
-    iss = fld.missing_issues(ad.doc_files(spark, sf_dir), ad.doc_fields(spark, sf_dir, ad.REQUESTED_KEYS),
+    iss = fld.missing_issues(ad.doc_files(spark, sf_dir).select("file_path"),
+                             ad.doc_fields(spark, sf_dir, ad.REQUESTED_KEYS),
                              ad.REQUESTED_KEYS)
     return iss.select("file_path", "key", "key_seq", "issue.stage", "issue.severity", "issue.msg")
 
@@ -78,9 +79,8 @@ def _ingest_batch(spark, sf_dir):
                                   specs, path_col="file_path")
     batch = matched.withColumn("dataset_id", F.when(F.col("registered"), F.sha2(F.col("file_path"), 256)))
     reg_err = batch.where(~F.col("registered")).select("job_id", F.lit(-1).alias("seq"), "issue")
-    warn = (fld.missing_issues(batch.where(F.col("registered")), ad.doc_fields(spark, sf_dir, ad.REQUESTED_KEYS),
-                               ad.REQUESTED_KEYS)
-            .join(batch.select("file_path", "job_id"), "file_path")
+    warn = (fld.missing_issues(batch.where(F.col("registered")).select("file_path", "job_id"),
+                               ad.doc_fields(spark, sf_dir, ad.REQUESTED_KEYS), ad.REQUESTED_KEYS)
             .select("job_id", F.col("key_seq").alias("seq"), "issue"))
     return batch, reg_err.unionByName(warn)
 
