@@ -109,3 +109,38 @@ def rename_separator(df: DataFrame, old: str = ":", new: str = "/") -> DataFrame
 def rename_keys(fields: DataFrame, old: str = ":", new: str = "/") -> DataFrame:
     """The long-form equivalent of ``rename_separator``."""
     return fields.withColumn("key", F.replace(F.col("key"), F.lit(old), F.lit(new)))
+
+
+def value_json(norm: DataFrame) -> DataFrame:
+    """Adds ``value_json``: the normalised value as JSON text. Doubles are
+    masked first (NaN / +-Inf become null), so the text is strict JSON."""
+    from fieldcat.functions.values import mask_nonfinite
+    from pyspark.sql import types as T
+
+    def one(c):
+        # to_json of a one-element array, brackets removed: the element's JSON
+        return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+
+    j = F.coalesce(
+        F.when(F.col("str_value").isNotNull(), one(F.col("str_value"))),
+        F.when(F.col("int_value").isNotNull(), one(F.col("int_value"))),
+        F.when(F.col("dbl_value").isNotNull(), one(mask_nonfinite(F.col("dbl_value"), T.DoubleType()))),
+        F.when(F.col("str_array").isNotNull(), F.to_json(F.col("str_array"))),
+        F.when(F.col("int_array").isNotNull(), F.to_json(F.col("int_array"))),
+        F.when(F.col("dbl_array").isNotNull(), F.to_json(mask_nonfinite(F.col("dbl_array")))),
+        F.lit("null"))
+    return norm.withColumn("value_json", j)
+
+
+def metadata_json(norm: DataFrame, keys: list[str], out: str = "metadata") -> DataFrame:
+    """One JSON object per file, ``{"<key>": <value>, ...}`` in requested-key
+    order (F8). A file holds at most len(keys) entries, a fixed bound."""
+    ks = unique_keys(keys)
+    wanted = F.array(*[F.lit(k) for k in ks])
+    entry = F.concat(F.regexp_replace(F.to_json(F.array("key")), r"^\[|\]$", ""), F.lit(":"),
+                     F.col("value_json"))
+    per_file = (value_json(select_fields(norm, ks))
+                .select("file_path", F.array_position(wanted, F.col("key")).alias("_pos"), entry.alias("_e"))
+                .groupBy("file_path").agg(F.array_sort(F.collect_list(F.struct("_pos", "_e"))).alias("_es")))
+    return per_file.select("file_path", F.concat(
+        F.lit("{"), F.array_join(F.transform("_es", lambda e: e["_e"]), ","), F.lit("}")).alias(out))

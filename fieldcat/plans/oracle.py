@@ -142,6 +142,20 @@ SELECT file_path,
 FROM norm GROUP BY file_path
 """
 
+SCIENTIFIC_METADATA = f"""
+WITH {FIELDS_CTE}, {NORM_CTE}, j AS (
+  SELECT n.file_path, k.key_seq,
+    CAST(to_json(n.key) AS VARCHAR) || ':' || CASE
+      WHEN n.value_kind = 'string' THEN coalesce(CAST(to_json(n.value_text) AS VARCHAR), 'null')
+      WHEN n.value_kind = 'int' THEN coalesce(n.value_text, 'null')
+      WHEN n.value_kind = 'string_array' THEN CAST(to_json(string_split(n.value_text, ',')) AS VARCHAR)
+      ELSE '[' || n.value_text || ']' END AS e
+  FROM norm n JOIN keys k ON n.key = k.key
+)
+SELECT file_path, '{{' || string_agg(e, ',' ORDER BY key_seq) || '}}' AS metadata
+FROM j GROUP BY file_path
+"""
+
 MISSING_KEY_ISSUES = f"""
 WITH {FIELDS_CTE}
 SELECT f.file_path, k.key, k.key_seq, 'extract' AS stage, 'warning' AS severity,
@@ -314,6 +328,7 @@ ORACLE = {
     "field_extract": FIELD_EXTRACT,
     "field_pivot": FIELD_PIVOT,
     "missing_key_issues": MISSING_KEY_ISSUES,
+    "scientific_metadata": SCIENTIFIC_METADATA,
     "job_final_status": JOB_FINAL_STATUS,
     "job_log": JOB_LOG,
     "registry_match": REGISTRY_MATCH,

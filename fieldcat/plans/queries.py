@@ -63,6 +63,12 @@ def field_pivot(spark, sf_dir):
     return fld.pivot_fields(fld.value_text(fld.normalise(f)), ad.REQUESTED_KEYS)
 
 
+def scientific_metadata(spark, sf_dir):
+    """Per file, the requested keys as one strict-JSON object (F8)."""
+    f = fld.select_fields(ad.doc_fields(spark, sf_dir, ad.REQUESTED_KEYS), ad.REQUESTED_KEYS)
+    return fld.metadata_json(fld.normalise(f), ad.REQUESTED_KEYS)
+
+
 def missing_key_issues(spark, sf_dir):
     iss = fld.missing_issues(ad.doc_files(spark, sf_dir).select("file_path"),
                              ad.doc_fields(spark, sf_dir, ad.REQUESTED_KEYS),
@@ -161,6 +167,7 @@ QUERIES = {
     "field_extract": field_extract,
     "field_pivot": field_pivot,
     "missing_key_issues": missing_key_issues,
+    "scientific_metadata": scientific_metadata,
     "job_final_status": job_final_status,
     "job_log": job_log,
     "registry_match": registry_match,

@@ -113,3 +113,29 @@ def test_field_table_roundtrip(spark):
     plan = f._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "key" in plan
     assert f.count() == spark.read.parquet(f"{SF_SMALL}/labels.parquet").count()
+
+
+def test_extract_fields_from_files(spark, tmp_path):
+    import numpy as np
+    from fieldcat.operators import fields as fld
+    from fieldcat.sources.readers import extract_fields
+    np.savez(tmp_path / "a.npz", **{
+        "measurement/sample/name": np.array(b"my sample", dtype="|S256"),
+        "measurement/sample/position_x": np.array([1.0, 2.0]),
+        "exchange/data": np.arange(3 * 16 * 9, dtype=np.int16).reshape(3, 16, 9),
+        "process/count": np.array([7], dtype=np.int64),
+    })
+    np.savez(tmp_path / "b.npz", **{"measurement/sample/name": np.array([b"x", b"y", b"z"])})
+    (tmp_path / "broken.npz").write_bytes(b"not an archive")
+    keys = ["/measurement/sample/name", "/measurement/sample/position_x", "/process/count", "/missing"]
+    f = extract_fields(spark, str(tmp_path), keys, glob="*.npz")
+    norm = {(r.file_path.split("/")[-1], r.key): r for r in fld.normalise(f).collect()}
+    a = norm[("a.npz", "/measurement/sample/name")]
+    assert a.value_kind == "string" and a.str_value == "my sample"
+    assert norm[("a.npz", "/measurement/sample/position_x")].dbl_array == [1.0, 2.0]
+    assert norm[("a.npz", "/process/count")].int_value == 7
+    assert norm[("b.npz", "/measurement/sample/name")].str_array == ["x", "y", "z"]
+    assert not any(k[1] == "/exchange/data" for k in norm)  # not requested, not read into rows
+    files = spark.read.format("binaryFile").load(str(tmp_path)).select(F.col("path").alias("file_path"))
+    miss = fld.missing_issues(files, f, keys).collect()
+    assert {(m.file_path.split("/")[-1], m.key) for m in miss} >= {("broken.npz", "/missing"), ("a.npz", "/missing")}
