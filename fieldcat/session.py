@@ -46,7 +46,7 @@ def _cores(master: str) -> int:
 
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    conf = spark.conf.get("spark.checkpoint.dir", None)
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf:
         return conf
     return spark.sparkContext.getCheckpointDir()
@@ -60,10 +60,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(root)
         return root
+    # unset (local runs, tests): a private folder. ``spark.checkpoint.dir`` is
+    # a core setting that cannot be changed at runtime; the context's
+    # checkpoint directory is the one place to record it.
     root = tempfile.mkdtemp(prefix="fieldcat-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return spark.sparkContext.getCheckpointDir() or root
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
