@@ -190,3 +190,31 @@ def status_timeline(history: DataFrame, key: str = "id") -> DataFrame:
 
 def issue_col(severity: str, msg: str, stage: str):
     return issue(severity, msg, stage).alias("issue")
+
+
+# --- state machine -------------------------------------------------------------------
+
+def _allowed(prev, status):
+    from fieldcat.schemas import ALLOWED_TRANSITIONS
+    cond = F.lit(False)
+    for p, nexts in ALLOWED_TRANSITIONS.items():
+        if nexts:
+            cond = cond | ((prev == F.lit(p)) & status.isin(nexts))
+    return cond
+
+
+def transition_issues(events: DataFrame, key: str = "id", tiebreak: str | None = None,
+                      stage: str = "lifecycle") -> DataFrame:
+    """Every status event that breaks the job lifecycle (submitted ->
+    running -> terminal, error allowed from any non-terminal state, nothing
+    after a terminal state), with the status it followed.
+
+    Each event is matched to its predecessor by an equi-join on (job,
+    position): positions come from the skew-safe row numbering, and the join
+    key spreads a job with very many events over many tasks."""
+    h = job_history(events, key=key, tiebreak=tiebreak)
+    prev = h.select(key, (F.col("pos") + 1).alias("pos"), F.col("status").alias("prev_status"))
+    j = h.join(prev, [key, "pos"], "left").withColumn("prev_status", F.coalesce("prev_status", F.lit("none")))
+    bad = j.where(~_allowed(F.col("prev_status"), F.col("status")))
+    msg = F.concat(F.lit("invalid transition "), F.col("prev_status"), F.lit(" -> "), F.col("status"))
+    return bad.withColumn("issue", issue(SEVERITY_WARNING, msg, stage))

@@ -340,6 +340,22 @@ ORACLE = {
     "job_history": JOB_HISTORY,
 }
 
+TRANSITIONS_CTE = f"""
+{EVENTS_CTE}, p AS (
+  SELECT *, coalesce(lag(status) OVER (PARTITION BY id ORDER BY time, rnk, event_id), 'none') AS prev_status
+  FROM r
+)"""
+
+JOB_TRANSITIONS = f"""
+WITH {TRANSITIONS_CTE}
+SELECT id, event_id, time, prev_status, status, 'invalid transition ' || prev_status || ' -> ' || status AS msg
+FROM p
+WHERE NOT (
+  (prev_status = 'none' AND status = 'submitted')
+  OR (prev_status = 'submitted' AND status IN ('running', 'error'))
+  OR (prev_status = 'running' AND status IN ('running', 'complete_with_issues', 'successful', 'error')))
+"""
+
 JOB_LOOKUP = f"""
 WITH {JOBS_CTE}
 SELECT 'job-' || CAST(c.c_custkey AS VARCHAR) AS id, j.id IS NOT NULL AS found, j.status
@@ -468,6 +484,7 @@ FROM ds d LEFT JOIN sh ON d.proposal = sh.proposal
 """
 
 ORACLE.update({
+    "job_transitions": JOB_TRANSITIONS,
     "job_lookup": JOB_LOOKUP,
     "unstarted_jobs": UNSTARTED_JOBS,
     "next_job": NEXT_JOB,
@@ -636,6 +653,7 @@ STREAM_DEDUP = "SELECT event_id, ts, user_id, event_type FROM events"
 
 ORACLE.update({
     "stream_job_state": JOB_CURRENT,
+    "stream_job_transitions": JOB_TRANSITIONS,
     "stream_dedup": STREAM_DEDUP,
     "stream_upsert": DATASET_CATALOG,
     "stream_ingest": JOB_FINAL_STATUS,

@@ -154,6 +154,11 @@ def job_current(spark, sf_dir):
     return _jobs(spark, sf_dir).drop("last_log")
 
 
+def job_transitions(spark, sf_dir):
+    t = jobs.transition_issues(ad.job_events(spark, sf_dir), tiebreak="event_id")
+    return t.select("id", "event_id", "time", "prev_status", "status", F.col("issue.msg").alias("msg"))
+
+
 def job_history(spark, sf_dir):
     h = jobs.job_history(ad.job_events(spark, sf_dir), tiebreak="event_id")
     return h.select("id", "pos", "history_len", "time", "status", "submitter", "event_id")
@@ -177,6 +182,7 @@ QUERIES = {
     "nonfinite_mask": nonfinite_mask,
     "job_current": job_current,
     "job_history": job_history,
+    "job_transitions": job_transitions,
 }
 
 

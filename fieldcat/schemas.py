@@ -182,3 +182,14 @@ CLIENTS = T.StructType([
     T.StructField("client", T.StringType()),
     T.StructField("api", T.StringType()),
 ])
+
+# The job lifecycle as allowed transitions (previous -> next);
+# "none" is the state before a job's first event.
+ALLOWED_TRANSITIONS = {
+    "none": ["submitted"],
+    "submitted": ["running", "error"],
+    "running": ["running", "complete_with_issues", "successful", "error"],
+    "complete_with_issues": [],
+    "successful": [],
+    "error": [],
+}

@@ -262,3 +262,17 @@ def test_visibility_functional_login(spark):
                                   "user string, login string, groups array<string>")
     got = sorted(tuple(r) for r in access.visible(ds, users, login="login").collect())
     assert got == [("u1", "d1", True, True), ("u2", "d1", True, True), ("u2", "d2", True, True)]
+
+
+def test_transition_issues(spark):
+    from fieldcat.schemas import JOB_EVENTS
+    ev = spark.createDataFrame([
+        ("j1", _t("2024-01-01 00:00:00"), "submitted", "u", None, None),
+        ("j1", _t("2024-01-01 00:01:00"), "running", "s", None, None),
+        ("j1", _t("2024-01-01 00:02:00"), "successful", "s", None, None),
+        ("j1", _t("2024-01-01 00:03:00"), "running", "s", None, None),      # after a terminal state
+        ("j2", _t("2024-01-01 00:00:00"), "running", "s", None, None),      # never submitted
+        ("j2", _t("2024-01-01 00:00:00"), "submitted", "u", None, None),    # equal time: ranks first
+    ], JOB_EVENTS)
+    got = sorted((r.id, r.prev_status, r.status) for r in jobs.transition_issues(ev).collect())
+    assert got == [("j1", "successful", "running")]
