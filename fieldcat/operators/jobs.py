@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldcat.functions.ids import natural_id
 from fieldcat.functions.issues import issue
 from fieldcat.operators.ordering import group_row_number
 from fieldcat.schemas import (
@@ -48,10 +47,6 @@ def initial_events(accepted: DataFrame, now=None) -> DataFrame:
         F.lit(None).cast("string").alias("log"))
 
 
-def request_id(*cols) -> F.Column:
-    return natural_id(*cols)
-
-
 # --- state fold ----------------------------------------------------------------
 
 def _order(time="time", status="status", tiebreak: str | None = None):
