@@ -93,7 +93,6 @@ TERMINAL_STATUSES = [STATUS_COMPLETE_WITH_ISSUES, STATUS_SUCCESSFUL, STATUS_ERRO
 PENDING_STATUSES = [STATUS_SUBMITTED, STATUS_RUNNING]
 SEVERITY_WARNING = "warning"
 SEVERITY_ERROR = "error"
-INGEST_TYPES = ["databroker", "scicat"]
 DEFAULT_STAGE = "unknown"
 UNKNOWN = "Unknown"
 DATASET_TYPE = "raw"
