@@ -8,12 +8,12 @@ from fieldcat.functions.ids import natural_id, new_id
 from fieldcat.functions.issues import issue
 from fieldcat.functions.text import keywords, search_terms
 from fieldcat.functions.values import (
-    default_unknown, mask_nonfinite, stride_array, stride_step, widen,
+    default_unknown, mask_nonfinite, safe_size, stride_array, stride_step, widen,
 )
 
 __all__ = [
     "access_groups", "owner_group", "basename", "data_uri", "local_time_text",
     "parent_dir", "frame_intensity", "quantise", "natural_id", "new_id", "issue",
-    "keywords", "search_terms", "default_unknown", "mask_nonfinite", "stride_array",
+    "keywords", "search_terms", "default_unknown", "mask_nonfinite", "safe_size", "stride_array",
     "stride_step", "widen",
 ]

@@ -45,6 +45,13 @@ def widen(c: Column | str, dtype: T.DataType) -> Column:
     return c
 
 
+def safe_size(c: Column | str) -> Column:
+    """Array length, null for a null array whatever the ANSI setting (without
+    ANSI mode ``size(null)`` would be -1)."""
+    c = _c(c)
+    return F.when(c.isNotNull(), F.size(c))
+
+
 def stride_step(n: Column, sample_size: int = SAMPLE_SIZE) -> Column:
     """max(n div sample_size, 1)."""
     return F.greatest(F.floor(n / F.lit(sample_size)).cast("bigint"), F.lit(1).cast("bigint"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldcat.functions.issues import issue
+from fieldcat.functions.values import safe_size
 from fieldcat.schemas import SEVERITY_WARNING, unique_keys
 
 
@@ -32,16 +33,16 @@ def normalise(fields: DataFrame) -> DataFrame:
     array. A failed unboxing (no element) gives null, not an error."""
     is_str = F.col("kind") == F.lit("S")
     is_int = F.col("kind") == F.lit("i")
-    shape_n = F.size("shape")
+    shape_n = safe_size("shape")
     unbox_str = (shape_n == 0) | ((shape_n == 1) & (F.col("shape")[0] == 1))
-    max_one = (F.size("maxshape") == 1) & F.coalesce(F.col("maxshape")[0] == 1, F.lit(False))
+    max_one = F.coalesce((safe_size("maxshape") == 1) & (F.col("maxshape")[0] == 1), F.lit(False))
     unbox_num = max_one | (shape_n == 0)
     unbox = F.when(is_str, unbox_str).otherwise(unbox_num)
     vkind = (F.when(is_str, F.when(unbox, F.lit("string")).otherwise(F.lit("string_array")))
              .when(is_int, F.when(unbox, F.lit("int")).otherwise(F.lit("int_array")))
              .otherwise(F.when(unbox, F.lit("double")).otherwise(F.lit("double_array"))))
-    n_values = (F.when(is_str, F.size("str_values")).when(is_int, F.size("int_values"))
-                .otherwise(F.size("dbl_values")))
+    n_values = (F.when(is_str, safe_size("str_values")).when(is_int, safe_size("int_values"))
+                .otherwise(safe_size("dbl_values")))
     return fields.select(
         "file_path", "key", vkind.alias("value_kind"),
         F.when(is_str & unbox, _first("str_values")).alias("str_value"),

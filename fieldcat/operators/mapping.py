@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldcat.functions.issues import issue
+from fieldcat.functions.values import safe_size
 from fieldcat.operators.fields import column_name
 from fieldcat.schemas import SEVERITY_WARNING
 from fieldcat.sources.mapping import Mapping
@@ -57,7 +58,7 @@ def event_rows(fields: DataFrame, mapping: Mapping, stream: str = "primary",
                        for k in keys]))
     ts_col = column_name(ts_key)
     others = [column_name(k) for k in keys[1:]]
-    n_ts = F.size(F.col(ts_col))
+    n_ts = safe_size(ts_col)
     # arrays_zip pads the shorter arrays with nulls up to the longest one;
     # positions past the last time stamp are dropped
     rows = (per_file.where(F.col(ts_col).isNotNull())
@@ -70,7 +71,7 @@ def event_rows(fields: DataFrame, mapping: Mapping, stream: str = "primary",
                     F.col("z")[ts_col].alias("time_stamp"), *[F.col("z")[c].alias(c) for c in others]))
     issues = (per_file.where(F.col(ts_col).isNotNull())
               .select("file_path", F.explode(F.array(*[
-                  F.struct(F.lit(k).alias("field"), F.size(F.col(column_name(k))).alias("n"))
+                  F.struct(F.lit(k).alias("field"), safe_size(column_name(k)).alias("n"))
                   for k in keys[1:]])).alias("f"), n_ts.alias("n_ts"))
               .where(F.col("f.n").isNotNull() & (F.col("f.n") != F.col("n_ts")))
               .select("file_path", F.col("f.field").alias("field"),

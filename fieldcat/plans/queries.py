@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldcat.functions.access import access_groups, owner_group
 from fieldcat.functions.text import keywords, search_terms
-from fieldcat.functions.values import mask_nonfinite
+from fieldcat.functions.values import mask_nonfinite, safe_size
 from fieldcat.operators import catalog, fields as fld, jobs, quality, sampling
 from fieldcat.plans import adapters as ad
 from fieldcat.sources.tables import read_table
@@ -27,20 +27,20 @@ def dataset_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pid", "owner", "contactEmail", "creationLocation", "datasetName", "type",
         "instrumentId", "proposalId", "dataFormat", "principalInvestigator", "sourceFolder",
         "size", "scientificMetadata", "sampleId", "isPublished", "description",
-        F.size("keywords").cast("bigint").alias("n_keywords"), "creationTime", "ownerGroup",
+        safe_size("keywords").cast("bigint").alias("n_keywords"), "creationTime", "ownerGroup",
         F.array_join("accessGroups", ",").alias("accessGroups"))
 
 
 def search_terms_documents(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return d.select("doc_id", search_terms("text").alias("terms"),
-                    F.size(keywords("text")).cast("bigint").alias("n_keywords"))
+                    safe_size(keywords("text")).cast("bigint").alias("n_keywords"))
 
 
 def search_terms_pages(spark, sf_dir):
     p = read_table(spark, sf_dir, "pages", "page_id", "url")
     return p.select("page_id", search_terms("url").alias("terms"),
-                    F.size(keywords("url")).cast("bigint").alias("n_keywords"))
+                    safe_size(keywords("url")).cast("bigint").alias("n_keywords"))
 
 
 def access_controls(spark, sf_dir):
