@@ -276,3 +276,22 @@ def test_transition_issues(spark):
     ], JOB_EVENTS)
     got = sorted((r.id, r.prev_status, r.status) for r in jobs.transition_issues(ev).collect())
     assert got == [("j1", "successful", "running")]
+
+
+def test_group_row_number_mixed_hot_and_cold(spark):
+    sizes = {"hot": 3000, "warm": 150, "cold": 7, "one": 1}
+    rows = [(g, i, (i * 37) % 1009) for g, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, i int, o int")
+    out = group_row_number(df, ["g"], ["o", "i"], hot_threshold=100, buckets=16).toPandas()
+    assert len(out) == sum(sizes.values())
+    for g, part in out.groupby("g"):
+        part = part.sort_values(["o", "i"])
+        assert list(part.rn) == list(range(1, sizes[g] + 1))
+        assert (part.n == sizes[g]).all()
+
+
+def test_stride_rows_single_page(spark):
+    df = spark.range(0, 105).withColumnRenamed("id", "i")
+    got = sampling.stride_rows(df, order_by=["i"]).toPandas().sort_values("i")
+    assert list(got.i) == list(range(0, 105, 10))
+    assert (got.n == 105).all() and list(got.row_idx) == list(range(0, 105, 10))
