@@ -129,18 +129,21 @@ def phase(jobs: DataFrame) -> DataFrame:
 
 # --- registry, final status, log ---------------------------------------------------
 
-def match_registry(jobs: DataFrame, specs: DataFrame, mapping_col: str = "mapping_id",
+def match_registry(jobs: DataFrame, specs, mapping_col: str = "mapping_id",
                    path_col: str = "document_path", stage: str = "ingest") -> DataFrame:
     """Adds ``registered`` and, for jobs whose mapping has no ingestor, an
-    error ``issue``. ``specs`` is the ingestor registry: a fixed, small
-    table, broadcast."""
-    reg = F.broadcast(specs.select(F.col("spec").alias("_spec")).distinct())
+    error ``issue``. ``specs`` is the ingestor registry: a list of spec
+    names (a literal IN predicate, no join) or a DataFrame with a ``spec``
+    column (a broadcast left join; registries are small by nature)."""
     msg = F.concat(F.lit("mapping is not configured "), F.col(path_col),
                    F.lit(" and mapping "), F.col(mapping_col))
-    out = jobs.join(reg, F.col(mapping_col) == F.col("_spec"), "left")
-    return (out.withColumn("registered", F.col("_spec").isNotNull())
-            .withColumn("issue", F.when(F.col("_spec").isNull(), issue(SEVERITY_ERROR, msg, stage)))
-            .drop("_spec"))
+    if isinstance(specs, (list, tuple, set)):
+        out = jobs.withColumn("registered", F.coalesce(F.col(mapping_col).isin(list(specs)), F.lit(False)))
+    else:
+        reg = F.broadcast(specs.select(F.col("spec").alias("_spec")).distinct())
+        out = (jobs.join(reg, F.col(mapping_col) == F.col("_spec"), "left")
+               .withColumn("registered", F.col("_spec").isNotNull()).drop("_spec"))
+    return out.withColumn("issue", F.when(~F.col("registered"), issue(SEVERITY_ERROR, msg, stage)))
 
 
 def final_status(jobs: DataFrame, issues: DataFrame, key: str = "job_id") -> DataFrame:

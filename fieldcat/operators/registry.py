@@ -41,8 +41,7 @@ class Registry:
 
     def run(self, jobs: DataFrame, ctx: Any, mapping_col: str = "mapping_id",
             path_col: str = "document_path") -> tuple[DataFrame, IngestResult]:
-        spark = jobs.sparkSession
-        matched = match_registry(jobs, self.specs(spark), mapping_col, path_col)
+        matched = match_registry(jobs, list(self.ingestors), mapping_col, path_col)
         reg_issues = (matched.where(~F.col("registered"))
                       .select("job_id", F.lit(-1).alias("seq"), "issue"))
         by_fn: dict[Callable, list[str]] = {}

@@ -80,9 +80,8 @@ def _ingest_batch(spark, sf_dir):
     """Jobs of one ingest batch (one per document file) and their issues:
     unregistered mapping -> one error; otherwise the missing-key warnings."""
     files = ad.doc_files(spark, sf_dir)
-    specs = spark.createDataFrame([(s,) for s in ad.REGISTERED_SPECS], "spec string")
     matched = jobs.match_registry(files.withColumn("job_id", F.concat(F.lit("job-"), F.col("doc_id").cast("string"))),
-                                  specs, path_col="file_path")
+                                  ad.REGISTERED_SPECS, path_col="file_path")
     batch = matched.withColumn("dataset_id", F.when(F.col("registered"), F.sha2(F.col("file_path"), 256)))
     reg_err = batch.where(~F.col("registered")).select("job_id", F.lit(-1).alias("seq"), "issue")
     warn = (fld.missing_issues(batch.where(F.col("registered")).select("file_path", "job_id"),

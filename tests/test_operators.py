@@ -295,3 +295,14 @@ def test_stride_rows_single_page(spark):
     got = sampling.stride_rows(df, order_by=["i"]).toPandas().sort_values("i")
     assert list(got.i) == list(range(0, 105, 10))
     assert (got.n == 105).all() and list(got.row_idx) == list(range(0, 105, 10))
+
+
+def test_match_registry_list_and_table_agree(spark):
+    jb = spark.createDataFrame([("j1", "/a.h5", "s1"), ("j2", "/b.h5", "s9"), ("j3", "/c.h5", None)],
+                               "job_id string, document_path string, mapping_id string")
+    as_list = jobs.match_registry(jb, ["s1", "s2"])
+    as_table = jobs.match_registry(jb, spark.createDataFrame([("s1",), ("s2",)], "spec string"))
+    a = sorted((r.job_id, r.registered, r.issue.msg if r.issue else None) for r in as_list.collect())
+    b = sorted((r.job_id, r.registered, r.issue.msg if r.issue else None) for r in as_table.collect())
+    assert a == b
+    assert a[1] == ("j2", False, "mapping is not configured /b.h5 and mapping s9")
