@@ -48,9 +48,8 @@ def event_rows(fields: DataFrame, mapping: Mapping, stream: str = "primary",
     length differs from the time stamps. Each file's arrays sit in one row
     (bounded by the file's own array lengths); keys outside the mapping are
     filtered next to the scan."""
-    ts_key = mapping.streams.where(F.col("stream") == stream).select("time_stamp").first()[0]
-    ev = [r.field for r in mapping.event_fields.where((F.col("stream") == stream) & ~F.col("external"))
-          .orderBy("seq").collect()]
+    ts_key = mapping.keys("time_stamp", stream=stream)[0]
+    ev = mapping.keys("event", stream=stream)
     keys = [ts_key] + [k for k in ev if k != ts_key]
     arr = _numeric(F.col("int_values"), F.col("dbl_values"))
     per_file = (fields.where(F.col("key").isin(keys)).groupBy("file_path")
@@ -87,8 +86,7 @@ def external_refs(frames: DataFrame, mapping: Mapping, stream: str = "primary",
     """(file_path, key, frame_idx) for every frame of every external field:
     where the data lives, never the pixels. The external keys are a handful
     of mapping rows, read once and inlined as a literal array."""
-    ext = [r.field for r in mapping.event_fields
-           .where(F.col("external") & (F.col("stream") == stream)).orderBy("seq").collect()]
+    ext = mapping.keys("external", stream=stream)
     keys = F.array(*[F.lit(k) for k in ext]) if ext else F.array().cast("array<string>")
     return frames.select(F.col(file_col).alias("file_path"), F.explode(keys).alias("key"),
                          F.col(frame_col).alias("frame_idx"))

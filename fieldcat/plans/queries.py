@@ -326,8 +326,7 @@ def first_frames_q(spark, sf_dir):
 # --- mapping-driven documents ----------------------------------------------------------
 
 def _doc_norm(spark, sf_dir, mapping):
-    keys = [r.field for r in mapping.md_fields.unionByName(
-        mapping.conf_fields.select("name", "field", "seq")).select("field").distinct().collect()]
+    keys = mapping.keys("md", "conf")
     f = fld.select_fields(ad.doc_fields(spark, sf_dir, keys), keys)
     return fld.value_text(fld.normalise(f)).select("file_path", "key", "value_text")
 
@@ -365,7 +364,7 @@ def mapping_projection(spark, sf_dir):
     from fieldcat.operators.mapping import project
     from fieldcat.sources.mapping import packaged_mapping
     m = packaged_mapping(spark)
-    keys = [r.field for r in m.projections.select("field").distinct().collect()]
+    keys = m.keys("projection")
     norm = fld.value_text(fld.normalise(fld.select_fields(ad.doc_fields(spark, sf_dir, keys), keys)))
     return project(norm.select("file_path", "key", "value_text"), m)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,33 @@ class Mapping:
     streams: DataFrame          # name, stream, time_stamp, thumb_number, thumb_field
     projections: DataFrame      # name, projection, out_name, type, location, stream, field, resolved
 
+    @cached_property
+    def fields(self) -> dict[str, list]:
+        """The mapping's field lists, read to the driver once (a mapping is a
+        configuration document of a few dozen rows): ``md``, ``conf``,
+        ``event``, ``external``, ``projection`` (fields) and ``time_stamp``
+        (stream -> key)."""
+        nul = F.lit(None).cast("string")
+        rows = (self.md_fields.select(F.lit("md").alias("t"), nul.alias("stream"), "field", "seq")
+                .unionByName(self.conf_fields.select(F.lit("conf").alias("t"), "stream", "field", "seq"))
+                .unionByName(self.event_fields.select(
+                    F.when(F.col("external"), F.lit("external")).otherwise(F.lit("event")).alias("t"),
+                    "stream", "field", "seq"))
+                .unionByName(self.streams.select(F.lit("time_stamp").alias("t"), "stream",
+                                                 F.col("time_stamp").alias("field"), F.lit(0).alias("seq")))
+                .unionByName(self.projections.select(F.lit("projection").alias("t"), "stream", "field",
+                                                     F.lit(0).alias("seq")))
+                .collect())
+        out: dict[str, list] = {"md": [], "conf": [], "event": [], "external": [], "projection": [],
+                                "time_stamp": []}
+        for r in sorted(rows, key=lambda r: (r.t, r.seq, r.field or "")):
+            out[r.t].append((r.stream, r.field))
+        return out
+
+    def keys(self, *kinds: str, stream: str | None = None) -> list[str]:
+        return list(dict.fromkeys(f for k in kinds for s, f in self.fields[k]
+                                  if f is not None and (stream is None or s in (stream, None))))
+
 
 def load_mapping(spark: SparkSession, path: str) -> Mapping:
     """A mapping JSON document on shared storage."""
