@@ -651,10 +651,18 @@ ORACLE.update({
 
 STREAM_DEDUP = "SELECT event_id, ts, user_id, event_type FROM events"
 
+STREAM_FAILURE_ISOLATION = """
+SELECT 'turn-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS job_id,
+       CASE WHEN role = 'user' THEN 'successful' ELSE 'error' END AS status,
+       CAST(CASE WHEN role = 'user' THEN 0 ELSE 1 END AS BIGINT) AS n_errors
+FROM conversations
+"""
+
 ORACLE.update({
     "stream_job_state": JOB_CURRENT,
     "stream_job_transitions": JOB_TRANSITIONS,
     "stream_dedup": STREAM_DEDUP,
+    "stream_failure_isolation": STREAM_FAILURE_ISOLATION,
     "stream_upsert": DATASET_CATALOG,
     "stream_ingest": JOB_FINAL_STATUS,
     "stream_ingest_log": JOB_LOG,
