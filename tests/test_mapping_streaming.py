@@ -139,3 +139,23 @@ def test_extract_fields_from_files(spark, tmp_path):
     files = spark.read.format("binaryFile").load(str(tmp_path)).select(F.col("path").alias("file_path"))
     miss = fld.missing_issues(files, f, keys).collect()
     assert {(m.file_path.split("/")[-1], m.key) for m in miss} >= {("broken.npz", "/missing"), ("a.npz", "/missing")}
+
+
+def test_start_doc_json_and_job_sources(spark, tmp_path):
+    import json as _json
+    from fieldcat.sources.jobs import load_clients, read_job_requests
+    m = packaged_mapping(spark)
+    norm = spark.createDataFrame([("f", "/doc/lang", "en"), ("f", "/doc/source", "s1"), ("f", "/other", "x")],
+                                 "file_path string, key string, value_text string")
+    js = mp.start_doc_json(mp.start_docs(norm, m)).first().start_doc
+    assert _json.loads(js) == {"/doc/lang": "en", "/doc/source": "s1"}
+    req = tmp_path / "req.json"
+    req.write_text('{"id": "j1", "submitter": "user1", "document_path": "/foo/bar.hdf5", '
+                   '"mapping_id": "magrathia_42", "ingest_types": ["databroker"], '
+                   '"submit_time": "2024-01-01T00:00:00"}\n')
+    r = read_job_requests(spark, str(req), fmt="json").first()
+    assert r.document_path == "/foo/bar.hdf5" and r.ingest_types == ["databroker"]
+    cpath = str(tmp_path / "clients")
+    spark.createDataFrame([("d", "sirius_cybernetics_gpp", "door_operation")],
+                          "key_digest string, client string, api string").write.parquet(cpath)
+    assert load_clients(spark, cpath).first().client == "sirius_cybernetics_gpp"
