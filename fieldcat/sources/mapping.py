@@ -3,6 +3,7 @@ declared schema (no inference) and exploded into small tables."""
 
 from __future__ import annotations
 
+import json
 import os
 from dataclasses import dataclass
 from functools import cached_property
@@ -69,10 +70,62 @@ def load_mapping(spark: SparkSession, path: str) -> Mapping:
 
 
 def mapping_from_text(spark: SparkSession, text: str) -> Mapping:
-    """A mapping document held by the driver (a small configuration file)."""
-    doc = (spark.createDataFrame([(text,)], "doc string")
-           .select(F.from_json("doc", MAPPING_SCHEMA).alias("m")).select("m.*"))
-    return explode_mapping(doc)
+    """A mapping document held by the driver (a small configuration file):
+    parsed in Python, its few rows become local tables - no Spark job runs
+    to build them. Same tables as ``explode_mapping`` (tested)."""
+    d = json.loads(text)
+    name = d.get("name")
+
+    def first_pos(rows, key):
+        seen = {}
+        for r in rows:
+            k = key(r)
+            if k not in seen:
+                seen[k] = r
+        return list(seen.values())
+
+    md = first_pos([(name, m.get("field"), i) for i, m in enumerate(d.get("md_mappings") or [])],
+                   lambda r: r[1])
+    streams, conf, ev = [], [], []
+    for stream, s in (d.get("stream_mappings") or {}).items():
+        thumb = s.get("thumbnail_info") or {}
+        streams.append((name, stream, s.get("time_stamp"), thumb.get("number"), thumb.get("field")))
+        for c in s.get("conf_mappings") or []:
+            conf += first_pos([(name, stream, c.get("device"), f.get("field"), i)
+                               for i, f in enumerate(c.get("mapping_fields") or [])], lambda r: r[3])
+        evs = {}
+        for i, f in enumerate(s.get("mapping_fields") or []):
+            k = f.get("field")
+            ext = bool(f.get("external") or False)
+            if k in evs:
+                evs[k] = (name, stream, k, evs[k][3] or ext, evs[k][4])
+            else:
+                evs[k] = (name, stream, k, ext, i)
+        ev += list(evs.values())
+    declared = {r[1] for r in md} | {r[3] for r in conf} | {r[2] for r in ev}
+    proj = []
+    for p in d.get("projections") or []:
+        for out_name, spec in (p.get("projection") or {}).items():
+            field = (spec.get("field") or "").replace(":", "/") if spec.get("field") is not None else None
+            proj.append((name, p.get("name"), out_name, spec.get("type"), spec.get("location"),
+                         spec.get("stream"), field, field in declared))
+    mk = spark.createDataFrame
+    m = Mapping(
+        mk(md, "name string, field string, seq int"),
+        mk(conf, "name string, stream string, device string, field string, seq int"),
+        mk(ev, "name string, stream string, field string, external boolean, seq int"),
+        mk(streams, "name string, stream string, time_stamp string, thumb_number int, thumb_field string"),
+        mk(proj, "name string, projection string, out_name string, type string, location string, "
+                 "stream string, field string, resolved boolean"))
+    # same order as ``Mapping.fields``: by position, then field
+    lists = {"md": [(None, r[1]) for r in sorted(md, key=lambda r: (r[2], r[1] or ""))],
+             "conf": [(r[1], r[3]) for r in sorted(conf, key=lambda r: (r[4], r[3] or ""))],
+             "event": [(r[1], r[2]) for r in sorted(ev, key=lambda r: (r[4], r[2] or "")) if not r[3]],
+             "external": [(r[1], r[2]) for r in sorted(ev, key=lambda r: (r[4], r[2] or "")) if r[3]],
+             "time_stamp": [(r[1], r[2]) for r in streams],
+             "projection": [(r[5], r[6]) for r in proj]}
+    m.__dict__["fields"] = lists  # fills the cached_property
+    return m
 
 
 def packaged_mapping(spark: SparkSession, name: str = "doc_mapping.json") -> Mapping:

@@ -159,3 +159,18 @@ def test_start_doc_json_and_job_sources(spark, tmp_path):
     spark.createDataFrame([("d", "sirius_cybernetics_gpp", "door_operation")],
                           "key_digest string, client string, api string").write.parquet(cpath)
     assert load_clients(spark, cpath).first().client == "sirius_cybernetics_gpp"
+
+
+def test_mapping_text_and_storage_readers_agree(spark):
+    m1 = packaged_mapping(spark)
+    m2 = load_mapping(spark, os.path.join(RESOURCE_DIR, "doc_mapping.json"))
+    for attr in ["md_fields", "conf_fields", "event_fields", "streams", "projections"]:
+        a, b = getattr(m1, attr), getattr(m2, attr)
+        cols = sorted(a.columns)
+        assert cols == sorted(b.columns), attr
+        ra = sorted(tuple(r) for r in a.select(*cols).collect())
+        rb = sorted(tuple(r) for r in b.select(*cols).collect())
+        assert ra == rb, attr
+    for kind in ["md", "conf", "event", "external", "time_stamp"]:
+        assert m1.keys(kind) == m2.keys(kind), kind
+    assert sorted(m1.keys("projection")) == sorted(m2.keys("projection"))
