@@ -27,14 +27,20 @@ def main():
     names = HEADLINE.split(",") if HEADLINE else list(QUERIES)
     # warm-up: JVM, parquet footers, codegen caches
     QUERIES["search_terms_pages"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times = {}
+    times, failed = {}, {}
     for name in names:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - report and go on with the others
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "total_query_time", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf}))
+    out = {"metric": "total_query_time", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": sf}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
