@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_BUCKETS = 1024
+# the literal comparison tree (non-numeric orders) stays small enough for codegen
+MAX_TREE_BUCKETS = 64
 SAMPLE_PER_BUCKET = 20
 # A group larger than this is "hot" and is split over range buckets; smaller
 # groups are numbered by a plain window (one sort per group, in one task).
@@ -120,14 +122,53 @@ def group_row_number(df: DataFrame, keys: list[str], order: list[str], buckets:
             .unionByName(_bucketed_row_number(hot_rows, keys, order, buckets, rn, n, hot_rows_total)))
 
 
+def _order_proxy(df: DataFrame, col: str) -> Column | None:
+    """A DOUBLE that never decreases along ``col``'s order (None when the
+    type has no numeric proxy). Timestamps become epoch microseconds."""
+    t = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+                      T.DoubleType, T.DecimalType)):
+        return c.cast("double")
+    if isinstance(t, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c).cast("double")
+    if isinstance(t, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(t, T.DateType):
+        return F.unix_date(c).cast("double")
+    return None
+
+
+def _with_bucket(df: DataFrame, keys: list[str], order: list[str], buckets: int,
+                 total: int | None) -> DataFrame:
+    """Adds ``_b``: a bucket index that never decreases along (keys, order)
+    within a group. Buckets need not separate ties - rows are numbered
+    exactly inside each piece - they only have to split a hot group.
+
+    With a numeric / temporal first order column the bounds are
+    ``approxQuantile`` cut points (one pass, a bounded driver result) and
+    ``Bucketizer`` assigns buckets by binary search. Otherwise the bounds
+    are sampled sort keys compared in a small expression tree."""
+    from pyspark.ml.feature import Bucketizer
+    proxy = _order_proxy(df, order[0]) if order else None
+    if proxy is not None:
+        q = df.withColumn("_q", proxy)
+        probs = [i / buckets for i in range(1, buckets)]
+        cuts = sorted(set(x for x in q.approxQuantile("_q", probs, 1.0 / (4 * buckets)) if x is not None))
+        splits = [float("-inf")] + cuts + [float("inf")]
+        out = Bucketizer(splits=splits, inputCol="_q", outputCol="_bd", handleInvalid="keep").transform(q)
+        return out.withColumn("_b", F.col("_bd").cast("int")).drop("_q", "_bd")
+    sort_cols = list(keys) + list(order)
+    bounds = range_bounds(df, sort_cols, min(buckets, MAX_TREE_BUCKETS), total=total)
+    return df.withColumn("_b", bucket_of(df, sort_cols, bounds))
+
+
 def _bucketed_row_number(df: DataFrame, keys: list[str], order: list[str], buckets: int | None,
                          rn: str, n: str, total: int | None = None) -> DataFrame:
     spark = df.sparkSession
     if buckets is None:
         buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")) * 4, MAX_BUCKETS)
-    sort_cols = list(keys) + list(order)
-    bounds = range_bounds(df, sort_cols, buckets, total=total)
-    with_b = df.withColumn("_b", bucket_of(df, sort_cols, bounds))
+    with_b = _with_bucket(df, keys, order, buckets, total)
     local = with_b.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)))
     pieces = with_b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))

@@ -306,3 +306,12 @@ def test_match_registry_list_and_table_agree(spark):
     b = sorted((r.job_id, r.registered, r.issue.msg if r.issue else None) for r in as_table.collect())
     assert a == b
     assert a[1] == ("j2", False, "mapping is not configured /b.h5 and mapping s9")
+
+
+def test_group_row_number_string_order_and_many_buckets(spark):
+    rows = [("hot", f"k{(i * 7919) % 4001:05d}", i) for i in range(4000)] + [("c", "a", 1), ("c", "a", 0)]
+    df = spark.createDataFrame(rows, "g string, s string, i int")
+    out = group_row_number(df, ["g"], ["s", "i"], hot_threshold=100, buckets=1024).toPandas()
+    for g, part in out.groupby("g"):
+        part = part.sort_values(["s", "i"])
+        assert list(part.rn) == list(range(1, len(part) + 1))
