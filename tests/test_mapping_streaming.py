@@ -174,3 +174,47 @@ def test_mapping_text_and_storage_readers_agree(spark):
     for kind in ["md", "conf", "event", "external", "time_stamp"]:
         assert m1.keys(kind) == m2.keys(kind), kind
     assert sorted(m1.keys("projection")) == sorted(m2.keys("projection"))
+
+
+def test_ingest_stream_survives_a_crash_mid_batch(spark, monkeypatch):
+    """The catalogue write of a batch fails once, after that batch's events
+    were written. The restarted query re-runs the batch from its checkpoint:
+    every job ends up recorded exactly once."""
+    import pytest as _pytest
+    from pyspark.errors import StreamingQueryException
+
+    def ingest(jobs, ctx):
+        ds = jobs.select("job_id", F.sha2("document_path", 256).alias("pid"))
+        none = jobs.select("job_id", F.lit(0).alias("seq"), F.lit(None).cast(
+            "struct<stage:string,severity:string,msg:string,exception:string>").alias("issue")).where("false")
+        return IngestResult(ds, none)
+
+    reg = Registry()
+    reg.register("spec", ingest)
+    root = scratch_dir(spark, "test-crash")
+    reqs = spark.createDataFrame([(f"j{i}", f"/f{i}.h5", "spec") for i in range(20)],
+                                 "job_id string, document_path string, mapping_id string")
+    reqs.where("job_id < 'j2'").write.parquet(f"{root}/in")
+    reqs.where("job_id >= 'j2'").write.mode("append").parquet(f"{root}/in")
+
+    real = sinks.upsert_batch
+    calls = {"n": 0}
+
+    def flaky(df, path, batch_id):
+        calls["n"] += 1
+        if calls["n"] == 2:
+            raise RuntimeError("executor lost")
+        real(df, path, batch_id)
+
+    monkeypatch.setattr(S.sinks, "upsert_batch", flaky)
+    src = S.read_files(spark, f"{root}/in", reqs.schema, max_files=1)
+    q = S.run_stream(src, reg, None, f"{root}/ev", f"{root}/ck", catalog_dir=f"{root}/cat", trigger="availableNow")
+    with _pytest.raises(StreamingQueryException):
+        q.awaitTermination()
+    src = S.read_files(spark, f"{root}/in", reqs.schema, max_files=1)
+    S.run_stream(src, reg, None, f"{root}/ev", f"{root}/ck", catalog_dir=f"{root}/cat",
+                 trigger="availableNow").awaitTermination()
+    ev = sinks.read_batches(spark, f"{root}/ev")
+    assert ev.count() == 20 and ev.select("job_id").distinct().count() == 20
+    cat = sinks.read_latest(sinks.read_batches(spark, f"{root}/cat"), "pid")
+    assert cat.count() == 20
