@@ -315,3 +315,22 @@ def test_group_row_number_string_order_and_many_buckets(spark):
     for g, part in out.groupby("g"):
         part = part.sort_values(["s", "i"])
         assert list(part.rn) == list(range(1, len(part) + 1))
+
+
+def test_attachments_and_orphans(spark):
+    import base64
+    meta = spark.createDataFrame([
+        ("/d/a.h5", 1, None, "a", None, None, "i", None, "bl1", "svc", "{}"),
+        ("/d/b.h5", 1, None, "b", None, None, "i", "7", None, "svc", "{}"),
+    ], "file_path string, size long, mod_time timestamp, file_name string, pi string, email string, "
+       "instrument_name string, proposal string, beamline string, username string, scientific_metadata string")
+    ds = catalog.dataset_records(meta)
+    png = b"\x89PNG\r\n\x1a\n" + bytes(range(200))
+    images = spark.createDataFrame([("/d/a.h5", png), ("/d/zzz.h5", png)], "file_path string, content binary")
+    att = catalog.attachments(images, ds).collect()
+    assert len(att) == 1  # the image of an unknown file has no dataset to attach to
+    a = att[0]
+    assert a.thumbnail == "data:image/jpg;base64," + base64.b64encode(png).decode()
+    assert a.caption == "raw image" and a.ownerGroup == "svc" and a.accessGroups == ["bl1", "svc"]
+    orphan = catalog.orphans(images, ds, "file_path", "file_path").collect()
+    assert [r.file_path for r in orphan] == ["/d/zzz.h5"]
