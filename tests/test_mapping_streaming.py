@@ -218,3 +218,29 @@ def test_ingest_stream_survives_a_crash_mid_batch(spark, monkeypatch):
     assert ev.count() == 20 and ev.select("job_id").distinct().count() == 20
     cat = sinks.read_latest(sinks.read_batches(spark, f"{root}/cat"), "pid")
     assert cat.count() == 20
+
+
+def test_dedup_stream_bounded_state_in_time_order(spark):
+    import datetime as dt
+    root = scratch_dir(spark, "test-dedup-wm")
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, base + dt.timedelta(hours=i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz")
+    # three time slices arrive in order, each replayed right away
+    for lo, hi in [(0, 10), (10, 20), (20, 30)]:
+        part = df.where(f"event_id >= {lo} AND event_id < {hi}")
+        part.write.mode("append").parquet(f"{root}/in")
+        part.write.mode("append").parquet(f"{root}/in")
+    src = S.read_files(spark, f"{root}/in", df.schema, max_files=2)
+    S.dedup_stream(src, ["event_id"], f"{root}/out", f"{root}/ck", "availableNow",
+                   event_time="ts", delay="1 day").awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    assert out.count() == 30 and out.select("event_id").distinct().count() == 30
+
+
+def test_pending_and_finished(spark):
+    from fieldcat.operators import jobs as J
+    jb = spark.createDataFrame([("a", "submitted"), ("b", "running"), ("c", "error"), ("d", "successful")],
+                               "id string, status string")
+    assert sorted(r.id for r in J.pending(jb).collect()) == ["a", "b"]
+    assert sorted(r.id for r in J.finished(jb).collect()) == ["c", "d"]
