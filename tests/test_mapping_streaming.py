@@ -244,3 +244,21 @@ def test_pending_and_finished(spark):
                                "id string, status string")
     assert sorted(r.id for r in J.pending(jb).collect()) == ["a", "b"]
     assert sorted(r.id for r in J.finished(jb).collect()) == ["c", "d"]
+
+
+def test_frames_table_first_frames_and_refs(spark):
+    from fieldcat.operators import frames as fr
+    from fieldcat.sources.fields import read_frames
+    path = scratch_dir(spark, "test-frames")
+    rows = [("/s.h5", i, 2, 2, [float(i), 1.0, 2.0, 3.0]) for i in range(3)]
+    spark.createDataFrame(rows, "file_path string, frame_idx int, height int, width int, pixels array<double>") \
+        .write.parquet(path)
+    first = read_frames(spark, path, first_n=1)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "frame_idx" in plan and "PushedFilters" in plan
+    assert [r.frame_idx for r in first.collect()] == [0]
+    refs = fr.external_refs(read_frames(spark, path)).collect()
+    assert sorted((r.key, r.frame_idx) for r in refs) == [("/exchange/data", 0), ("/exchange/data", 1),
+                                                          ("/exchange/data", 2)]
+    stats = fr.frame_stats(first).first()
+    assert (stats.frame_min, stats.frame_max) == (0.0, 3.0)
