@@ -152,7 +152,8 @@ def _with_bucket(df: DataFrame, keys: list[str], order: list[str], buckets: int,
     from pyspark.ml.feature import Bucketizer
     proxy = _order_proxy(df, order[0]) if order else None
     if proxy is not None:
-        q = df.withColumn("_q", proxy)
+        # nulls sort first in an ascending order, so they take the first bucket
+        q = df.withColumn("_q", F.coalesce(proxy, F.lit(float("-inf"))))
         probs = [i / buckets for i in range(1, buckets)]
         cuts = sorted(set(x for x in q.approxQuantile("_q", probs, 1.0 / (4 * buckets)) if x is not None))
         splits = [float("-inf")] + cuts + [float("inf")]

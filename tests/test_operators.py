@@ -334,3 +334,12 @@ def test_attachments_and_orphans(spark):
     assert a.caption == "raw image" and a.ownerGroup == "svc" and a.accessGroups == ["bl1", "svc"]
     orphan = catalog.orphans(images, ds, "file_path", "file_path").collect()
     assert [r.file_path for r in orphan] == ["/d/zzz.h5"]
+
+
+def test_group_row_number_nulls_sort_first(spark):
+    rows = [("g", None if i % 97 == 0 else float(i % 500), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, o double, i int")
+    out = group_row_number(df, ["g"], ["o", "i"], hot_threshold=10, buckets=64).toPandas()
+    want = sorted(rows, key=lambda r: (r[1] is not None, r[1] if r[1] is not None else 0.0, r[2]))
+    got = out.sort_values("rn")
+    assert list(got.i) == [r[2] for r in want]
