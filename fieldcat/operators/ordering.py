@@ -150,15 +150,18 @@ def _with_bucket(df: DataFrame, keys: list[str], order: list[str], buckets: int,
     ``Bucketizer`` assigns buckets by binary search. Otherwise the bounds
     are sampled sort keys compared in a small expression tree."""
     from pyspark.ml.feature import Bucketizer
-    proxy = _order_proxy(df, order[0]) if order else None
+    proxy = _order_proxy(df, order[0]) if order and buckets > 1 else None
     if proxy is not None:
         # nulls sort first in an ascending order, so they take the first bucket
         q = df.withColumn("_q", F.coalesce(proxy, F.lit(float("-inf"))))
         probs = [i / buckets for i in range(1, buckets)]
         cuts = sorted(set(x for x in q.approxQuantile("_q", probs, 1.0 / (4 * buckets)) if x is not None))
-        splits = [float("-inf")] + cuts + [float("inf")]
-        out = Bucketizer(splits=splits, inputCol="_q", outputCol="_bd", handleInvalid="keep").transform(q)
-        return out.withColumn("_b", F.col("_bd").cast("int")).drop("_q", "_bd")
+        # enough distinct cut points: bucket on the proxy; otherwise (e.g. a hot
+        # group sharing one time stamp) bound on the full sort key below
+        if len(cuts) >= max(1, min(8, buckets - 1)):
+            splits = [float("-inf")] + cuts + [float("inf")]
+            out = Bucketizer(splits=splits, inputCol="_q", outputCol="_bd", handleInvalid="keep").transform(q)
+            return out.withColumn("_b", F.col("_bd").cast("int")).drop("_q", "_bd")
     sort_cols = list(keys) + list(order)
     bounds = range_bounds(df, sort_cols, min(buckets, MAX_TREE_BUCKETS), total=total)
     return df.withColumn("_b", bucket_of(df, sort_cols, bounds))

@@ -343,3 +343,14 @@ def test_group_row_number_nulls_sort_first(spark):
     want = sorted(rows, key=lambda r: (r[1] is not None, r[1] if r[1] is not None else 0.0, r[2]))
     got = out.sort_values("rn")
     assert list(got.i) == [r[2] for r in want]
+
+
+def test_group_row_number_constant_first_order_column(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("g", t0, (i * 31) % 2000, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, t timestamp_ntz, o int, i int")
+    for buckets in (1, 16):
+        out = group_row_number(df, ["g"], ["t", "o", "i"], hot_threshold=10, buckets=buckets).toPandas()
+        got = out.sort_values("rn")
+        assert list(got.i) == [r[3] for r in sorted(rows, key=lambda r: (r[2], r[3]))]
