@@ -5,18 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldcat.llm import jaccard_join
+from fieldcat.llm import jaccard_join, mixing, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def tokenizer_path() -> str:
+    """The byte-level tokenizer's file; installed on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    rows = packing.pieces(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(rows)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    return quality.judge(docs, "doc_id").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op6_mixing": op6_mixing,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_quality_rules": op10_quality_rules,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,6 +34,12 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def worker_cache() -> dict:
+    """A dictionary that lives as long as this Python process, over all its tasks (task code
+    travels by value, so a module's globals would not)."""
+    return vars(sys.modules.setdefault("_fieldcat_worker_cache", types.ModuleType("_fieldcat_worker_cache")))
+
+
 def text_pieces(batch: pa.RecordBatch, column: str = "text", most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch that hold about ``most`` bytes of text each (one row at least)."""
     text = batch.column(column)
