@@ -18,7 +18,6 @@ doc_ids included, are packed like any others. Columns other than those named are
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +41,6 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 #: A space after any white space.
 _ODD_SPACE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}] "
-_SPACE_END = re.compile(r"\s\Z")
 
 
 class ChunkedTokenizer:
@@ -80,11 +78,10 @@ class ChunkedTokenizer:
     def _learn(self, chunks: list[str]):
         """Encode new chunks: those that end in a visible character all in one text, which
         the chunks' lengths in bytes cut again."""
-        plain = [c for c in chunks if c[0] == " " and len(c) > 1 and not _SPACE_END.search(c)]
-        taken = set(plain)
-        odd = [c for c in chunks if c not in taken]
+        plain = [c for c in chunks if len(c) > 1 and c[0] == " " and not c[-1].isspace()]
+        odd = [c for c in chunks if len(c) == 1 or c[0] != " " or c[-1].isspace()]
         ids = self.encode("".join(plain))
-        ends = np.cumsum([len(c.encode()) for c in plain], dtype=np.int64)
+        ends = np.cumsum(pc.binary_length(pa.array(plain, pa.string())).to_numpy(zero_copy_only=False), dtype=np.int64)
         cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, side="left") + 1
         more = [self.encode(c) for c in odd]
         length = np.concatenate([np.diff(cuts, prepend=0) if len(cuts) else np.zeros(0, np.int64),
