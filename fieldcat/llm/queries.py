@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldcat.llm import jaccard_join, mixing, packing, pii, quality
+from fieldcat.llm import jaccard_join, licenses, mixing, packing, pii, quality, quotes, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(rows)
 
 
+def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link(_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     found = pii.find(docs, pii.fit(docs))
@@ -34,11 +38,19 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -51,8 +63,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_quotation_linking": op3_quotation_linking,
     "op4_pii": op4_pii,
+    "op5_license_scan": op5_license_scan,
     "op6_mixing": op6_mixing,
+    "op8_url_filter": op8_url_filter,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
