@@ -14,13 +14,12 @@ every link:
 3. ``regions``: survivors' pivots are the smallest sets (by fingerprint) under each of a few
    min-hash orders. Each set's exact distance to its pivots is computed; sets within 0.2
    link to the pivot.
-4. ``boundary``: the join goes on inside the survivors, recursively: tokens unshared among
-   the survivors are dropped, sets with too few shared tokens leave, again until none does.
-   Each set is then copied to the cells of its rarest shared tokens (as many as the prefix
-   bound asks for, so two linked sets meet in a cell). Pairs of a cell are compared only if
-   their region differs (links inside one component are not needed), if the sizes allow
-   J >= 0.8, and if the triangle inequality does: |d(x, p) - d(y, p)| <= 0.2 for every pivot
-   p that both were measured against.
+4. ``boundary``: the join goes on inside the survivors. Each set is copied to the cells of
+   its rarest tokens that another survivor shares, as many as can be the first common token
+   of a link, so two linked sets meet in a cell. Pairs of a cell are compared only if their
+   region differs (links inside one component are not needed), if their sizes and the
+   tokens left from the cell's on allow J >= 0.8, and if the triangle inequality does:
+   |d(x, p) - d(y, p)| <= 0.2 for every pivot p that both were measured against.
 5. ``components`` of all links, by distributed star contraction.
 
 Defined results: a null or empty text, or one without words, has an empty set, links with
@@ -47,8 +46,10 @@ WIDTH = 5
 BUCKET_TOKENS = 50_000
 #: Min-hash orders that choose pivots.
 ORDERS = 6
-#: Rounds of dropping sets with too few shared tokens.
-ROUNDS = 2
+#: Survivors whose fingerprints may be broadcast (16 bytes each); beyond it they are joined.
+BROADCAST_SETS = 2_000_000
+#: Stands for a null doc_id inside kernels.
+NO_ID = -(1 << 63)
 
 
 def need(n):
@@ -58,7 +59,7 @@ def need(n):
 
 def level(n):
     """Share of the hash range whose tokens a set of size n deals out; falls with n."""
-    return np.minimum(1.0, 0.22 + 40.0 / np.maximum(n, 1))
+    return np.minimum(1.0, 0.28 + 40.0 / np.maximum(n, 1))
 
 
 def _below(values: np.ndarray, share) -> np.ndarray:
@@ -88,9 +89,40 @@ def _meta(batches):
                                          ["doc_id", "n", "fp", "own"])
 
 
-def _dealt(buckets: int):
-    """Tokens below the level of their sets, dealt to buckets: a row for each bucket and
-    piece of text, with the tokens, their sets and whether they count for the set itself."""
+def _deal(bucket: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    """One row for each bucket, with its values of the columns as bytes."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    spans = list(zip(starts.tolist(), np.append(starts[1:], len(bucket)).tolist()))
+    held = [pa.array([x[s:e].tobytes() for s, e in spans], pa.binary()) for x in (c[order] for c in columns.values())]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *held], ["bucket", *columns])
+
+
+def _buckets(batches, **kinds) -> Iterator[tuple[np.ndarray, ...]]:
+    """The columns of one bucket after another, from dealt rows sorted by bucket."""
+    held: list[pd.DataFrame] = []
+
+    def whole():
+        return tuple(np.frombuffer(b"".join(v for part in held for v in part[c]), kind) for c, kind in kinds.items())
+
+    for batch in batches:
+        for bucket, part in batch.to_pandas().groupby("bucket", sort=False):
+            if held and bucket != held[-1]["bucket"].iloc[-1]:
+                yield whole()
+                held.clear()
+            held.append(part)
+    if held:
+        yield whole()
+
+
+def _bucket(values: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(values.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _low_tokens(buckets: int):
+    """Tokens below the level of their sets, dealt out with their sets and whether they count
+    for the set itself."""
     def run(batches):
         for _, values, _, n, fp in _sets(batches):
             once = np.zeros(len(n), bool)
@@ -99,39 +131,13 @@ def _dealt(buckets: int):
             rows = np.repeat(np.arange(len(n)), n)
             take = once[rows] & _below(values, share[rows])
             token, rows = values[take], rows[take]
-            bucket = (mix(token) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            bucket, token, rows = bucket[order], token[order], rows[order]
-            key, mine = fp[rows], _below(token, own[rows]).astype(np.uint8)
-            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-            spans = list(zip(starts, np.append(starts[1:], len(bucket))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[starts])] + [pa.array([x[s:e].tobytes() for s, e in spans], pa.binary()) for x in (token, key, mine)],
-                ["bucket", "tokens", "fps", "mine"])
+            yield _deal(_bucket(token, buckets), tokens=token, fps=fp[rows], mine=_below(token, own[rows]).astype(np.uint8))
     return run
 
 
-def _by_bucket(batches):
-    """The rows of one bucket after another from batches sorted by bucket."""
-    held, at = [], None
-    for batch in batches:
-        frame = batch.to_pandas()
-        for bucket, part in frame.groupby("bucket", sort=False):
-            if bucket != at and held:
-                yield pd.concat(held)
-                held = []
-            at = bucket
-            held.append(part)
-    if held:
-        yield pd.concat(held)
-
-
 def _shared(batches):
     """(fp, shared): per bucket, how many own tokens of a set occur in another set too."""
-    for part in _by_bucket(batches):
-        token = np.frombuffer(b"".join(part["tokens"]), np.uint64)
-        fp = np.frombuffer(b"".join(part["fps"]), np.int64)
-        mine = np.frombuffer(b"".join(part["mine"]), np.uint8).astype(bool)
+    for token, fp, mine in _buckets(batches, tokens=np.uint64, fps=np.int64, mine=np.bool_):
         order = np.lexsort((fp, token))
         token, fp, mine = token[order], fp[order], mine[order]
         new_token = np.concatenate([[True], token[1:] != token[:-1]])
@@ -143,15 +149,18 @@ def _shared(batches):
         yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(count.astype(np.int64))], ["fp", "shared"])
 
 
-def _chosen(wanted: np.ndarray | None):
-    """(fp, n, tokens, least): the wanted sets themselves and their min-hashes."""
+def _chosen(wanted: tuple[np.ndarray, np.ndarray] | None):
+    """(fp, n, tokens, least): sets themselves and their min-hashes; of the wanted
+    fingerprints only, each from the row with its smallest doc_id."""
     def run(batches):
-        for _, values, off, n, fp in _sets(batches):
+        for ids, values, off, n, fp in _sets(batches):
             keep = n > 0
-            if wanted is not None:
-                keep &= np.isin(fp, wanted)
-            _, first = np.unique(fp, return_index=True)
-            rows = [i for i in np.sort(first) if keep[i]]
+            if wanted is not None and len(wanted[0]):
+                at = np.minimum(np.searchsorted(wanted[0], fp), len(wanted[0]) - 1)
+                keep &= (wanted[0][at] == fp) & (wanted[1][at] == ids.fill_null(NO_ID).to_numpy())
+            elif wanted is not None:
+                keep[:] = False
+            rows = np.flatnonzero(keep)
             tokens = [values[off[i]:off[i + 1]] for i in rows]
             least = [[int(mix(t * np.uint64(2 * j + 3) + np.uint64(j)).min().view(np.int64)) for j in range(ORDERS)] for t in tokens]
             yield pa.RecordBatch.from_arrays([
@@ -186,51 +195,44 @@ def linked():
     return F.expr("100 * both >= 80 * (na + nb - both)")
 
 
-def _tokens(batches):
-    for batch in batches:
-        fps, ns = batch.column("fp").to_numpy(), batch.column("n").to_numpy()
-        for fp, n, raw in zip(fps, ns, batch.column("tokens").to_pylist()):
-            token = np.frombuffer(raw, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.full(len(token), fp)), pa.array(np.full(len(token), n))],
-                                             ["token", "fp", "n"])
-
-
-def shared_tokens(sets: DataFrame) -> DataFrame:
-    """(token, fp, n, df, shared) of the tokens that two or more of the sets hold, for the
-    sets in which enough tokens are shared to allow a link; a few rounds, each exact."""
-    rows = sets.select("fp", "n", "tokens").mapInArrow(_tokens, "token long, fp long, n long")
-    for _ in range(ROUNDS):
-        rows = stage(rows, "tokens")
-        df = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-        rows = rows.select("token", "fp", "n").join(df, "token")
-        enough = rows.groupBy("fp").agg(F.count("*").alias("shared"), F.first("n").alias("m")).where("5 * shared >= 4 * m")
-        rows = rows.join(enough.select("fp", "shared"), "fp")
-    return rows
+def _all_tokens(buckets: int):
+    """All tokens of the sets, dealt out."""
+    def run(batches):
+        for batch in batches:
+            raw = batch.column("tokens").to_pylist()
+            count = [len(r) // 8 for r in raw]
+            token = np.frombuffer(b"".join(raw), np.int64)
+            fp, n = (np.repeat(batch.column(c).to_numpy(), count) for c in ("fp", "n"))
+            yield _deal(_bucket(token, buckets), tokens=token, fps=fp, ns=n)
+    return run
 
 
-def _prefix(batches):
-    """Rows of the rarest shared tokens of each set, as many as the prefix bound asks for:
-    n - need(n) + 1 tokens from the rarest on, of which the unshared ones meet nobody."""
-    held = None
-    for batch in batches:
-        frame = batch.to_pandas()
-        if held is not None:
-            frame = pd.concat([held, frame])
-        last = frame["fp"].iloc[-1] if len(frame) else None
-        held = frame[frame["fp"] == last]
-        yield from _first(frame[frame["fp"] != last])
-    if held is not None:
-        yield from _first(held)
+def _several(buckets: int):
+    """The tokens that two or more sets hold, with that number, dealt out by set."""
+    def run(batches):
+        for token, fp, n in _buckets(batches, tokens=np.int64, fps=np.int64, ns=np.int64):
+            _, back, count = np.unique(token, return_inverse=True, return_counts=True)
+            df = count[back]
+            keep = df > 1
+            fp = fp[keep]
+            yield _deal(_bucket(fp, buckets), tokens=token[keep], fps=fp, ns=n[keep], dfs=df[keep])
+    return run
 
 
-def _first(frame: pd.DataFrame):
-    if not len(frame):
-        return
-    rank = frame.groupby("fp", sort=False).cumcount()
-    n, shared = frame["n"], frame["shared"]
-    keep = rank < (n - need(n) + 1) - (n - shared)
-    yield pa.RecordBatch.from_pandas(frame.loc[keep, ["token", "fp", "n", "shared"]], preserve_index=False,
-                                     schema=pa.schema([("token", pa.int64()), ("fp", pa.int64()), ("n", pa.int64()), ("shared", pa.int64())]))
+def _prefix(batches):
+    """(token, fp, n, rest) of the rarest tokens of each set; ``rest`` counts the set's tokens
+    from this one on, unshared ones first, then by rarity.
+
+    If a link's first common token in this order is t, all common tokens are among both
+    sets' tokens from t on; a link of sets of n and m tokens needs 4 / 9 (n + m) common ones
+    and m >= 0.8 n. So a token with ``rest`` < 0.8 n is no link's first common token."""
+    for token, fp, n, df in _buckets(batches, tokens=np.int64, fps=np.int64, ns=np.int64, dfs=np.int64):
+        order = np.lexsort((token, df, fp))
+        token, fp, n = token[order], fp[order], n[order]
+        ends = np.append(np.flatnonzero(fp[1:] != fp[:-1]) + 1, len(fp)) if len(fp) else np.zeros(0, np.int64)
+        rest = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(fp))
+        keep = rest >= need(n)
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, fp, n, rest)], ["token", "fp", "n", "rest"])
 
 
 #: Cells up to this size are paired all at once, larger ones in blocks of rows.
@@ -238,9 +240,9 @@ SMALL_CELL = 48
 
 
 def _possible(x: pd.DataFrame, y: pd.DataFrame) -> np.ndarray:
-    """Whether rows may link: other region, and J >= 0.8 possible for their sizes and shared
-    tokens (9 * |A n B| >= 4 * (|A| + |B|))."""
-    least = np.minimum(x["shared"].to_numpy(), y["shared"].to_numpy())
+    """Whether rows may link: other region, and J >= 0.8 possible if this is the first common
+    token (9 * |A n B| >= 4 * (|A| + |B|))."""
+    least = np.minimum(x["rest"].to_numpy(), y["rest"].to_numpy())
     return (9 * least >= 4 * (x["n"].to_numpy() + y["n"].to_numpy())) & (x["region"].to_numpy() != y["region"].to_numpy())
 
 
@@ -269,10 +271,10 @@ def _pairs(batches):
             add(x["fp"].to_numpy()[ok], y["fp"].to_numpy()[ok])
         for s, e in zip(starts[mixed & (size > SMALL_CELL)], (starts + size)[mixed & (size > SMALL_CELL)]):
             cell = rows.iloc[s:e]
-            n, shared, own, who = (cell[c].to_numpy() for c in ("n", "shared", "region", "fp"))
+            n, rest, own, who = (cell[c].to_numpy() for c in ("n", "rest", "region", "fp"))
             for i in range(0, len(cell), 256):
                 j = slice(i, i + 256)
-                ok = (9 * np.minimum(shared[j, None], shared[None, :]) >= 4 * (n[j, None] + n[None, :])) & (own[j, None] < own[None, :])
+                ok = (9 * np.minimum(rest[j, None], rest[None, :]) >= 4 * (n[j, None] + n[None, :])) & (own[j, None] < own[None, :])
                 r, c = np.nonzero(ok)
                 add(who[j][r], who[c])
         if sum(map(len, found)) > 200_000:
@@ -304,13 +306,6 @@ def _whole_cells(batches):
         yield held
 
 
-def wanted_ids(df: DataFrame, column: str, max_rows: int = 2_000_000) -> np.ndarray | None:
-    """The column as a sorted numpy array if it has at most ``max_rows`` rows, else None."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        return None
-    return np.sort(df.select(column).toArrow().column(0).to_numpy())
-
-
 def _broadcast(spark, run, values):
     """``run(values)`` as a function of batches, the values sent to each executor once."""
     held = spark.sparkContext.broadcast(values)
@@ -325,34 +320,41 @@ def join(docs: DataFrame) -> DataFrame:
     nodes = every.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("own").alias("own"))
 
     # a first split: sets whose tokens are shared too little are alone
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = (nodes.agg(F.sum("own")).first()[0] or 0) // BUCKET_TOKENS + 1
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets // 16)
-    shared = (docs.mapInArrow(_dealt(buckets), "bucket long, tokens binary, fps binary, mine binary")
-              .repartition(parts, "bucket").sortWithinPartitions("bucket")
+    shared = (docs.mapInArrow(_low_tokens(buckets), "bucket long, tokens binary, fps binary, mine binary")
+              .repartition(max(shuffles, buckets // 16), "bucket").sortWithinPartitions("bucket")
               .mapInArrow(_shared, "fp long, shared long").groupBy("fp").agg(F.sum("shared").alias("shared")))
-    survivors = stage(nodes.join(shared, "fp", "left").where("coalesce(shared, 0) >= own - n div 5").select("fp"), "survivors")
-    wanted, kind = wanted_ids(survivors, "fp"), "fp long, n long, tokens binary, least array<long>"
-    if wanted is None:
-        ids = every.join(survivors, "fp", "left_semi").select("doc_id").distinct()
-        sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(_chosen(None), kind).join(survivors, "fp", "left_semi")
-    else:
+    survivors = stage(nodes.join(shared, "fp", "left").where("coalesce(shared, 0) >= own - n div 5").select("fp", "least", "n"), "survivors")
+    few, tokens = survivors.agg(F.count("*"), F.sum("n")).first()
+    kind = "fp long, n long, tokens binary, least array<long>"
+    if few <= BROADCAST_SETS:
+        ids = survivors.select("fp", F.coalesce("least", F.lit(NO_ID)).alias("least")).toArrow().sort_by("fp")
+        wanted = tuple(ids.column(c).to_numpy() for c in ("fp", "least"))
         sets = docs.mapInArrow(_broadcast(spark, _chosen, wanted), kind)
-    sets = stage(sets.dropDuplicates(["fp"]), "chosen")
+    else:
+        ids = every.join(survivors, "fp", "left_semi").select("doc_id").distinct()
+        sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(_chosen(None), kind).join(survivors, "fp", "left_semi").dropDuplicates(["fp"])
+    sets = stage(sets, "chosen")
 
     # regions: exact distances to the pivots
     cells = sets.select("fp", F.posexplode("least").alias("j", "token"))
     pivots = cells.groupBy("j", "token").agg(F.min("fp").alias("b"), F.count("*").alias("c")).where("c > 1")
     near = cells.join(pivots, ["j", "token"]).where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
-    near = stage(measure(near, sets), "near")
+    near = stage(measure(near, sets).distinct(), "near")
     links = near.where(linked()).select("a", "b")
     regions = stage(connected_components(links), "regions")
 
     # boundary: cells of the rarest shared tokens, other regions only
-    tokens = stage(shared_tokens(sets), "shared")
-    prefix = (tokens.repartition(F.col("fp")).sortWithinPartitions("fp", "df", "token")
-              .select("token", "fp", "n", "shared").mapInArrow(_prefix, "token long, fp long, n long, shared long"))
+    buckets = (tokens or 0) // BUCKET_TOKENS + 1
+    parts = max(shuffles, buckets // 16)
+    prefix = (sets.select("fp", "n", "tokens").mapInArrow(_all_tokens(buckets), "bucket long, tokens binary, fps binary, ns binary")
+              .repartition(parts, "bucket").sortWithinPartitions("bucket")
+              .mapInArrow(_several(buckets), "bucket long, tokens binary, fps binary, ns binary, dfs binary")
+              .repartition(parts, "bucket").sortWithinPartitions("bucket")
+              .mapInArrow(_prefix, "token long, fp long, n long, rest long"))
     prefix = prefix.join(regions.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
-        "token", "fp", "n", "shared", F.coalesce("root", "fp").alias("region"))
+        "token", "fp", "n", "rest", F.coalesce("root", "fp").alias("region"))
     pairs = prefix.repartition(F.col("token")).sortWithinPartitions("token").mapInArrow(_pairs, "a long, b long").distinct()
     distance = near.groupBy("a").agg(F.map_from_entries(F.collect_list(
         F.struct("b", F.expr("1 - both / (na + nb - both)").alias("d")))).alias("da"))
