@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldcat.llm import jaccard_join, licenses, mixing, packing, pii, quality, quotes, url_filter
+from fieldcat.llm import jaccard_join, licenses, mixing, packing, pii, quality, quotes, url_filter, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -47,6 +47,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op7_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_duplicates(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op5_license_scan": op5_license_scan,
     "op6_mixing": op6_mixing,
+    "op7_embedding_graph": op7_embedding_graph,
     "op8_url_filter": op8_url_filter,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
