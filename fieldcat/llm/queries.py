@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldcat.llm import jaccard_join, licenses, mixing, packing, pii, quality, quotes, url_filter, vector_graph
+from fieldcat.llm import jaccard_join, licenses, mixing, packing, pii, pseudo_likelihood, quality, quotes, url_filter, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(rows)
 
 
+def op2_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.score_corpus(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link(_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
@@ -67,6 +71,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_pseudo_likelihood": op2_pseudo_likelihood,
     "op3_quotation_linking": op3_quotation_linking,
     "op4_pii": op4_pii,
     "op5_license_scan": op5_license_scan,
