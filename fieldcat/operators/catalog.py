@@ -96,5 +96,5 @@ def attachments(images: DataFrame, datasets: DataFrame, image_type: str = THUMBN
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose key has no parent (anti join; the parent side is
     only its key column)."""
-    keys = parent.select(F.col(parent_key).alias("_pk")).distinct()
+    keys = parent.select(F.col(parent_key).alias("_pk"))
     return child.join(keys, F.col(child_key) == F.col("_pk"), "left_anti")

@@ -11,12 +11,6 @@ from fieldcat.functions.values import safe_size
 from fieldcat.schemas import SEVERITY_WARNING, unique_keys
 
 
-def key_table(spark, keys: list[str]) -> DataFrame:
-    """Requested keys with their first list position (a fixed, small list)."""
-    ks = unique_keys(keys)
-    return spark.createDataFrame([(k, i) for i, k in enumerate(ks)], "key string, key_seq int")
-
-
 def select_fields(fields: DataFrame, keys: list[str]) -> DataFrame:
     """Keep the requested keys. The list is fixed and small, so ``isin``
     keeps it a filter next to the scan (pushed down as a range or IN)."""
@@ -71,12 +65,16 @@ def column_name(key: str) -> str:
     return key.strip("/").replace("/", "_").replace(":", "_")
 
 
-def pivot_fields(norm_text: DataFrame, keys: list[str], value: str = "value_text") -> DataFrame:
+def pivot_fields(norm_text: DataFrame, keys: list[str], value: str = "value_text",
+                 files: DataFrame | None = None) -> DataFrame:
     """Wide table, one row per file, one column per requested key. The pivot
     values are given, so Spark plans no extra job to find them; the
-    aggregation is partial (map-side) per file."""
+    aggregation is partial (map-side) per file. With ``files`` (file_path),
+    a file without any requested key is a row of nulls."""
     ks = unique_keys(keys)
     wide = norm_text.groupBy("file_path").pivot("key", ks).agg(F.first(value))
+    if files is not None:
+        wide = files.select("file_path").join(wide, "file_path", "left")
     return wide.select("file_path", *[F.col(f"`{k}`").alias(column_name(k)) for k in ks])
 
 
@@ -133,9 +131,11 @@ def value_json(norm: DataFrame) -> DataFrame:
     return norm.withColumn("value_json", j)
 
 
-def metadata_json(norm: DataFrame, keys: list[str], out: str = "metadata") -> DataFrame:
+def metadata_json(norm: DataFrame, keys: list[str], out: str = "metadata",
+                  files: DataFrame | None = None) -> DataFrame:
     """One JSON object per file, ``{"<key>": <value>, ...}`` in requested-key
-    order (F8). A file holds at most len(keys) entries, a fixed bound."""
+    order (F8). A file holds at most len(keys) entries, a fixed bound. With
+    ``files`` (file_path), a file without any requested key gets ``{}``."""
     ks = unique_keys(keys)
     wanted = F.array(*[F.lit(k) for k in ks])
     entry = F.concat(F.regexp_replace(F.to_json(F.array("key")), r"^\[|\]$", ""), F.lit(":"),
@@ -143,5 +143,7 @@ def metadata_json(norm: DataFrame, keys: list[str], out: str = "metadata") -> Da
     per_file = (value_json(select_fields(norm, ks))
                 .select("file_path", F.array_position(wanted, F.col("key")).alias("_pos"), entry.alias("_e"))
                 .groupBy("file_path").agg(F.array_sort(F.collect_list(F.struct("_pos", "_e"))).alias("_es")))
-    return per_file.select("file_path", F.concat(
-        F.lit("{"), F.array_join(F.transform("_es", lambda e: e["_e"]), ","), F.lit("}")).alias(out))
+    if files is not None:
+        per_file = files.select("file_path").join(per_file, "file_path", "left")
+    body = F.coalesce(F.array_join(F.transform("_es", lambda e: e["_e"]), ","), F.lit(""))
+    return per_file.select("file_path", F.concat(F.lit("{"), body, F.lit("}")).alias(out))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldcat.functions.frames import frame_intensity, pixel_intensity
+from fieldcat.functions.frames import pixel_intensity
 from fieldcat.schemas import AUTOCONTRAST_CUTOFF_PERCENT
 
 
@@ -22,13 +22,6 @@ def first_frames(frames: DataFrame, n: int = 1, frame_col: str = "frame_idx") ->
     return frames.where(F.col(frame_col) < n)
 
 
-def external_refs(frames: DataFrame, key: str = "/exchange/data", frame_col: str = "frame_idx",
-                  file_col: str = "file_path") -> DataFrame:
-    """Reference rows for an external field: where the data is, not the data."""
-    return frames.select(F.col(file_col).alias("file_path"), F.lit(key).alias("key"),
-                         F.col(frame_col).alias("frame_idx"))
-
-
 def frame_stats(frames: DataFrame, pixels: str = "pixels") -> DataFrame:
     """Adds frame_min / frame_max (as DOUBLE)."""
     px = F.col(pixels).cast("array<double>")
@@ -46,10 +39,6 @@ def intensity_pixels(frames: DataFrame, keys: list[str], pixels: str = "pixels")
                     pixel_intensity(F.col("_p"), F.col("_mn"), F.col("_mx")).alias("intensity")))
 
 
-def with_intensity(frames: DataFrame, pixels: str = "pixels", out: str = "intensity") -> DataFrame:
-    return frames.withColumn(out, frame_intensity(pixels))
-
-
 def contrast_bounds(pixels: DataFrame, frame_keys: list[str], value: str,
                     cutoff: float = AUTOCONTRAST_CUTOFF_PERCENT) -> DataFrame:
     """(frame, lo, hi) after cutting ``cutoff`` percent of the pixels at each

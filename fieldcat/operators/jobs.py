@@ -23,10 +23,13 @@ def admit(requests: DataFrame, clients: DataFrame, key_col: str = "api_key",
     """Requests whose key digest matches a client (client name becomes the
     submitter), and the rejected rest. Keys are compared as SHA-256 digests
     by equi-join; Spark broadcasts the client side only when its measured
-    size is under the broadcast threshold (AQE), else it shuffles."""
+    size is under the broadcast threshold (AQE), else it shuffles. A digest
+    listed for several APIs admits a request once, under the least client name."""
+    by = ["key_digest", "api"] if check_api else ["key_digest"]
+    clients = clients.groupBy(*by).agg(F.min("client").alias("client"))
     req = requests.withColumn("_digest", F.sha2(F.col(key_col), 256))
     cl = clients.select(F.col("key_digest").alias("_digest"), F.col("client").alias("_client"),
-                        F.col("api").alias("_api"))
+                        (F.col("api") if check_api else F.lit(None).cast("string")).alias("_api"))
     cond = [req["_digest"] == cl["_digest"]]
     if check_api:
         cond.append(F.col(check_api) == F.col("_api"))
@@ -63,36 +66,36 @@ def fold_jobs(events: DataFrame, key: str = "id", tiebreak: str | None = None) -
     tiebreak); submit_time and submitter from the first ``submitted`` event;
     start_time = first ``running``; end_time = first terminal event. All are
     partial aggregates (min / max / max_by), so a job with very many events
-    is combined map-side, never gathered into one task."""
+    is combined map-side, never gathered into one task. Each column is an
+    aggregate of its own, so columns that a result does not use are pruned."""
     o = _order(tiebreak=tiebreak)
     is_sub = F.col("status") == STATUS_SUBMITTED
-    last = F.max_by(F.struct("status", "time", "submitter", "log"), o)
     return (events.groupBy(key).agg(
-        last.alias("_last"),
+        F.max_by("status", o).alias("_status"), F.max_by("time", o).alias("status_time"),
+        F.max_by("submitter", o).alias("last_actor"), F.max_by("log", o).alias("last_log"),
         F.min(F.when(is_sub, F.col("time"))).alias("submit_time"),
         F.min_by(F.col("submitter"), F.when(is_sub, o)).alias("submitter"),
         F.min(F.when(F.col("status") == STATUS_RUNNING, F.col("time"))).alias("start_time"),
         F.min(F.when(F.col("status").isin(TERMINAL_STATUSES), F.col("time"))).alias("end_time"),
         F.count(F.lit(1)).alias("n_events"),
-    ).select(key, F.col("_last.status").alias("status"), F.col("_last.time").alias("status_time"),
-             "submit_time", "start_time", "end_time", "submitter",
-             F.col("_last.submitter").alias("last_actor"), F.col("_last.log").alias("last_log"),
-             "n_events"))
+    ).select(key, F.col("_status").alias("status"), "status_time", "submit_time", "start_time", "end_time",
+             "submitter", "last_actor", "last_log", "n_events"))
 
 
-def job_history(events: DataFrame, key: str = "id", tiebreak: str | None = None) -> DataFrame:
+def job_history(events: DataFrame, key: str = "id", tiebreak: str | None = None,
+                previous: dict[str, str] | None = None) -> DataFrame:
     """The status history in long form: one row per event with its 1-based
     position ``pos`` in (time, status rank, tiebreak) order. Long form keeps
     a job with a huge history spread over many tasks."""
     ev = events.withColumn("_rank", status_rank(F.col("status")))
     order = ["time", "_rank"] + ([tiebreak] if tiebreak else [])
-    numbered = group_row_number(ev, [key], order, rn="pos", n="history_len")
+    numbered = group_row_number(ev, [key], order, rn="pos", n="history_len", previous=previous)
     return numbered.drop("_rank")
 
 
 def orphan_events(events: DataFrame, jobs: DataFrame, key: str = "id") -> DataFrame:
     """Status events for unknown jobs: they change nothing and are reported."""
-    return events.join(jobs.select(key).distinct(), key, "left_anti")
+    return events.join(jobs.select(key), key, "left_anti")
 
 
 # --- lookups -------------------------------------------------------------------
@@ -104,6 +107,23 @@ def lookup(jobs: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
             .select(key, F.coalesce("_found", F.lit(False)).alias("found"), "status"))
 
 
+def lookup_events(events: DataFrame, ids: DataFrame, key: str = "id", tiebreak: str | None = None) -> DataFrame:
+    """``lookup`` straight from the status events: only the asked jobs' events
+    are folded."""
+    asked = events.join(ids.select(key), key, "left_semi")
+    return lookup(fold_jobs(asked, key=key, tiebreak=tiebreak), ids, key)
+
+
+def job_records(requests: DataFrame, events: DataFrame, key: str = "id", tiebreak: str | None = None) -> DataFrame:
+    """Every request with its current state and its ordered history: one row
+    per (job, history item), ``pos`` null for a job without events. Long form
+    keeps a job with a huge history spread over many tasks."""
+    state = fold_jobs(events, key=key, tiebreak=tiebreak)
+    items = job_history(events, key=key, tiebreak=tiebreak).select(
+        key, "pos", F.col("time").alias("item_time"), F.col("status").alias("item_status"), F.col("submitter").alias("item_actor"))
+    return requests.join(state.drop("submitter", "submit_time", "last_log"), key, "left").join(items, key, "left")
+
+
 def unstarted(jobs: DataFrame) -> DataFrame:
     return jobs.where(F.col("status") == STATUS_SUBMITTED)
 
@@ -207,12 +227,11 @@ def transition_issues(events: DataFrame, key: str = "id", tiebreak: str | None =
     running -> terminal, error allowed from any non-terminal state, nothing
     after a terminal state), with the status it followed.
 
-    Each event is matched to its predecessor by an equi-join on (job,
-    position): positions come from the skew-safe row numbering, and the join
-    key spreads a job with very many events over many tasks."""
-    h = job_history(events, key=key, tiebreak=tiebreak)
-    prev = h.select(key, (F.col("pos") + 1).alias("pos"), F.col("status").alias("prev_status"))
-    j = h.join(prev, [key, "pos"], "left").withColumn("prev_status", F.coalesce("prev_status", F.lit("none")))
+    The status before comes with the skew-safe row numbering (``lag`` inside
+    a piece, the last status of the piece before at its border), so events
+    are neither numbered twice nor joined to themselves."""
+    j = job_history(events, key=key, tiebreak=tiebreak, previous={"prev_status": "status"})
+    j = j.withColumn("prev_status", F.when(F.col("pos") == 1, F.lit("none")).otherwise(F.col("prev_status")))
     bad = j.where(~_allowed(F.col("prev_status"), F.col("status")))
     msg = F.concat(F.lit("invalid transition "), F.col("prev_status"), F.lit(" -> "), F.col("status"))
     return bad.withColumn("issue", issue(SEVERITY_WARNING, msg, stage))

@@ -83,13 +83,12 @@ def event_rows(fields: DataFrame, mapping: Mapping, stream: str = "primary",
 
 def external_refs(frames: DataFrame, mapping: Mapping, stream: str = "primary",
                   file_col: str = "file_path", frame_col: str = "frame_idx") -> DataFrame:
-    """(file_path, key, frame_idx) for every frame of every external field:
-    where the data lives, never the pixels. The external keys are a handful
-    of mapping rows, read once and inlined as a literal array."""
+    """(file_path, key, frame_idx) for every frame of an external field:
+    where the data lives, never the pixels. ``frames`` names each frame's
+    field in ``key``; a frame belongs to that field only."""
     ext = mapping.keys("external", stream=stream)
-    keys = F.array(*[F.lit(k) for k in ext]) if ext else F.array().cast("array<string>")
-    return frames.select(F.col(file_col).alias("file_path"), F.explode(keys).alias("key"),
-                         F.col(frame_col).alias("frame_idx"))
+    return (frames.where(F.col("key").isin(ext)) if ext else frames.where(F.lit(False))).select(
+        F.col(file_col).alias("file_path"), "key", F.col(frame_col).alias("frame_idx"))
 
 
 def project(norm_text: DataFrame, mapping: Mapping, location: str = "start") -> DataFrame:

@@ -1,188 +1,71 @@
 """Row numbers within groups that stay balanced when one group is huge.
 
 ``row_number() over (partition by k order by o)`` sends each group to one
-task. Here every row first gets a *range bucket* of its sort key (k, o):
-bucket bounds are quantiles of a small sample (about 20 rows per bucket, so
-the driver only ever sees a bounded sample), and the bucket is a pure
-function of the row, so every recomputation - and every branch of the plan
-- assigns the same bucket. A hot group spans many buckets. Rows are then
-numbered inside each (group, bucket) piece, and a small per-piece table of
-counts supplies each piece's offset and the group size.
+task. Here every group, large or small, is cut into *pieces*: a piece is a
+pure function of the first order column that never decreases along it (an
+hour of time, 65,536 consecutive integers, a three-character prefix). Rows
+are numbered inside each (group, piece), and a small table of per-piece
+counts supplies each piece's offset and the group's size. One plan for every
+size: no thresholds, no samples, no job while the plan is built. Null keys
+and null order values are groups and pieces like any other.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BUCKETS = 1024
-# the literal comparison tree (non-numeric orders) stays small enough for codegen
-MAX_TREE_BUCKETS = 64
-SAMPLE_PER_BUCKET = 20
-# A group larger than this is "hot" and is split over range buckets; smaller
-# groups are numbered by a plain window (one sort per group, in one task).
-HOT_GROUP_ROWS = 1_000_000
-HOT_GROUP_CONF = "fieldcat.hotGroupRows"
-
-
-def _typed_lit(value, dtype: T.DataType) -> Column:
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)) and isinstance(value, dt.datetime):
-        return F.lit(value.isoformat(sep=" ")).cast(dtype)
-    if isinstance(dtype, T.DateType):
-        return F.lit(value.isoformat()).cast(dtype)
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return F.lit(repr(float(value))).cast(dtype)
-    return F.lit(value).cast(dtype)
-
-
-def range_bounds(df: DataFrame, sort_cols: list[str], buckets: int, seed: int = 7,
-                 total: int | None = None) -> list[tuple]:
-    """Up to ``buckets - 1`` ascending bounds of the sort key, from a sample
-    of about SAMPLE_PER_BUCKET rows per bucket (a bounded driver result).
-    ``total`` (the row count, when the caller knows it) saves a scan."""
-    if buckets <= 1:
-        return []
-    total = df.count() if total is None else total
-    if total == 0:
-        return []
-    frac = min(1.0, SAMPLE_PER_BUCKET * buckets / total)
-    sample = [tuple(r) for r in df.select(*sort_cols).sample(False, frac, seed)
-              .orderBy(*sort_cols).collect()]
-    if not sample:
-        return []
-    step = len(sample) / buckets
-    bounds = []
-    for i in range(1, buckets):
-        b = sample[min(int(i * step), len(sample) - 1)]
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    return bounds
-
-
-def bucket_of(df: DataFrame, sort_cols: list[str], bounds: list[tuple]) -> Column:
-    """Bucket index of each row: the number of bounds <= its sort key, found
-    by a balanced tree of struct comparisons (log2(len(bounds)) per row)."""
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(sort_cols)])
-
-    def lit_key(b):
-        return F.struct(*[_typed_lit(v, fields[c]).alias(f"k{i}")
-                          for i, (c, v) in enumerate(zip(sort_cols, b))])
-
-    def build(lo, hi):
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key < lit_key(bounds[mid - 1]), build(lo, mid - 1)).otherwise(build(mid, hi))
-
-    return build(0, len(bounds))
-
+#: Widths of a piece: seconds of time, consecutive integers, leading characters.
+PIECE_SECONDS = 3600
+PIECE_INTEGERS = 65_536
+PIECE_CHARACTERS = 3
 
-def _plain_row_number(df: DataFrame, keys: list[str], order: list[str], rn: str, n: str) -> DataFrame:
-    w = Window.partitionBy(*keys)
-    return (df.withColumn(rn, F.row_number().over(w.orderBy(*order)).cast("bigint"))
-            .withColumn(n, F.count(F.lit(1)).over(w).cast("bigint")))
 
-
-def hot_groups(df: DataFrame, keys: list[str], threshold: int) -> tuple[list[tuple], int]:
-    """Keys of groups with more than ``threshold`` rows, and their total row
-    count. A partial aggregate; the result has at most rows / threshold
-    entries, so it is a bounded driver result."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rows = sizes.where(F.col("_n") > threshold).collect()
-    return [tuple(r[k] for k in keys) for r in rows], sum(r["_n"] for r in rows)
-
-
-def group_row_number(df: DataFrame, keys: list[str], order: list[str], buckets: int | None = None,
-                     rn: str = "rn", n: str = "n", hot_threshold: int | None = None) -> DataFrame:
-    """Adds ``rn`` (1-based position in the group by ``order``) and ``n``
-    (group size). ``order`` must break all ties within a group.
-
-    Groups above ``hot_threshold`` rows (conf ``fieldcat.hotGroupRows``) are
-    split over range buckets; the rest use a plain window. Without keys the
-    whole input is one group and is always split."""
-    spark = df.sparkSession
-    if hot_threshold is None:
-        hot_threshold = int(spark.conf.get(HOT_GROUP_CONF, str(HOT_GROUP_ROWS)))
-    if not keys:
-        return _bucketed_row_number(df, keys, order, buckets, rn, n)
-    hot, hot_rows_total = hot_groups(df, keys, hot_threshold)
-    if not hot:
-        return _plain_row_number(df, keys, order, rn, n)
-    schema = df.select(*keys).schema
-    hot_df = F.broadcast(spark.createDataFrame(hot, schema))
-    hot_rows = df.join(hot_df, keys, "left_semi")
-    cold_rows = df.join(hot_df, keys, "left_anti")
-    return (_plain_row_number(cold_rows, keys, order, rn, n)
-            .unionByName(_bucketed_row_number(hot_rows, keys, order, buckets, rn, n, hot_rows_total)))
-
-
-def _order_proxy(df: DataFrame, col: str) -> Column | None:
-    """A DOUBLE that never decreases along ``col``'s order (None when the
-    type has no numeric proxy). Timestamps become epoch microseconds."""
-    t = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-                      T.DoubleType, T.DecimalType)):
-        return c.cast("double")
+def piece_of(df: DataFrame, col: str) -> Column:
+    """The piece of each row: never decreases along ``col``; null for null."""
+    t, c = df.schema[col].dataType, F.col(col)
     if isinstance(t, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c).cast("double")
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.floor(F.timestamp_diff("SECOND", epoch, F.date_trunc("HOUR", c).cast("timestamp_ntz")) / PIECE_SECONDS)
     if isinstance(t, T.TimestampType):
-        return F.unix_micros(c).cast("double")
+        return F.floor(F.unix_micros(c) / (PIECE_SECONDS * 1_000_000))
     if isinstance(t, T.DateType):
-        return F.unix_date(c).cast("double")
-    return None
-
-
-def _with_bucket(df: DataFrame, keys: list[str], order: list[str], buckets: int,
-                 total: int | None) -> DataFrame:
-    """Adds ``_b``: a bucket index that never decreases along (keys, order)
-    within a group. Buckets need not separate ties - rows are numbered
-    exactly inside each piece - they only have to split a hot group.
+        return F.unix_date(c).cast("bigint")
+    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.floor(c / PIECE_INTEGERS)
+    if isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return F.floor(c.cast("double")).cast("double")
+    return F.substring(c.cast("string"), 1, PIECE_CHARACTERS)
 
-    With a numeric / temporal first order column the bounds are
-    ``approxQuantile`` cut points (one pass, a bounded driver result) and
-    ``Bucketizer`` assigns buckets by binary search. Otherwise the bounds
-    are sampled sort keys compared in a small expression tree."""
-    from pyspark.ml.feature import Bucketizer
-    proxy = _order_proxy(df, order[0]) if order and buckets > 1 else None
-    if proxy is not None:
-        # nulls sort first in an ascending order, so they take the first bucket
-        q = df.withColumn("_q", F.coalesce(proxy, F.lit(float("-inf"))))
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = sorted(set(x for x in q.approxQuantile("_q", probs, 1.0 / (4 * buckets)) if x is not None))
-        # enough distinct cut points: bucket on the proxy; otherwise (e.g. a hot
-        # group sharing one time stamp) bound on the full sort key below
-        if len(cuts) >= max(1, min(8, buckets - 1)):
-            splits = [float("-inf")] + cuts + [float("inf")]
-            out = Bucketizer(splits=splits, inputCol="_q", outputCol="_bd", handleInvalid="keep").transform(q)
-            return out.withColumn("_b", F.col("_bd").cast("int")).drop("_q", "_bd")
-    sort_cols = list(keys) + list(order)
-    bounds = range_bounds(df, sort_cols, min(buckets, MAX_TREE_BUCKETS), total=total)
-    return df.withColumn("_b", bucket_of(df, sort_cols, bounds))
 
-
-def _bucketed_row_number(df: DataFrame, keys: list[str], order: list[str], buckets: int | None,
-                         rn: str, n: str, total: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    if buckets is None:
-        buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")) * 4, MAX_BUCKETS)
-    with_b = _with_bucket(df, keys, order, buckets, total)
-    local = with_b.withColumn(
-        "_lrn", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)))
-    pieces = with_b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*keys).orderBy("_b")
-    offsets = pieces.select(
-        *keys, "_b",
-        (F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-         - F.col("_cnt")).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy(*keys)).alias(n))
-    out = local.join(offsets, [*keys, "_b"])
-    return (out.withColumn(rn, (F.col("_lrn") + F.col("_off")).cast("bigint"))
-            .withColumn(n, F.col(n).cast("bigint"))
-            .drop("_b", "_lrn", "_off"))
+def group_row_number(df: DataFrame, keys: list[str], order: list[str], rn: str = "rn", n: str = "n",
+                     previous: dict[str, str] | None = None) -> DataFrame:
+    """Adds ``rn`` (1-based position in the group by ``order``) and ``n``
+    (group size). ``order`` must break all ties within a group. ``previous``
+    maps new column names to columns whose value in the row before is
+    wanted: ``lag`` inside a piece, the piece before at its border."""
+    previous = previous or {}
+    rows = df.withColumn("_piece", piece_of(df, order[0]))
+    inside = Window.partitionBy(*keys, "_piece").orderBy(*order)
+    local = rows.withColumn("_at", F.row_number().over(inside))
+    for new, col in previous.items():
+        local = local.withColumn(new, F.lag(col).over(inside))
+    pieces = rows.groupBy(*keys, "_piece").agg(
+        F.count(F.lit(1)).alias("_count"),
+        *[F.max_by(col, F.struct(*order)).alias(f"_last_{new}") for new, col in previous.items()])
+    group = Window.partitionBy(*keys)
+    along = group.orderBy("_piece")
+    border = pieces.select(
+        *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], F.col("_piece").alias("_of"),
+        F.coalesce(F.sum("_count").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_count").over(group).alias("_size"),
+        *[F.lag(f"_last_{new}").over(along).alias(f"_last_{new}") for new in previous])
+    same = F.col("_piece").eqNullSafe(F.col("_of"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
+    out = local.join(border, same)
+    for new in previous:
+        out = out.withColumn(new, F.when(F.col("_at") == 1, F.col(f"_last_{new}")).otherwise(F.col(new)))
+    return out.select(*df.columns, *previous, (F.col("_at") + F.col("_before")).cast("bigint").alias(rn),
+                      F.col("_size").cast("bigint").alias(n))

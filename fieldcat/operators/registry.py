@@ -5,7 +5,7 @@ jobs of its specs at once (a DataFrame, not one file at a time). Specs are
 registered first-wins (A8): a second registration of a spec is ignored and
 reported. ``run`` calls each distinct function once, on the jobs of all its
 specs, and unions the results; jobs whose spec has no ingestor get an error
-issue (J2)."""
+issue (J2), and so do the jobs of an ingestor that raises (T4)."""
 
 from __future__ import annotations
 
@@ -15,13 +15,21 @@ from typing import Any, Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldcat.functions.issues import issue
 from fieldcat.operators.jobs import match_registry
+from fieldcat.schemas import SEVERITY_ERROR
 
 
 @dataclass
 class IngestResult:
     datasets: DataFrame            # job_id, pid, ... (one per ingested file)
     issues: DataFrame              # job_id, seq, issue
+    datablocks: DataFrame | None = None
+    attachments: DataFrame | None = None
+
+
+def _union(a: DataFrame | None, b: DataFrame | None) -> DataFrame | None:
+    return b if a is None else a if b is None else a.unionByName(b)
 
 
 @dataclass
@@ -47,9 +55,14 @@ class Registry:
         by_fn: dict[Callable, list[str]] = {}
         for spec, fn in self.ingestors.items():
             by_fn.setdefault(fn, []).append(spec)
-        datasets, issues = None, reg_issues
+        out = IngestResult(None, reg_issues)
         for fn, specs in by_fn.items():
-            res = fn(matched.where(F.col(mapping_col).isin(specs)), ctx)
-            datasets = res.datasets if datasets is None else datasets.unionByName(res.datasets)
-            issues = issues.unionByName(res.issues)
-        return matched, IngestResult(datasets, issues)
+            own = matched.where(F.col(mapping_col).isin(specs))
+            try:
+                res = fn(own, ctx)
+            except Exception as e:  # noqa: BLE001 - a plug-in that raises fails its own jobs only
+                failed = issue(SEVERITY_ERROR, "ingestor failed", "ingest", f"{type(e).__name__}: {e}")
+                res = IngestResult(None, own.select("job_id", F.lit(-1).alias("seq"), failed.alias("issue")))
+            out = IngestResult(*(_union(getattr(out, k), getattr(res, k))
+                                 for k in ("datasets", "issues", "datablocks", "attachments")))
+        return matched, out

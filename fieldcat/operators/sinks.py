@@ -43,11 +43,12 @@ def read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 def read_latest(df: DataFrame, key: list[str] | str, order: list[str] | None = None) -> DataFrame:
     """The current row of every key: the one with the greatest (*order,
-    batch) - a record version first when there is one, the batch last."""
+    batch) - a record version first when there is one, the batch last. Of
+    versions equal in all that, the one of greatest row hash, so reruns agree."""
     keys = [key] if isinstance(key, str) else list(key)
     order = list(order or []) + [BATCH_COL]
     rest = [c for c in df.columns if c not in keys and c != BATCH_COL]
-    latest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_cur")
+    latest = F.max_by(F.struct(*rest), F.struct(*order, F.xxhash64(*rest))).alias("_cur")
     return df.groupBy(*keys).agg(latest).select(*keys, "_cur.*")
 
 

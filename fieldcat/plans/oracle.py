@@ -667,3 +667,83 @@ ORACLE.update({
     "stream_ingest": JOB_FINAL_STATUS,
     "stream_ingest_log": JOB_LOG,
 })
+
+_ING = f"""
+{META_CTE}, f AS (
+  SELECT *, CAST(regexp_extract(file_path, 'doc_([0-9]+)', 1) AS BIGINT) AS id, sha256(file_path) AS pid,
+    strftime(TIMESTAMP '2020-01-01 00:00:00' + to_hours(CAST(doc_id AS INTEGER)), '%Y-%m-%d %H:%M:%S')
+      || CASE WHEN doc_id % 2 = 0 THEN '.250000' ELSE '' END AS t
+  FROM acl
+)"""
+
+INGEST_DATASETS = f"""
+WITH {_ING}, k AS (SELECT *, {_kw('file_name')} AS kw FROM f)
+SELECT 'job-' || CAST(doc_id AS VARCHAR) AS job_id, pid, coalesce(nullif(pi, ''), 'Unknown') AS owner,
+  coalesce(nullif(email, ''), 'Unknown') AS contactEmail,
+  coalesce(nullif(instrument_name, ''), 'Unknown') AS creationLocation, proposal AS proposalId,
+  coalesce(nullif(pi, ''), 'Unknown') AS principalInvestigator,
+  regexp_replace(file_path, '/+[^/]*$', '') AS sourceFolder, CAST(size AS BIGINT) AS size,
+  '{{"/measurement/instrument/detector/binning_x":' || CAST(size AS VARCHAR)
+    || ',"/measurement/instrument/detector/dark_field_value":' || CASE WHEN size > 5000 THEN 'null' ELSE '0.5' END || '}}'
+    AS scientificMetadata,
+  CAST(len(kw) AS BIGINT) AS n_keywords, t AS creationTime, owner_group AS ownerGroup,
+  array_to_string(access_groups, ',') AS accessGroups
+FROM k WHERE file_name IS NOT NULL
+"""
+
+INGEST_DATABLOCKS = f"""
+WITH {_ING}
+SELECT pid AS datasetId, CAST(size AS BIGINT) AS size, regexp_extract(file_path, '([^/]+)$', 1) AS df_path, t AS df_time,
+  'RawDatasets' AS df_type, owner_group AS ownerGroup, array_to_string(access_groups, ',') AS accessGroups
+FROM f WHERE file_name IS NOT NULL
+"""
+
+INGEST_ATTACHMENTS = f"""
+WITH {_ING}
+SELECT pid AS datasetId, 'data:image/jpg;base64,' || base64(encode(username || ':' || instrument_name)) AS thumbnail,
+  'raw image' AS caption, owner_group AS ownerGroup, array_to_string(access_groups, ',') AS accessGroups
+FROM f WHERE file_name IS NOT NULL
+"""
+
+INGEST_ISSUES = f"""
+WITH {_ING}, w(key, seq) AS (VALUES ('/measurement/instrument/instrument_name', 0),
+  ('/measurement/sample/experiment/beamline', 1), ('/measurement/sample/experiment/experiment_lead', 2),
+  ('/measurement/sample/experiment/pi', 3), ('/measurement/sample/experiment/proposal', 4),
+  ('/measurement/sample/experimenter/email', 5), ('/measurement/sample/experimenter/name', 6),
+  ('/measurement/sample/file_name', 7))
+SELECT 'job-' || CAST(doc_id AS VARCHAR) AS job_id, seq, 'warning' AS severity, 'dataset not found ' || key AS msg
+FROM f, w WHERE seq = 2 OR (seq = 3 AND pi IS NULL) OR (seq = 4 AND proposal IS NULL) OR (seq = 7 AND file_name IS NULL)
+UNION ALL SELECT 'job-' || CAST(doc_id AS VARCHAR), -1, 'error', 'file has no name' FROM f WHERE file_name IS NULL
+"""
+
+ACCESS_GRANTS = f"""
+WITH {ORDER_DATASETS_CTE}, g AS (
+  SELECT pid, owner, unnest(list_distinct(list_concat([owner], access))) AS "group" FROM ds)
+SELECT pid, "group", true AS can_read, "group" = owner AS can_write FROM g
+"""
+
+GROUP_REACH = f"""
+WITH a AS ({ACCESS_GRANTS})
+SELECT "group", count(*) AS n_read, CAST(sum(CASE WHEN can_write THEN 1 ELSE 0 END) AS BIGINT) AS n_write
+FROM a GROUP BY "group"
+"""
+
+JOB_RECORD = f"""
+WITH {JOBS_CTE}, h AS (
+  SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY time, rnk, event_id) AS BIGINT) AS pos,
+         time AS item_time, status AS item_status, submitter AS item_actor FROM r),
+q AS (SELECT 'job-' || CAST(c_custkey AS VARCHAR) AS id, c_name AS submitter, c_mktsegment AS mapping_id FROM customer)
+SELECT q.id, q.submitter, q.mapping_id, j.status, j.status_time, j.start_time, j.end_time, coalesce(j.n_events, 0) AS n_events,
+       coalesce(h.pos, 0) AS pos, h.item_time, h.item_status, h.item_actor
+FROM q LEFT JOIN jobs j ON q.id = j.id LEFT JOIN h ON q.id = h.id
+"""
+
+ORACLE.update({
+    "ingest_datasets": INGEST_DATASETS,
+    "ingest_datablocks": INGEST_DATABLOCKS,
+    "ingest_attachments": INGEST_ATTACHMENTS,
+    "ingest_issues": INGEST_ISSUES,
+    "access_grants": ACCESS_GRANTS,
+    "group_reach": GROUP_REACH,
+    "job_record": JOB_RECORD,
+})

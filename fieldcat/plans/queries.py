@@ -190,7 +190,7 @@ QUERIES = {
 def job_lookup(spark, sf_dir):
     ids = read_table(spark, sf_dir, "customer", "c_custkey").select(
         F.concat(F.lit("job-"), F.col("c_custkey").cast("string")).alias("id"))
-    return jobs.lookup(_jobs(spark, sf_dir), ids)
+    return jobs.lookup_events(ad.job_events(spark, sf_dir), ids, tiebreak="event_id")
 
 
 def unstarted_jobs(spark, sf_dir):
@@ -273,6 +273,27 @@ def visible_datasets(spark, sf_dir):
     return visible(ad.order_datasets(spark, sf_dir), ad.supplier_users(spark, sf_dir))
 
 
+def access_grants(spark, sf_dir):
+    """Every record's groups: the linear form of visibility."""
+    from fieldcat.operators.access import grants
+    return grants(ad.order_datasets(spark, sf_dir))
+
+
+def group_reach(spark, sf_dir):
+    from fieldcat.operators.access import group_reach as reach
+    return reach(ad.order_datasets(spark, sf_dir))
+
+
+def job_record(spark, sf_dir):
+    """Customers' ingest requests with their state and ordered history."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment")
+    reqs = c.select(F.concat(F.lit("job-"), F.col("c_custkey").cast("string")).alias("id"),
+                    F.col("c_name").alias("submitter"), F.col("c_mktsegment").alias("mapping_id"))
+    r = jobs.job_records(reqs, ad.job_events(spark, sf_dir), tiebreak="event_id")
+    return r.select("id", "submitter", "mapping_id", "status", "status_time", "start_time", "end_time",
+                    F.coalesce("n_events", F.lit(0)).alias("n_events"), F.coalesce("pos", F.lit(0)).alias("pos"), "item_time", "item_status", "item_actor")
+
+
 def share_routing(spark, sf_dir):
     from fieldcat.operators.access import route_shares
     r = route_shares(ad.order_datasets(spark, sf_dir), ad.shares(spark, sf_dir))
@@ -294,6 +315,9 @@ QUERIES.update({
     "orphan_children": orphan_children,
     "visible_datasets": visible_datasets,
     "share_routing": share_routing,
+    "access_grants": access_grants,
+    "group_reach": group_reach,
+    "job_record": job_record,
 })
 
 
@@ -372,7 +396,8 @@ def mapping_projection(spark, sf_dir):
 def mapping_external(spark, sf_dir):
     from fieldcat.operators.mapping import external_refs
     from fieldcat.sources.mapping import packaged_mapping
-    return external_refs(ad.vec_frames(spark, sf_dir), packaged_mapping(spark))
+    frames = ad.vec_frames(spark, sf_dir).withColumn("key", F.lit("/vec/frame"))
+    return external_refs(frames, packaged_mapping(spark))
 
 
 # --- files ------------------------------------------------------------------------------
@@ -426,6 +451,8 @@ QUERIES.update({
     "attachments": attachments_q,
 })
 
+from fieldcat.plans.ingest import INGEST_QUERIES  # noqa: E402
 from fieldcat.plans.streaming_queries import STREAM_QUERIES  # noqa: E402
 
+QUERIES.update(INGEST_QUERIES)
 QUERIES.update(STREAM_QUERIES)

@@ -60,6 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(root)
         return root
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     # unset (local runs, tests): a private folder. ``spark.checkpoint.dir`` is
     # a core setting that cannot be changed at runtime; the context's
     # checkpoint directory is the one place to record it.

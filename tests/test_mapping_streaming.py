@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from fieldcat.operators import mapping as mp, sinks
+from fieldcat.operators import jobs as J, mapping as mp, sinks
 from fieldcat.operators.registry import IngestResult, Registry
 from fieldcat.schemas import FIELDS
 from fieldcat.session import scratch_dir
@@ -64,11 +64,11 @@ def test_job_state_stream_restart_equals_batch(spark):
     from fieldcat.plans import adapters as ad
     root = scratch_dir(spark, "test-state")
     events = ad.job_events(spark, SF_SMALL)
-    S.stage_files(events, f"{root}/in", 4, ["time", "event_id"])
+    S.stage_files(events, f"{root}/in", ["time", "event_id"])
     src = S.read_files(spark, f"{root}/in", events.schema, max_files=1)
     S.job_state_stream(src, f"{root}/out", f"{root}/ck", "availableNow", tiebreak="event_id").awaitTermination()
     # more files arrive; the restarted query resumes from its checkpoint
-    S.stage_files(events.where("status = 'running'"), f"{root}/in", 2, ["time", "event_id"])
+    S.stage_files(events.where("status = 'running'"), f"{root}/in", ["time", "event_id"])
     src = S.read_files(spark, f"{root}/in", events.schema, max_files=1)
     S.job_state_stream(src, f"{root}/out", f"{root}/ck", "availableNow", tiebreak="event_id").awaitTermination()
     got = S.job_states(spark, f"{root}/out").drop("n_events")
@@ -246,6 +246,23 @@ def test_pending_and_finished(spark):
     assert sorted(r.id for r in J.finished(jb).collect()) == ["c", "d"]
 
 
+def test_a_registered_job_without_a_dataset_ends_in_error(spark):
+    from fieldcat.operators import sinks
+    from fieldcat.operators.registry import IngestResult, Registry
+
+    def only_present(jb, ctx):
+        none = jb.where("false").select("job_id", F.lit(0).alias("seq"), J.issue_col("error", "", "s"))
+        return IngestResult(jb.where("document_path <> '/ghost'").select("job_id", F.col("document_path").alias("pid")), none)
+
+    reg = Registry()
+    reg.register("m", only_present)
+    reqs = spark.createDataFrame([("1", "/a", "m"), ("2", "/ghost", "m")], "job_id string, document_path string, mapping_id string")
+    out = scratch_dir(spark, "test-ghost")
+    S.ingest_batch(reqs, 0, reg, None, out, claim_from_table=True)
+    got = {r.job_id: (r.status, r.log.split("\n")[0]) for r in sinks.read_batches(spark, out).collect()}
+    assert got == {"1": ("successful", "ingested dataset: /a as /a"), "2": ("error", "ingested dataset: /ghost as None")}
+
+
 def test_frames_table_first_frames_and_refs(spark):
     from fieldcat.operators import frames as fr
     from fieldcat.sources.fields import read_frames
@@ -257,8 +274,10 @@ def test_frames_table_first_frames_and_refs(spark):
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "frame_idx" in plan and "PushedFilters" in plan
     assert [r.frame_idx for r in first.collect()] == [0]
-    refs = fr.external_refs(read_frames(spark, path)).collect()
-    assert sorted((r.key, r.frame_idx) for r in refs) == [("/exchange/data", 0), ("/exchange/data", 1),
-                                                          ("/exchange/data", 2)]
+    from fieldcat.operators.mapping import external_refs
+    from fieldcat.sources.mapping import packaged_mapping
+    frames = read_frames(spark, path).withColumn("key", F.when(F.col("frame_idx") > 0, F.lit("/vec/frame")).otherwise(F.lit("/other")))
+    refs = external_refs(frames, packaged_mapping(spark)).collect()
+    assert sorted((r.key, r.frame_idx) for r in refs) == [("/vec/frame", 1), ("/vec/frame", 2)]
     stats = fr.frame_stats(first).first()
     assert (stats.frame_min, stats.frame_max) == (0.0, 3.0)

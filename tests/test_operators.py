@@ -115,8 +115,8 @@ def test_final_status_and_log(spark):
 
 
 def test_visibility_doc_example(spark):
-    ds = spark.createDataFrame([("d1", "ALS-X000", ["bl0.0.0"])], "pid string, ownerGroup string, accessGroups array<string>")
-    users = spark.createDataFrame([("User1", ["ALS-X000", "ALS-X000-001"]), ("User2", ["ALS-X0001"]),
+    ds = spark.createDataFrame([("d1", "PROP-000", ["bl0.0.0"])], "pid string, ownerGroup string, accessGroups array<string>")
+    users = spark.createDataFrame([("User1", ["PROP-000", "PROP-000-001"]), ("User2", ["PROP-0001"]),
                                    ("BeamlineScientist", ["bl0.0.0"])], "user string, groups array<string>")
     got = {r.user: (r.can_read, r.can_write) for r in access.visible(ds, users).collect()}
     assert got == {"User1": (True, True), "BeamlineScientist": (True, False)}
@@ -131,8 +131,12 @@ def test_visibility_rewrite_equals_plain(spark):
     d = spark.createDataFrame(ds, "pid string, ownerGroup string, accessGroups array<string>")
     u = spark.createDataFrame(us, "user string, groups array<string>")
     a = sorted(tuple(r) for r in access.visible(d, u).collect())
-    b = sorted(tuple(r) for r in access.visible_plain(d, u).collect())
-    assert a == b and len(a) > 0
+    b = []
+    for name, own in us:  # the rule, spelled out
+        for pid, owner, more in ds:
+            if owner in own or set(more) & set(own):
+                b.append((name, pid, True, owner in own))
+    assert a == sorted(b) and len(a) > 0
 
 
 def test_route_shares(spark):
@@ -145,7 +149,7 @@ def test_route_shares(spark):
 def test_group_row_number_hot_group(spark):
     df = spark.range(0, 5000).select((F.col("id") % 3 == 0).cast("int").alias("g"), F.col("id"),
                                      (F.col("id") * 7 % 5000).alias("o"))
-    out = group_row_number(df, ["g"], ["o", "id"], hot_threshold=100).toPandas()
+    out = group_row_number(df, ["g"], ["o", "id"]).toPandas()
     for g, part in out.groupby("g"):
         part = part.sort_values(["o", "id"])
         assert list(part.rn) == list(range(1, len(part) + 1))
@@ -282,7 +286,7 @@ def test_group_row_number_mixed_hot_and_cold(spark):
     sizes = {"hot": 3000, "warm": 150, "cold": 7, "one": 1}
     rows = [(g, i, (i * 37) % 1009) for g, n in sizes.items() for i in range(n)]
     df = spark.createDataFrame(rows, "g string, i int, o int")
-    out = group_row_number(df, ["g"], ["o", "i"], hot_threshold=100, buckets=16).toPandas()
+    out = group_row_number(df, ["g"], ["o", "i"]).toPandas()
     assert len(out) == sum(sizes.values())
     for g, part in out.groupby("g"):
         part = part.sort_values(["o", "i"])
@@ -311,7 +315,7 @@ def test_match_registry_list_and_table_agree(spark):
 def test_group_row_number_string_order_and_many_buckets(spark):
     rows = [("hot", f"k{(i * 7919) % 4001:05d}", i) for i in range(4000)] + [("c", "a", 1), ("c", "a", 0)]
     df = spark.createDataFrame(rows, "g string, s string, i int")
-    out = group_row_number(df, ["g"], ["s", "i"], hot_threshold=100, buckets=1024).toPandas()
+    out = group_row_number(df, ["g"], ["s", "i"]).toPandas()
     for g, part in out.groupby("g"):
         part = part.sort_values(["s", "i"])
         assert list(part.rn) == list(range(1, len(part) + 1))
@@ -339,7 +343,7 @@ def test_attachments_and_orphans(spark):
 def test_group_row_number_nulls_sort_first(spark):
     rows = [("g", None if i % 97 == 0 else float(i % 500), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, o double, i int")
-    out = group_row_number(df, ["g"], ["o", "i"], hot_threshold=10, buckets=64).toPandas()
+    out = group_row_number(df, ["g"], ["o", "i"]).toPandas()
     want = sorted(rows, key=lambda r: (r[1] is not None, r[1] if r[1] is not None else 0.0, r[2]))
     got = out.sort_values("rn")
     assert list(got.i) == [r[2] for r in want]
@@ -350,7 +354,70 @@ def test_group_row_number_constant_first_order_column(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [("g", t0, (i * 31) % 2000, i) for i in range(2000)]
     df = spark.createDataFrame(rows, "g string, t timestamp_ntz, o int, i int")
-    for buckets in (1, 16):
-        out = group_row_number(df, ["g"], ["t", "o", "i"], hot_threshold=10, buckets=buckets).toPandas()
-        got = out.sort_values("rn")
-        assert list(got.i) == [r[3] for r in sorted(rows, key=lambda r: (r[2], r[3]))]
+    out = group_row_number(df, ["g"], ["t", "o", "i"]).toPandas()
+    got = out.sort_values("rn")
+    assert list(got.i) == [r[3] for r in sorted(rows, key=lambda r: (r[2], r[3]))]
+
+
+def test_group_row_number_splits_hot_and_null_groups(spark):
+    from fieldcat.operators.ordering import piece_of
+    rows = [(g, i * 1000) for g in ("hot", None) for i in range(2000)] + [("one", None)]
+    df = spark.createDataFrame(rows, "g string, o long")
+    pieces = {r.g: r.n for r in df.withColumn("p", piece_of(df, "o")).groupBy("g").agg(F.count_distinct("p").alias("n")).collect()}
+    assert pieces["hot"] > 1 and pieces[None] > 1
+    out = group_row_number(df, ["g"], ["o"], previous={"before": "o"}).collect()
+    got = sorted((r.rn, r.o, r.before, r.n) for r in out if r.g is None)
+    assert got == [(i + 1, i * 1000, (i - 1) * 1000 if i else None, 2000) for i in range(2000)]
+    assert [(r.rn, r.n, r.before) for r in out if r.g == "one"] == [(1, 1, None)]
+
+
+def test_admit_once_for_a_key_of_two_apis(spark):
+    req = spark.createDataFrame([("r1", "k1")], "id string, api_key string")
+    cl = spark.createDataFrame([("k1", "c", "a"), ("k1", "c", "b")], "k string, client string, api string")
+    cl = cl.select(F.sha2("k", 256).alias("key_digest"), "client", "api")
+    acc, rej = jobs.admit(req, cl)
+    assert [(r.id, r.submitter) for r in acc.collect()] == [("r1", "c")] and rej.count() == 0
+
+
+def test_files_without_requested_keys_stay(spark):
+    from fieldcat.operators import fields as fld
+    from fieldcat.schemas import FIELDS
+    files = spark.createDataFrame([("/a",), ("/b",)], "file_path string")
+    norm = fld.normalise(spark.createDataFrame([("/a", "k", "S", [], [], ["v"], None, None)], FIELDS))
+    got = {r.file_path: r.metadata for r in fld.metadata_json(norm, ["k"], files=files).collect()}
+    assert got == {"/a": '{"k":"v"}', "/b": "{}"}
+    wide = {r.file_path: r.k for r in fld.pivot_fields(fld.value_text(norm), ["k"], files=files).collect()}
+    assert wide == {"/a": "v", "/b": None}
+
+
+def test_visibility_flags_are_never_null(spark):
+    ds = spark.createDataFrame([("d", None, ["g"])], "pid string, ownerGroup string, accessGroups array<string>")
+    users = spark.createDataFrame([("u", ["g"], None)], "user string, groups array<string>, login string")
+    assert [(r.can_read, r.can_write) for r in access.visible(ds, users, login="login").collect()] == [(True, False)]
+    assert [(r.group, r.can_read, r.can_write) for r in access.grants(ds).collect()] == [("g", True, False)]
+
+
+def test_a_raising_ingestor_fails_its_own_jobs_only(spark):
+    from fieldcat.operators.registry import IngestResult, Registry
+
+    def good(jb, ctx):
+        none = jb.where("false").select("job_id", F.lit(0).alias("seq"), jobs.issue_col("error", "", "s"))
+        return IngestResult(jb.select("job_id", F.col("document_path").alias("pid")), none)
+
+    def bad(jb, ctx):
+        raise ValueError("broken")
+
+    reg = Registry()
+    reg.register("g", good)
+    reg.register("b", bad)
+    jb = spark.createDataFrame([("1", "/x", "g"), ("2", "/y", "b")], "job_id string, document_path string, mapping_id string")
+    _, res = reg.run(jb, None)
+    assert [r.job_id for r in res.datasets.collect()] == ["1"]
+    assert [(r.job_id, r.issue.exception) for r in res.issues.collect()] == [("2", "ValueError: broken")]
+
+
+def test_upsert_ties_agree(spark):
+    from fieldcat.operators import sinks
+    rows = [("k", v, 0) for v in ("a", "b", "c")]
+    got = {sinks.read_latest(spark.createDataFrame(r, "k string, v string, _batch int"), "k").first().v for r in (rows, rows[::-1])}
+    assert len(got) == 1
