@@ -1,3 +1,87 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express: the same results by plain means."""
 
-ORACLE: dict[str, str] = {}
+_SPACE = r"[\x20\x09-\x0D]"
+
+
+def _words(text: str) -> str:
+    return f"list_filter(regexp_split_to_array(coalesce({text}, ''), '{_SPACE}+'), lambda w: w <> '')"
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+JACCARD_JOIN = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_words(_LOWER.format('text'))} AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+k AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT k.a, k.b FROM k JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * n_both >= 80 * (x.n + y.n - n_both)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = d.doc_id
+"""
+
+#: (measure, numerator, denominator, least quartile distance, low values rejected too)
+_MEASURES = [("word_length", "word_chars", "n_words", 500, True), ("symbols", "n_symbols", "n_words", 30, False),
+             ("dup_lines", "n_dup_lines", "n_lines", 120, False), ("repeats", "n_repeat_words", "n_words", 120, False),
+             ("capitals", "n_capitals", "word_chars", 80, False)]
+
+QUALITY_RULES = f"""
+WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, {_words('text')} AS w FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) AS g FROM w WHERE len(w) >= 3),
+d AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+rep AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM d) GROUP BY doc_id),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM w),
+b AS (
+  SELECT w.doc_id, lang, source, len(w) AS n_words, length(regexp_replace(t, '{_SPACE}+', '', 'g')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_capitals,
+    len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
+  FROM w JOIN l USING (doc_id) LEFT JOIN rep USING (doc_id)),
+m AS ({" UNION ALL ".join(f"SELECT doc_id, lang, source, '{m}' AS m, {s} AS least, {str(both).lower()} AS low_too, 1000 * {a} // greatest({n}, 1) AS v FROM b WHERE n_words > 0" for m, a, n, s, both in _MEASURES)}),
+h AS (SELECT *, CASE WHEN v < 2048 THEN v ELSE (v >> (length(bin(v)) - 11)) << (length(bin(v)) - 11) END AS bin FROM m),
+c AS (SELECT lang, source, m, bin, sum(count(*)) OVER (PARTITION BY lang, source, m ORDER BY bin) AS upto,
+        sum(count(*)) OVER (PARTITION BY lang, source, m) AS total FROM h GROUP BY lang, source, m, bin),
+q AS (SELECT lang, source, m, min(bin) FILTER (upto * 4 >= total) AS q1, min(bin) FILTER (upto * 4 >= total * 3) AS q3 FROM c GROUP BY ALL),
+x AS (
+  SELECT DISTINCT h.doc_id FROM h JOIN q ON h.lang IS NOT DISTINCT FROM q.lang AND h.source IS NOT DISTINCT FROM q.source AND h.m = q.m
+  WHERE v > q3 + 3 * greatest(q3 - q1, least) OR (low_too AND v < q1 - 3 * greatest(q3 - q1, least))),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM x) AS kept
+FROM f
+"""
+
+_HOST = "regexp_extract(regexp_extract({0}, '(?s)^.*?://[^/?#]*'), '://([^/?#]*)$', 1)"
+_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+_CANONICAL = "regexp_extract(regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*[\"'']?canonical\\b[^>]*>'), '(?is)\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1)"
+_REFRESH = "regexp_extract(regexp_extract(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*[\"'']?refresh\\b[^>]*>'), '(?is)\\burl\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1)"
+
+URL_FILTER = f"""
+WITH RECURSIVE t AS (SELECT url, {_CANONICAL} AS t FROM pages UNION SELECT url, {_REFRESH} FROM pages),
+o AS (SELECT url, t, regexp_extract(url, '(?s)^.*?://[^/?#]*') AS origin, regexp_extract(url, '(?s)^.*?://[^/?#]*(?:[^?#]*/)?') AS folder
+      FROM t WHERE t <> '' AND contains(url, '://')),
+k AS (SELECT url, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
+        WHEN starts_with(t, '/') THEN origin || t WHEN suffix(folder, '/') THEN folder || t ELSE folder || '/' || t END AS "to" FROM o),
+u AS (SELECT DISTINCT url FROM pages UNION SELECT "to" FROM k),
+h AS (SELECT url, coalesce({_LOWER.format(_HOST.format('url'))}, '') AS host,
+        coalesce(regexp_extract(regexp_extract(url, '(?s)^.*?://[^?#]*'), '://[^/?#]*([^?#]*)$', 1), '') AS path,
+        regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS rest FROM u),
+rules(verdict, rh, rp) AS (VALUES {", ".join(f"('{v}', '{a}', '{b}')" for v, a, b in _RULES)}),
+j AS (SELECT h.*, CASE WHEN contains(url, '://') THEN host || ' ' || rest END AS node, best.rule, best.verdict FROM h LEFT JOIN (
+        SELECT x.url AS at, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(rules.verdict, length(rh || rp)) AS verdict FROM h x JOIN rules
+          ON (x.host = rh OR suffix(x.host, '.' || rh)) AND starts_with(x.path, rp) GROUP BY x.url) best ON best.at = h.url),
+e AS (SELECT x.node AS a, y.node AS b FROM k JOIN j x ON x.url = k.url JOIN j y ON y.url = k."to" WHERE x.node IS NOT NULL AND y.node IS NOT NULL),
+s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(a, b) AS (SELECT a, a FROM s UNION SELECT r.a, s.b FROM r JOIN s ON r.b = s.a),
+v AS (SELECT r.a AS node, bool_or(j.verdict = 'block') AND NOT bool_or(j.verdict = 'allow') AS blocked FROM r JOIN j ON j.node = r.b WHERE j.verdict IS NOT NULL GROUP BY r.a)
+SELECT p.page_id, coalesce(j.host, '') AS host, coalesce(j.path, '') AS path, j.rule,
+  coalesce(j.verdict, CASE WHEN v.blocked THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages p LEFT JOIN j ON j.url = p.url LEFT JOIN v ON v.node = j.node
+"""
+
+ORACLE: dict[str, str] = {
+    "op8_url_filter": URL_FILTER,
+    "op9_jaccard_join": JACCARD_JOIN,
+    "op10_quality_rules": QUALITY_RULES,
+}
