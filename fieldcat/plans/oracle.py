@@ -668,6 +668,21 @@ ORACLE.update({
     "stream_ingest_log": JOB_LOG,
 })
 
+STREAM_INGEST_STATE = f"""
+WITH f AS ({JOB_FINAL_STATUS})
+SELECT job_id AS id, status, 'user' AS submitter, 'ingestor' AS last_actor, CAST(3 AS BIGINT) AS n_events,
+  true AS started, true AS ended
+FROM f
+"""
+
+STREAM_INGEST_HISTORY = f"""
+WITH f AS ({JOB_FINAL_STATUS})
+SELECT job_id AS id, CAST(1 AS BIGINT) AS pos, CAST(3 AS BIGINT) AS history_len, 'submitted' AS status, 'user' AS submitter,
+  CAST(0 AS BIGINT) AS n_issues FROM f
+UNION ALL SELECT job_id, 2, 3, 'running', 'ingestor', 0 FROM f
+UNION ALL SELECT job_id, 3, 3, status, 'ingestor', n_issues FROM f
+"""
+
 _ING = f"""
 {META_CTE}, f AS (
   SELECT *, CAST(regexp_extract(file_path, 'doc_([0-9]+)', 1) AS BIGINT) AS id, sha256(file_path) AS pid,
@@ -739,6 +754,8 @@ FROM q LEFT JOIN jobs j ON q.id = j.id LEFT JOIN h ON q.id = h.id
 """
 
 ORACLE.update({
+    "stream_ingest_state": STREAM_INGEST_STATE,
+    "stream_ingest_history": STREAM_INGEST_HISTORY,
     "ingest_datasets": INGEST_DATASETS,
     "ingest_datablocks": INGEST_DATABLOCKS,
     "ingest_attachments": INGEST_ATTACHMENTS,
