@@ -6,12 +6,12 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as se
+from fieldcat.plans.oracle import ORACLE
+from fieldcat.plans.queries import QUERIES
 from tools.check_oracle import digest
 
 duckdb = pytest.importorskip("duckdb")
 
-QUERIES = se.queries()
-ORACLE = se.oracle_sql()
 
 
 @pytest.fixture(scope="module")
