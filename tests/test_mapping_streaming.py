@@ -246,6 +246,24 @@ def test_pending_and_finished(spark):
     assert sorted(r.id for r in J.finished(jb).collect()) == ["c", "d"]
 
 
+def test_lifecycle_stream_takes_late_events_in_time_order(spark):
+    import datetime as dt
+    schema = "id string, event_id long, time timestamp_ntz, status string"
+    at = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    root = scratch_dir(spark, "test-late")
+    batches = [[("a", 1, at(1), "submitted"), ("a", 3, at(3), "successful"), ("b", 4, at(1), "submitted"), ("c", 8, at(1), None)],
+               [("a", 2, at(2), "running"), ("b", 5, at(3), "successful"), ("c", 9, at(2), "running")],
+               [("z", 99, dt.datetime(2030, 1, 1), None)]]
+    every = [r for b in batches[:2] for r in b]
+    for b in batches:
+        S.stage_files(spark.createDataFrame(b, schema).coalesce(1), f"{root}/in", ["event_id"])
+    src = S.read_files(spark, f"{root}/in", spark.createDataFrame([], schema).schema, max_files=1)
+    S.transition_stream(src, f"{root}/out", f"{root}/ck", "1 day", "availableNow").awaitTermination()
+    got = sorted((r.id, r.event_id, r.prev_status) for r in spark.read.parquet(f"{root}/out").collect())
+    batch = J.transition_issues(spark.createDataFrame(every, schema), tiebreak="event_id")
+    assert got == sorted((r.id, r.event_id, r.prev_status) for r in batch.collect()) == [("b", 5, "submitted")]
+
+
 def test_a_registered_job_without_a_dataset_ends_in_error(spark):
     from fieldcat.operators import sinks
     from fieldcat.operators.registry import IngestResult, Registry
