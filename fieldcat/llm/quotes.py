@@ -22,7 +22,7 @@ Other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcat.llm.support import stage
@@ -63,8 +63,11 @@ def link(messages: DataFrame) -> DataFrame:
         "row", "conv_id", "turn", "place", F.col("p.level").alias("level"), digest(F.col("p.text")).alias("hash")).where("hash is not null"), "quoted")
     wanted = quoted.select("hash").distinct()
     offers = stage(offers.select("conv_id", "turn", digest(F.col("part")).alias("hash")).join(wanted, "hash", "left_semi").distinct(), "offers")
-    own = quoted.join(offers.select("conv_id", "hash", F.col("turn").alias("from")), ["conv_id", "hash"]).where("from < turn").groupBy("row", "place").agg(
-        F.max("from").alias("from"))
+    # the latest earlier offer of the conversation: a running last value, never a pair of all
+    both = quoted.select("conv_id", "hash", "turn", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("offer"), "row", "place").unionAll(
+        offers.select("conv_id", "hash", "turn", F.lit(1), F.col("turn").cast("long"), F.lit(None).cast("long"), F.lit(None).cast("int")))
+    so_far = Window.partitionBy("conv_id", "hash").orderBy("turn", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = both.withColumn("from", F.last("offer", ignorenulls=True).over(so_far)).where("row is not null and `from` is not null").select("row", "place", "from")
     first = offers.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("origin"))
     linked = quoted.join(own, ["row", "place"], "left").join(first, "hash", "left").withColumn(
         "other", F.when(F.col("from").isNull() & (F.col("origin.conv_id") != F.col("conv_id")), F.col("origin")))
