@@ -11,15 +11,16 @@ every link:
    in another set that a link remains possible (a link needs ``|A n B| >= 0.8 |A|``, so at
    most ``0.2 |A|`` tokens of A may be unshared). In text, nearly all sets are at distance 1
    from every pivot; this is the exact test that puts them in regions of their own.
-3. ``regions``: survivors' pivots are the smallest sets (by fingerprint) under each of a few
-   min-hash orders. Each set's exact distance to its pivots is computed; sets within 0.2
-   link to the pivot.
+3. ``regions``: among the survivors that agree in the least token of a min-hash order, the
+   set with the smallest share of unshared tokens is the pivot (a few orders). Each set's
+   exact distance to its pivots is computed; sets within 0.2 link to the pivot.
 4. ``boundary``: the join goes on inside the survivors. Each set is copied to the cells of
    its rarest tokens that another survivor shares, as many as can be the first common token
    of a link, so two linked sets meet in a cell. Pairs of a cell are compared only if their
-   region differs (links inside one component are not needed), if their sizes and the
-   tokens left from the cell's on allow J >= 0.8, and if the triangle inequality does:
-   |d(x, p) - d(y, p)| <= 0.2 for every pivot p that both were measured against.
+   region differs (links inside one component are not needed), if their sizes, the tokens
+   left from the cell's on and a parity sketch (which bounds the symmetric difference from
+   below) allow J >= 0.8, and if the triangle inequality does: |d(x, p) - d(y, p)| <= 0.2
+   for every pivot p that both were measured against.
 5. ``components`` of all links, by distributed star contraction.
 
 Defined results: a null or empty text, or one without words, has an empty set, links with
@@ -220,8 +221,10 @@ def _several(buckets: int):
 
 
 def _prefix(batches):
-    """(token, fp, n, rest) of the rarest tokens of each set; ``rest`` counts the set's tokens
-    from this one on, unshared ones first, then by rarity.
+    """(token, fp, n, rest, apart, parity) of the rarest tokens of each set; ``rest`` counts
+    the set's tokens from this one on, unshared ones first, then by rarity; ``apart`` counts
+    the unshared ones; ``parity`` has a bit for each of PARITY hash classes, set where the
+    class holds an odd number of the set's shared tokens.
 
     If a link's first common token in this order is t, all common tokens are among both
     sets' tokens from t on; a link of sets of n and m tokens needs 4 / 9 (n + m) common ones
@@ -230,56 +233,61 @@ def _prefix(batches):
         order = np.lexsort((token, df, fp))
         token, fp, n = token[order], fp[order], n[order]
         ends = np.append(np.flatnonzero(fp[1:] != fp[:-1]) + 1, len(fp)) if len(fp) else np.zeros(0, np.int64)
-        rest = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(fp))
+        size = np.diff(ends, prepend=0)
+        group = np.repeat(np.arange(len(size)), size)
+        bits = np.zeros((len(size), PARITY), np.uint8)
+        np.bitwise_xor.at(bits, (group, (mix(token.view(np.uint64) ^ np.uint64(0x1B873593)) % np.uint64(PARITY)).astype(np.int64)), 1)
+        parity = [row.tobytes() for row in np.packbits(bits, axis=1)]
+        rest = ends[group] - np.arange(len(fp))
         keep = rest >= need(n)
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, fp, n, rest)], ["token", "fp", "n", "rest"])
+        kept = group[keep]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x[keep]) for x in (token, fp, n, rest, n - size[group])] + [pa.array([parity[g] for g in kept.tolist()], pa.binary())],
+            ["token", "fp", "n", "rest", "apart", "parity"])
 
 
 #: Cells up to this size are paired all at once, larger ones in blocks of rows.
 SMALL_CELL = 48
-
-
-def _possible(x: pd.DataFrame, y: pd.DataFrame) -> np.ndarray:
-    """Whether rows may link: other region, and J >= 0.8 possible if this is the first common
-    token (9 * |A n B| >= 4 * (|A| + |B|))."""
-    least = np.minimum(x["rest"].to_numpy(), y["rest"].to_numpy())
-    return (9 * least >= 4 * (x["n"].to_numpy() + y["n"].to_numpy())) & (x["region"].to_numpy() != y["region"].to_numpy())
+#: Hash classes of the parity bits.
+PARITY = 512
 
 
 def _pairs(batches):
-    """(a, b) to compare, from rows sorted by token: the pairs of a cell whose regions
-    differ and whose sizes allow a link. Large cells are worked in blocks, so memory stays
-    bounded however many sets a cell holds."""
+    """(a, b) to compare, from rows sorted by token: the pairs of a cell whose regions differ
+    and that may link if this is their first common token. A link's sets differ in (n + m) / 9
+    tokens at most; unshared tokens differ, and so does a token for each parity class in which
+    the sets disagree. Large cells are worked in blocks, so memory stays bounded however many
+    sets a cell holds."""
     found: list[np.ndarray] = []
-
-    def add(a, b):
-        found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
-
     for rows in _whole_cells(batches):
-        token, region, fp = (rows[c].to_numpy() for c in ("token", "region", "fp"))
+        token, fp, n, rest, apart, region = (rows[c].to_numpy() for c in ("token", "fp", "n", "rest", "apart", "region"))
+        parity = np.frombuffer(b"".join(rows["parity"]), np.uint64).reshape(len(rows), -1)
+
+        def add(i, j):
+            ok = (region[i] != region[j]) & (9 * np.minimum(rest[i], rest[j]) >= 4 * (n[i] + n[j]))
+            i, j = i[ok], j[ok]
+            for s in range(0, len(i), 100_000):
+                p, q = i[s:s + 100_000], j[s:s + 100_000]
+                differ = np.bitwise_count(parity[p] ^ parity[q]).sum(1, dtype=np.int64) + apart[p] + apart[q]
+                p, q = fp[p[9 * differ <= n[p] + n[q]]], fp[q[9 * differ <= n[p] + n[q]]]
+                found.append(np.stack([np.minimum(p, q), np.maximum(p, q)], 1))
+
         starts = np.flatnonzero(np.diff(token, prepend=token[0] - 1))
         size = np.diff(np.append(starts, len(token)))
         mixed = np.minimum.reduceat(region, starts) != np.maximum.reduceat(region, starts)
-        small = rows[np.repeat(mixed & (size <= SMALL_CELL), size)]
+        small = np.flatnonzero(np.repeat(mixed & (size <= SMALL_CELL), size))
         for k in range(1, SMALL_CELL):
-            x, y = small.iloc[:-k], small.iloc[k:]
-            same = x["token"].to_numpy() == y["token"].to_numpy()
+            same = token[small[:-k]] == token[small[k:]]
             if not same.any():
                 break
-            ok = same.copy()
-            ok[same] = _possible(x[same], y[same])
-            add(x["fp"].to_numpy()[ok], y["fp"].to_numpy()[ok])
-        for s, e in zip(starts[mixed & (size > SMALL_CELL)], (starts + size)[mixed & (size > SMALL_CELL)]):
-            cell = rows.iloc[s:e]
-            n, rest, own, who = (cell[c].to_numpy() for c in ("n", "rest", "region", "fp"))
-            for i in range(0, len(cell), 256):
-                j = slice(i, i + 256)
-                ok = (9 * np.minimum(rest[j, None], rest[None, :]) >= 4 * (n[j, None] + n[None, :])) & (own[j, None] < own[None, :])
-                r, c = np.nonzero(ok)
-                add(who[j][r], who[c])
+            add(small[:-k][same], small[k:][same])
+        for s, e in zip(starts[mixed & (size > SMALL_CELL)].tolist(), (starts + size)[mixed & (size > SMALL_CELL)].tolist()):
+            for i in range(s, e, 256):
+                p, q = np.meshgrid(np.arange(i, min(i + 256, e)), np.arange(i + 1, e), indexing="ij")
+                ahead = p < q
+                add(p[ahead], q[ahead])
         if sum(map(len, found)) > 200_000:
-            once = np.unique(np.concatenate(found), axis=0)
-            yield _pair_batch(once)
+            yield _pair_batch(np.unique(np.concatenate(found), axis=0))
             found.clear()
     if found:
         yield _pair_batch(np.unique(np.concatenate(found), axis=0))
@@ -325,7 +333,8 @@ def join(docs: DataFrame) -> DataFrame:
     shared = (docs.mapInArrow(_low_tokens(buckets), "bucket long, tokens binary, fps binary, mine binary")
               .repartition(max(shuffles, buckets // 16), "bucket").sortWithinPartitions("bucket")
               .mapInArrow(_shared, "fp long, shared long").groupBy("fp").agg(F.sum("shared").alias("shared")))
-    survivors = stage(nodes.join(shared, "fp", "left").where("coalesce(shared, 0) >= own - n div 5").select("fp", "least", "n"), "survivors")
+    survivors = stage(nodes.join(shared, "fp", "left").where("coalesce(shared, 0) >= own - n div 5").select(
+        "fp", "least", "n", F.expr("(own - coalesce(shared, 0)) / greatest(own, 1)").alias("apart")), "survivors")
     few, tokens = survivors.agg(F.count("*"), F.sum("n")).first()
     kind = "fp long, n long, tokens binary, least array<long>"
     if few <= BROADCAST_SETS:
@@ -338,8 +347,8 @@ def join(docs: DataFrame) -> DataFrame:
     sets = stage(sets, "chosen")
 
     # regions: exact distances to the pivots
-    cells = sets.select("fp", F.posexplode("least").alias("j", "token"))
-    pivots = cells.groupBy("j", "token").agg(F.min("fp").alias("b"), F.count("*").alias("c")).where("c > 1")
+    cells = sets.join(survivors.select("fp", "apart"), "fp").select("fp", "apart", F.posexplode(sets["least"]).alias("j", "token"))
+    pivots = cells.groupBy("j", "token").agg(F.min_by("fp", F.struct("apart", "fp")).alias("b"), F.count("*").alias("c")).where("c > 1")
     near = cells.join(pivots, ["j", "token"]).where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
     near = stage(measure(near, sets).distinct(), "near")
     links = near.where(linked()).select("a", "b")
@@ -352,9 +361,9 @@ def join(docs: DataFrame) -> DataFrame:
               .repartition(parts, "bucket").sortWithinPartitions("bucket")
               .mapInArrow(_several(buckets), "bucket long, tokens binary, fps binary, ns binary, dfs binary")
               .repartition(parts, "bucket").sortWithinPartitions("bucket")
-              .mapInArrow(_prefix, "token long, fp long, n long, rest long"))
+              .mapInArrow(_prefix, "token long, fp long, n long, rest long, apart long, parity binary"))
     prefix = prefix.join(regions.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
-        "token", "fp", "n", "rest", F.coalesce("root", "fp").alias("region"))
+        "token", "fp", "n", "rest", "apart", "parity", F.coalesce("root", "fp").alias("region"))
     pairs = prefix.repartition(F.col("token")).sortWithinPartitions("token").mapInArrow(_pairs, "a long, b long").distinct()
     distance = near.groupBy("a").agg(F.map_from_entries(F.collect_list(
         F.struct("b", F.expr("1 - both / (na + nb - both)").alias("d")))).alias("da"))
