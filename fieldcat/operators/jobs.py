@@ -40,6 +40,17 @@ def admit(requests: DataFrame, clients: DataFrame, key_col: str = "api_key",
     return accepted, rejected
 
 
+def check_types(requests: DataFrame, allowed: list[str], col: str = "ingest_types",
+                stage: str = "submit") -> tuple[DataFrame, DataFrame]:
+    """Requests whose ingest types are all among ``allowed`` (null or none
+    asked for: all of them), and the rest with an error ``issue``."""
+    bad = F.array_except(F.coalesce(F.col(col), F.array().cast("array<string>")), F.array(*[F.lit(a) for a in allowed]))
+    checked = requests.withColumn("_bad", bad)
+    msg = F.concat(F.lit("unknown ingest types "), F.array_join("_bad", ","))
+    return (checked.where(F.size("_bad") == 0).drop("_bad"),
+            checked.where(F.size("_bad") > 0).withColumn("issue", issue(SEVERITY_ERROR, msg, stage)).drop("_bad"))
+
+
 def initial_events(accepted: DataFrame, now=None) -> DataFrame:
     """One ``submitted`` status event per accepted request. ``id`` is the
     natural id of the request key (replays do not create second jobs)."""

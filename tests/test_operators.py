@@ -421,3 +421,10 @@ def test_upsert_ties_agree(spark):
     rows = [("k", v, 0) for v in ("a", "b", "c")]
     got = {sinks.read_latest(spark.createDataFrame(r, "k string, v string, _batch int"), "k").first().v for r in (rows, rows[::-1])}
     assert len(got) == 1
+
+
+def test_ingest_types_are_checked_and_carried(spark):
+    req = spark.createDataFrame([("1", ["a"]), ("2", ["a", "x"]), ("3", None), ("4", [])], "id string, ingest_types array<string>")
+    good, bad = jobs.check_types(req, ["a", "b"])
+    assert sorted((r.id, r.ingest_types) for r in good.collect()) == [("1", ["a"]), ("3", None), ("4", [])]
+    assert [(r.id, r.issue.msg) for r in bad.collect()] == [("2", "unknown ingest types x")]
