@@ -80,7 +80,40 @@ SELECT p.page_id, coalesce(j.host, '') AS host, coalesce(j.path, '') AS path, j.
 FROM pages p LEFT JOIN j ON j.url = p.url LEFT JOIN v ON v.node = j.node
 """
 
+#: The registered query's notices (fixed values).
+_NOTICES = [
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0-header", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
+    ("MIT", "Released under the MIT License."),
+    ("MIT-grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-grant", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+]
+_TOKENS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+
+LICENSE_SCAN = f"""
+WITH t(template, text) AS (VALUES {", ".join(f"('{a}', '{b}')" for a, b in _NOTICES)}),
+tw AS (SELECT template, {_TOKENS} AS w FROM t),
+ts AS (SELECT DISTINCT template, CAST(2 ** ceil(log2(len(w))) AS BIGINT) AS l,
+         unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS s FROM tw),
+n AS (SELECT template, count(*) AS n FROM ts GROUP BY template),
+w AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
+ds AS (SELECT doc_id, unnest(range(0, len(w) - 2)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS s
+       FROM w WHERE len(w) >= 3),
+h AS (SELECT doc_id, template, l, s, unnest(CASE WHEN i < l THEN [0] ELSE [i // l - 1, i // l] END) AS k FROM ds JOIN ts USING (s)),
+c AS (SELECT doc_id, h.template, l * k AS place, count(DISTINCT s) / n.n AS containment FROM h JOIN n ON n.template = h.template
+      GROUP BY doc_id, h.template, l, k, n.n),
+b AS (SELECT doc_id, template, max(containment) AS containment FROM c WHERE containment >= 0.8 GROUP BY doc_id, template)
+SELECT b.doc_id, b.template, b.containment, min(c.place) AS place
+FROM b JOIN c ON c.doc_id = b.doc_id AND c.template = b.template AND c.containment = b.containment GROUP BY ALL
+"""
+
 ORACLE: dict[str, str] = {
+    "op5_license_scan": LICENSE_SCAN,
     "op8_url_filter": URL_FILTER,
     "op9_jaccard_join": JACCARD_JOIN,
     "op10_quality_rules": QUALITY_RULES,
