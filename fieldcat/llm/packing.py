@@ -34,7 +34,9 @@ END = 0
 #: Pieces that one shard should hold.
 SHARD_ROWS = 16_384
 #: Text chunks whose ids a task remembers at most.
-REMEMBERED = 600_000
+REMEMBERED = 150_000
+#: Bytes of text tokenised at once.
+TEXT_BYTES = 2_000_000
 
 #: The pattern that byte-level tokenizers of this family split text with (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -130,7 +132,7 @@ def _pieces(path: str, most: int):
         cache = worker_cache()
         tokenizer = cache.get(path) or cache.setdefault(path, ChunkedTokenizer(path))
         for batch in batches:
-            for part in text_pieces(batch):
+            for part in text_pieces(batch, most=TEXT_BYTES):
                 ids, rows = part.column("doc_id").to_pylist(), []
                 for doc, tokens in zip(ids, tokenizer(part.column("text"))):
                     tokens = np.append(tokens, np.uint32(END))
