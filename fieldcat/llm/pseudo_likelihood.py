@@ -1,17 +1,25 @@
 """Masked pseudo-likelihood: a bidirectional window network, trained in numpy on the corpus,
 predicts every word from the words on both sides; the summed log-probabilities score texts.
 
-Vocabulary: the ``WORDS`` most frequent words of the whole corpus (counts over all documents);
-any other word falls into one of ``RARE`` buckets by its hash. The network joins the
-embeddings of ``SIDE`` words on either side, applies one tanh layer, and gives the word's
-probability as that of its class times that of the word inside the class. A word is never
-among its own inputs, so every position is predicted as if masked.
+Vocabulary: every word that the whole corpus holds at least ``SEEN`` times (counts over all
+documents); it grows with the corpus and stays a distributed table. The ``WORDS`` most
+frequent are outputs of the network by themselves; the others are dealt to ``RARE`` groups by
+their hash, and the network predicts the group. Inside a group a vocabulary word has its share
+of the group's counted words; the share of words seen less often goes to all other words, by
+their own spelling (a model of byte pairs, learnt from the words seen less often). So every
+word, seen or not, has a probability of its own, and those of all words sum to at most one.
+
+The network joins the embeddings of ``SIDE`` words on either side, applies one tanh layer, and
+gives the probability as that of the class times that of the word or group inside the class.
+A word is never among its own inputs, so every position is predicted as if masked. As a
+neighbour, a word of a group has the group's embedding.
 
 Training covers all documents: in each of ``ROUNDS`` rounds every task starts from the same
 parameters and takes a pass of stochastic gradients over a hash-chosen sixteenth of its
 positions, as masked training does; the tasks' parameters are averaged, weighted by their
 positions, in segments and in two steps, so no task gathers all of them. What reaches the
-driver is one set of parameters and the vocabulary, both of fixed size.
+driver is one set of parameters, the network's own words, the byte pairs and a number for each
+group, all of fixed size; the vocabulary meets the scored words by a join.
 
 Defined results: a null or empty text has no words and log-likelihood 0. Texts of one word are
 predicted from padding. Rows given twice score alike. An empty corpus keeps the first
@@ -20,19 +28,29 @@ parameters. Other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldcat.llm.shingles import mix, word_codes
-from fieldcat.llm.support import text_pieces
+from fieldcat.llm.shingles import distinct_words, hash_strings, mix, word_codes
+from fieldcat.llm.support import stage, text_pieces
 
 WORDS, RARE, CLASSES = 3968, 128, 64
 SIDE, EMBED, HIDDEN = 2, 16, 32
 TOKENS = WORDS + RARE
 INSIDE = TOKENS // CLASSES
 ROUNDS, MASKED, BATCH, RATE = 2, 16, 4096, 0.15
+#: Occurrences from which a word is in the vocabulary; rarer ones are spelled.
+SEEN = 2
+#: The mark at both ends of a spelled word, beside the 256 bytes.
+EDGE = 256
+#: Log-likelihoods are summed in whole units of this size, so in any order alike.
+UNIT = 1e-6
 #: Parameters in one averaged segment.
 SEGMENT = 8192
 _BLOCK = 16_384
@@ -40,6 +58,19 @@ _BLOCK = 16_384
 Model = dict[str, np.ndarray]
 
 
+class Vocabulary(NamedTuple):
+    """``hashed`` (sorted) and ``ids``: the network's own words. ``words``: (word, logp), the
+    other words and the logarithm of each one's share of its group. ``others``: per group, the
+    logarithm of the share of all words not in the vocabulary. ``spelling``: the logarithm of
+    each byte's probability after another."""
+
+    hashed: np.ndarray
+    ids: np.ndarray
+    words: DataFrame
+    others: np.ndarray
+    spelling: np.ndarray
+
+
 def shapes() -> dict[str, tuple[int, ...]]:
     return {"embed": (TOKENS + 1, EMBED), "layer": (2 * SIDE * EMBED, HIDDEN), "shift": (HIDDEN,),
             "class": (HIDDEN, CLASSES), "class_bias": (CLASSES,), "word": (CLASSES, HIDDEN, INSIDE), "word_bias": (CLASSES, INSIDE)}
@@ -66,11 +97,31 @@ def unflat(values: np.ndarray) -> Model:
 def token_ids(text: pa.Array, vocabulary: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all words, and each row's offsets. ``vocabulary``: sorted hashes, ids."""
     hashed, code, off = word_codes(text)
+    return ids_of(hashed, vocabulary)[code], off
+
+
+def ids_of(hashed: np.ndarray, vocabulary: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     ids = (WORDS + (hashed % np.uint64(RARE)).astype(np.int64))
     if len(vocabulary[0]):
         at = np.minimum(np.searchsorted(vocabulary[0], hashed), len(vocabulary[0]) - 1)
         ids = np.where(vocabulary[0][at] == hashed, vocabulary[1][at], ids)
-    return ids[code].astype(np.int32), off
+    return ids.astype(np.int32)
+
+
+def byte_pairs(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of every word's byte pairs, its edges included, and the words' offsets."""
+    words = pa.concat_arrays([words.cast(pa.string())])
+    size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    line = np.full(size.sum() + len(size) + 1, EDGE, np.int64)
+    line[np.arange(size.sum()) + 1 + np.repeat(np.arange(len(size)), size)] = np.frombuffer("".join(words.to_pylist()).encode(), np.uint8)
+    return line[:-1] * (EDGE + 1) + line[1:], np.concatenate([[0], np.cumsum(size + 1)])
+
+
+def spelled(words: pa.Array, spelling: np.ndarray) -> np.ndarray:
+    """The log-probability of each word's spelling."""
+    pair, off = byte_pairs(words)
+    total = np.concatenate([[0.0], np.cumsum(spelling.ravel()[pair])])
+    return total[off[1:]] - total[off[:-1]]
 
 
 def padded(ids: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,18 +203,48 @@ def gradient(model: Model, around: np.ndarray, target: np.ndarray) -> Model:
 def _count_words(batches):
     for batch in batches:
         for piece in text_pieces(batch):
-            hashed, code, _ = word_codes(piece.column("text"))
-            count = np.bincount(code, minlength=len(hashed))
-            yield pa.RecordBatch.from_arrays([pa.array(hashed[count > 0].view(np.int64)), pa.array(count[count > 0])], ["word", "n"])
+            words, code, _ = distinct_words(piece.column("text"))
+            count = np.bincount(code, minlength=len(words))
+            some = pa.array(count > 0)
+            yield pa.RecordBatch.from_arrays([pa.array(hash_strings(words).view(np.int64)), pa.array(count), words],
+                                             ["word", "n", "spelling"]).filter(some)
 
 
-def vocabulary_of(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent words of all documents: sorted hashes, and their ids by rank."""
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_words, "word long, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(WORDS).collect()
+def _count_pairs(batches):
+    count = np.zeros((EDGE + 1) ** 2, np.int64)
+    for batch in batches:
+        pair, _ = byte_pairs(batch.column("spelling"))
+        count += np.bincount(pair, minlength=len(count))
+    some = np.flatnonzero(count)
+    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(count[some])], ["pair", "n"])
+
+
+def vocabulary_of(docs: DataFrame) -> Vocabulary:
+    """The vocabulary of all documents: the most frequent words by rank, the others as a table."""
+    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_words, "word long, n long, spelling string")
+    counts = stage(counts.groupBy("word").agg(F.sum("n").alias("n"), F.first("spelling").alias("spelling")), "words")
+    top = counts.select("word", "n").orderBy(F.desc("n"), "word").limit(WORDS).collect()
     hashed = np.array([r["word"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(hashed)
-    return hashed[order], order.astype(np.int64)
+
+    beyond = F.lit(False)
+    if len(top) == WORDS:
+        n, word = top[-1]["n"], top[-1]["word"]
+        beyond = (F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word))
+    rest = counts.where(beyond).withColumn("group", F.expr(f"cast(pmod(word, {RARE}) as int)"))
+    size, once = np.ones(RARE), np.ones(RARE)  # one more word that was never seen
+    for r in rest.groupBy("group").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("n") < SEEN, F.col("n")).otherwise(0)).alias("once")).collect():
+        size[r["group"]] += r["n"]
+        once[r["group"]] += r["once"]
+    logs = F.array(*[F.lit(float(x)) for x in np.log(size)])
+    words = rest.where(F.col("n") >= SEEN).select("word", (F.log("n") - F.element_at(logs, F.col("group") + 1)).alias("logp"))
+
+    pairs = np.full((EDGE + 1) ** 2, 0.1)
+    found = rest.where(F.col("n") < SEEN).select("spelling").mapInArrow(_count_pairs, "pair int, n long")
+    for r in found.groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        pairs[r["pair"]] += r["n"]
+    pairs = pairs.reshape(EDGE + 1, EDGE + 1)
+    return Vocabulary(hashed[order], order.astype(np.int64), words, np.log(once / size), np.log(pairs / pairs.sum(1, keepdims=True)))
 
 
 def _passes(held, turn: int):
@@ -212,13 +293,13 @@ def _averaged(frame):
     return first.assign(weight=weight.sum(), vals=[(total / weight.sum()).astype(np.float32).tobytes()])
 
 
-def train(docs: DataFrame, vocabulary: tuple[np.ndarray, np.ndarray]) -> Model:
+def train(docs: DataFrame, vocabulary: Vocabulary) -> Model:
     """The network after ``ROUNDS`` averaged passes over ``docs``."""
     schema = "segment int, part int, weight double, vals binary"
     values = flat(new_model())
     texts = docs.select(F.col("text").cast("string").alias("text"))
     for turn in range(ROUNDS):
-        held = docs.sparkSession.sparkContext.broadcast((vocabulary, values))
+        held = docs.sparkSession.sparkContext.broadcast(((vocabulary.hashed, vocabulary.ids), values))
         rows = texts.mapInArrow(_passes(held, turn), schema)
         rows = rows.groupBy("segment", "part").applyInPandas(_averaged, schema).groupBy("segment").applyInPandas(_averaged, schema)
         got = sorted(rows.select("segment", "vals").collect())
@@ -228,28 +309,54 @@ def train(docs: DataFrame, vocabulary: tuple[np.ndarray, np.ndarray]) -> Model:
 
 
 def _scores(held):
+    """A row (``times`` 0) with the network's log-likelihood for each document, and a row for
+    each of its distinct words that are in a group, with the logarithm of its share there if
+    it should not be in the vocabulary."""
     def run(batches):
-        vocabulary, model = held.value
+        vocabulary, others, spelling, model = held.value
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for piece in text_pieces(batch):
-                ids, off = token_ids(piece.column("text"), vocabulary)
+                words, code, off = distinct_words(piece.column("text"))
+                hashed = hash_strings(words)
+                token = ids_of(hashed, vocabulary)
+                ids = token[code]
                 logp = np.empty(len(ids), np.float64)
                 wide, where = padded(ids, off)
                 for s in range(0, len(ids), _BLOCK):
                     at = slice(s, s + _BLOCK)
                     logp[at] = log_probabilities(model, contexts(wide, where[at]), ids[at])
                 total = np.concatenate([[0.0], np.cumsum(logp)])
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(np.diff(off)), pa.array(total[off[1:]] - total[off[:-1]])],
-                                                 ["doc_id", "n_tokens", "log_likelihood"])
+                rows = row + np.arange(len(piece))
+                row += len(piece)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows), piece.column("doc_id"), pa.array(np.diff(off)), pa.array(mix(rows.view(np.uint64)).view(np.int64)),
+                     pa.array(np.zeros(len(piece), np.int64)), pa.array(total[off[1:]] - total[off[:-1]])],
+                    ["row", "doc_id", "n_tokens", "word", "times", "other"])
+                grouped = np.flatnonzero(token >= WORDS)
+                other = np.zeros(len(words))
+                other[grouped] = others[token[grouped] - WORDS] + spelled(words.take(pa.array(grouped)), spelling)
+                place = np.flatnonzero(ids >= WORDS)
+                pair, times = np.unique((np.searchsorted(off, place, side="right") - 1) * len(words) + code[place], return_counts=True)
+                for s in range(0, len(pair), _BLOCK):
+                    of, word = np.divmod(pair[s:s + _BLOCK], len(words))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(rows[of]), pa.nulls(len(of), pa.int64()), pa.nulls(len(of), pa.int64()), pa.array(hashed[word].view(np.int64)),
+                         pa.array(times[s:s + _BLOCK].astype(np.int64)), pa.array(other[word])],
+                        ["row", "doc_id", "n_tokens", "word", "times", "other"])
     return run
 
 
-def score(docs: DataFrame, vocabulary: tuple[np.ndarray, np.ndarray], model: Model) -> DataFrame:
+def score(docs: DataFrame, vocabulary: Vocabulary, model: Model) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_probability) of every row."""
-    held = docs.sparkSession.sparkContext.broadcast((vocabulary, model))
+    held = docs.sparkSession.sparkContext.broadcast(((vocabulary.hashed, vocabulary.ids), vocabulary.others, vocabulary.spelling, model))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _scores(held), "doc_id long, n_tokens long, log_likelihood double")
-    return rows.withColumn("mean_log_probability", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
+        _scores(held), "row long, doc_id long, n_tokens long, word long, times long, other double")
+    term = F.when(F.col("times") == 0, F.col("other")).otherwise(F.col("times") * F.coalesce("logp", "other"))
+    rows = rows.join(vocabulary.words, "word", "left").groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), (F.sum(F.round(term / UNIT).cast("long")) * UNIT).alias("log_likelihood"))
+    return rows.select("doc_id", "n_tokens", "log_likelihood",
+                       F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_probability"))
 
 
 def score_corpus(docs: DataFrame) -> DataFrame:

@@ -38,16 +38,23 @@ def hash_strings(values: pa.Array) -> np.ndarray:
     return mix((total[off[1:]] - total[off[:-1]]) * back[off[:-1]] + np.diff(off).astype(np.uint64))
 
 
-def word_codes(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The hashes of distinct words, every word's place among them, and the offsets of each
-    row's words (null text: none)."""
+def distinct_words(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words, every word's place among them, and the offsets of each row's words
+    (null text: none)."""
     words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text.cast(pa.string()), "")))
     off = words.offsets.to_numpy().astype(np.int64)
     coded = pc.dictionary_encode(words.flatten())
     code = coded.indices.to_numpy(zero_copy_only=False)
     used = (pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False) > 0)[code]
     before = np.concatenate([[0], np.cumsum(used)])
-    return hash_strings(coded.dictionary), code[used], before[off - off[0]]
+    return coded.dictionary, code[used], before[off - off[0]]
+
+
+def word_codes(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of distinct words, every word's place among them, and the offsets of each
+    row's words (null text: none)."""
+    words, code, off = distinct_words(text)
+    return hash_strings(words), code, off
 
 
 def word_hashes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:

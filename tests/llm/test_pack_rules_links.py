@@ -7,11 +7,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from fieldcat.llm import licenses, packing, pseudo_likelihood, quality, quotes, url_filter, vector_graph
 from fieldcat.llm.queries import tokenizer_path
+from fieldcat.llm.shingles import word_codes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, shard long, words_ string, row long, length long"
@@ -274,3 +276,20 @@ def test_pipeline_stages_do_what_the_operators_decide(spark):
     whole = [r for r in packed.collect() if r.length == len(ids[r.doc_id])]
     assert whole and all(r.ids_crc32 == zlib.crc32(ids[r.doc_id].tobytes()) for r in whole) and packed.count() == mixed.count()
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_every_word_has_its_own_probability(spark):
+    common = " ".join(f"w{i}" for i in range(pseudo_likelihood.WORDS) for _ in range(6))
+    rest = [f"r{i}" for i in range(3000)]  # seen five, two times or once
+    rows = [(1, common), (2, " ".join(rest[:1000] * 5)), (3, " ".join(rest[1000:2000] * 2)), (4, " ".join(rest[2000:]))]
+    vocabulary = pseudo_likelihood.vocabulary_of(docs(spark, rows))
+    assert len(vocabulary.hashed) == pseudo_likelihood.WORDS and vocabulary.words.count() == 2000
+    assert vocabulary.words.groupBy(F.expr(f"pmod(word, {pseudo_likelihood.RARE}) as g")).agg(F.sum(F.exp("logp")).alias("p")).where("p >= 1").count() == 0
+    group = lambda w: int(word_codes(pa.array([w]))[0][0] % pseudo_likelihood.RARE)
+    often = rest[0]
+    twice, junk = (next(w for w in of if group(w) == group(often)) for of in (rest[1000:2000], (f"#zq{i}ézzzzzzzz" for i in range(9999))))
+    unseen = next(w for w in (f"r{i}" for i in range(3000, 99999)) if group(w) == group(often))
+    got = {r.doc_id: r.log_likelihood for r in pseudo_likelihood.score(
+        docs(spark, list(enumerate([often, twice, unseen, junk]))), vocabulary, pseudo_likelihood.new_model()).collect()}
+    assert got[0] > got[1] > got[2] > got[3] + 20  # one group, so all equal if scored as their group
+    assert got[0] - got[1] == pytest.approx(math.log(5 / 2), abs=1e-5)
