@@ -14,9 +14,10 @@ gives the probability as that of the class times that of the word or group insid
 A word is never among its own inputs, so every position is predicted as if masked. As a
 neighbour, a word of a group has the group's embedding.
 
-Training covers all documents: in each of ``ROUNDS`` rounds every task starts from the same
-parameters and takes a pass of stochastic gradients over a hash-chosen sixteenth of its
-positions, as masked training does; the tasks' parameters are averaged, weighted by their
+Training covers every position of all documents once: a position's hash names the one of the
+``ROUNDS`` rounds in which it is a target. In each round every task starts from the same
+parameters and takes a pass of stochastic gradients over its positions of that round; the
+tasks' parameters are averaged, weighted by their
 positions, in segments and in two steps, so no task gathers all of them. What reaches the
 driver is one set of parameters, the network's own words, the byte pairs and a number for each
 group, all of fixed size; the vocabulary meets the scored words by a join.
@@ -44,7 +45,7 @@ WORDS, RARE, CLASSES = 3968, 128, 64
 SIDE, EMBED, HIDDEN = 2, 16, 32
 TOKENS = WORDS + RARE
 INSIDE = TOKENS // CLASSES
-ROUNDS, MASKED, BATCH, RATE = 2, 16, 4096, 0.15
+ROUNDS, BATCH, RATE = 2, 4096, 0.15
 #: Occurrences from which a word is in the vocabulary; rarer ones are spelled.
 SEEN = 2
 #: The mark at both ends of a spelled word, beside the 256 bytes.
@@ -196,7 +197,10 @@ def gradient(model: Model, around: np.ndarray, target: np.ndarray) -> Model:
         dh[rows] += d @ model["word"][c].T
     dh *= 1 - h * h
     grad["layer"], grad["shift"] = x.T @ dh, dh.sum(0)
-    np.add.at(grad["embed"], around.ravel(), (dh @ model["layer"].T).reshape(-1, EMBED))
+    token = around.ravel()
+    order = np.argsort(token, kind="stable")
+    starts = np.flatnonzero(np.diff(token[order], prepend=-1))
+    grad["embed"][token[order[starts]]] = np.add.reduceat((dh @ model["layer"].T).reshape(-1, EMBED)[order], starts, axis=0)
     return {k: g / n for k, g in grad.items()}
 
 
@@ -247,6 +251,12 @@ def vocabulary_of(docs: DataFrame) -> Vocabulary:
     return Vocabulary(hashed[order], order.astype(np.int64), words, np.log(once / size), np.log(pairs / pairs.sum(1, keepdims=True)))
 
 
+def rounds_of(ids: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """The round in which each position is a target, by its place in its text and its word."""
+    place = np.arange(len(ids)) - np.repeat(off[:-1], np.diff(off))
+    return (mix(place.astype(np.uint64) * np.uint64(31) + ids.astype(np.uint64)) % np.uint64(ROUNDS)).astype(np.int64)
+
+
 def _passes(held, turn: int):
     """(segment, part, weight, values): the parameters after a task's pass over its texts."""
     def run(batches):
@@ -264,15 +274,15 @@ def _passes(held, turn: int):
         for batch in batches:
             for piece in text_pieces(batch):
                 ids, off = token_ids(piece.column("text"), vocabulary)
-                place = np.arange(len(ids), dtype=np.uint64)
-                at = np.flatnonzero(mix(place * np.uint64(31) + ids.astype(np.uint64) + np.uint64(turn << 40)) % np.uint64(MASKED) == 0)
+                at = np.flatnonzero(rounds_of(ids, off) == turn)
                 mark = int(mix(np.array([mark + len(ids)], np.uint64))[0] >> np.uint64(1))
                 wide, where = padded(ids, off)
-                around = np.concatenate([around, contexts(wide, where[at])])
-                target = np.concatenate([target, ids[at]])
-                while len(target) >= BATCH:
-                    learn(around[:BATCH], target[:BATCH])
-                    around, target, seen = around[BATCH:], target[BATCH:], seen + BATCH
+                for s in range(0, len(at), _BLOCK):
+                    around = np.concatenate([around, contexts(wide, where[at[s:s + _BLOCK]])])
+                    target = np.concatenate([target, ids[at[s:s + _BLOCK]]])
+                    while len(target) >= BATCH:
+                        learn(around[:BATCH], target[:BATCH])
+                        around, target, seen = around[BATCH:], target[BATCH:], seen + BATCH
         if len(target):
             learn(around, target)
             seen += len(target)

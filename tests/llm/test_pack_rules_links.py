@@ -293,3 +293,20 @@ def test_every_word_has_its_own_probability(spark):
         docs(spark, list(enumerate([often, twice, unseen, junk]))), vocabulary, pseudo_likelihood.new_model()).collect()}
     assert got[0] > got[1] > got[2] > got[3] + 20  # one group, so all equal if scored as their group
     assert got[0] - got[1] == pytest.approx(math.log(5 / 2), abs=1e-5)
+
+
+def test_every_position_is_a_target_once(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (1, 2, 3, 50, 400)]
+    plain, targets = pseudo_likelihood.gradient, []
+    monkeypatch.setattr(pseudo_likelihood, "gradient", lambda model, around, target: targets.append((around, target)) or plain(model, around, target))
+
+    class held:
+        value = ((np.zeros(0, np.uint64), np.zeros(0, np.int64)), pseudo_likelihood.flat(pseudo_likelihood.new_model()))
+
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    seen = [row for turn in range(pseudo_likelihood.ROUNDS) for row in pseudo_likelihood._passes(held, turn)([batch])]
+    ids, off = pseudo_likelihood.token_ids(pa.array(texts), held.value[0])
+    around = pseudo_likelihood.contexts(*pseudo_likelihood.padded(ids, off))
+    got = [(*a, t) for x, y in targets for a, t in zip(x.tolist(), y.tolist())]
+    assert seen and sorted(got) == sorted((*a, t) for a, t in zip(around.tolist(), ids.tolist()))
