@@ -43,7 +43,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as pieces of packed sequences."""
-    rows = packing.pieces(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    rows = packing.pieces(docs, tokenizer_path(), added=True).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(rows)
 
 

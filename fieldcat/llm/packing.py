@@ -52,13 +52,17 @@ class ChunkedTokenizer:
     Such a tokenizer never joins a visible character with the space after it, so a text
     whose spaces all follow visible characters is the chain of its chunks " word"; any other
     text is encoded whole. Merges are ranked by id in these files, so the file's vocabulary
-    is all that the encoder needs; special tokens' strings are ordinary text."""
+    is all that the encoder needs. A text that holds the string of one of the file's added
+    tokens is left to the file's own tokenizer if ``added``; else such strings are ordinary
+    text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import tiktoken
         from tokenizers import Tokenizer
 
-        vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=False)
+        self.whole = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()] if added else []
+        vocabulary = self.whole.get_vocab(with_added_tokens=False)
         # byte-level files write printable bytes as themselves, the others from U+0100 on
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in set(printable)]
@@ -123,14 +127,20 @@ class ChunkedTokenizer:
         flat = self.ids[at]
         bounds = np.concatenate([[0], ends])[off]
         odd = pc.match_substring_regex(text, _ODD_SPACE).to_numpy(zero_copy_only=False)
+        special = np.zeros(len(text), bool)
+        for token in self.added:
+            special |= pc.match_substring(text, token).to_numpy(zero_copy_only=False)
         for i in range(len(text)):
-            yield self.encode(text[i].as_py()) if odd[i] else flat[bounds[i]:bounds[i + 1]]
+            if special[i]:
+                yield np.array(self.whole.encode(text[i].as_py(), add_special_tokens=False).ids, np.uint32)
+            else:
+                yield self.encode(text[i].as_py()) if odd[i] else flat[bounds[i]:bounds[i + 1]]
 
 
-def _pieces(path: str, most: int):
+def _pieces(path: str, most: int, added: bool):
     def run(batches):
         cache = worker_cache()
-        tokenizer = cache.get(path) or cache.setdefault(path, ChunkedTokenizer(path))
+        tokenizer = cache.get((path, added)) or cache.setdefault((path, added), ChunkedTokenizer(path, added))
         for batch in batches:
             for part in text_pieces(batch, most=TEXT_BYTES):
                 ids, rows = part.column("doc_id").to_pylist(), []
@@ -148,11 +158,12 @@ def _pieces(path: str, most: int):
     return run
 
 
-def pieces(docs: DataFrame, tokenizer: str, most: int = LENGTH) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, most: int = LENGTH, added: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids) of every row's text; ``ids`` are little-endian
-    unsigned 32-bit numbers, ``tokenizer`` is the path of the tokenizer's file."""
+    unsigned 32-bit numbers, ``tokenizer`` is the path of the tokenizer's file. With ``added``
+    the strings of the file's added tokens have those tokens' ids, as its tokenizer gives them."""
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _pieces(tokenizer, most), "doc_id long, piece int, start long, length long, ids binary")
+        _pieces(tokenizer, most, added), "doc_id long, piece int, start long, length long, ids binary")
 
 
 def place(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:

@@ -23,7 +23,7 @@ def tokenizer_path() -> str:
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
-    rows = packing.pieces(docs, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    rows = packing.pieces(docs, tokenizer_path(), added=True).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(rows)
 
 

@@ -310,3 +310,17 @@ def test_every_position_is_a_target_once(spark, monkeypatch):
     around = pseudo_likelihood.contexts(*pseudo_likelihood.padded(ids, off))
     got = [(*a, t) for x, y in targets for a, t in zip(x.tolist(), y.tolist())]
     assert seen and sorted(got) == sorted((*a, t) for a, t in zip(around.tolist(), ids.tolist()))
+
+
+def test_added_tokens_have_their_own_ids_in_query_and_pipeline(spark, tmp_path):
+    import corpus_pipeline
+    from fieldcat.llm.queries import op1_packing
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    rows = [(i, t) for i, t in enumerate([*ODD, "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>", "<|endoftext|", "a\n <|endoftext|>  b"])]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    for got in op1_packing(spark, str(tmp_path)), corpus_pipeline.best_fit_packing(spark, docs(spark, rows), ""):
+        got = {r.doc_id: (r.start, r.length, r.ids_crc32) for r in got.collect()}
+        ids = [np.array(plain.encode(t, add_special_tokens=False).ids + [0], "<u4") for _, t in rows]
+        assert got == {i: (0, len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)}
