@@ -40,16 +40,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldcat.llm.shingles import mix, shingle_sets
-from fieldcat.llm.support import connected_components, stage, text_pieces
+from fieldcat.llm.support import BROADCAST_ROWS, connected_components, small_side, stage, text_pieces
 
 WIDTH = 5
 #: Tokens that one bucket should hold.
 BUCKET_TOKENS = 50_000
 #: Min-hash orders that choose pivots.
 ORDERS = 6
-#: Survivors whose fingerprints may be broadcast (16 bytes each); beyond it they are joined.
-BROADCAST_SETS = 2_000_000
-#: Stands for a null doc_id inside kernels.
+#: Survivors that may be broadcast to choose their rows; beyond it the same join shuffles.
+BROADCAST_SETS = BROADCAST_ROWS
+#: Stands for a null doc_id where the rows of the sets are chosen.
 NO_ID = -(1 << 63)
 
 
@@ -150,24 +150,15 @@ def _shared(batches):
         yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(count.astype(np.int64))], ["fp", "shared"])
 
 
-def _chosen(wanted: tuple[np.ndarray, np.ndarray] | None):
-    """(fp, n, tokens, least): sets themselves and their min-hashes; of the wanted
-    fingerprints only, each from the row with its smallest doc_id."""
-    def run(batches):
-        for ids, values, off, n, fp in _sets(batches):
-            keep = n > 0
-            if wanted is not None and len(wanted[0]):
-                at = np.minimum(np.searchsorted(wanted[0], fp), len(wanted[0]) - 1)
-                keep &= (wanted[0][at] == fp) & (wanted[1][at] == ids.fill_null(NO_ID).to_numpy())
-            elif wanted is not None:
-                keep[:] = False
-            rows = np.flatnonzero(keep)
-            tokens = [values[off[i]:off[i + 1]] for i in rows]
-            least = [[int(mix(t * np.uint64(2 * j + 3) + np.uint64(j)).min().view(np.int64)) for j in range(ORDERS)] for t in tokens]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(fp[rows]), pa.array(n[rows]), pa.array([t.tobytes() for t in tokens], pa.binary()),
-                pa.array(least, pa.list_(pa.int64()))], ["fp", "n", "tokens", "least"])
-    return run
+def _chosen(batches):
+    """(fp, n, tokens, least): sets themselves and their min-hashes."""
+    for _, values, off, n, fp in _sets(batches):
+        rows = np.flatnonzero(n > 0)
+        tokens = [values[off[i]:off[i + 1]] for i in rows]
+        least = [[int(mix(t * np.uint64(2 * j + 3) + np.uint64(j)).min().view(np.int64)) for j in range(ORDERS)] for t in tokens]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(fp[rows]), pa.array(n[rows]), pa.array([t.tobytes() for t in tokens], pa.binary()),
+            pa.array(least, pa.list_(pa.int64()))], ["fp", "n", "tokens", "least"])
 
 
 def _measured(batches):
@@ -314,12 +305,6 @@ def _whole_cells(batches):
         yield held
 
 
-def _broadcast(spark, run, values):
-    """``run(values)`` as a function of batches, the values sent to each executor once."""
-    held = spark.sparkContext.broadcast(values)
-    return lambda batches: run(held.value)(batches)
-
-
 def join(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of ``docs`` (doc_id, text), one row per row."""
     spark = docs.sparkSession
@@ -335,15 +320,13 @@ def join(docs: DataFrame) -> DataFrame:
               .mapInArrow(_shared, "fp long, shared long").groupBy("fp").agg(F.sum("shared").alias("shared")))
     survivors = stage(nodes.join(shared, "fp", "left").where("coalesce(shared, 0) >= own - n div 5").select(
         "fp", "least", "n", F.expr("(own - coalesce(shared, 0)) / greatest(own, 1)").alias("apart")), "survivors")
-    few, tokens = survivors.agg(F.count("*"), F.sum("n")).first()
+    tokens = survivors.agg(F.sum("n")).first()[0]
     kind = "fp long, n long, tokens binary, least array<long>"
-    if few <= BROADCAST_SETS:
-        ids = survivors.select("fp", F.coalesce("least", F.lit(NO_ID)).alias("least")).toArrow().sort_by("fp")
-        wanted = tuple(ids.column(c).to_numpy() for c in ("fp", "least"))
-        sets = docs.mapInArrow(_broadcast(spark, _chosen, wanted), kind)
-    else:
-        ids = every.join(survivors, "fp", "left_semi").select("doc_id").distinct()
-        sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(_chosen(None), kind).join(survivors, "fp", "left_semi").dropDuplicates(["fp"])
+    # each set from a row with its least doc_id; a doc_id may have other texts too
+    known = F.coalesce("doc_id", F.lit(NO_ID))
+    ids = survivors.select(F.coalesce("least", F.lit(NO_ID)).alias("id_")).distinct()
+    sets = docs.join(small_side(ids, BROADCAST_SETS), known == F.col("id_"), "left_semi").select("doc_id", "text").mapInArrow(_chosen, kind)
+    sets = sets.join(small_side(survivors.select("fp"), BROADCAST_SETS), "fp", "left_semi").dropDuplicates(["fp"])
     sets = stage(sets, "chosen")
 
     # regions: exact distances to the pivots

@@ -222,3 +222,14 @@ def test_mix_of_nothing(spark):
     assert mixing.mix(frame(spark, [])).collect() == [] and mixing.materialise(frame(spark, [])).collect() == []
     got = mixing.mix(frame(spark, [(1, None, "a"), (2, "", None)])).collect()
     assert sorted((r.size, r.taken, r.target) for r in got) == [(0, 0, 0.0), (0, 0, 0.0)]
+
+
+def test_texts_of_null_ids_link_with_any_number_of_survivors(spark, monkeypatch):
+    text = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(3)]
+    rows = [(None, text[0] + " end", "s"), (None, text[0] + " end", "s"), (7, text[0], "s"), (8, text[1], "s"), (None, text[1], "s"),
+            (None, text[2], "s"), (None, text[2] + " end", "s"), (8, text[2] + " stop end", "s"), (9, "a b c d e f", "s"), (9, "a b c d e f", "s")]
+    want = [(7, 57, None), (7, 57, None), (7, 56, 7), (8, 56, 8), (8, 56, None), (8, 56, None), (8, 57, None), (8, 58, 8), (9, 2, 9), (9, 2, 9)]
+    for most in (2_000_000, 0):
+        monkeypatch.setattr(jaccard_join, "BROADCAST_SETS", most)
+        got = [(r.component_id, r.n_shingles, r.doc_id) for r in jaccard_join.join(frame(spark, rows)).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
