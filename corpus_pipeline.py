@@ -25,9 +25,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one whose doc_id names the component."""
-    gone = jaccard_join.join(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("id_")).distinct()
-    return docs.join(small_side(gone), docs["doc_id"] == F.col("id_"), "left_anti").select(*COLUMNS)
+    """One row of each component stays: that of least doc_id (null last), then text hash. Of
+    rows given twice with that doc_id and text, the least by their other columns stays."""
+    every, named = jaccard_join.grouped(docs)
+    rows = every.where("n > 0").join(named.select("fp", "root"), "fp").groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    rows = stage(rows, "members")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))).alias("first")
+    rows = rows.join(rows.groupBy("root").agg(first), "root")
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.hash"))
+    other = rows.where(~is_first | (F.col("copies") > 1)).select(
+        F.col("doc_id").alias("id_"), F.col("text_hash").alias("hash_"), is_first.alias("repeated_"))
+    other = stage(other, "others")
+    text = F.xxhash64("text")
+    same = docs["doc_id"].eqNullSafe(F.col("id_")) & (text == F.col("hash_"))
+    docs = docs.select(*COLUMNS)
+    once = docs.join(small_side(other), same, "left_anti")
+    # a minimum, so rows given any number of times shrink in every task
+    several = docs.join(small_side(other.where("repeated_")), same, "left_semi").groupBy("doc_id", text.alias("hash_")).agg(
+        F.min(F.struct("lang", "source", "n_chars", "text")).alias("row"))
+    return once.unionByName(several.select("doc_id", "row.text", "row.lang", "row.source", "row.n_chars")).select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

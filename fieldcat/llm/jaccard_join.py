@@ -77,17 +77,17 @@ def _sets(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         for piece in text_pieces(batch):
             values, off = shingle_sets(piece.column("text"), WIDTH)
-            yield piece.column("doc_id"), values, off, np.diff(off), _fingerprints(values, off)
+            yield piece, values, off, np.diff(off), _fingerprints(values, off)
 
 
 def _meta(batches):
-    """(doc_id, n, fp, own): a row's set's size and fingerprint, and how many of its tokens
-    lie below its own level."""
-    for ids, values, _, n, fp in _sets(batches):
+    """(doc_id, text_hash, n, fp, own): a row's set's size and fingerprint, and how many of its
+    tokens lie below its own level."""
+    for piece, values, _, n, fp in _sets(batches):
         rows = np.repeat(np.arange(len(n)), n)
         own = np.bincount(rows[_below(values, level(1.25 * n)[rows])], minlength=len(n))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(fp, mask=n == 0), pa.array(own.astype(np.int64))],
-                                         ["doc_id", "n", "fp", "own"])
+        yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("text_hash"), pa.array(n), pa.array(fp, mask=n == 0), pa.array(own.astype(np.int64))],
+                                         ["doc_id", "text_hash", "n", "fp", "own"])
 
 
 def _deal(bucket: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
@@ -305,11 +305,14 @@ def _whole_cells(batches):
         yield held
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of ``docs`` (doc_id, text), one row per row."""
+def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, n, fp, own) of every row of ``docs`` (doc_id, text), and (fp, least,
+    root) of every set that is not empty; sets of one component have one root."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    every = stage(docs.mapInArrow(_meta, "doc_id long, n long, fp long, own long"), "sets")
+    every = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        _meta, "doc_id long, text_hash long, n long, fp long, own long")
+    every = stage(every, "sets")
     nodes = every.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("own").alias("own"))
 
     # a first split: sets whose tokens are shared too little are alone
@@ -357,6 +360,12 @@ def join(docs: DataFrame) -> DataFrame:
 
     roots = connected_components(links).withColumnRenamed("node", "fp")
     named = stage(nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "named")
+    return every, named
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of ``docs`` (doc_id, text), one row per row."""
+    every, named = grouped(docs)
     best = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = named.join(best, "root").select("fp", "component_id")
     some = every.where("n > 0").join(named, "fp").select("doc_id", "n", "component_id")

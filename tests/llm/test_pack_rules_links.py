@@ -324,3 +324,19 @@ def test_added_tokens_have_their_own_ids_in_query_and_pipeline(spark, tmp_path):
         got = {r.doc_id: (r.start, r.length, r.ids_crc32) for r in got.collect()}
         ids = [np.array(plain.encode(t, add_special_tokens=False).ids + [0], "<u4") for _, t in rows]
         assert got == {i: (0, len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)}
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(80)) for _ in range(7)]
+    rows = [(1, texts[0]), (1, texts[0]), (1, texts[0]),  # given twice
+            (2, texts[1]), (None, texts[1]), (None, texts[1] + " end"),  # copies without an id
+            (3, texts[2]), (4, texts[2] + " end"), (4, texts[3]),  # an id of a copy and of a clean document
+            (None, texts[4]), (None, texts[4]), (None, texts[5]),  # no ids at all
+            (6, texts[6]), (6, texts[6] + " end"), (7, ""), (8, None)]
+    table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text if r.text != texts[6] + " end" else texts[6]) for r in corpus_pipeline.near_duplicates(spark, table, "").collect()]
+    want = [(1, texts[0]), (2, texts[1]), (3, texts[2]), (4, texts[3]), (None, texts[4]), (None, texts[5]), (6, texts[6]), (7, ""), (8, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
