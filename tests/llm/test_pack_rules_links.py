@@ -340,3 +340,16 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     got = [(r.doc_id, r.text if r.text != texts[6] + " end" else texts[6]) for r in corpus_pipeline.near_duplicates(spark, table, "").collect()]
     want = [(1, texts[0]), (2, texts[1]), (3, texts[2]), (4, texts[3]), (None, texts[4]), (None, texts[5]), (6, texts[6]), (7, ""), (8, None)]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_partial_quotations_link(spark):
+    rows = [(1, 0, "u", "First part.\n\nSecond part.\n\nThird part."), (1, 1, "a", "> First part.\n>\n> Second part.\nyes"),  # two of three paragraphs
+            (2, 0, "u", "line one\nline two\nline three\nline four"), (2, 1, "u", "line two"), (2, 2, "a", "> line one\n> line two\n> line four\n> not there\nno"),  # lines; most units decide
+            (3, 0, "u", "zero"), (3, 1, "u", "> zero\nalpha\nbeta\n> zero\ngamma\ndelta"), (3, 2, "a", "> gamma\n> delta"),  # a run between quotes
+            (4, 0, "u", "> said before\nhm"), (4, 1, "u", "said before"), (5, 0, "u", "said before"),  # own later repeat, original elsewhere
+            (6, 0, "u", "> nobody\n> wrote this")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.n_quotes, r.n_linked, r.reply_to, r.thread) for r in quotes.link(table).collect()}
+    assert got[(1, 1)] == (1, 1, 0, 0) and got[(2, 2)] == (1, 1, 0, 0)
+    assert got[(3, 1)] == (2, 2, 0, 0) and got[(3, 2)] == (1, 1, 1, 0)
+    assert got[(4, 0)] == (1, 1, None, 0) and got[(6, 0)] == (1, 0, None, 0)
