@@ -353,3 +353,28 @@ def test_partial_quotations_link(spark):
     assert got[(1, 1)] == (1, 1, 0, 0) and got[(2, 2)] == (1, 1, 0, 0)
     assert got[(3, 1)] == (2, 2, 0, 0) and got[(3, 2)] == (1, 1, 1, 0)
     assert got[(4, 0)] == (1, 1, None, 0) and got[(6, 0)] == (1, 0, None, 0)
+
+
+def test_graph_is_exact_where_rounds_fail_the_audit(spark, monkeypatch):
+    monkeypatch.setattr(vector_graph, "SHARD", 60)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(80, 12))
+    x = np.concatenate([x, x[::4] + 0.08 * rng.normal(size=(20, 12))])
+    plain, rounds = vector_graph.links, []
+
+    def blind(nodes, link, copies, levels=1):  # rounds that find nothing
+        rounds.append(levels)
+        return spark.createDataFrame([], "node long, links long, root long") if levels else plain(nodes, link, copies, 0)
+
+    monkeypatch.setattr(vector_graph, "links", blind)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vector_graph.near_duplicates(table).collect()}
+    u = vector_graph.unit(x)
+    assert [got[i] for i in range(100)] == ((u @ u.T >= vector_graph.LINK).sum(1) - 1).tolist() and rounds == [1, 1, 1, 0]
+
+
+def test_sweep_completes_what_a_walk_missed():
+    x = vector_graph.unit(np.concatenate([np.eye(6), np.eye(6) + 0.1]))
+    n = len(x)
+    near = np.flatnonzero(((x @ x.T >= 0.9) & ~np.eye(n, dtype=bool)).ravel())
+    assert len(near) and vector_graph.swept(x, near[:0], 0.9).tolist() == near.tolist() == vector_graph.swept(x, near[::2], 0.9).tolist()
