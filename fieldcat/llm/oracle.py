@@ -112,9 +112,31 @@ SELECT b.doc_id, b.template, b.containment, min(c.place) AS place
 FROM b JOIN c ON c.doc_id = b.doc_id AND c.template = b.template AND c.containment = b.containment GROUP BY ALL
 """
 
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+IMPORTANCE_RESAMPLING = f"""
+WITH w AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ALNUM}')) AS w FROM documents),
+bw AS (SELECT unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ALNUM}')) AS w FROM benchmark),
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+d AS (SELECT w, hex(encode(w)) AS x FROM (SELECT w FROM w UNION SELECT w FROM bw)),
+k AS (SELECT w, xor(list_reduce(list_transform(range(0, strlen(w)), lambda i: CAST('0x' || substr(x, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS b FROM d, crc),
+s AS (SELECT b, count(*) AS s FROM w JOIN k USING (w) GROUP BY b), t AS (SELECT b, count(*) AS t FROM bw JOIN k USING (w) GROUP BY b),
+n AS (SELECT (SELECT count(*) FROM w) AS s_all, (SELECT count(*) FROM bw) AS t_all),
+g AS (SELECT b, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * (s_all + 10000) / (CAST(s + 1 AS DOUBLE) * (t_all + 10000)))) AS BIGINT) AS g
+      FROM s LEFT JOIN t USING (b), n),
+x AS (SELECT doc_id, count(*) AS n_features, CAST(sum(g) AS BIGINT) AS total FROM w JOIN k USING (w) JOIN g USING (b) GROUP BY doc_id),
+y AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, CAST(coalesce(floor(total / n_features), 0) AS BIGINT) AS weight,
+        CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h FROM documents LEFT JOIN x USING (doc_id)),
+z AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM y),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM z WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM z LEFT JOIN r USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op5_license_scan": LICENSE_SCAN,
     "op8_url_filter": URL_FILTER,
     "op9_jaccard_join": JACCARD_JOIN,
     "op10_quality_rules": QUALITY_RULES,
+    "op13_importance_resampling": IMPORTANCE_RESAMPLING,
 }
