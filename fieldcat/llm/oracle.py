@@ -133,10 +133,30 @@ r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, co
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM z LEFT JOIN r USING (doc_id)
 """
 
+COLLOCATIONS = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM p),
+o AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+      FROM w, (SELECT unnest([1, 2, 3]) AS m) WHERE len(w) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM o GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 10),
+k AS (SELECT c.*, unnest(range(1, m)) AS k FROM c),
+s AS (SELECT k.lang, k.phrase, a, k, x.f AS l, y.f AS r, CAST(1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score FROM k
+      JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(w[1:k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(w[k + 1:k.m], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a AS longer FROM c WHERE m = 3),
+d AS (SELECT lang, phrase, max(longer) AS longer FROM i GROUP BY ALL),
+r AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+      FROM b LEFT JOIN d ON d.lang = b.lang AND d.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op5_license_scan": LICENSE_SCAN,
     "op8_url_filter": URL_FILTER,
     "op9_jaccard_join": JACCARD_JOIN,
     "op10_quality_rules": QUALITY_RULES,
+    "op12_collocations": COLLOCATIONS,
     "op13_importance_resampling": IMPORTANCE_RESAMPLING,
 }
