@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldcat.llm import importance, jaccard_join, licenses, mixing, packing, phrases, pii, pseudo_likelihood, quality, quotes, url_filter, vector_graph
+from fieldcat.llm import importance, jaccard_join, licenses, main_text, mixing, packing, phrases, pii, pseudo_likelihood, quality, quotes, url_filter, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine(_table(spark, sf_dir, "documents", "lang", "text"))
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_main_text": op11_main_text,
     "op12_collocations": op12_collocations,
     "op13_importance_resampling": op13_importance_resampling,
 }
