@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldcat.llm.support import small_side, stage, text_pieces
+from fieldcat.llm.support import stage, text_pieces
 
 BUCKETS = 10_000
 #: A line with more than this part of all occurrences is joined by broadcast.
@@ -211,7 +211,7 @@ class Features:
         refs, sums = self.refs.where("digest is not null"), ["n_words", "n_features", "gain"]
         found = lines.where(hot).select("digest", *sums)
         parts = [refs.join(F.broadcast(found), "digest"), refs.join(F.broadcast(found.select("digest")), "digest", "left_anti").join(
-            small_side(lines.where(~hot).select("digest", *sums)), "digest")]
+            lines.where(~hot).select("digest", *sums).hint("shuffle_hash"), "digest")]
         none = F.lit(0).cast("long")
         out = self.refs.where("digest is null").select("row", "doc_id", *[none.alias(c) for c in sums])
         for part in parts:

@@ -22,10 +22,13 @@ empty tables give empty results. Columns other than lang and text are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +36,10 @@ from fieldcat.llm.shingles import mix
 from fieldcat.llm.support import stage, text_pieces
 
 SHARD_PHRASES = 500_000
-SHARD_BYTES = 24_000_000
+SHARD_BYTES = 32_000_000
 BITMAP_BITS = 1 << 30
-#: Distinct hashes or phrases a task holds before it hands them on.
-HELD = 1_000_000
+#: Hashes of candidates that a task remembers in order not to send them again.
+HELD = 2_000_000
 
 #: Bytes by class: 0 word, 1 blank, 2 end of a piece; upper case folded.
 _CLASS = np.zeros(256, np.uint8)
@@ -53,21 +56,20 @@ class Words:
     its piece, by a newline (neither occurs in a word)."""
 
     def __init__(self, text: pa.Array, lang: pa.Array):
-        values = [b"" if v is None else v.encode() for v in text.to_pylist()]
-        data = _LOWER[np.frombuffer(b"\n".join(values) + b"\n", np.uint8)]
+        text = pc.fill_null(text, "")
+        ends = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        whole = pc.binary_join(pa.ListArray.from_arrays([0, len(text)], text), "\n")[0]
+        data = _LOWER[np.concatenate([np.frombuffer(whole.as_buffer(), np.uint8), np.array([_END], np.uint8)])]
         kind = _CLASS[data]
         word = kind == 0
-        edge = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]])))
+        edge = np.flatnonzero(np.diff(word, prepend=False))
         start, end = edge[::2], edge[1::2]
-        ends = np.cumsum([len(v) + 1 for v in values], dtype=np.int64)
-        cut = np.concatenate([[0], np.cumsum(kind == 2)])
-        keep = word.copy()
-        keep[end] = True
-        bytes_ = data.copy()
-        bytes_[end] = _BLANK
-        last = np.concatenate([cut[start[1:]] != cut[end[:-1]], [True]]) if len(start) else np.zeros(0, bool)
-        bytes_[end[last]] = _END
-        self.data = bytes_[keep]
+        # a word is the last of its piece if an end of pieces lies before the next word
+        stops = np.append(np.flatnonzero(kind == 2), len(data))
+        last = np.append(stops[np.searchsorted(stops, end[:-1])] < start[1:], True) if len(start) else np.zeros(0, bool)
+        word[end] = True
+        data[end] = np.where(last, _END, _BLANK)
+        self.data = data[word]
         size = end - start + 1
         self.end = np.cumsum(size) - 1
         self.start = self.end - size + 1
@@ -76,20 +78,22 @@ class Words:
         self.langs = [v.encode() for v in coded.dictionary.to_pylist()]
         self.lang = coded.indices.to_numpy(zero_copy_only=False)[np.searchsorted(ends, start, side="right")]
 
+    @cached_property
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word and its language."""
-        out = np.array([mix(np.array([int.from_bytes(v[:8], "little") + 2 * len(v)], np.uint64))[0] ^ np.uint64(sum(v))
-                        for v in self.langs] or [0], np.uint64)[self.lang]
+        seeds = [mix(np.array([int.from_bytes(hashlib.blake2b(v, digest_size=8).digest(), "little")], np.uint64))[0] for v in self.langs]
+        out = np.array(seeds or [0], np.uint64)[self.lang]
         size = self.end - self.start
-        live = np.arange(len(size))
-        k = 0
+        at, live, value, k = self.start, np.arange(len(size)), out.copy(), 0
         while len(live) and k < 64:
-            out[live] = (out[live] ^ self.data[self.start[live] + k]) * _BASE
-            out[live] ^= out[live] >> np.uint64(29)
+            value = (value ^ self.data[at + k]) * _BASE
+            value ^= value >> np.uint64(29)
             k += 1
-            live = live[size[live] > k]
-        for i in live:  # the rest of very long words, one by one
-            rest = np.frombuffer(self.data[self.start[i] + k:self.end[i]].tobytes() + bytes(-(size[i] - k) % 8), np.uint64)
+            out[live] = value
+            more = np.flatnonzero(size[live] > k)
+            live, at, value = live[more], at[more], value[more]
+        for i in live.tolist():  # the rest of very long words, one by one
+            rest = np.frombuffer(self.data[self.start[i] + k:self.end[i]].tobytes() + bytes(-int(size[i] - k) % 8), np.uint64)
             out[i] ^= np.bitwise_xor.reduce(mix(rest + np.arange(len(rest), dtype=np.uint64) * _BASE))
         return mix(out)
 
@@ -100,8 +104,24 @@ class Words:
             ok &= ~self.last[k:k + len(ok)]
         return np.flatnonzero(ok)
 
-    def texts(self, first: np.ndarray, n: int) -> list[bytes]:
-        return [self.data[a:b].tobytes() for a, b in zip(self.start[first].tolist(), self.end[first + n - 1].tolist())]
+    def texts(self, first: np.ndarray, n: int) -> pa.Array:
+        """The runs of ``n`` words that begin at words ``first``."""
+        start = self.start[first]
+        size = self.end[first + n - 1] - start
+        off = np.concatenate([[0], np.cumsum(size)])
+        data = self.data[np.repeat(start - off[:-1], size) + np.arange(off[-1])]
+        return pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(off.astype(np.int64)), pa.py_buffer(data)).cast(pa.string())
+
+    def lang_names(self, first: np.ndarray) -> pa.Array:
+        return pa.array([v.decode() for v in self.langs], pa.string()).take(pa.array(self.lang[first]))
+
+
+def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, a place of each, and their counts."""
+    order = np.argsort(h)
+    value = h[order]
+    new = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(h) else np.zeros(0, np.int64)
+    return value[new], order[new], np.diff(np.append(new, len(h)))
 
 
 def run_hashes(word: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
@@ -119,7 +139,7 @@ class Bitmap:
     def __init__(self, hashes: DataFrame):
         """``hashes``: one long column. The bits grow with the rows, up to ``BITMAP_BITS``."""
         rows = hashes.count()
-        self.bits = min(BITMAP_BITS, max(1 << 15, 1 << (32 * max(rows, 1) - 1).bit_length()))
+        self.bits = min(BITMAP_BITS, max(1 << 15, 1 << (256 * max(rows, 1) - 1).bit_length()))
         at = F.expr(f"pmod({hashes.columns[0]}, {self.bits}) + 1").alias("at")
         blocks = hashes.select(at).groupBy(F.expr("bitmap_bucket_number(at)").alias("block")).agg(
             F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits"))
@@ -210,6 +230,12 @@ class DoubleArray:
         base[single] = free - byte[first[single]]
         return base
 
+    @classmethod
+    def load(cls, parts: dict[str, bytes]) -> DoubleArray:
+        out = cls.__new__(cls)
+        out.base, out.check, out.accept = (np.frombuffer(parts[name], np.int32) for name in ("base", "check", "accept"))
+        return out
+
     def step(self, state: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         to = self.base[state] + byte
         return to, self.check[to] == state
@@ -217,7 +243,6 @@ class DoubleArray:
     def count(self, words: Words, phrases: int) -> np.ndarray:
         """Occurrences of each phrase, a key being ``lang``, a zero byte and the words joined by
         blanks, at all words of the batch."""
-        total = np.zeros(phrases, np.int64)
         root = []
         for lang in words.langs:
             state = np.array([256])
@@ -227,18 +252,19 @@ class DoubleArray:
                     state = np.array([-1])
                     break
             root.append(int(state[0]))
-        state = np.array(root or [-1], np.int32)[words.lang]
+        state = np.array(root or [-1], np.int64)[words.lang]
         live = np.flatnonzero(state >= 0)
         state, at = state[live], words.start[live]
+        accepted = []
         while len(state):
             byte = words.data[at]
             ends = np.flatnonzero((byte == _BLANK) | (byte == _END))
             found = self.accept[state[ends]]
-            total += np.bincount(found[found >= 0], minlength=phrases)
-            state, ok = self.step(state, byte.astype(np.int32))
+            accepted.append(found[found >= 0])
+            state, ok = self.step(state, byte)
             ok = np.flatnonzero(ok)
             state, at = state[ok], at[ok] + 1
-        return total
+        return np.bincount(np.concatenate(accepted), minlength=phrases) if accepted else np.zeros(phrases, np.int64)
 
 
 # ---------------------------------------------------------------- passes
@@ -253,99 +279,89 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for words in _batches(batches):
-        h = words.hashes()
-        _, first, count = np.unique(h, return_index=True, return_counts=True)
-        langs = pa.array([v.decode() for v in words.langs])
-        yield pa.RecordBatch.from_arrays(
-            [langs.take(pa.array(words.lang[first])), pa.array([t.decode() for t in words.texts(first, 1)]),
-             pa.array(h[first].view(np.int64)), pa.array(count.astype(np.int64))], ["lang", "phrase", "hash", "n"])
+        h, first, count = distinct(words.hashes)
+        yield pa.RecordBatch.from_arrays([words.lang_names(first), words.texts(first, 1), pa.array(h.view(np.int64)), pa.array(count)],
+                                         ["lang", "phrase", "hash", "n"])
 
 
 def _hash_counts(n: int, has):
     """Counts of the hashes of runs of ``n`` words whose two runs of ``n - 1`` words pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merged():
-            h, c = (np.concatenate(x) for x in zip(*held))
-            h, at = np.unique(h, return_inverse=True)
-            return h, np.bincount(at, weights=c).astype(np.int64)
-
         for words in _batches(batches):
-            h = run_hashes(words.hashes(), words.runs(n)[_passing(words, n, has)], n)
-            held.append(np.unique(h, return_counts=True))
-            if sum(len(x[0]) for x in held) > 2 * HELD:
-                held[:] = [merged()]
-                if len(held[0][0]) > HELD:
-                    yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], ["hash", "n"])
-                    held.clear()
-        if held:
-            h, c = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], ["hash", "n"])
+            shorter = words.runs(n - 1)
+            passes = np.zeros(len(words.start) + 1, bool)
+            passes[shorter] = has(run_hashes(words.hashes, shorter, n - 1))
+            runs = words.runs(n)
+            runs = runs[passes[runs] & passes[runs + 1]]
+            h, _, count = distinct(run_hashes(words.hashes, runs, n))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(count)], ["hash", "n"])
     return run
 
 
-def _passing(words: Words, n: int, has) -> np.ndarray:
-    """Of ``words.runs(n)``, those whose first and last ``n - 1`` words both pass."""
-    runs, h = words.runs(n), words.hashes()
-    ok = has(run_hashes(h, words.runs(n - 1), n - 1))
-    at = np.zeros(len(words.start) + 1, bool)
-    at[words.runs(n - 1)] = ok
-    return at[runs] & at[runs + 1]
-
-
 def _candidates(tests: dict):
     """Distinct (lang, phrase) of a task whose hashes pass the bitmap of their length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen = np.zeros(0, np.uint64)
         for words in _batches(batches):
-            word = words.hashes()
             for n, has in tests.items():
                 runs = words.runs(n)
-                h = run_hashes(word, runs, n)
+                h = run_hashes(words.hashes, runs, n)
                 at = np.flatnonzero(has(h))
-                _, first = np.unique(h[at], return_index=True)
-                keys = h[at[first]].tolist()
-                fresh = [i for i, k in enumerate(keys) if k not in seen]
-                if not fresh:
-                    continue
-                if len(seen) > HELD:
-                    seen.clear()
-                seen.update(keys[i] for i in fresh)
-                first = runs[at[first[fresh]]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([words.langs[c].decode() for c in words.lang[first].tolist()]), pa.array([t.decode() for t in words.texts(first, n)])],
-                    ["lang", "phrase"])
+                h, first, _ = distinct(h[at])
+                first = runs[at[first]]
+                place = np.searchsorted(seen, h)
+                fresh = np.flatnonzero(np.append(seen, 0)[place] != h) if len(seen) else np.arange(len(h))
+                seen = np.sort(np.concatenate([seen if len(seen) < HELD else seen[:0], h[fresh]]))
+                yield pa.RecordBatch.from_arrays([words.lang_names(first[fresh]), words.texts(first[fresh], n)], ["lang", "phrase"])
     return run
 
 
+def _shards(candidates: DataFrame) -> DataFrame:
+    """``candidates`` (lang, phrase) with a ``shard``: neighbours in their order, so that a
+    shard's phrases share their beginnings and foreign ones leave its trie at once."""
+    rows = stage(candidates.orderBy("lang", "phrase").withColumn("id_", F.monotonically_increasing_id()), "ordered-candidates")
+    room = F.greatest(F.lit(1), F.expr(f"(octet_length(phrase) + octet_length(lang)) div {SHARD_BYTES // SHARD_PHRASES}"))
+    rows = rows.withColumns({"range_": F.shiftright("id_", 33), "room_": room})
+    before = rows.groupBy("range_").agg(F.sum("room_").alias("room_")).select("range_", F.coalesce(F.sum("room_").over(
+        Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before_"))
+    upto = F.sum("room_").over(Window.partitionBy("range_").orderBy("id_"))
+    return rows.withColumn("upto_", upto).join(before, "range_").select(
+        "lang", "phrase", F.expr(f"(before_ + upto_ - 1) div {SHARD_PHRASES}").alias("shard"))
+
+
+def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One trie of all rows (lang, phrase), as bytes."""
+    rows = pa.Table.from_batches(list(batches))
+    keys = [a.encode() + b"\0" + b.encode() for a, b in zip(rows.column("lang").to_pylist(), rows.column("phrase").to_pylist())]
+    trie = DoubleArray(keys)
+    for name in ("base", "check", "accept"):
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([getattr(trie, name).tobytes()], pa.large_binary()).cast(pa.binary())], ["part", "data"])
+
+
 def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
     """(lang, phrase, f) of the candidates: exact occurrences in ``texts`` (lang, text)."""
     spark: SparkSession = texts.sparkSession
-    size = F.octet_length("phrase") + F.octet_length("lang") + 1
-    n, total = candidates.agg(F.count("*"), F.sum(size)).first()
-    shards = max(1, -(-n // (SHARD_PHRASES // 2)), -(-(total or 0) // (SHARD_BYTES // 2)))
-    # phrases that begin alike share a shard's trie; shards hold half their bound on average
-    rows = stage(candidates.withColumn("shard", F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards))), "candidates")
+    rows = stage(_shards(candidates), "candidates")
+    shards = (rows.agg(F.max("shard")).first()[0] or 0) + 1
     out = spark.createDataFrame([], "lang string, phrase string, f long")
     for shard in range(shards):
-        keys = rows.where(F.col("shard") == shard).select("lang", "phrase")
-        arrow = keys.toArrow()
-        lang, phrase = arrow.column("lang").to_pylist(), arrow.column("phrase").to_pylist()
-        trie = spark.sparkContext.broadcast(DoubleArray([a.encode() + b"\0" + b.encode() for a, b in zip(lang, phrase)]))
-        many = len(lang)
+        # one staged file: the order of its rows numbers the phrases
+        keys = stage(rows.where(F.col("shard") == shard).select("lang", "phrase").coalesce(1).withColumn(
+            "at", F.monotonically_increasing_id().cast("int")), "shard")
+        many = keys.count()
+        parts = {r.part: r.data for r in keys.coalesce(1).sortWithinPartitions("at").select("lang", "phrase").mapInArrow(
+            _build, "part string, data binary").toLocalIterator()}
+        trie = spark.sparkContext.broadcast(parts)
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros(many, np.int64)
+            tables, sums = DoubleArray.load(trie.value), np.zeros(many, np.int64)
             for words in _batches(batches):
-                sums += trie.value.count(words, many)
+                sums += tables.count(words, many)
             at = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(sums[at])], ["at", "f"])
 
-        counted = texts.mapInArrow(count, "at int, f long").groupBy("at").agg(F.sum("f").alias("f")).toArrow()
-        at = counted.column("at").combine_chunks()
-        part = pa.table({"lang": arrow.column("lang").take(at), "phrase": arrow.column("phrase").take(at), "f": counted.column("f")})
-        out = out.unionAll(stage(spark.createDataFrame(part), "phrase-counts"))
+        counted = texts.mapInArrow(count, "at int, f long").groupBy("at").agg(F.sum("f").alias("f"))
+        out = out.unionAll(stage(keys.join(counted, "at").select("lang", "phrase", "f"), "phrase-counts"))
         trie.destroy()
     return out
 
@@ -361,16 +377,16 @@ def mine(docs: DataFrame, longest: int = 3, least: int = 10, top: int = 2000, co
         totals = texts.mapInArrow(_hash_counts(n, maps[n - 1].test()), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
         maps[n] = Bitmap(stage(totals.where(F.col("n") >= least).select("hash"), "hashes"))
     tests = {n: m.test() for n, m in maps.items() if n > 1}
-    found = texts.mapInArrow(_candidates(tests), "lang string, phrase string").distinct()
-    counted = count_phrases(texts, found).where(F.col("f") >= least)
-    f = stage(counted.withColumn("words", F.size(F.split("phrase", " "))), "phrases")
-    return rank(words, f, top, cover)
+    found = stage(texts.mapInArrow(_candidates(tests), "lang string, phrase string").distinct(), "found")
+    f = count_phrases(texts, found).where(F.col("f") >= least).withColumn("words", F.size(F.split("phrase", " ")))
+    return rank(words.where(F.col("f") >= least), words, f, top, cover)
 
 
-def rank(words: DataFrame, phrases: DataFrame, top: int, cover: int) -> DataFrame:
-    """Scores, covers and ranks of ``phrases`` (lang, phrase, f, words); ``words`` has all words."""
+def rank(frequent: DataFrame, words: DataFrame, phrases: DataFrame, top: int, cover: int) -> DataFrame:
+    """Scores, covers and ranks of ``phrases`` (lang, phrase, f, words); ``words`` has all words,
+    ``frequent`` those that a phrase can hold."""
     total = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    every = words.select("lang", "phrase", "f").unionAll(phrases.select("lang", "phrase", "f"))
+    every = frequent.select("lang", "phrase", "f").unionAll(phrases.select("lang", "phrase", "f"))
     cuts = phrases.select("lang", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("w"),
                           F.explode(F.expr("sequence(1, words - 1)")).alias("k"))
     cuts = cuts.select("lang", "phrase", "a", "k", F.array_join(F.expr("slice(w, 1, k)"), " ").alias("left"),
