@@ -4,16 +4,17 @@ Texts (A-Z lower-cased) are cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and those
 ``[^\\x20\\x09]+``. Candidates are found level by level and never lose a frequent phrase
 (Apriori): a pair counts only where both words are frequent, a triple only where both its
 pairs may be. "May be" is a bitmap of hashes whose summed counts reach the limit; a hash's
-count is never below a phrase's, so a bitmap passes too much at worst. The candidates' texts
-are built into double-array tries of bytes, one for each bounded shard, and broadcast; numpy
-advances the states of all words of a batch at once, a byte a level, and bincounts the
-accepting states. These sums alone are the counts of phrases.
+count is never below a phrase's, so hashes pass too much at worst. The candidates' texts come
+from joins of the hashes with the words; they are built into double-array tries of bytes, one
+for each bounded shard, and broadcast. Numpy advances the states of all words of a batch at
+once, a byte a level, and bincounts the accepting states. These sums alone are the counts of
+phrases.
 
 Bounds: a bitmap has at most 2**30 bits, a trie at most ``SHARD_PHRASES`` phrases and
 ``SHARD_BYTES`` bytes of text (a longer phrase makes a shard of its own); more candidates
 make more shards, each a pass over the texts, not larger ones. Counts are pre-summed in each
 task, so a language or phrase with a third of all words is a few rows a task. The first
-``top`` of a language are cut in each task before they meet.
+``top`` of a language are cut in ``PARTS`` parts before they meet.
 
 Defined results: a null text is empty; a null lang is ``und``. Rows given twice count twice,
 ties are ordered by the phrase's bytes, phrases are found in whole texts however long, and
@@ -38,8 +39,8 @@ from fieldcat.llm.support import stage, text_pieces
 SHARD_PHRASES = 500_000
 SHARD_BYTES = 32_000_000
 BITMAP_BITS = 1 << 30
-#: Hashes of candidates that a task remembers in order not to send them again.
-HELD = 2_000_000
+#: Parts of a language whose first ``top`` are cut before the language's own.
+PARTS = 64
 
 #: Bytes by class: 0 word, 1 blank, 2 end of a piece; upper case folded.
 _CLASS = np.zeros(256, np.uint8)
@@ -284,36 +285,46 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["lang", "phrase", "hash", "n"])
 
 
-def _hash_counts(n: int, has):
-    """Counts of the hashes of runs of ``n`` words whose two runs of ``n - 1`` words pass."""
+def _run_counts(n: int, has):
+    """Counts of runs of ``n`` words whose two runs of ``n - 1`` words pass; a run is told by
+    the hash of its first ``n - 1`` words and that of its last."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _batches(batches):
             shorter = words.runs(n - 1)
-            passes = np.zeros(len(words.start) + 1, bool)
-            passes[shorter] = has(run_hashes(words.hashes, shorter, n - 1))
+            before = np.zeros(len(words.start) + 1, np.uint64)
+            before[shorter] = run_hashes(words.hashes, shorter, n - 1)
+            passes = np.zeros(len(before), bool)
+            passes[shorter] = has(before[shorter])
             runs = words.runs(n)
             runs = runs[passes[runs] & passes[runs + 1]]
-            h, _, count = distinct(run_hashes(words.hashes, runs, n))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(count)], ["hash", "n"])
+            _, first, count = distinct(run_hashes(words.hashes, runs, n))
+            first = runs[first]
+            yield pa.RecordBatch.from_arrays([pa.array(before[first].view(np.int64)), pa.array(words.hashes[first + n - 1].view(np.int64)),
+                                              pa.array(count)], ["head", "tail", "n"])
     return run
 
 
-def _candidates(tests: dict):
-    """Distinct (lang, phrase) of a task whose hashes pass the bitmap of their length."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.uint64)
-        for words in _batches(batches):
-            for n, has in tests.items():
-                runs = words.runs(n)
-                h = run_hashes(words.hashes, runs, n)
-                at = np.flatnonzero(has(h))
-                h, first, _ = distinct(h[at])
-                first = runs[at[first]]
-                place = np.searchsorted(seen, h)
-                fresh = np.flatnonzero(np.append(seen, 0)[place] != h) if len(seen) else np.arange(len(h))
-                seen = np.sort(np.concatenate([seen if len(seen) < HELD else seen[:0], h[fresh]]))
-                yield pa.RecordBatch.from_arrays([words.lang_names(first[fresh]), words.texts(first[fresh], n)], ["lang", "phrase"])
-    return run
+def _run_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        head, tail = (batch.column(c).to_numpy().view(np.uint64) for c in ("head", "tail"))
+        yield pa.RecordBatch.from_arrays([batch.column("head"), batch.column("tail"), pa.array(mix(head * _BASE + tail).view(np.int64))],
+                                         ["head", "tail", "hash"])
+
+
+def candidates_of(texts: DataFrame, words: DataFrame, longest: int, least: int) -> DataFrame:
+    """(lang, phrase) of 2 to ``longest`` words that may be found ``least`` times or more: all
+    that are, and those that share a hash with others. ``words``: the frequent ones (lang, phrase, hash)."""
+    level, out = words, None
+    for n in range(2, longest + 1):
+        counts = texts.mapInArrow(_run_counts(n, Bitmap(level.select("hash")).test()), "head long, tail long, n long").groupBy("head", "tail").agg(
+            F.sum("n").alias("n")).where(F.col("n") >= least)
+        keys = stage(counts.select("head", "tail").mapInArrow(_run_hash, "head long, tail long, hash long"), "hashes")
+        first = level.select("lang", F.col("phrase").alias("first"), F.col("hash").alias("head"))
+        last = words.select("lang", F.col("phrase").alias("last"), F.col("hash").alias("tail"))
+        level = stage(keys.join(first, "head").join(last, ["lang", "tail"]).select("lang", F.concat_ws(" ", "first", "last").alias("phrase"), "hash"),
+                      "found")
+        out = level if out is None else out.unionAll(level)
+    return out.select("lang", "phrase").distinct()
 
 
 def _shards(candidates: DataFrame) -> DataFrame:
@@ -372,14 +383,10 @@ def mine(docs: DataFrame, longest: int = 3, least: int = 10, top: int = 2000, co
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     words = stage(texts.mapInArrow(_count_words, "lang string, phrase string, hash long, n long")
                   .groupBy("lang", "phrase", "hash").agg(F.sum("n").alias("f")), "words")
-    maps = {1: Bitmap(words.where(F.col("f") >= least).select("hash"))}
-    for n in range(2, longest + 1):
-        totals = texts.mapInArrow(_hash_counts(n, maps[n - 1].test()), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-        maps[n] = Bitmap(stage(totals.where(F.col("n") >= least).select("hash"), "hashes"))
-    tests = {n: m.test() for n, m in maps.items() if n > 1}
-    found = stage(texts.mapInArrow(_candidates(tests), "lang string, phrase string").distinct(), "found")
+    frequent = words.where(F.col("f") >= least)
+    found = candidates_of(texts, frequent.select("lang", "phrase", "hash"), longest, least)
     f = count_phrases(texts, found).where(F.col("f") >= least).withColumn("words", F.size(F.split("phrase", " ")))
-    return rank(words.where(F.col("f") >= least), words, f, top, cover)
+    return rank(frequent, words, f, top, cover)
 
 
 def rank(frequent: DataFrame, words: DataFrame, phrases: DataFrame, top: int, cover: int) -> DataFrame:
@@ -403,7 +410,9 @@ def rank(frequent: DataFrame, words: DataFrame, phrases: DataFrame, top: int, co
     inside = inside.select("lang", "longer", "w", "k", F.explode(F.expr("sequence(1, size(w) - k + 1)")).alias("i")).groupBy(
         "lang", F.array_join(F.expr("slice(w, i, k)"), " ").alias("phrase")).agg(F.max("longer").alias("longer"))
     kept = best.join(inside, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * cover))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score")).withColumn(
-        "rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    ranked = kept.select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"),
+                         F.pmod(F.xxhash64("phrase"), F.lit(PARTS)).alias("part"))
+    for keys in (["lang", "part"], ["lang"]):  # the first of each part hold the first of the whole
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     return ranked.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
