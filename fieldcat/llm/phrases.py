@@ -39,6 +39,8 @@ from fieldcat.llm.support import stage, text_pieces
 SHARD_PHRASES = 500_000
 SHARD_BYTES = 32_000_000
 BITMAP_BITS = 1 << 30
+#: Trie states sent at once.
+SLICE = 1 << 18
 #: Parts of a language whose first ``top`` are cut before the language's own.
 PARTS = 64
 
@@ -140,7 +142,7 @@ class Bitmap:
     def __init__(self, hashes: DataFrame):
         """``hashes``: one long column. The bits grow with the rows, up to ``BITMAP_BITS``."""
         rows = hashes.count()
-        self.bits = min(BITMAP_BITS, max(1 << 15, 1 << (256 * max(rows, 1) - 1).bit_length()))
+        self.bits = min(BITMAP_BITS, max(1 << 15, 1 << (32 * max(rows, 1) - 1).bit_length()))
         at = F.expr(f"pmod({hashes.columns[0]}, {self.bits}) + 1").alias("at")
         blocks = hashes.select(at).groupBy(F.expr("bitmap_bucket_number(at)").alias("block")).agg(
             F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits"))
@@ -346,7 +348,9 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys = [a.encode() + b"\0" + b.encode() for a, b in zip(rows.column("lang").to_pylist(), rows.column("phrase").to_pylist())]
     trie = DoubleArray(keys)
     for name in ("base", "check", "accept"):
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([getattr(trie, name).tobytes()], pa.large_binary()).cast(pa.binary())], ["part", "data"])
+        data = getattr(trie, name)
+        for at in range(0, len(data), SLICE):
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([at]), pa.array([data[at:at + SLICE].tobytes()])], ["part", "at", "data"])
 
 
 def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -360,9 +364,12 @@ def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
         keys = stage(rows.where(F.col("shard") == shard).select("lang", "phrase").coalesce(1).withColumn(
             "at", F.monotonically_increasing_id().cast("int")), "shard")
         many = keys.count()
-        parts = {r.part: r.data for r in keys.coalesce(1).sortWithinPartitions("at").select("lang", "phrase").mapInArrow(
-            _build, "part string, data binary").toLocalIterator()}
-        trie = spark.sparkContext.broadcast(parts)
+        slices = keys.coalesce(1).sortWithinPartitions("at").select("lang", "phrase").mapInArrow(_build, "part string, at long, data binary")
+        parts: dict[str, list] = {"base": [], "check": [], "accept": []}
+        for r in slices.repartition(16, "part", "at").toLocalIterator():  # a few slices in the driver's JVM at a time
+            parts[r.part].append((r.at, r.data))
+        trie = spark.sparkContext.broadcast({name: b"".join(d for _, d in sorted(found)) for name, found in parts.items()})
+        del parts
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tables, sums = DoubleArray.load(trie.value), np.zeros(many, np.int64)
