@@ -10,7 +10,8 @@ parts, leaves empty lines in its place; text in links weighs nothing.
 Then the weights of lines are summed over sliding windows of ``WINDOW`` lines. A region is a
 stretch of lines whose windows never sum to zero; the surge point is the first line whose
 window reaches a part of the page's peak, the dive point the last one, and all text between
-them is kept, with the unbroken lines that touch them: an article's short paragraphs stay.
+them is kept, with the lines in one run or one part of the page with it: an article's short
+paragraphs stay.
 Where a page marks its article (``article``, else ``main`` or an equal role), only lines inside
 weigh, and what is left out inside leaves no empty lines.
 
@@ -82,36 +83,38 @@ def _unwanted(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     return False
 
 
-def page_lines(page: str) -> list[tuple[str, int, int]]:
-    """(text, weight, article) of a page's lines: ``weight`` counts the characters outside links,
-    ``article`` the depth of marked articles (2: ``article``, 1: ``main``, 0: neither)."""
-    lines: list[tuple[str, int, int]] = []
-    stack: list[tuple[str, bool, int]] = []  # (element, unwanted, article)
+def page_lines(page: str) -> list[tuple[str, int, int, int]]:
+    """(text, weight, article, part) of a page's lines: ``weight`` counts the characters outside
+    links, ``article`` is 2 in ``article``, 1 in ``main``, else 0, ``part`` numbers the page's
+    parts (the innermost one that holds the line)."""
+    lines: list[tuple[str, int, int, int]] = []
+    stack: list[tuple[str, bool, int, int]] = []  # (element, unwanted, article, part)
     parts: list[str] = []
     linked = out = links = 0
-    depth = 0
+    depth = part = count = 0
 
     def flush() -> None:
         nonlocal linked
         # a reference may stand next to white space: decode first, then close up
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            lines.append((text, len(text) if linked * 2 < len(text) else 0, depth))
+            lines.append((text, len(text) if linked * 2 < len(text) else 0, depth, part))
         parts.clear()
         linked = 0
 
     def border(empty: int) -> None:
-        lines.extend([("", 0, depth)] * empty)
+        lines.extend([("", 0, depth, part)] * empty)
 
     def close(to: int) -> None:
-        nonlocal out, links, depth
+        nonlocal out, links, depth, part
         while len(stack) > to:
-            tag, unwanted, article = stack.pop()
+            tag, unwanted, article, _ = stack.pop()
             if tag in _BLOCK and not out:
                 flush()
             out -= unwanted
             links -= tag == "a"
             depth = max((s[2] for s in stack), default=0)
+            part = stack[-1][3] if stack else 0
             if unwanted and not out and not depth:
                 border(WINDOW)
             elif tag in _PART and not out and not depth:
@@ -165,7 +168,10 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
             border(WINDOW if unwanted else WINDOW - 1)
         article = 0 if out or unwanted else 2 if tag == "article" or attributes.get("role") == "article" or attributes.get("itemprop") == "articleBody" \
             else 1 if tag == "main" or attributes.get("role") == "main" else 0
-        stack.append((tag, unwanted, article))
+        if tag in _PART:
+            count += 1
+            part = count
+        stack.append((tag, unwanted, article, part))
         out += unwanted
         links += tag == "a"
         if article > depth:
@@ -177,9 +183,9 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
     return lines
 
 
-def main_lines(weight: np.ndarray, page: np.ndarray, filled: np.ndarray) -> np.ndarray:
+def main_lines(weight: np.ndarray, page: np.ndarray, filled: np.ndarray, part: np.ndarray) -> np.ndarray:
     """Whether each line lies between its page's surge and dive points. ``weight``, ``page``
-    (rising numbers) and ``filled`` (line holds text) of the lines of many pages."""
+    (rising numbers), ``filled`` (line holds text) and ``part`` of the lines of many pages."""
     if not len(weight):
         return np.zeros(0, bool)
     n = len(weight)
@@ -200,27 +206,32 @@ def main_lines(weight: np.ndarray, page: np.ndarray, filled: np.ndarray) -> np.n
     low, high = np.full(region[-1] + 1, n), np.full(region[-1] + 1, -1)
     np.minimum.at(low, region[surging], line[surging])
     np.maximum.at(high, region[surging], line[surging])
-    # runs: lines without an empty one between; those that touch a surge or dive stay whole
+    # runs (lines without an empty one between) and parts that hold a surging line stay whole
     run = np.cumsum(~filled | np.concatenate([[True], page[1:] != page[:-1]]))
-    touched = np.zeros(run[-1] + 1, bool)
-    touched[run[surging]] = True
-    return filled & (((line >= low[region]) & (line <= high[region])) | touched[run])
+    keep = (line >= low[region]) & (line <= high[region])
+    for group in (run, part):
+        touched = np.zeros(group.max() + 1, bool)
+        touched[group[surging]] = True
+        keep |= touched[group]
+    return filled & keep
 
 
 def extract_texts(pages: list[str | None]) -> list[str]:
     """The main text of each page."""
-    text, weight, filled, page = [], [], [], []
+    text, weight, filled, page, part, parts = [], [], [], [], [], 0
     for i, source in enumerate(pages):
         lines = page_lines(source) if source else []
-        best = max((article for line, _, article in lines if line), default=0)
-        for line, size, article in lines:
+        best = max((article for line, _, article, _ in lines if line), default=0)
+        for line, size, article, number in lines:
+            part.append(parts + number)
             inside = bool(line) and article == best
             text.append(line)
             # where the article is marked, all its lines weigh
             weight.append(0 if not inside else len(line) if best else size)
             filled.append(inside)
             page.append(i)
-    kept = main_lines(np.array(weight, np.int64), np.array(page, np.int64), np.array(filled, bool))
+        parts += max((number for *_, number in lines), default=0) + 1
+    kept = main_lines(np.array(weight, np.int64), np.array(page, np.int64), np.array(filled, bool), np.array(part, np.int64))
     out: list[list[str]] = [[] for _ in pages]
     for i in np.flatnonzero(kept).tolist():
         out[page[i]].append(text[i])

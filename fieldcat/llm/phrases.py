@@ -364,6 +364,8 @@ def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
         keys = stage(rows.where(F.col("shard") == shard).select("lang", "phrase").coalesce(1).withColumn(
             "at", F.monotonically_increasing_id().cast("int")), "shard")
         many = keys.count()
+        if not many:
+            continue
         slices = keys.coalesce(1).sortWithinPartitions("at").select("lang", "phrase").mapInArrow(_build, "part string, at long, data binary")
         parts: dict[str, list] = {"base": [], "check": [], "accept": []}
         for r in slices.repartition(16, "part", "at").toLocalIterator():  # a few slices in the driver's JVM at a time
