@@ -31,3 +31,10 @@ def pixel_intensity(p: Column, frame_min: Column, frame_max: Column) -> Column:
 def quantise(x: Column | str) -> Column:
     """Truncate to an 8-bit level (domain 0..205 for intensities)."""
     return F.floor(_c(x)).cast("int")
+
+
+def gray_image(levels: Column, width: Column, height: Column) -> Column:
+    """The bytes of a portable gray map (binary form) of 8-bit levels in row order."""
+    header = F.concat(F.lit("P5\n"), width.cast("string"), F.lit(" "), height.cast("string"), F.lit("\n255\n"))
+    body = F.unhex(F.array_join(F.transform(levels, lambda v: F.lpad(F.hex(v), 2, "0")), ""))
+    return F.concat(F.encode(header, "UTF-8"), body)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldcat.functions.frames import frame_intensity, gray_image, quantise
 from fieldcat.functions.frames import pixel_intensity
 from fieldcat.schemas import AUTOCONTRAST_CUTOFF_PERCENT
 
@@ -39,6 +40,14 @@ def intensity_pixels(frames: DataFrame, keys: list[str], pixels: str = "pixels")
                     pixel_intensity(F.col("_p"), F.col("_mn"), F.col("_mx")).alias("intensity")))
 
 
+def thumbnails(frames: DataFrame) -> DataFrame:
+    """(file_path, content) of ``frames`` (file_path, frame_idx, height, width, pixels): the first
+    frame of each file, as intensity (F9), cut to 8 bits (F10), as the bytes of a gray image.
+    Levels are cut after rounding to nine digits, so the brightest pixel is 205 everywhere."""
+    levels = F.transform(frame_intensity("pixels"), lambda v: quantise(F.round(v, 9)))
+    return first_frames(frames).select("file_path", gray_image(levels, F.col("width"), F.col("height")).alias("content"))
+
+
 def contrast_bounds(pixels: DataFrame, frame_keys: list[str], value: str,
                     cutoff: float = AUTOCONTRAST_CUTOFF_PERCENT) -> DataFrame:
     """(frame, lo, hi) after cutting ``cutoff`` percent of the pixels at each

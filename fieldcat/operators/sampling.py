@@ -1,14 +1,16 @@
 """Row stride sample of an event page (K2), its column-oriented JSON (F18)
-and the array stride sample (K3, in ``functions.values``)."""
+and the array stride sample (K3): of an array column, and of the sampled keys
+of files, whose samples the container scan reads (``SAMPLES``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldcat.functions.issues import issue
 from fieldcat.functions.values import stride_step
 from fieldcat.operators.ordering import group_row_number
-from fieldcat.schemas import SAMPLE_SIZE
+from fieldcat.schemas import SAMPLE_SIZE, SEVERITY_ERROR, unique_keys
 
 
 def stride_rows(df: DataFrame, order_by: list, partition_by: list[str] = (),
@@ -52,3 +54,41 @@ def to_column_json(sample: DataFrame, group_by: list[str], index: str, columns:
         return F.map_from_entries(entries).alias(c)
 
     return grouped.select(*group_by, F.to_json(F.struct(*[as_map(c) for c in columns])).alias(out))
+
+
+def is_scalar(samples: DataFrame):
+    """A key of a file that is readable and has no length."""
+    return F.col("step").isNull() & F.col("kind").isNotNull()
+
+
+def sample_elements(samples: DataFrame) -> DataFrame:
+    """(file_path, key, n_values, step, chunks, chunks_read, pos, value) of the kept elements of
+    numeric arrays; an empty array is one row with neither pos nor value."""
+    values = F.coalesce("dbl_values", F.col("int_values").cast("array<double>"))
+    return samples.where("step is not null and kind <> 'S'").select(
+        "file_path", "key", "n_values", "step", "chunks", "chunks_read", F.posexplode_outer(values).alias("pos", "value"))
+
+
+def sample_issues(files: DataFrame, samples: DataFrame, keys: list[str], stage: str = "extract") -> DataFrame:
+    """One error per (file, sampled key) that is a scalar; a key that a file lacks is no issue.
+    The other columns of ``files`` (file_path, ...) are carried along."""
+    wanted = F.array(*[F.lit(k) for k in unique_keys(keys)])
+    scalars = samples.where(is_scalar(samples) & F.col("key").isin(unique_keys(keys))).select("file_path", "key")
+    msg = F.concat(F.lit("data sample of a scalar "), F.col("key"))
+    return files.join(scalars, "file_path").select(
+        *files.columns, "key", (F.array_position(wanted, F.col("key")).cast("int") - 1).alias("key_seq"),
+        issue(SEVERITY_ERROR, msg, stage).alias("issue"))
+
+
+def sample_json(samples: DataFrame, keys: list[str], out: str = "data_sample") -> DataFrame:
+    """Per file ``{"<key>": [<kept values>], ...}`` in ``keys`` order, strict JSON. A file holds
+    at most ``len(keys)`` samples of under ``2 * SAMPLE_SIZE`` values, a fixed bound."""
+    from fieldcat.functions.values import mask_nonfinite
+
+    wanted = F.array(*[F.lit(k) for k in unique_keys(keys)])
+    values = F.coalesce(F.to_json("str_values"), F.to_json("int_values"), F.to_json(mask_nonfinite(F.col("dbl_values"))), F.lit("[]"))
+    entry = F.concat(F.regexp_replace(F.to_json(F.array("key")), r"^\[|\]$", ""), F.lit(":"), values)
+    per_file = (samples.where(F.col("step").isNotNull() & F.col("key").isin(unique_keys(keys)))
+                .select("file_path", F.array_position(wanted, F.col("key")).alias("_pos"), entry.alias("_e"))
+                .groupBy("file_path").agg(F.array_sort(F.collect_list(F.struct("_pos", "_e"))).alias("_es")))
+    return per_file.select("file_path", F.concat(F.lit("{"), F.array_join(F.transform("_es", lambda e: e["_e"]), ","), F.lit("}")).alias(out))

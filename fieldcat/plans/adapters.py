@@ -236,6 +236,43 @@ def vec_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )).alias("f")).select("file_path", "f.*")
 
 
+def vec_instrument_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as instrument files under the instrument's own keys: names, a detector setting,
+    and arrays of sampled keys. Motor steps are the components in thousandths (absent for every
+    fifth file), their positive part, and 32 turns of them; one key is a scalar, one is empty."""
+    e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("bigint"))
+    base = e.select("vec_id", vec_path().alias("file_path"), "label", steps.alias("steps"))
+    scalar, one, none = F.array().cast("array<bigint>"), F.array(F.lit(1).cast("bigint")), F.lit(None)
+
+    def row(key, kind, s=None, i=None, d=None, shape=None):
+        values = s if s is not None else i if i is not None else d
+        shape = F.array(F.size(values).cast("bigint")) if shape is None else shape
+        return F.struct(F.lit(key).alias("key"), F.lit(kind).alias("kind"), shape.alias("shape"), shape.alias("maxshape"),
+                        (none if s is None else s).cast("array<string>").alias("str_values"),
+                        (none if i is None else i).cast("array<bigint>").alias("int_values"),
+                        (none if d is None else d).cast("array<double>").alias("dbl_values"))
+
+    name = F.concat(F.lit("vec "), F.col("vec_id").cast("string"))
+    at, motors = "/measurement/instrument/", "/measurement/instrument/sample_motor_stack/setup/"
+    axis = F.when(F.col("vec_id") % 5 != 0, row(motors + "axis1pos", "i", i=F.col("steps")))
+    count = F.size("steps")
+    index = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array())
+    return base.select("file_path", F.explode(F.array_compact(F.array(
+        row("/measurement/sample/file_name", "S", s=F.array(name), shape=scalar),
+        row("/measurement/sample/experimenter/name", "S", s=F.array(F.concat(F.lit("user"), F.col("label").cast("string"))), shape=scalar),
+        row(at + "instrument_name", "S", s=F.array(F.lit("vectors")), shape=one),
+        row(at + "detector/binning_x", "i", i=F.array(F.col("label")), shape=scalar),
+        axis,
+        row(motors + "axis2pos", "i", i=F.filter("steps", lambda x: x > 0)),
+        row(motors + "sample_x", "i", i=F.flatten(F.array_repeat("steps", 32))),
+        row(at + "time_stamp", "f", d=index),
+        row(at + "monochromator/energy", "f", d=F.array(F.col("label")), shape=scalar),
+        row(at + "detector/exposure_time", "i", i=F.array(F.col("label")), shape=one),
+        row(at + "monochromator/setup/turret1", "f", d=F.array()),
+    ))).alias("f")).select("file_path", "f.*")
+
+
 def vec_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each embedding is a one-frame stack (8 x 8 pixels)."""
     e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")

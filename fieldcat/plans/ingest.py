@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from fieldcat.functions.issues import issue
 from fieldcat.functions.values import safe_size
-from fieldcat.operators import catalog, fields as fld
+from fieldcat.operators import catalog, fields as fld, sampling
 from fieldcat.operators.registry import IngestResult, Registry
 from fieldcat.plans import adapters as ad
 from fieldcat.sources.tables import read_table
-from fieldcat.schemas import CATALOGUE_KEYS, SCIENTIFIC_KEYS, SEVERITY_ERROR
+from fieldcat.schemas import CATALOGUE_KEYS, SAMPLED_KEYS, SCIENTIFIC_KEYS, SEVERITY_ERROR
 
 
 @dataclass
@@ -59,10 +59,12 @@ def doc_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- end to end: field table -> linked records -------------------------------------------
 
-def ingest_files(files: DataFrame, fields: DataFrame, images: DataFrame) -> IngestResult:
+def ingest_files(files: DataFrame, fields: DataFrame, images: DataFrame, samples: DataFrame | None = None) -> IngestResult:
     """One pass from extracted fields to linked catalogue records. ``files``:
     job_id, file_path, size, mod_time; ``fields``: the long field table;
-    ``images``: file_path, content.
+    ``images``: file_path, content; ``samples``: the stride samples of the
+    files' arrays (``SAMPLES``), of which the sampled keys join the metadata
+    as ``data_sample`` (K3) and scalars give errors.
 
     Requested keys are normalised (P1, P2); the catalogue keys become the
     dataset's columns, the scientific keys its strict-JSON metadata (F6, F8);
@@ -73,6 +75,15 @@ def ingest_files(files: DataFrame, fields: DataFrame, images: DataFrame) -> Inge
     norm = fld.normalise(fld.select_fields(fields, keys))
     wide = fld.pivot_fields(fld.value_text(fld.select_fields(norm, CATALOGUE_KEYS)), CATALOGUE_KEYS, files=files)
     science = fld.metadata_json(norm, SCIENTIFIC_KEYS, out="scientific_metadata", files=files)
+    scalars = None
+    if samples is not None:
+        kept = sampling.sample_json(samples, SAMPLED_KEYS)
+        joint = F.when(F.col("scientific_metadata") == "{}", F.lit("{")).otherwise(
+            F.concat(F.expr("left(scientific_metadata, length(scientific_metadata) - 1)"), F.lit(",")))
+        science = science.join(kept, "file_path", "left").select("file_path", F.concat(
+            joint, F.lit('"data_sample":'), F.coalesce("data_sample", F.lit("{}")), F.lit("}")).alias("scientific_metadata"))
+        scalars = sampling.sample_issues(files.select("file_path", "job_id"), samples, SAMPLED_KEYS).select(
+            "job_id", (F.col("key_seq") + len(CATALOGUE_KEYS)).alias("seq"), "issue")
     short = {k: F.col(name(k)) for k in CATALOGUE_KEYS}
     at = "/measurement/sample/"
     meta = files.join(wide, "file_path").join(science, "file_path").select(
@@ -87,7 +98,8 @@ def ingest_files(files: DataFrame, fields: DataFrame, images: DataFrame) -> Inge
         "job_id", F.lit(-1).alias("seq"), issue(SEVERITY_ERROR, "file has no name", "ingest").alias("issue"))
     absent = fld.missing_issues(files.select("file_path", "job_id"), fields, CATALOGUE_KEYS).select(
         "job_id", F.col("key_seq").alias("seq"), "issue")
-    return IngestResult(datasets, unnamed.unionByName(absent), catalog.datablocks(files, datasets),
+    issues = unnamed.unionByName(absent)
+    return IngestResult(datasets, issues if scalars is None else issues.unionByName(scalars), catalog.datablocks(files, datasets),
                         catalog.attachments(images, datasets))
 
 

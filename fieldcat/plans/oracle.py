@@ -764,3 +764,67 @@ ORACLE.update({
     "group_reach": GROUP_REACH,
     "job_record": JOB_RECORD,
 })
+
+_STEPS = "list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000) AS BIGINT))"
+_MOTORS = "/measurement/instrument/sample_motor_stack/setup/"
+
+SAMPLES_CTE = f"""
+v AS (SELECT vec_id, '/data/vectors/vec_' || CAST(vec_id AS VARCHAR) || '.h5' AS file_path, label, {_STEPS} AS st FROM embeddings),
+a AS (
+  SELECT file_path, 0 AS seq, '{_MOTORS}axis1pos' AS key, list_transform(st, lambda x: CAST(x AS DOUBLE)) AS s FROM v WHERE vec_id % 5 <> 0
+  UNION ALL SELECT file_path, 1, '{_MOTORS}axis2pos', list_transform(list_filter(st, lambda x: x > 0), lambda x: CAST(x AS DOUBLE)) FROM v
+  UNION ALL SELECT file_path, 2, '{_MOTORS}sample_x', list_transform(flatten(list_transform(range(32), lambda i: st)), lambda x: CAST(x AS DOUBLE)) FROM v
+  UNION ALL SELECT file_path, 9, '/measurement/instrument/detector/exposure_time', [CAST(label AS DOUBLE)] FROM v
+  UNION ALL SELECT file_path, 10, '/measurement/instrument/time_stamp', list_transform(range(len(st)), lambda x: CAST(x AS DOUBLE)) FROM v
+  UNION ALL SELECT file_path, 12, '/measurement/instrument/monochromator/setup/turret1', []::DOUBLE[] FROM v),
+m AS (SELECT *, len(s) AS n, greatest(len(s) // 10, 1) AS step FROM a),
+k AS (SELECT *, list_transform(range(0, n, step), lambda i: s[i + 1]) AS kept,
+        CASE WHEN n > 64 THEN (n + 63) // 64 ELSE 1 END AS chunks,
+        CASE WHEN n > 64 THEN len(list_distinct(list_transform(range(0, n, step), lambda i: i // 64))) ELSE 1 END AS chunks_read FROM m)"""
+
+SAMPLED_FIELDS = f"""
+WITH {SAMPLES_CTE},
+x AS (SELECT *, unnest(CASE WHEN n = 0 THEN [-1] ELSE range(0, len(kept)) END) AS pos FROM k)
+SELECT file_path, key, CAST(n AS BIGINT) AS n_values, CAST(step AS BIGINT) AS step, CAST(chunks AS BIGINT) AS chunks,
+  CAST(chunks_read AS BIGINT) AS chunks_read, CAST(pos AS BIGINT) AS pos, CASE WHEN pos >= 0 THEN kept[pos + 1] END AS value, CAST(NULL AS VARCHAR) AS msg FROM x
+UNION ALL SELECT file_path, '/measurement/instrument/monochromator/energy', -1, -1, -1, -1, -1, NULL,
+  'data sample of a scalar /measurement/instrument/monochromator/energy' FROM v
+"""
+
+INGEST_VECTOR_DATASETS = f"""
+WITH {SAMPLES_CTE},
+j AS (SELECT file_path, string_agg('"' || key || '":[' || array_to_string(list_transform(kept, lambda x:
+        CASE WHEN seq = 10 THEN CAST(x AS VARCHAR) ELSE CAST(CAST(x AS BIGINT) AS VARCHAR) END), ',') || ']', ',' ORDER BY seq) AS js FROM k GROUP BY file_path)
+SELECT 'job-' || CAST(vec_id AS VARCHAR) AS job_id, sha256(file_path) AS pid, 'Unknown' AS owner, 'vectors' AS creationLocation,
+  'vec ' || CAST(vec_id AS VARCHAR) AS datasetName, '/data/vectors' AS sourceFolder,
+  '{{"/measurement/instrument/detector/binning_x":' || CAST(label AS VARCHAR) || ',"data_sample":{{' || js || '}}}}' AS scientificMetadata,
+  CAST(2 AS BIGINT) AS n_keywords, 'user' || CAST(label AS VARCHAR) AS ownerGroup, '' AS accessGroups
+FROM v JOIN j USING (file_path)
+"""
+
+INGEST_VECTOR_ATTACHMENTS = """
+WITH f AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS px FROM embeddings),
+s AS (SELECT *, list_min(px) AS mn, list_max(px) AS mx FROM f),
+b AS (SELECT vec_id, label, array_to_string(list_transform(px, lambda p:
+        lpad(hex(CAST(floor(round(205.0::DOUBLE * ln((p - mn) + 1.001::DOUBLE) / ln((mx - mn) + 1.001::DOUBLE), 9)) AS INTEGER)), 2, '0')), '') AS h FROM s)
+SELECT sha256('/data/vectors/vec_' || CAST(vec_id AS VARCHAR) || '.h5') AS datasetId,
+  'data:image/jpg;base64,' || base64(from_hex(hex(encode('P5' || chr(10) || '8 8' || chr(10) || '255' || chr(10))) || h)) AS thumbnail,
+  'raw image' AS caption, 'user' || CAST(label AS VARCHAR) AS ownerGroup, '' AS accessGroups
+FROM b
+"""
+
+INGEST_VECTOR_ISSUES = """
+WITH w(key, seq) AS (VALUES ('/measurement/sample/experiment/beamline', 1), ('/measurement/sample/experiment/experiment_lead', 2),
+  ('/measurement/sample/experiment/pi', 3), ('/measurement/sample/experiment/proposal', 4), ('/measurement/sample/experimenter/email', 5))
+SELECT 'job-' || CAST(vec_id AS VARCHAR) AS job_id, CAST(seq AS INTEGER) AS seq, 'warning' AS severity, 'dataset not found ' || key AS msg FROM embeddings, w
+UNION ALL SELECT 'job-' || CAST(vec_id AS VARCHAR), 16, 'error', 'data sample of a scalar /measurement/instrument/monochromator/energy' FROM embeddings
+"""
+
+ORACLE.update({
+    "container_fields": FIELD_EXTRACT,
+    "stream_container_fields": FIELD_EXTRACT,
+    "sampled_fields": SAMPLED_FIELDS,
+    "ingest_vector_datasets": INGEST_VECTOR_DATASETS,
+    "ingest_vector_attachments": INGEST_VECTOR_ATTACHMENTS,
+    "ingest_vector_issues": INGEST_VECTOR_ISSUES,
+})

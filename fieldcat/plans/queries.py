@@ -456,3 +456,6 @@ from fieldcat.plans.streaming_queries import STREAM_QUERIES  # noqa: E402
 
 QUERIES.update(INGEST_QUERIES)
 QUERIES.update(STREAM_QUERIES)
+from fieldcat.plans.scan_queries import SCAN_QUERIES  # noqa: E402
+
+QUERIES.update(SCAN_QUERIES)

@@ -143,6 +143,20 @@ FIELDS = T.StructType([
     T.StructField("dbl_values", T.ArrayType(T.DoubleType())),
 ])
 
+#: The stride sample of an array of a file; a scalar has neither step nor values.
+SAMPLES = T.StructType([
+    T.StructField("file_path", T.StringType()),
+    T.StructField("key", T.StringType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("n_values", T.LongType()),
+    T.StructField("step", T.LongType()),
+    T.StructField("chunks", T.LongType()),
+    T.StructField("chunks_read", T.LongType()),
+    T.StructField("str_values", T.ArrayType(T.StringType())),
+    T.StructField("int_values", T.ArrayType(T.LongType())),
+    T.StructField("dbl_values", T.ArrayType(T.DoubleType())),
+])
+
 FRAMES = T.StructType([
     T.StructField("file_path", T.StringType()),
     T.StructField("frame_idx", T.IntegerType()),
