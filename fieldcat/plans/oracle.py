@@ -828,3 +828,12 @@ ORACLE.update({
     "ingest_vector_attachments": INGEST_VECTOR_ATTACHMENTS,
     "ingest_vector_issues": INGEST_VECTOR_ISSUES,
 })
+
+STREAM_CATALOG = f"""
+SELECT * FROM ({DATASET_CATALOG}) WHERE regexp_matches(instrumentId, '^src([0-9]|1[0-7])$')
+"""
+
+ORACLE.update({
+    "stream_upsert_buckets": DATASET_CATALOG,
+    "stream_catalog": STREAM_CATALOG,
+})
