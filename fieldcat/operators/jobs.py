@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldcat.functions.issues import issue
+from fieldcat.operators.buckets import read_buckets, upsert_buckets
 from fieldcat.operators.ordering import group_row_number
 from fieldcat.schemas import (
     PENDING_STATUSES, SEVERITY_ERROR, SEVERITY_WARNING, STATUS_COMPLETE_WITH_ISSUES,
@@ -93,6 +94,43 @@ def fold_jobs(events: DataFrame, key: str = "id", tiebreak: str | None = None) -
              "submitter", "last_actor", "last_log", "n_events"))
 
 
+def fold_state(events: DataFrame, key: str = "id", tiebreak: str | None = None) -> DataFrame:
+    """The fold as mergeable state, one row per job: the last event, the first submission, the
+    earliest start and end, the number of events (A3 kept up to date)."""
+    o = _order(tiebreak=tiebreak)
+    is_sub = F.col("status") == STATUS_SUBMITTED
+    last = F.struct(o.alias("o"), F.col("status"), F.col("time"), F.col("submitter"), F.col("log"))
+    return merge_states(events.select(
+        key, last.alias("last"), F.when(is_sub, F.struct(o.alias("o"), F.col("submitter"))).alias("submitted"),
+        F.when(is_sub, F.col("time")).alias("submit_time"),
+        F.when(F.col("status") == STATUS_RUNNING, F.col("time")).alias("start_time"),
+        F.when(F.col("status").isin(TERMINAL_STATUSES), F.col("time")).alias("end_time"), F.lit(1).cast("bigint").alias("n_events")), key)
+
+
+def merge_states(states: DataFrame, key: str = "id") -> DataFrame:
+    """One state per job from any number of states of disjoint events, in any order."""
+    return states.groupBy(key).agg(
+        F.max_by("last", F.col("last.o")).alias("last"), F.min_by("submitted", F.col("submitted.o")).alias("submitted"),
+        *[F.min(c).alias(c) for c in ("submit_time", "start_time", "end_time")], F.sum("n_events").alias("n_events"))
+
+
+def jobs_of_states(states: DataFrame, key: str = "id") -> DataFrame:
+    """The columns of ``fold_jobs`` from merged states."""
+    return states.select(key, F.col("last.status").alias("status"), F.col("last.time").alias("status_time"), "submit_time", "start_time", "end_time",
+                         F.col("submitted.submitter").alias("submitter"), F.col("last.submitter").alias("last_actor"),
+                         F.col("last.log").alias("last_log"), "n_events")
+
+
+def update_jobs(events: DataFrame, path: str, batch_id: int, n_buckets: int, key: str = "id", tiebreak: str | None = None) -> list[int]:
+    """Fold new events into the state table at ``path``: only the key buckets of the jobs that
+    have new events are read and rewritten. Each event may come in one batch only."""
+    return upsert_buckets(fold_state(events, key, tiebreak), path, key, batch_id, n_buckets, combine=lambda x: merge_states(x, key))
+
+
+def read_jobs(spark, path: str, key: str = "id") -> DataFrame:
+    return jobs_of_states(read_buckets(spark, path), key)
+
+
 def job_history(events: DataFrame, key: str = "id", tiebreak: str | None = None,
                 previous: dict[str, str] | None = None) -> DataFrame:
     """The status history in long form: one row per event with its 1-based

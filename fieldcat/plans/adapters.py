@@ -152,6 +152,19 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What an event does to the claim of its job.
+EVENT_ACTION = {"signup": "submit", "view": "claim", "click": "renew", "purchase": "finish", "error": "finish"}
+
+
+def claim_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events -> (id, time, action, runner, event_id): three runners work on the users' jobs."""
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    action = F.create_map(*[F.lit(x) for kv in EVENT_ACTION.items() for x in kv])
+    return ev.select(F.concat(F.lit("job-"), F.col("user_id").cast("string")).alias("id"), F.col("ts").alias("time"),
+                     F.try_element_at(action, F.col("event_type")).alias("action"),
+                     F.concat(F.lit("runner"), (F.col("event_id") % 3).cast("string")).alias("runner"), "event_id")
+
+
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API clients: customers in good standing (balance >= 0) hold the key
     'key-<custkey>'; the table stores its SHA-256 digest."""

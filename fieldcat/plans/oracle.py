@@ -837,3 +837,64 @@ ORACLE.update({
     "stream_upsert_buckets": DATASET_CATALOG,
     "stream_catalog": STREAM_CATALOG,
 })
+
+CLAIMED_JOBS = """
+WITH RECURSIVE e AS (
+  SELECT 'job-' || CAST(user_id AS VARCHAR) AS id, event_id, ts, epoch_us(ts) AS t, 'runner' || CAST(event_id % 3 AS VARCHAR) AS runner,
+    CASE event_type WHEN 'signup' THEN 'submit' WHEN 'view' THEN 'claim' WHEN 'click' THEN 'renew' ELSE 'finish' END AS action,
+    CASE event_type WHEN 'signup' THEN 0 WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS rnk FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t, rnk, event_id) AS pos FROM e),
+s AS (
+  SELECT DISTINCT id, CAST(0 AS BIGINT) AS pos, 'none' AS status, CAST(NULL AS VARCHAR) AS holder, CAST(0 AS BIGINT) AS fence, CAST(0 AS BIGINT) AS until,
+    CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS TIMESTAMP) AS time, CAST(NULL AS VARCHAR) AS action, CAST(NULL AS VARCHAR) AS runner, CAST(NULL AS VARCHAR) AS reason FROM o
+  UNION ALL
+  SELECT id, pos,
+    CASE WHEN action = 'submit' THEN CASE WHEN status IN ('none', 'ended') THEN 'submitted' ELSE status END
+         WHEN reason IS NOT NULL THEN status WHEN action = 'claim' THEN 'running' WHEN action = 'finish' THEN 'ended' ELSE status END,
+    CASE WHEN action = 'submit' AND status IN ('none', 'ended') THEN NULL WHEN action = 'claim' AND reason IS NULL THEN runner ELSE holder END,
+    CASE WHEN action = 'claim' AND reason IS NULL THEN fence + 1 ELSE fence END,
+    CASE WHEN action IN ('claim', 'renew') AND reason IS NULL THEN t + 21600000000 ELSE until END,
+    event_id, ts, action, runner, reason
+  FROM (SELECT o.id, o.pos, s.status, s.holder, s.fence, s.until, o.event_id, o.ts, o.t, o.action, o.runner,
+          CASE WHEN o.action = 'submit' THEN NULL
+               WHEN o.action = 'claim' THEN CASE WHEN s.status = 'none' THEN 'not submitted' WHEN s.status = 'ended' THEN 'already ended'
+                 WHEN s.status = 'running' AND o.t < s.until THEN 'held' END
+               WHEN s.status <> 'running' THEN 'not running' WHEN o.runner <> s.holder THEN 'not the holder' END AS reason
+        FROM s JOIN o ON o.id = s.id AND o.pos = s.pos + 1) x)
+SELECT id, event_id, time, action, runner, reason IS NULL AS granted, fence, holder, reason FROM s WHERE pos > 0 AND action <> 'submit'
+"""
+
+ORACLE["claimed_jobs"] = CLAIMED_JOBS
+
+STREAM_TASK_ISOLATION = """
+WITH t AS (SELECT CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS n, turn, turn % 5 = 3 AS bad FROM conversations),
+p AS (SELECT *, '/data/conversations/turn_' || n || '.txt' AS path FROM t)
+SELECT 'turn-' || n AS job_id, CASE WHEN bad THEN 'error' ELSE 'successful' END AS status, CAST(CASE WHEN bad THEN 1 ELSE 0 END AS BIGINT) AS n_errors,
+  'ingested dataset: ' || path || ' as ' || CASE WHEN bad THEN 'None' ELSE sha256(path) END || CASE WHEN bad THEN
+    chr(10) || ' :  ingestor failed' || chr(10) || '    Exception: ValueError: cannot read turn ' || CAST(turn AS VARCHAR) ELSE '' END AS log,
+  CASE WHEN bad THEN 'ingestor failed' END AS msg, CASE WHEN bad THEN 'ValueError: cannot read turn ' || CAST(turn AS VARCHAR) END AS exception
+FROM p
+"""
+
+ORACLE.update({
+    "jobs_incremental": JOB_CURRENT,
+    "stream_task_isolation": STREAM_TASK_ISOLATION,
+})
+
+USER_REACH = f"""
+WITH v AS ({VISIBLE_DATASETS})
+SELECT s.s_name AS "user", count(v.pid) AS n_read, CAST(coalesce(sum(CASE WHEN can_write THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_write
+FROM supplier s LEFT JOIN v ON v."user" = s.s_name GROUP BY s.s_name
+"""
+
+CLUSTERED_EVENTS = """
+SELECT 'time' AS "by", event_type, count(*) AS n, min(event_id) AS first_event, max(event_id) AS last_event
+FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-10' GROUP BY event_type
+UNION ALL SELECT 'user', event_type, count(*), min(event_id), max(event_id) FROM events WHERE user_id BETWEEN 40 AND 60 GROUP BY event_type
+"""
+
+ORACLE.update({
+    "user_reach": USER_REACH,
+    "job_lookup_indexed": JOB_LOOKUP,
+    "clustered_events": CLUSTERED_EVENTS,
+})

@@ -459,3 +459,46 @@ QUERIES.update(STREAM_QUERIES)
 from fieldcat.plans.scan_queries import SCAN_QUERIES  # noqa: E402
 
 QUERIES.update(SCAN_QUERIES)
+
+
+# --- bitmaps and layouts --------------------------------------------------------------------
+
+#: Buckets and files of the staged tables.
+EVENT_BUCKETS, CLUSTER_FILES = 16, 16
+
+
+def user_reach(spark, sf_dir):
+    """How many records each user may see and change, without pairs of user and record."""
+    from fieldcat.operators.access import user_reach as reach
+    return reach(ad.order_datasets(spark, sf_dir), ad.supplier_users(spark, sf_dir))
+
+
+def job_lookup_indexed(spark, sf_dir):
+    """The look-up of every customer's job over events stored by job."""
+    from fieldcat.operators import layout
+    from fieldcat.session import scratch_dir
+    table = layout.write_events_by_job(ad.job_events(spark, sf_dir), scratch_dir(spark, "events-by-job"), EVENT_BUCKETS)
+    ids = read_table(spark, sf_dir, "customer", "c_custkey").select(F.concat(F.lit("job-"), F.col("c_custkey").cast("string")).alias("id"))
+    return layout.lookup_indexed(spark, table, ids, tiebreak="event_id")
+
+
+def clustered_events(spark, sf_dir):
+    """Events stored along a curve of time and user, read by a range of either."""
+    from fieldcat.operators import layout
+    from fieldcat.session import scratch_dir
+    path = scratch_dir(spark, "clustered-events")
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    layout.write_clustered(ev, path, ["ts", "user_id"], CLUSTER_FILES)
+    stored = spark.read.schema(ev.schema).parquet(path)
+    week = stored.where((F.col("ts") >= F.lit("2024-01-08").cast("timestamp_ntz")) & (F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz")))
+    users = stored.where(F.col("user_id").between(40, 60))
+    count = [F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event")]
+    return week.groupBy(F.lit("time").alias("by"), "event_type").agg(*count).unionByName(
+        users.groupBy(F.lit("user").alias("by"), "event_type").agg(*count))
+
+
+QUERIES.update({
+    "user_reach": user_reach,
+    "job_lookup_indexed": job_lookup_indexed,
+    "clustered_events": clustered_events,
+})
