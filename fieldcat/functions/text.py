@@ -23,3 +23,8 @@ def keywords(text: Column | str) -> Column:
 def search_terms(text: Column | str) -> Column:
     """Keywords joined with one space."""
     return F.array_join(keywords(text), " ")
+
+
+def renamed(name: Column | str, old: str = ":", new: str = "/") -> Column:
+    """A key with ``old`` separators turned into ``new`` ones (P10)."""
+    return F.replace(F.col(name) if isinstance(name, str) else name, F.lit(old), F.lit(new))

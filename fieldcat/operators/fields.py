@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldcat.functions.issues import issue
+from fieldcat.functions.text import renamed
 from fieldcat.functions.values import safe_size
 from fieldcat.schemas import SEVERITY_WARNING, unique_keys
 
@@ -107,7 +108,7 @@ def rename_separator(df: DataFrame, old: str = ":", new: str = "/") -> DataFrame
 
 def rename_keys(fields: DataFrame, old: str = ":", new: str = "/") -> DataFrame:
     """The long-form equivalent of ``rename_separator``."""
-    return fields.withColumn("key", F.replace(F.col("key"), F.lit(old), F.lit(new)))
+    return fields.withColumn("key", renamed("key", old, new))
 
 
 def value_json(norm: DataFrame) -> DataFrame:

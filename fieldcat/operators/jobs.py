@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldcat.functions.ids import utc_now
 from fieldcat.functions.issues import issue
 from fieldcat.operators.buckets import read_buckets, upsert_buckets
 from fieldcat.operators.ordering import group_row_number
@@ -259,6 +260,11 @@ def issue_col(severity: str, msg: str, stage: str):
     return issue(severity, msg, stage).alias("issue")
 
 
+def overdue(jobs: DataFrame, wait_seconds: int = 180) -> DataFrame:
+    """Unfinished jobs whose last status is older than a client waits (F15)."""
+    return pending(jobs).where(F.col("status_time").cast("timestamp") < utc_now() - F.make_dt_interval(secs=F.lit(wait_seconds)))
+
+
 # --- state machine -------------------------------------------------------------------
 
 def _allowed(prev, status):

@@ -100,6 +100,15 @@ def project(norm_text: DataFrame, mapping: Mapping, location: str = "start") ->
                                            F.col("key").alias("field"), "value_text")
 
 
+def linked(frames: DataFrame, mapping: Mapping, stream: str = "primary") -> DataFrame:
+    """(file_path, projection, out_name, field, n_frames): what a linked projection of ``stream``
+    points at in each file that holds its external field, never the pixels."""
+    p = F.broadcast(mapping.projections.where((F.col("type") == "linked") & (F.col("stream") == stream) & F.col("resolved"))
+                    .select("projection", "out_name", F.col("field").alias("key")))
+    held = external_refs(frames, mapping, stream).groupBy("file_path", "key").agg(F.count(F.lit(1)).alias("n_frames"))
+    return held.join(p, "key").select("file_path", "projection", "out_name", F.col("key").alias("field"), "n_frames")
+
+
 def unresolved_projections(mapping: Mapping) -> DataFrame:
     """Projection rows naming a field the mapping does not declare."""
     return mapping.projections.where(~F.col("resolved"))

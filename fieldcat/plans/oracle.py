@@ -898,3 +898,44 @@ ORACLE.update({
     "job_lookup_indexed": JOB_LOOKUP,
     "clustered_events": CLUSTERED_EVENTS,
 })
+
+WIDENED_VALUES = """
+SELECT vec_id, CAST(label AS BIGINT) AS label, CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS pos, CAST(unnest(embedding) AS DOUBLE) AS value
+FROM embeddings
+"""
+
+JOB_LOG_LINES = f"""
+WITH {EVENTS_CTE}, l AS (
+  SELECT id, event_id AS pos, regexp_split_to_array('status ' || status || '\\nby ' || submitter || chr(10) || coalesce(log, ''), '\n|\\\\n') AS ls FROM ev)
+SELECT id, pos, CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS line_no, unnest(ls) AS line FROM l
+"""
+
+MAPPING_LINKED = """
+SELECT '/data/vectors/vec_' || CAST(vec_id AS VARCHAR) || '.h5' AS file_path, 'doc_app' AS projection, 'image_data' AS out_name,
+  '/vec/frame' AS field, CAST(1 AS BIGINT) AS n_frames
+FROM embeddings
+"""
+
+OVERDUE_JOBS = f"""
+WITH {JOBS_CTE}
+SELECT id, status, status_time FROM jobs WHERE status IN ('submitted', 'running')
+"""
+
+CONTAINER_INVENTORY = """
+SELECT 'doc_' || CAST(doc_id AS VARCHAR) || '.h5.npz' AS file_name, '/data/' || source || '/' || lang AS folder, true AS filled FROM documents
+"""
+
+STORED_RECORDS = f"""
+WITH b AS ({INGEST_DATABLOCKS}), a AS ({INGEST_ATTACHMENTS})
+SELECT b.datasetId, b.size, b.df_path, b.ownerGroup, a.thumbnail, a.caption FROM b JOIN a ON a.datasetId = b.datasetId
+"""
+
+ORACLE.update({
+    "widened_values": WIDENED_VALUES,
+    "job_log_lines": JOB_LOG_LINES,
+    "renamed_fields": FIELD_EXTRACT,
+    "mapping_linked": MAPPING_LINKED,
+    "overdue_jobs": OVERDUE_JOBS,
+    "container_inventory": CONTAINER_INVENTORY,
+    "stored_records": STORED_RECORDS,
+})

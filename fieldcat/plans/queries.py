@@ -502,3 +502,78 @@ QUERIES.update({
     "job_lookup_indexed": job_lookup_indexed,
     "clustered_events": clustered_events,
 })
+
+
+# --- functions that no other query reaches ------------------------------------------------------
+
+def widened_values(spark, sf_dir):
+    """Embeddings widened to 64 bits (F7), element by element."""
+    from fieldcat.functions.values import widen
+    e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    kind = {f.name: f.dataType for f in e.schema.fields}
+    return e.select("vec_id", widen("label", kind["label"]).alias("label"),
+                    F.posexplode(widen("embedding", kind["embedding"])).alias("pos", "value")).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+def job_log_lines(spark, sf_dir):
+    """Logs with both kinds of line ends (F17): the newline and the two characters backslash-n."""
+    events = ad.job_events(spark, sf_dir).withColumn("log", F.concat(
+        F.lit("status "), F.col("status"), F.lit("\\nby "), F.col("submitter"), F.lit("\n"), F.coalesce("log", F.lit(""))))
+    history = events.select("id", F.col("event_id").alias("pos"), "time", "status", "log")
+    return jobs.status_timeline(history).select("id", "pos", F.col("line_no").cast("bigint").alias("line_no"), "line")
+
+
+def renamed_fields(spark, sf_dir):
+    """Field rows whose keys came with colons (P10)."""
+    colons = fld.rename_keys(ad.doc_fields(spark, sf_dir, ad.REQUESTED_KEYS), "/", ":")
+    norm = fld.value_text(fld.normalise(fld.select_fields(fld.rename_keys(colons), ad.REQUESTED_KEYS)))
+    return norm.select("file_path", "key", "value_kind", "value_text", "n_values")
+
+
+def mapping_linked(spark, sf_dir):
+    """Linked projections (P11): which frames a file's image data is."""
+    from fieldcat.operators.mapping import linked
+    from fieldcat.sources.mapping import packaged_mapping
+    return linked(ad.vec_frames(spark, sf_dir).withColumn("key", F.lit("/vec/frame")), packaged_mapping(spark))
+
+
+def overdue_jobs(spark, sf_dir):
+    """Unfinished jobs that no client waits for any more (F15)."""
+    return jobs.overdue(_jobs(spark, sf_dir)).select("id", "status", "status_time")
+
+
+def container_inventory(spark, sf_dir):
+    """The inventory (S1) of the documents' files, staged as containers."""
+    from fieldcat.session import scratch_dir
+    from fieldcat.sources.containers import write_containers
+    from fieldcat.sources.files import scan_files
+    root = scratch_dir(spark, "inventory")
+    write_containers(ad.doc_fields(spark, sf_dir, ["/doc/lang"]), root)
+    inv = scan_files(spark, root, glob="*.npz", recursive=True)
+    at = F.expr("instr(folder, '/data/')")
+    return inv.select("file_name", F.expr("substring(folder, instr(folder, '/data/'))").alias("folder"), (F.col("size") > 0).alias("filled")).where(at > 0)
+
+
+def stored_records(spark, sf_dir):
+    """Data blocks and attachments as stored tables (S8, S9): sorted by owner and
+    dataset inside each file, read back and linked."""
+    from fieldcat.operators.sinks import write_table
+    from fieldcat.plans.ingest import _ingested
+    from fieldcat.session import scratch_dir
+    root, res = scratch_dir(spark, "stored"), _ingested(spark, sf_dir)
+    write_table(res.datablocks, f"{root}/datablocks", sort_within=["ownerGroup", "datasetId"])
+    write_table(res.attachments, f"{root}/attachments", sort_within=["ownerGroup", "datasetId"])
+    blocks = spark.read.parquet(f"{root}/datablocks").select("datasetId", "size", F.col("dataFileList")[0]["path"].alias("df_path"), "ownerGroup")
+    images = spark.read.parquet(f"{root}/attachments").select("datasetId", "thumbnail", "caption")
+    return blocks.join(images, "datasetId")
+
+
+QUERIES.update({
+    "widened_values": widened_values,
+    "job_log_lines": job_log_lines,
+    "renamed_fields": renamed_fields,
+    "mapping_linked": mapping_linked,
+    "overdue_jobs": overdue_jobs,
+    "container_inventory": container_inventory,
+    "stored_records": stored_records,
+})

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldcat.functions.text import renamed
 FIELD = "struct<field:string,external:boolean>"
 MAPPING_SCHEMA = (
     "name string, description string, version string, resource_spec string, "
@@ -163,7 +164,7 @@ def explode_mapping(doc: DataFrame) -> Mapping:
                     F.explode("p.projection").alias("out_name", "spec"))
             .select("name", "projection", "out_name", F.col("spec.type").alias("type"),
                     F.col("spec.location").alias("location"), F.col("spec.stream").alias("stream"),
-                    F.replace(F.col("spec.field"), F.lit(":"), F.lit("/")).alias("field")))
+                    renamed("spec.field").alias("field")))
     declared = (md.select("name", "field").unionByName(conf.select("name", "field"))
                 .unionByName(ev.select("name", "field")).distinct()
                 .withColumn("_declared", F.lit(True)))
