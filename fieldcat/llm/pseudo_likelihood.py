@@ -138,11 +138,6 @@ def contexts(wide: np.ndarray, where: np.ndarray) -> np.ndarray:
     return wide[where[:, None] + np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])]
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(-1, keepdims=True)
-    return z - np.log(np.exp(z).sum(-1, keepdims=True))
-
-
 def _by_class(target: np.ndarray):
     group = (target % CLASSES).astype(np.uint8)
     order = np.argsort(group, kind="stable")
@@ -180,28 +175,49 @@ def log_probabilities(model: Model, around: np.ndarray, target: np.ndarray) -> n
     return out
 
 
+def _softmax(z: np.ndarray) -> np.ndarray:
+    """The softmax of each row, in its place."""
+    z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(1, keepdims=True)
+    return z
+
+
 def gradient(model: Model, around: np.ndarray, target: np.ndarray) -> Model:
     """The gradient of the mean negative log-probability."""
     n = len(target)
-    x = model["embed"][around].reshape(n, -1)
-    h = np.tanh(x @ model["layer"] + model["shift"])
-    grad = {k: np.zeros_like(v) for k, v in model.items()}
-    d = np.exp(_log_softmax(h @ model["class"] + model["class_bias"]))
+    order, groups = _by_class(target)
+    around, target = around[order], target[order]  # positions of one class side by side
+    x = model["embed"].take(around, axis=0).reshape(n, -1)
+    h = x @ model["layer"]
+    h += model["shift"]
+    np.tanh(h, out=h)
+    grad = {"word": np.zeros_like(model["word"]), "word_bias": np.zeros_like(model["word_bias"]), "embed": np.zeros_like(model["embed"])}
+    d = h @ model["class"]
+    d += model["class_bias"]
+    d = _softmax(d)
     d[np.arange(n), target % CLASSES] -= 1
     grad["class"], grad["class_bias"] = h.T @ d, d.sum(0)
     dh = d @ model["class"].T
-    for c, rows in _by_class(target)[1]:
-        d = np.exp(_log_softmax(h[rows] @ model["word"][c] + model["word_bias"][c]))
-        d[np.arange(len(rows)), target[rows] // CLASSES] -= 1
-        grad["word"][c], grad["word_bias"][c] = h[rows].T @ d, d.sum(0)
-        dh[rows] += d @ model["word"][c].T
+    at = 0
+    for c, rows in groups:
+        part = slice(at, at + len(rows))
+        at += len(rows)
+        d = h[part] @ model["word"][c]
+        d += model["word_bias"][c]
+        d = _softmax(d)
+        d[np.arange(len(rows)), target[part] // CLASSES] -= 1
+        grad["word"][c], grad["word_bias"][c] = h[part].T @ d, d.sum(0)
+        dh[part] += d @ model["word"][c].T
     dh *= 1 - h * h
     grad["layer"], grad["shift"] = x.T @ dh, dh.sum(0)
     token = around.ravel()
-    order = np.argsort(token, kind="stable")
-    starts = np.flatnonzero(np.diff(token[order], prepend=-1))
-    grad["embed"][token[order[starts]]] = np.add.reduceat((dh @ model["layer"].T).reshape(-1, EMBED)[order], starts, axis=0)
-    return {k: g / n for k, g in grad.items()}
+    by_token = np.argsort(token.astype(np.uint16), kind="stable")  # TOKENS is below 2**16: a radix sort
+    starts = np.flatnonzero(np.diff(token[by_token], prepend=-1))
+    grad["embed"][token[by_token[starts]]] = np.add.reduceat((dh @ model["layer"].T).reshape(-1, EMBED)[by_token], starts, axis=0)
+    for g in grad.values():
+        g /= n
+    return {k: grad[k] for k in model}
 
 
 def _count_words(batches):
