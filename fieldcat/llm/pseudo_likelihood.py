@@ -54,7 +54,9 @@ EDGE = 256
 UNIT = 1e-6
 #: Parameters in one averaged segment.
 SEGMENT = 8192
-_BLOCK = 16_384
+_BLOCK = 8192
+#: Positions of one class worked on together.
+ROWS = 32
 
 Model = dict[str, np.ndarray]
 
@@ -138,77 +140,102 @@ def contexts(wide: np.ndarray, where: np.ndarray) -> np.ndarray:
     return wide[where[:, None] + np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])]
 
 
-def _by_class(target: np.ndarray):
-    group = (target % CLASSES).astype(np.uint8)
-    order = np.argsort(group, kind="stable")
-    ends = np.cumsum(np.bincount(group, minlength=CLASSES))
-    return order, [(c, order[s:e]) for c, (s, e) in enumerate(zip(np.append(0, ends[:-1]), ends)) if e > s]
+class _Blocks(NamedTuple):
+    """Positions dealt to blocks of ``ROWS`` places, each of one class; ``place`` is that of each
+    position, the others are empty."""
 
+    place: np.ndarray
+    classes: np.ndarray
+    starts: np.ndarray
 
-def _chosen(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The log-softmax of each row at one place."""
-    z -= z.max(1, keepdims=True)
-    own = z[np.arange(len(z)), at]
-    np.exp(z, out=z)
-    return own - np.log(z.sum(1))
+    @classmethod
+    def of(cls, group: np.ndarray) -> _Blocks:
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        count = np.bincount(group, minlength=CLASSES)
+        blocks = -(-count // ROWS)
+        first = np.cumsum(blocks) - blocks
+        place = np.empty(len(group), np.int64)
+        place[order] = np.repeat(first * ROWS - (np.cumsum(count) - count), count) + np.arange(len(group))
+        return cls(place, np.repeat(np.arange(CLASSES), blocks), first[count > 0])
 
+    def deal(self, rows: np.ndarray) -> np.ndarray:
+        """(blocks, columns, ROWS) of one row for each position."""
+        out = np.zeros((len(self.classes) * ROWS, rows.shape[1]), rows.dtype)
+        out[self.place] = rows
+        return out.reshape(len(self.classes), ROWS, -1).transpose(0, 2, 1)
 
-def log_probabilities(model: Model, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """The log-probability of each target between its neighbours."""
-    order, groups = _by_class(target)
-    target = target[order]
-    x = model["embed"].take(around[order], axis=0).reshape(len(target), -1) @ model["layer"]
-    x += model["shift"]
-    h = np.tanh(x, out=x)
-    z = h @ model["class"]
-    z += model["class_bias"]
-    got = _chosen(z, target % CLASSES)
-    at = 0
-    for c, rows in groups:
-        part = slice(at, at + len(rows))
-        at += len(rows)
-        z = h[part] @ model["word"][c]
-        z += model["word_bias"][c]
-        got[part] += _chosen(z, target[part] // CLASSES)
-    out = np.empty_like(got)
-    out[order] = got
-    return out
+    def gather(self, dealt: np.ndarray) -> np.ndarray:
+        """The positions' rows of (blocks, columns, ROWS)."""
+        return dealt.transpose(0, 2, 1).reshape(len(self.classes) * ROWS, -1)[self.place]
+
+    def at(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.place // ROWS, inside, self.place % ROWS
+
+
+def _exponentials(z: np.ndarray, axis: int) -> np.ndarray:
+    """The scores' exponentials, the greatest being one, in their place."""
+    z -= z.max(axis, keepdims=True)
+    return np.exp(z, out=z)
+
+
+def _hidden(model: Model, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    x = model["embed"].take(around, axis=0).reshape(len(around), -1)
+    h = x @ model["layer"]
+    h += model["shift"]
+    return x, np.tanh(h, out=h)
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    """The softmax of each row, in its place."""
-    z -= z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+def _class_scores(model: Model, h: np.ndarray) -> np.ndarray:
+    """(classes, positions), so that sums over classes run along memory."""
+    z = model["class"].T @ h.T
+    z += model["class_bias"][:, None]
     return z
 
 
+def _word_scores(model: Model, dealt: np.ndarray, blocks: _Blocks) -> np.ndarray:
+    """(blocks, words of the class, ROWS)."""
+    z = np.matmul(model["word"][blocks.classes].transpose(0, 2, 1), dealt)
+    z += model["word_bias"][blocks.classes][:, :, None]
+    return z
+
+
+def log_probabilities(model: Model, around: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The log-probability of each target between its neighbours."""
+    if not len(target):
+        return np.zeros(0, np.float32)
+    _, h = _hidden(model, around)
+    blocks = _Blocks.of(target % CLASSES)
+    e = _exponentials(_class_scores(model, h), 0)
+    got = np.log(e[target % CLASSES, np.arange(len(target))] / e.sum(0))
+    e = _exponentials(_word_scores(model, blocks.deal(h), blocks), 1)
+    block, inside, row = blocks.at(target // CLASSES)
+    return got + np.log(e[block, inside, row] / e.sum(1)[block, row])
+
+
 def gradient(model: Model, around: np.ndarray, target: np.ndarray) -> Model:
     """The gradient of the mean negative log-probability."""
     n = len(target)
-    order, groups = _by_class(target)
-    around, target = around[order], target[order]  # positions of one class side by side
-    x = model["embed"].take(around, axis=0).reshape(n, -1)
-    h = x @ model["layer"]
-    h += model["shift"]
-    np.tanh(h, out=h)
+    x, h = _hidden(model, around)
+    blocks = _Blocks.of(target % CLASSES)
     grad = {"word": np.zeros_like(model["word"]), "word_bias": np.zeros_like(model["word_bias"]), "embed": np.zeros_like(model["embed"])}
-    d = h @ model["class"]
-    d += model["class_bias"]
-    d = _softmax(d)
-    d[np.arange(n), target % CLASSES] -= 1
-    grad["class"], grad["class_bias"] = h.T @ d, d.sum(0)
-    dh = d @ model["class"].T
-    at = 0
-    for c, rows in groups:
-        part = slice(at, at + len(rows))
-        at += len(rows)
-        d = h[part] @ model["word"][c]
-        d += model["word_bias"][c]
-        d = _softmax(d)
-        d[np.arange(len(rows)), target[part] // CLASSES] -= 1
-        grad["word"][c], grad["word_bias"][c] = h[part].T @ d, d.sum(0)
-        dh[part] += d @ model["word"][c].T
+    d = _exponentials(_class_scores(model, h), 0)
+    d /= d.sum(0)
+    d[target % CLASSES, np.arange(n)] -= 1
+    grad["class"], grad["class_bias"] = h.T @ d.T, d.sum(1)
+    dh = d.T @ model["class"].T
+
+    dealt = blocks.deal(h)
+    d = _exponentials(_word_scores(model, dealt, blocks), 1)
+    d /= d.sum(1, keepdims=True)
+    d[blocks.at(target // CLASSES)] -= 1
+    filled = np.zeros(len(blocks.classes) * ROWS, d.dtype)  # empty places have no part in the biases
+    filled[blocks.place] = 1
+    word, bias = np.matmul(dealt, d.transpose(0, 2, 1)), np.matmul(d, filled.reshape(-1, ROWS, 1))[:, :, 0]
+    for start, end in zip(blocks.starts.tolist(), [*blocks.starts[1:].tolist(), len(blocks.classes)]):
+        grad["word"][blocks.classes[start]] = word[start:end].sum(0)
+        grad["word_bias"][blocks.classes[start]] = bias[start:end].sum(0)
+    dh += blocks.gather(np.matmul(model["word"][blocks.classes], d))
+
     dh *= 1 - h * h
     grad["layer"], grad["shift"] = x.T @ dh, dh.sum(0)
     token = around.ravel()
@@ -379,7 +406,7 @@ def score(docs: DataFrame, vocabulary: Vocabulary, model: Model) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         _scores(held), "row long, doc_id long, n_tokens long, word long, times long, other double")
     term = F.when(F.col("times") == 0, F.col("other")).otherwise(F.col("times") * F.coalesce("logp", "other"))
-    rows = rows.join(vocabulary.words, "word", "left").groupBy("row").agg(
+    rows = rows.join(vocabulary.words.hint("shuffle_hash"), "word", "left").groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), (F.sum(F.round(term / UNIT).cast("long")) * UNIT).alias("log_likelihood"))
     return rows.select("doc_id", "n_tokens", "log_likelihood",
                        F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_probability"))
