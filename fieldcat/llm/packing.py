@@ -207,8 +207,10 @@ def pack(rows: DataFrame, most: int = LENGTH) -> DataFrame:
         sequence, offset = place(frame["length"].to_numpy(), most)
         return frame.assign(sequence_id=sequence + (int(key[0]) << 32), offset=offset)
 
-    shard = F.expr(f"pmod(xxhash64(doc_id, piece, start, length), {shards})")
-    return rows.groupBy(shard.alias("shard")).applyInPandas(fill, schema)
+    # the staged row's own number spreads rows that are alike in all else: null ids, copies
+    rows = rows.withColumn("row_", F.monotonically_increasing_id())
+    shard = F.expr(f"pmod(xxhash64(doc_id, piece, start, length, row_), {shards})")
+    return rows.withColumn("shard_", shard).drop("row_").groupBy("shard_").applyInPandas(lambda key, frame: fill(key, frame.drop(columns="shard_")), schema)
 
 
 def sequences(docs: DataFrame, tokenizer: str, most: int = LENGTH) -> DataFrame:

@@ -378,3 +378,15 @@ def test_sweep_completes_what_a_walk_missed():
     n = len(x)
     near = np.flatnonzero(((x @ x.T >= 0.9) & ~np.eye(n, dtype=bool)).ravel())
     assert len(near) and vector_graph.swept(x, near[:0], 0.9).tolist() == near.tolist() == vector_graph.swept(x, near[::2], 0.9).tolist()
+
+
+def test_rows_that_are_alike_are_spread_over_shards(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(50_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"),
+                                      F.lit(700).cast("long").alias("length"))
+    got = packing.pack(rows).select((F.col("sequence_id") / 2**32).cast("long").alias("shard"), "sequence_id", "offset")
+    sizes = {r.shard: r["count"] for r in got.groupBy("shard").count().collect()}
+    assert len(sizes) == 50_000 // packing.SHARD_ROWS + 1 and max(sizes.values()) < 1.2 * packing.SHARD_ROWS
+    filled = got.groupBy("sequence_id").agg(F.sort_array(F.collect_list("offset")).alias("at"))
+    assert filled.where("at <> array(0L, 700L)").count() <= len(sizes)
