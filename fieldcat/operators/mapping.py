@@ -103,10 +103,14 @@ def project(norm_text: DataFrame, mapping: Mapping, location: str = "start") ->
 def linked(frames: DataFrame, mapping: Mapping, stream: str = "primary") -> DataFrame:
     """(file_path, projection, out_name, field, n_frames): what a linked projection of ``stream``
     points at in each file that holds its external field, never the pixels."""
-    p = F.broadcast(mapping.projections.where((F.col("type") == "linked") & (F.col("stream") == stream) & F.col("resolved"))
-                    .select("projection", "out_name", F.col("field").alias("key")))
+    wanted = mapping.projections.where((F.col("type") == "linked") & (F.col("stream") == stream) & F.col("resolved"))
+    links = F.array(*[F.struct(F.lit(r.field).alias("field"), F.lit(r.projection).alias("projection"), F.lit(r.out_name).alias("out_name"))
+                      for r in sorted(wanted.collect())])  # a mapping document's few rows
     held = external_refs(frames, mapping, stream).groupBy("file_path", "key").agg(F.count(F.lit(1)).alias("n_frames"))
-    return held.join(p, "key").select("file_path", "projection", "out_name", F.col("key").alias("field"), "n_frames")
+    if not mapping.keys("external", stream=stream) or wanted.isEmpty():
+        return held.select("file_path", *[F.lit(None).cast("string").alias(c) for c in ("projection", "out_name", "field")], "n_frames").where(F.lit(False))
+    return held.select("*", F.explode(links).alias("p")).where(F.col("p.field") == F.col("key")).select(
+        "file_path", "p.projection", "p.out_name", "p.field", "n_frames")
 
 
 def unresolved_projections(mapping: Mapping) -> DataFrame:
