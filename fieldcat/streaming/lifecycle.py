@@ -169,8 +169,10 @@ class Claims(InOrder):
 
 
 def _timed(events: DataFrame, delay: str, *columns: str) -> DataFrame:
-    at = F.col("time").cast("timestamp")
-    return events.select("id", "event_id", at.alias("at"), F.unix_micros(at).alias("micros"), *columns).withWatermark("at", delay)
+    # wall-clock micros, so that no session time zone moves an event
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, F.col("time").cast("timestamp_ntz"))
+    return events.select("id", "event_id", F.timestamp_micros(micros).alias("at"), micros.alias("micros"), *columns).withWatermark("at", delay)
 
 
 def transitions(events: DataFrame, delay: str) -> DataFrame:
