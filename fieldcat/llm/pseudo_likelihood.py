@@ -55,8 +55,8 @@ UNIT = 1e-6
 #: Parameters in one averaged segment.
 SEGMENT = 8192
 _BLOCK = 8192
-#: Positions of one class worked on together.
-ROWS = 32
+#: Scores up to this size have exponentials whose sums single precision holds.
+SAFE = 60.0
 
 Model = dict[str, np.ndarray]
 
@@ -140,108 +140,93 @@ def contexts(wide: np.ndarray, where: np.ndarray) -> np.ndarray:
     return wide[where[:, None] + np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])]
 
 
-class _Blocks(NamedTuple):
-    """Positions dealt to blocks of ``ROWS`` places, each of one class; ``place`` is that of each
-    position, the others are empty."""
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The targets' order by class, and (class, start, end) of each class that is there."""
+    group = target % CLASSES
+    ends = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
+    runs = [(c, s, e) for c, (s, e) in enumerate(zip([0, *ends], ends)) if e > s]
+    return np.argsort(group.astype(np.uint8), kind="stable"), runs
 
-    place: np.ndarray
-    classes: np.ndarray
-    starts: np.ndarray
 
-    @classmethod
-    def of(cls, group: np.ndarray) -> _Blocks:
-        order = np.argsort(group.astype(np.uint8), kind="stable")
-        count = np.bincount(group, minlength=CLASSES)
-        blocks = -(-count // ROWS)
-        first = np.cumsum(blocks) - blocks
-        place = np.empty(len(group), np.int64)
-        place[order] = np.repeat(first * ROWS - (np.cumsum(count) - count), count) + np.arange(len(group))
-        return cls(place, np.repeat(np.arange(CLASSES), blocks), first[count > 0])
-
-    def deal(self, rows: np.ndarray) -> np.ndarray:
-        """(blocks, columns, ROWS) of one row for each position."""
-        out = np.zeros((len(self.classes) * ROWS, rows.shape[1]), rows.dtype)
-        out[self.place] = rows
-        return out.reshape(len(self.classes), ROWS, -1).transpose(0, 2, 1)
-
-    def gather(self, dealt: np.ndarray) -> np.ndarray:
-        """The positions' rows of (blocks, columns, ROWS)."""
-        return dealt.transpose(0, 2, 1).reshape(len(self.classes) * ROWS, -1)[self.place]
-
-    def at(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return self.place // ROWS, inside, self.place % ROWS
-
-
-def _exponentials(z: np.ndarray, axis: int) -> np.ndarray:
-    """The scores' exponentials, the greatest being one, in their place."""
-    z -= z.max(axis, keepdims=True)
-    return np.exp(z, out=z)
+def _exponentials(z: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The exponentials of (positions, scores) in their place, up to a factor of each position,
+    and each position's sum. The hidden values lie in -1 to 1, so the weights bound the scores;
+    only where they could pass single precision is each position's greatest score taken off."""
+    if np.abs(weights).sum(-2).max() + np.abs(bias).max() > SAFE:
+        z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    return z, z @ np.ones(z.shape[1], z.dtype)
 
 
 def _hidden(model: Model, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    x = model["embed"].take(around, axis=0).reshape(len(around), -1)
+    x = model["embed"].take(around, axis=0).reshape(len(around), 2 * SIDE * EMBED)
     h = x @ model["layer"]
     h += model["shift"]
-    return x, np.tanh(h, out=h)
+    # tanh(h) = 1 - 2 / (1 + exp(2h)); beyond 40 it is one in either precision
+    np.exp(2 * np.clip(h, -40, 40, out=h), out=h)
+    h += 1
+    np.divide(-2, h, out=h)
+    h += 1
+    return x, h
 
 
-def _class_scores(model: Model, h: np.ndarray) -> np.ndarray:
-    """(classes, positions), so that sums over classes run along memory."""
-    z = model["class"].T @ h.T
-    z += model["class_bias"][:, None]
-    return z
+def _class_parts(model: Model, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    z = h @ model["class"]
+    z += model["class_bias"]
+    return _exponentials(z, model["class"], model["class_bias"])
 
 
-def _word_scores(model: Model, dealt: np.ndarray, blocks: _Blocks) -> np.ndarray:
-    """(blocks, words of the class, ROWS)."""
-    z = np.matmul(model["word"][blocks.classes].transpose(0, 2, 1), dealt)
-    z += model["word_bias"][blocks.classes][:, :, None]
-    return z
+def _word_parts(model: Model, h: np.ndarray, runs: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The same inside each position's class, for positions ordered by class."""
+    z = np.empty((len(h), INSIDE), h.dtype)
+    for c, s, e in runs:
+        np.matmul(h[s:e], model["word"][c], out=z[s:e])
+        z[s:e] += model["word_bias"][c]
+    return _exponentials(z, model["word"], model["word_bias"])
 
 
 def log_probabilities(model: Model, around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """The log-probability of each target between its neighbours."""
-    if not len(target):
-        return np.zeros(0, np.float32)
-    _, h = _hidden(model, around)
-    blocks = _Blocks.of(target % CLASSES)
-    e = _exponentials(_class_scores(model, h), 0)
-    got = np.log(e[target % CLASSES, np.arange(len(target))] / e.sum(0))
-    e = _exponentials(_word_scores(model, blocks.deal(h), blocks), 1)
-    block, inside, row = blocks.at(target // CLASSES)
-    return got + np.log(e[block, inside, row] / e.sum(1)[block, row])
+    order, runs = _by_class(target)
+    target, place = target[order], np.arange(len(target))
+    _, h = _hidden(model, around[order])
+    e, total = _class_parts(model, h)
+    got = np.log(e[place, target % CLASSES] / total)
+    e, total = _word_parts(model, h, runs)
+    got += np.log(e[place, target // CLASSES] / total)
+    out = np.empty_like(got)
+    out[order] = got
+    return out
 
 
 def gradient(model: Model, around: np.ndarray, target: np.ndarray) -> Model:
     """The gradient of the mean negative log-probability."""
     n = len(target)
+    order, runs = _by_class(target)
+    around, target, place = around[order], target[order], np.arange(n)
     x, h = _hidden(model, around)
-    blocks = _Blocks.of(target % CLASSES)
-    grad = {"word": np.zeros_like(model["word"]), "word_bias": np.zeros_like(model["word_bias"]), "embed": np.zeros_like(model["embed"])}
-    d = _exponentials(_class_scores(model, h), 0)
-    d /= d.sum(0)
-    d[target % CLASSES, np.arange(n)] -= 1
-    grad["class"], grad["class_bias"] = h.T @ d.T, d.sum(1)
-    dh = d.T @ model["class"].T
-
-    dealt = blocks.deal(h)
-    d = _exponentials(_word_scores(model, dealt, blocks), 1)
-    d /= d.sum(1, keepdims=True)
-    d[blocks.at(target // CLASSES)] -= 1
-    filled = np.zeros(len(blocks.classes) * ROWS, d.dtype)  # empty places have no part in the biases
-    filled[blocks.place] = 1
-    word, bias = np.matmul(dealt, d.transpose(0, 2, 1)), np.matmul(d, filled.reshape(-1, ROWS, 1))[:, :, 0]
-    for start, end in zip(blocks.starts.tolist(), [*blocks.starts[1:].tolist(), len(blocks.classes)]):
-        grad["word"][blocks.classes[start]] = word[start:end].sum(0)
-        grad["word_bias"][blocks.classes[start]] = bias[start:end].sum(0)
-    dh += blocks.gather(np.matmul(model["word"][blocks.classes], d))
+    grad = {k: np.zeros_like(model[k]) for k in ("word", "word_bias", "embed")}
+    d, total = _class_parts(model, h)
+    d /= total[:, None]
+    d[place, target % CLASSES] -= 1
+    one = np.ones(n, d.dtype)
+    grad["class"], grad["class_bias"] = h.T @ d, one @ d
+    dh = d @ model["class"].T
+
+    d, total = _word_parts(model, h, runs)
+    d /= total[:, None]
+    d[place, target // CLASSES] -= 1
+    for c, s, e in runs:
+        np.matmul(h[s:e].T, d[s:e], out=grad["word"][c])
+        np.matmul(one[s:e], d[s:e], out=grad["word_bias"][c])
+        dh[s:e] += d[s:e] @ model["word"][c].T
 
     dh *= 1 - h * h
-    grad["layer"], grad["shift"] = x.T @ dh, dh.sum(0)
+    grad["layer"], grad["shift"] = (dh.T @ x).T, one @ dh
     token = around.ravel()
     by_token = np.argsort(token.astype(np.uint16), kind="stable")  # TOKENS is below 2**16: a radix sort
     starts = np.flatnonzero(np.diff(token[by_token], prepend=-1))
-    grad["embed"][token[by_token[starts]]] = np.add.reduceat((dh @ model["layer"].T).reshape(-1, EMBED)[by_token], starts, axis=0)
+    grad["embed"][token[by_token[starts]]] = np.add.reduceat((dh @ model["layer"].T).reshape(-1, EMBED).take(by_token, axis=0), starts, axis=0)
     for g in grad.values():
         g /= n
     return {k: grad[k] for k in model}
