@@ -54,15 +54,23 @@ FROM f
 
 _HOST = "regexp_extract(regexp_extract({0}, '(?s)^.*?://[^/?#]*'), '://([^/?#]*)$', 1)"
 _RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
-_CANONICAL = "regexp_extract(regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*[\"'']?canonical\\b[^>]*>'), '(?is)\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1)"
-_REFRESH = "regexp_extract(regexp_extract(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*[\"'']?refresh\\b[^>]*>'), '(?is)\\burl\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1)"
+_TAGS = ("regexp_extract_all(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*[\"'']?canonical\\b[^>]*>')", "regexp_extract_all(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*[\"'']?refresh\\b[^>]*>')")
+_TARGET = "regexp_replace(regexp_extract(tag, '(?is)\\b{0}\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1), '(?i)&(?:amp|#0*38|#x0*26);', '&', 'g')"
+_DOTS = [f"'{p}(/|$)'" for p in (r"/\.", r"^/\.\.", r"/[^/]*/\.\.")]
 
 URL_FILTER = f"""
-WITH RECURSIVE t AS (SELECT url, {_CANONICAL} AS t FROM pages UNION SELECT url, {_REFRESH} FROM pages),
-o AS (SELECT url, t, regexp_extract(url, '(?s)^.*?://[^/?#]*') AS origin, regexp_extract(url, '(?s)^.*?://[^/?#]*(?:[^?#]*/)?') AS folder
+WITH RECURSIVE t AS (SELECT url, {_TARGET.format('href')} AS t FROM (SELECT url, unnest({_TAGS[0]}) AS tag FROM pages)
+      UNION SELECT url, {_TARGET.format('url')} FROM (SELECT url, unnest({_TAGS[1]}) AS tag FROM pages)),
+o AS (SELECT url, t AS link, regexp_replace(t, '(?s)#.*', '') AS t, regexp_extract(url, '(?s)^.*?://[^/?#]*') AS origin, regexp_extract(url, '(?s)^.*?://[^?#]*') AS page
       FROM t WHERE t <> '' AND contains(url, '://')),
-k AS (SELECT url, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || t
-        WHEN starts_with(t, '/') THEN origin || t WHEN suffix(folder, '/') THEN folder || t ELSE folder || '/' || t END AS "to" FROM o),
+p AS (SELECT *, regexp_extract(substr(page, length(origin) + 1), '(?s)^.*/') AS folder, regexp_extract(t, '(?s)^[^?]*') AS path FROM o),
+d AS (SELECT url, link, CASE WHEN starts_with(path, '/') THEN path WHEN folder = '' THEN '/' || path ELSE folder || path END AS path FROM p
+      UNION SELECT url, link, CASE {" ".join(f"WHEN regexp_matches(path, {x}) THEN regexp_replace(path, {x}, '/')" for x in _DOTS)} END
+      FROM d WHERE {" OR ".join(f"regexp_matches(path, {x})" for x in _DOTS)}),
+k AS (SELECT p.url, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+        WHEN starts_with(t, '//') THEN regexp_extract(p.url, '(?s)^(.*?)://', 1) || ':' || t WHEN t = '' THEN regexp_replace(p.url, '(?s)#.*', '')
+        WHEN starts_with(t, '?') THEN page || t ELSE origin || d.path || substr(t, length(p.path) + 1) END AS "to"
+      FROM p JOIN d ON d.url = p.url AND d.link = p.link WHERE {" AND ".join(f"NOT regexp_matches(d.path, {x})" for x in _DOTS)}),
 u AS (SELECT DISTINCT url FROM pages UNION SELECT "to" FROM k),
 h AS (SELECT url, coalesce({_LOWER.format(_HOST.format('url'))}, '') AS host,
         coalesce(regexp_extract(regexp_extract(url, '(?s)^.*?://[^?#]*'), '://[^/?#]*([^?#]*)$', 1), '') AS path,

@@ -1,8 +1,8 @@
 """URL filters with redirect equivalence, in DataFrame functions only.
 
 A page's url is judged by the longest fitting rule (host and its subdomains, path prefix).
-Redirects (``meta http-equiv=refresh``) and canonical links (``link rel=canonical``) found in
-the pages are edges between urls (without fragments); their distributed connected components
+Redirects (``meta http-equiv=refresh``) and canonical links (``link rel=canonical``), all of
+those found in a page, are edges between urls (without fragments); their distributed connected components
 are groups of aliases. A url without a rule of its own takes the decision of its group: block
 if a member is blocked by a rule, unless a member is explicitly allowed, which comes first.
 Other urls are allowed.
@@ -55,14 +55,30 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
 
 
 def resolved(target: Column, url: Column) -> Column:
-    """A link's absolute url, without fragment."""
+    """A link's absolute url, without fragment: null for other schemes than those with ``://``.
+    References are taken as the generic url syntax says (``?x`` keeps the page's path, ``../``
+    and ``./`` go)."""
+    link = F.regexp_replace(target, r"(?s)#.*", "")
     scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
     origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)", 1)
-    folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
-    whole = (F.when(target.contains("://"), target).when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-             .when(target.startswith("/"), F.concat(origin, target)).otherwise(F.concat(folder, target)))
-    return F.regexp_replace(whole, r"(?s)#.*", "")
+    page = F.regexp_extract(url, r"(?s)^(.*?://[^?#]*)", 1)
+    folder = F.regexp_extract(path_of(url), r"(?s)^(.*/)", 1)
+    path, query = F.regexp_extract(link, r"(?s)^([^?]*)", 1), F.regexp_extract(link, r"(?s)^[^?]*(.*)", 1)
+    path = F.when(path.startswith("/"), path).when(folder == "", F.concat(F.lit("/"), path)).otherwise(F.concat(folder, path))
+    parts = F.split(path, "/")
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), lambda done, part: (
+        F.when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(part == ".", done).otherwise(F.concat(done, F.array(part)))))
+    kept = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return (F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link).when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+            .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link)).when(link == "", F.regexp_extract(url, r"(?s)^([^#]*)", 1))
+            .when(link.startswith("?"), F.concat(page, link)).otherwise(F.concat(origin, F.lit("/"), F.array_join(kept, "/"), query)))
+
+
+def targets_of(html: Column) -> Column:
+    """The targets of all canonical links and refreshes of a page, ``&amp;`` decoded."""
+    tags = lambda tag, target: F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda t: F.regexp_replace(
+        F.regexp_extract(t, target, 1), r"(?i)&(?:amp|#0*38|#x0*26);", "&"))
+    return F.array_distinct(F.filter(F.concat(tags(_LINK, _HREF), tags(_META, _URL)), lambda t: t != ""))
 
 
 def node_of(url: Column) -> Column:
@@ -74,10 +90,8 @@ def node_of(url: Column) -> Column:
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every row of ``pages`` (page_id, url, html)."""
     url, html = F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit(""))
-    targets = F.filter(F.array(F.regexp_extract(F.regexp_extract(html, _LINK, 0), _HREF, 1),
-                               F.regexp_extract(F.regexp_extract(html, _META, 0), _URL, 1)), lambda t: t != "")
     rows = stage(pages.select("page_id", url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"),
-                              node_of(url).alias("node"), targets.alias("targets")), "pages")
+                              node_of(url).alias("node"), targets_of(html).alias("targets")), "pages")
     own = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("own", own)
     links = (rows.where("node is not null and size(targets) > 0").select("node", "own", "url", F.explode("targets").alias("target"))
