@@ -390,3 +390,70 @@ def test_rows_that_are_alike_are_spread_over_shards(spark):
     assert len(sizes) == 50_000 // packing.SHARD_ROWS + 1 and max(sizes.values()) < 1.2 * packing.SHARD_ROWS
     filled = got.groupBy("sequence_id").agg(F.sort_array(F.collect_list("offset")).alias("at"))
     assert filled.where("at <> array(0L, 700L)").count() <= len(sizes)
+
+
+def test_references_resolve_as_urls_do(spark):
+    from urllib.parse import urldefrag, urljoin
+
+    from pyspark.sql import functions as F
+
+    bases = ["http://a.net/b/c/d?q=1#f", "http://a.net", "http://a.net/", "https://a.net/b", "http://a.net/b/c/?x=/y/z"]
+    links = ["g", "./g", "g/", "/g", "//g.net/h", "?y=2", "g?y", "#s", "g#s", "../g", "..", ".", "./", "../", "../../g", "../../../../g", "/./g", "/../g", "g.", "..g",
+             "./g/.", "g/./h", "g/../h", "g?y/../x", "g#s/../x", "http://h.net/x?u=1", "/r?u=http://h.net/", "r;x=1", "../r?u=http://h.net/../z"]
+    rows = spark.createDataFrame([(b, t) for b in bases for t in links], "base string, target string")
+    for r in rows.withColumn("to", url_filter.resolved(F.col("target"), F.col("base"))).collect():
+        assert r.to == urldefrag(urljoin(r.base, r.target)).url, (r.base, r.target)
+    assert rows.select(url_filter.resolved(F.lit("mailto:x@y.net?u=http://h.net/"), F.col("base"))).distinct().collect() == [(None,)]
+
+
+def test_every_link_of_a_page_counts_as_in_the_sql(spark):
+    import duckdb
+
+    from fieldcat.llm import oracle
+
+    canonical, refresh = '<link rel="canonical" href="{}">'.format, "<meta http-equiv=refresh content='0;url={}'>".format
+    rows = [(1, "http://a.net/x/y", canonical("http://b.net/") + canonical("http://w.com/de/1")), (2, "http://b.net/", ""),  # the second canonical link
+            (3, "http://c.net/p/q", refresh("../r?a=1&amp;b=2") + refresh("?z=1#f")), (4, "http://c.net/r?a=1&b=2", canonical("http://w.com/de/2")), (5, "http://c.net/p/q?z=1", None),
+            (6, "http://d.net/p", canonical("/go?u=http://w.com/de/3")), (7, "http://e.net/p/./q", canonical("./../s/./t")), (8, "http://e.net/s/t", canonical("http://w.com/de/4")),
+            (9, "http://f.net/", canonical("http://w.com/de/5") + "x" * 200_000 + refresh("http://z.org/")), (10, "http://g.net/", canonical("") + refresh("javascript:go('http://w.com/de/6')")),
+            (11, None, canonical("http://w.com/de/7")), (12, "", None), (13, "http://h.net", canonical("k")), (13, "http://h.net/k", canonical("HTTP://W.com/de/8"))]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    names = ["page_id", "host", "path", "rule", "verdict"]
+    got = sorted(map(repr, (tuple(r[n] for n in names) for r in url_filter.judge(table).collect())))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    sql = f"SELECT {', '.join(names)} FROM ({oracle.URL_FILTER})"
+    assert got == sorted(map(repr, con.execute(sql).fetchall()))
+    verdicts = {r.page_id: r.verdict for r in url_filter.judge(table).collect()}
+    assert {i for i, v in verdicts.items() if v == "block"} == {1, 2, 3, 4, 5, 7, 8, 13}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_links_come_from_the_graph(seed):
+    rng = np.random.default_rng(seed)
+    few = rng.normal(size=(300, 24))
+    x = vector_graph.unit(np.concatenate([few, few + 0.1 * rng.normal(size=few.shape), few[:100] + 0.15 * rng.normal(size=(100, 24)), rng.normal(size=24) + 0.1 * rng.normal(size=(400, 24))]))
+    true = x @ x.T >= vector_graph.LINK
+    np.fill_diagonal(true, False)
+    edges = vector_graph.edges_of(x)
+    found = vector_graph.search(x, edges, vector_graph.LINK)
+    assert not (found & ~true).any() and (found == found.T).all() and found.sum() >= 0.98 * true.sum()
+    single = true[:700, :700].sum()
+    assert found[:700, :700].sum() >= 0.98 * single
+    # without edges nothing but a node's nearness to the medoid is left
+    assert vector_graph.search(x, np.full_like(edges, -1), vector_graph.LINK).sum() < 0.05 * true.sum()
+
+
+def test_a_pair_is_counted_by_its_first_shard(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    x = vector_graph.unit(rng.normal(size=20) + 0.05 * rng.normal(size=(6, 20)))
+    shard = {c: pd.DataFrame({"node": range(6), "copies": [1, 1, 1, 1, 1, 3], "cell": c, "a": 0, "b": 0, "own": 0, "cells": [np.array(k) for k in ([5, 9],) * 3 + ([9],) * 3],
+                              "near": [np.array([j for j in range(6) if j != i]) for i in range(6)], "vector": list(x)}) for c in (5, 9)}
+    shard[5] = shard[5].iloc[:3]
+    for exact in (False, True):
+        run = vector_graph._shard_links(vector_graph.LINK, exact)
+        first, second = run(shard[5]), run(shard[9])
+        assert first["links"].tolist() == [2, 2, 2] and second["links"].tolist() == [5, 5, 5, 7, 7, 5] and second["root"].tolist() == [0] * 6
