@@ -113,10 +113,12 @@ def ids_of(hashed: np.ndarray, vocabulary: tuple[np.ndarray, np.ndarray]) -> np.
 
 def byte_pairs(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Codes of every word's byte pairs, its edges included, and the words' offsets."""
-    words = pa.concat_arrays([words.cast(pa.string())])
+    words = words.cast(pa.string())
     size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     line = np.full(size.sum() + len(size) + 1, EDGE, np.int64)
-    line[np.arange(size.sum()) + 1 + np.repeat(np.arange(len(size)), size)] = np.frombuffer("".join(words.to_pylist()).encode(), np.uint8)
+    if size.sum():
+        first = np.frombuffer(words.buffers()[1], np.int32)[words.offset]
+        line[np.arange(size.sum()) + 1 + np.repeat(np.arange(len(size)), size)] = np.frombuffer(words.buffers()[2], np.uint8)[first:first + size.sum()]
     return line[:-1] * (EDGE + 1) + line[1:], np.concatenate([[0], np.cumsum(size + 1)])
 
 
@@ -216,10 +218,12 @@ def gradient(model: Model, around: np.ndarray, target: np.ndarray) -> Model:
     d, total = _word_parts(model, h, runs)
     d /= total[:, None]
     d[place, target // CLASSES] -= 1
+    inner = np.empty_like(dh)
     for c, s, e in runs:
         np.matmul(h[s:e].T, d[s:e], out=grad["word"][c])
         np.matmul(one[s:e], d[s:e], out=grad["word_bias"][c])
-        dh[s:e] += d[s:e] @ model["word"][c].T
+        np.matmul(d[s:e], model["word"][c].T, out=inner[s:e])
+    dh += inner
 
     dh *= 1 - h * h
     grad["layer"], grad["shift"] = (dh.T @ x).T, one @ dh
