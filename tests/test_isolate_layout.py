@@ -118,6 +118,31 @@ def test_bitmaps_over_many_blocks_and_no_pairs(spark):
     assert access.user_reach(ds.limit(0), us).agg(F.sum("n_read")).first()[0] == 0
 
 
+def test_reach_of_records_with_many_groups_and_of_repeated_rows(spark):
+    """Records with more groups than are counted by subsets, with equal ids, and without any."""
+    rng = random.Random(4)
+    groups = [f"g{i}" for i in range(14)]
+    records = [(i % 90, rng.choice([None, *groups]), rng.sample(groups, rng.randrange(13))) for i in range(200)]
+    users = [(rng.choice([None, *"abcdefgh"]), rng.sample([*groups, "other"], rng.randrange(9))) for _ in range(20)]
+    ds = spark.createDataFrame(records, "pid long, ownerGroup string, accessGroups array<string>")
+    us = spark.createDataFrame(users, "user string, groups array<string>")
+    want = {}
+    for u in {u for u, _ in users}:
+        own = {g for v, gs in users for g in gs if v == u and u is not None}
+        want[u] = [sum(bool(own & {o, *a}) for _, o, a in records), sum(o in own for _, o, _ in records)]
+    assert {r.user: [r.n_read, r.n_write] for r in access.user_reach(ds, us).collect()} == want
+
+
+def test_reach_holds_no_row_for_each_user_and_part_of_the_records(spark):
+    """Counts of group sets: as many rows for many records as for few."""
+    def rows(n):
+        ds = spark.range(n).select(F.col("id").alias("pid"), F.concat(F.lit("o"), F.col("id")).alias("ownerGroup"),
+                                   F.array(F.concat(F.lit("a"), F.col("id") % 3)).alias("accessGroups"))
+        held = spark.createDataFrame([("a0", 9), ("a1", 9), ("o5", 1)], "_g string, _users long")
+        return access.group_set_counts(ds, held).where("n_read <> 0").count()
+    assert rows(100) == rows(100_000) == 3  # a0, a1 and o5, whose other group no one holds
+
+
 # ---------------------------------------------------------------- layouts
 
 def test_events_by_job_are_not_shuffled(spark, tmp_path):
