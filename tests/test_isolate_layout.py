@@ -143,6 +143,27 @@ def test_reach_holds_no_row_for_each_user_and_part_of_the_records(spark):
     assert rows(100) == rows(100_000) == 3  # a0, a1 and o5, whose other group no one holds
 
 
+def test_visible_pairs_stream_past_blocks_of_users(spark, monkeypatch):
+    """A hot group's users in several blocks and its records in several parts give each pair once,
+    by a hash join that sorts and buffers no records."""
+    for name, n in (("USERS_OF_BLOCK", 7), ("USERS_OF_PART", 4), ("PARTS", 3)):
+        monkeypatch.setattr(access, name, n)
+    ds = spark.createDataFrame([(i, f"g{i % 3}", ["all", None, f"h{i % 2}"]) for i in range(60)] + [(None, "all", None)],
+                               "pid long, ownerGroup string, accessGroups array<string>")
+    us = spark.createDataFrame([(f"u{i}", ["all", f"g{i % 4}"]) for i in range(20)], "user string, groups array<string>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = access.visible(ds, us)
+        rows = [tuple(r) for r in out.collect()]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = [(f"u{u}", p, True, p is None or u % 4 == p % 3) for u in range(20) for p in [*range(60), None]]
+    assert sorted(rows, key=str) == sorted(want, key=str)
+    assert "ShuffledHashJoin" in plan
+
+
 # ---------------------------------------------------------------- layouts
 
 def test_events_by_job_are_not_shuffled(spark, tmp_path):
