@@ -12,7 +12,7 @@ overwritten.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_COL = "_batch"
@@ -31,7 +31,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch into its own directory (idempotent on replay)."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
 
 
 def read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -41,14 +41,16 @@ def read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return r.parquet(f"{path.rstrip('/')}/{BATCH_COL}=*")
 
 
-def read_latest(df: DataFrame, key: list[str] | str, order: list[str] | None = None) -> DataFrame:
+def read_latest(df: DataFrame, key: list[str] | str, order: list[str] | None = None, report: list[Column] | None = None) -> DataFrame:
     """The current row of every key: the one with the greatest (*order,
     batch) - a record version first when there is one, the batch last. Of
-    versions equal in all that, the one of greatest row hash, so reruns agree."""
+    versions equal in all that, the one of greatest row hash, so reruns agree. With ``report``
+    the row is of those columns: they are made before rows are shuffled, which is worth it
+    where they are smaller than the record, and choose no other version."""
     keys = [key] if isinstance(key, str) else list(key)
     order = list(order or []) + [BATCH_COL]
     rest = [c for c in df.columns if c not in keys and c != BATCH_COL]
-    latest = F.max_by(F.struct(*rest), F.struct(*order, F.xxhash64(*rest))).alias("_cur")
+    latest = F.max_by(F.struct(*(rest if report is None else report)), F.struct(*order, F.xxhash64(*rest))).alias("_cur")
     return df.groupBy(*keys).agg(latest).select(*keys, "_cur.*")
 
 
