@@ -52,8 +52,15 @@ def _vector_containers(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def _scanned(rows: DataFrame, name: str) -> DataFrame:
+    """The rows of a scan, stored: the files are opened once, however often a query uses their rows."""
+    spark, path = rows.sparkSession, scratch_dir(rows.sparkSession, name)
+    rows.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _samples(spark: SparkSession, root: str) -> DataFrame:
-    return containers.read_containers(spark, root, SAMPLED_KEYS, SAMPLE_SIZE)
+    return _scanned(containers.read_containers(spark, root, SAMPLED_KEYS, SAMPLE_SIZE), "samples")
 
 
 def sampled_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +82,7 @@ def _vector_ingest(spark: SparkSession, sf_dir: str) -> IngestResult:
     files = ad.vec_frames(spark, sf_dir).select(
         F.concat(F.lit("job-"), F.col("vec_id").cast("string")).alias("job_id"), "file_path", F.size("pixels").cast("bigint").alias("size"),
         F.lit(None).cast("timestamp").alias("mod_time"))
-    fields = containers.read_containers(spark, root, unique_keys(CATALOGUE_KEYS + SCIENTIFIC_KEYS))
+    fields = _scanned(containers.read_containers(spark, root, unique_keys(CATALOGUE_KEYS + SCIENTIFIC_KEYS)), "fields")
     return ingest_files(files, fields, thumbnails(ad.vec_frames(spark, sf_dir)), _samples(spark, root))
 
 

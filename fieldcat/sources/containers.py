@@ -10,7 +10,8 @@ members ``<key>#0``, ``<key>#1`` ... of ``chunk`` values each.
 ``file_path`` is the path below ``root`` without ``.npz``, starting with a slash.
 
 * Partitions: files in path order up to ``partitionBytes`` each, every file counting
-  ``openBytes`` more; a file above that is split by its members.
+  ``openBytes`` more; a file above that is split by its members. With ``tasks`` they are
+  smaller where there would be fewer than that.
 * Pushdown: ``keys`` and ``paths`` (options, JSON lists) choose members and files, and with a
   shorter read schema only its columns are built: without value columns no member is opened
   that has attributes. The choice is an option of the scan and not Spark's filter pushdown:
@@ -29,6 +30,7 @@ from __future__ import annotations
 import fnmatch
 import io
 import json
+import math
 import time
 import zipfile
 from collections.abc import Iterator
@@ -57,17 +59,22 @@ def _chosen(keys: list[str] | None, options: dict) -> dict:
     return options if keys is None else options | {"keys": json.dumps(list(dict.fromkeys(keys)))}
 
 
+def _spread(spark: SparkSession) -> dict:
+    """Small files by the thousand in a task, as long as every core has some."""
+    return {"openBytes": str(64 << 10), "tasks": str(2 * spark.sparkContext.defaultParallelism)}
+
+
 def read_containers(spark: SparkSession, root: str, keys: list[str] | None = None, sample_size: int | None = None, **options) -> DataFrame:
     """The field table of all containers below ``root``, of the requested ``keys`` only; with
     ``sample_size`` their stride samples."""
     register(spark)
-    reader = spark.read.format(NAME).options(**_chosen(keys, options))
+    reader = spark.read.format(NAME).options(**_chosen(keys, _spread(spark) | options))
     return (reader if sample_size is None else reader.option("sampleSize", str(sample_size))).load(root)
 
 
 def stream_containers(spark: SparkSession, root: str, keys: list[str] | None = None, **options) -> DataFrame:
     register(spark)
-    return spark.readStream.format(NAME).options(**_chosen(keys, options)).load(root)
+    return spark.readStream.format(NAME).options(**_chosen(keys, _spread(spark) | options)).load(root)
 
 
 def write_containers(fields: DataFrame, root: str, chunk: int | None = None) -> None:
@@ -91,6 +98,30 @@ def _python(a: np.ndarray, kind: str) -> list:
     return [int(v) for v in flat.tolist()] if kind == "i" else flat.astype(float).tolist()
 
 
+# Headers by what they say; plain tables, since this module travels to executors by value.
+_READ, _WRITTEN = {}, {}
+
+
+def _header(data: bytes) -> tuple:
+    """Shape, order and type of an array by its header; arrays of files of one kind share theirs."""
+    if data not in _READ:
+        if len(_READ) >= 1024:
+            _READ.clear()
+        _READ[data] = np.lib.format.read_array_header_1_0(io.BytesIO(data))
+    return _READ[data]
+
+
+def _header_of(n: int, kind: str) -> bytes:
+    """What stands before the values of an array of ``n`` in a file."""
+    if (n, kind) not in _WRITTEN:
+        if len(_WRITTEN) >= 1024:
+            _WRITTEN.clear()
+        out = io.BytesIO()
+        np.lib.format.write_array_header_1_0(out, {"descr": kind, "fortran_order": False, "shape": (n,)})
+        _WRITTEN[n, kind] = out.getvalue()
+    return _WRITTEN[n, kind]
+
+
 class Container:
     """The members of one open archive."""
 
@@ -100,8 +131,13 @@ class Container:
         self.keys = sorted({n.rstrip("@").split("#")[0] for n in self.names})
 
     def array(self, name: str) -> np.ndarray:
-        with self.zip.open(name + ".npy") as f:
-            return np.lib.format.read_array(io.BytesIO(f.read()), allow_pickle=False)
+        data = self.zip.read(name + ".npy")
+        if data[:8] == b"\x93NUMPY\x01\x00":
+            at = 10 + int.from_bytes(data[8:10], "little")
+            shape, fortran, kind = _header(data[8:at])
+            if not fortran and not kind.hasobject and kind.itemsize:
+                return np.frombuffer(data, kind, math.prod(shape), at).reshape(shape)
+        return np.lib.format.read_array(io.BytesIO(data), allow_pickle=False)
 
     def attributes(self, key: str) -> dict:
         return json.loads(self.zip.read(key + "@")) if key + "@" in self.names else {}
@@ -186,6 +222,7 @@ class _Scan:
         self.root = self.root.rstrip("/")
         self.most = int(options.get("partitionbytes", 128 << 20))
         self.open = int(options.get("openbytes", 1 << 20))
+        self.tasks = int(options.get("tasks", 0))
         self.sample = int(options["samplesize"]) if "samplesize" in options else None
         self.glob = options.get("pathglobfilter")
         self.keys = set(json.loads(options["keys"])) if "keys" in options else None
@@ -205,11 +242,12 @@ class _Scan:
 
     def slices(self, files: list[tuple[int, str, int]]) -> list[Slice]:
         out, held, size = [], [], 0
+        most = min(self.most, sum(n + self.open for _, _, n in files) // self.tasks) if self.tasks else self.most
         for _, path, n in sorted(files, key=lambda f: f[1]):
             if n > self.most:
                 out += self._split(path)
                 continue
-            if held and size + n + self.open > self.most:
+            if held and size + n + self.open > most:
                 out.append(Slice(held))
                 held, size = [], 0
             held.append(path)
@@ -311,7 +349,7 @@ class ContainerWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         import uuid
 
-        done, path, archive, sink = [], None, None, None
+        done, path, archive, sink, folders = [], None, None, None, set()
 
         def close():
             if archive is not None:
@@ -319,7 +357,10 @@ class ContainerWriter(DataSourceArrowWriter):
                 sink.close()
 
         for batch in iterator:
-            for row in batch.to_pylist():
+            numbers = [c for c in ("int_values", "dbl_values") if c in batch.schema.names]  # stay in Arrow's memory
+            columns = {c: batch.column(c) for c in numbers}
+            for i, row in enumerate(batch.drop_columns(numbers).to_pylist()):
+                row |= {c: v[i].values for c, v in columns.items()}
                 if row["file_path"] is None or row["key"] is None:
                     continue
                 if row["file_path"] != path:
@@ -327,7 +368,9 @@ class ContainerWriter(DataSourceArrowWriter):
                     path = row["file_path"]
                     final = f"{self.scan.root}/{path.lstrip('/')}{SUFFIX}"
                     folder = final.rsplit("/", 1)[0]
-                    self.scan.system.create_dir(folder, recursive=True)
+                    if folder not in folders:
+                        self.scan.system.create_dir(folder, recursive=True)
+                        folders.add(folder)
                     hidden = f"{folder}/.{uuid.uuid4().hex}"
                     sink = self.scan.system.open_output_stream(hidden)
                     archive = zipfile.ZipFile(sink, "w", zipfile.ZIP_STORED)
@@ -339,13 +382,14 @@ class ContainerWriter(DataSourceArrowWriter):
     def _put(self, archive: zipfile.ZipFile, row: dict) -> None:
         key, kind = row["key"].lstrip("/"), row["kind"]
         values = row.get(VALUES.get(kind, ""))
-        text = kind == "S" or (values is not None and None in values)
+        if isinstance(values, pa.Array):
+            values = values.to_pylist() if values.null_count else values.to_numpy(zero_copy_only=False)
+        text = kind == "S" or (isinstance(values, list) and None in values)
         attributes = {"kind": kind, "shape": row["shape"], "maxshape": row["maxshape"], "null": values is None, "text": text}
 
         def array(name: str, part: list) -> None:
-            a = np.frombuffer(json.dumps(part).encode(), np.uint8) if text else np.array(part, np.int64 if kind == "i" else np.float64)
-            with archive.open(name + ".npy", "w") as f:
-                np.lib.format.write_array(f, a, allow_pickle=False)
+            a = np.frombuffer(json.dumps(part).encode(), np.uint8) if text else np.asarray(part, np.int64 if kind == "i" else np.float64)
+            archive.writestr(zipfile.ZipInfo(name + ".npy"), _header_of(len(a), a.dtype.str) + a.tobytes())
 
         if values is not None and self.chunk and len(values) > self.chunk:
             attributes |= {"chunk": self.chunk, "n": len(values)}

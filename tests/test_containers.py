@@ -124,3 +124,45 @@ def test_a_failed_write_leaves_no_container(spark, tmp_path):
     with pytest.raises(Exception):
         C.write_containers(rows, root)
     assert C.read_containers(spark, root).count() == 0
+
+
+def test_small_files_fill_few_tasks_and_every_core_has_some(spark, tmp_path):
+    scan = lambda **o: C._Scan(None, {"path": str(tmp_path), **o})
+    files = [(0, f"{tmp_path}/f{i:05}.npz", 1000) for i in range(20_000)]
+    options = C._spread(spark)
+    few = scan(openbytes=options["openBytes"], tasks="16").slices(files)
+    assert 16 <= len(few) <= 20 and [f for s in few for f in s.files] == [f[1] for f in files]
+    assert 16 <= len(scan(openbytes=options["openBytes"], tasks="16").slices(files[:50])) <= 25
+    assert len(scan(openbytes=options["openBytes"], tasks="1").slices(files)) == 10  # 128 MB of files and openings
+
+
+def test_a_query_over_samples_opens_each_file_once(spark, tmp_path, monkeypatch):
+    from fieldcat.plans import scan_queries
+    spark.createDataFrame([(i, [0.5] * 80, i) for i in range(12)], "vec_id long, embedding array<float>, label int").write.parquet(
+        f"{tmp_path}/embeddings.parquet")
+    for query in (scan_queries.sampled_fields, scan_queries.ingest_vector_issues, scan_queries.ingest_vector_datasets):
+        out = query(spark, str(tmp_path))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BatchScan" not in plan and out.count() > 0  # stored rows, no scan of the files again
+
+
+def test_headers_of_arrays_are_those_of_numpy(tmp_path):
+    import io
+    import zipfile
+    for a in (np.arange(3), np.array([], float), np.ones((2, 3), np.float32), np.asfortranarray(np.ones((2, 3))), np.array(7), np.array(["x", "yz"])):
+        out = io.BytesIO()
+        np.savez(out, **{"a": a})
+        got = C.Container(io.BytesIO(out.getvalue())).array("a")
+        assert got.dtype == a.dtype and got.shape == a.shape and (got == a).all()
+    for a in (np.arange(5), np.zeros(2), np.frombuffer(b"[1]", np.uint8)):
+        plain = io.BytesIO()
+        np.lib.format.write_array(plain, a)
+        assert C._header_of(len(a), a.dtype.str) + a.tobytes() == plain.getvalue()
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("a.npy", plain.getvalue()[:-1])
+    try:
+        C.Container(io.BytesIO(out.getvalue())).array("a")
+        raise AssertionError("a cut array was read")
+    except ValueError:
+        pass
