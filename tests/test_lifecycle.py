@@ -106,3 +106,18 @@ def test_transitions_equal_the_batch_check(spark, tmp_path, seed):
     got = sorted((r.id, r.event_id, r.prev_status, r.status) for r in spark.read.schema(S.TRANSITION_OUT).parquet(f"{path}/out").collect())
     batch = J.transition_issues(spark.createDataFrame(events, schema), tiebreak="event_id")
     assert got == sorted((r.id, r.event_id, r.prev_status, r.status) for r in batch.select("id", F.col("event_id"), "prev_status", "status").collect())
+
+
+def test_jobs_share_the_state_of_their_part(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(L, "PARTS", 3, raising=False)
+    monkeypatch.setattr(L, "BLOCK", 16, raising=False)
+    rng = random.Random(8)
+    events = [(f"j{rng.randrange(60)}", at(rng.randrange(0, 300) / 4), rng.choice(list(L.ORDER)), rng.choice("ab"), i) for i in range(900)]
+    drops = [[e for e in events if (e[1] - T0).days // 2 == d] for d in range(2)]
+    got, q = run(spark, tmp_path, drops, closing=False)
+    assert {r[1] for r in got} <= {e[4] for e in events}
+    # jobs, next, a timer's two rows, and waiting blocks: far less than a row for each job
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3 * (1 + 1 + 2) + 900 // 16
+    got, q = run(spark, tmp_path, [[("last", T0 + dt.timedelta(days=30), "submit", "r", -1)]], closing=False)
+    assert got == plain_claims(events)
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3 + 4
