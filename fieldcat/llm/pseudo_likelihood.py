@@ -129,6 +129,19 @@ def spelled(words: pa.Array, spelling: np.ndarray) -> np.ndarray:
     return total[off[1:]] - total[off[:-1]]
 
 
+def _packed(ids: np.ndarray, off: np.ndarray) -> pa.Array:
+    """The ids of each text as a binary value."""
+    return pa.Array.from_buffers(pa.binary(), len(off) - 1, [None, pa.py_buffer((off * 2).astype(np.int32)), pa.py_buffer(ids.astype(np.uint16))])
+
+
+def _unpacked(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids and offsets again."""
+    packed = packed.cast(pa.binary())
+    off = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset:packed.offset + len(packed) + 1].astype(np.int64)
+    data = np.frombuffer(packed.buffers()[2] or b"", np.uint8)[off[0]:off[-1]]
+    return data.view(np.uint16).astype(np.int32), (off - off[0]) // 2
+
+
 def padded(ids: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids with SIDE paddings (TOKENS) round each text, and each position's place there."""
     where = np.arange(len(ids)) + SIDE * (1 + np.repeat(np.arange(len(off) - 1), np.diff(off)))
@@ -289,8 +302,9 @@ def rounds_of(ids: np.ndarray, off: np.ndarray) -> np.ndarray:
     return (mix(place.astype(np.uint64) * np.uint64(31) + ids.astype(np.uint64)) % np.uint64(ROUNDS)).astype(np.int64)
 
 
-def _passes(held, turn: int):
-    """(segment, part, weight, values): the parameters after a task's pass over its texts."""
+def _passes(held, turn: int, keep: bool = False):
+    """(segment, part, weight, values): the parameters after a task's pass over its texts, or
+    over their token ids. With ``keep``, also a row with the token ids of each text."""
     def run(batches):
         vocabulary, values = held.value
         model, seen = unflat(values), 0
@@ -299,13 +313,26 @@ def _passes(held, turn: int):
 
         def learn(around, target):
             for k, g in gradient(model, around, target).items():
-                power[k] += g * g
-                model[k] -= RATE * g / np.sqrt(power[k])
+                step = g * g
+                power[k] += step
+                np.sqrt(power[k], out=step)
+                g *= RATE
+                g /= step
+                model[k] -= g
 
         mark = 0
         for batch in batches:
-            for piece in text_pieces(batch):
-                ids, off = token_ids(piece.column("text"), vocabulary)
+            column = batch.schema.names[0]
+            for piece in text_pieces(batch, column):
+                if column == "ids":
+                    ids, off = _unpacked(piece.column("ids"))
+                else:
+                    ids, off = token_ids(piece.column("text"), vocabulary)
+                if keep:
+                    n = len(piece)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.binary()),
+                         _packed(ids, off)], ["segment", "part", "weight", "vals", "ids"])
                 at = np.flatnonzero(rounds_of(ids, off) == turn)
                 mark = int(mix(np.array([mark + len(ids)], np.uint64))[0] >> np.uint64(1))
                 wide, where = padded(ids, off)
@@ -321,10 +348,11 @@ def _passes(held, turn: int):
         if seen:
             new = flat(model)
             starts = range(0, len(new), SEGMENT)
-            yield pa.RecordBatch.from_arrays([
+            out = pa.RecordBatch.from_arrays([
                 pa.array(list(range(len(starts))), pa.int32()), pa.array([mark % 64] * len(starts), pa.int32()),
                 pa.array([float(seen)] * len(starts)), pa.array([new[s:s + SEGMENT].tobytes() for s in starts], pa.binary())],
                 ["segment", "part", "weight", "vals"])
+            yield out.append_column("ids", pa.nulls(len(starts), pa.binary())) if keep else out
     return run
 
 
@@ -336,13 +364,19 @@ def _averaged(frame):
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary) -> Model:
-    """The network after ``ROUNDS`` averaged passes over ``docs``."""
+    """The network after ``ROUNDS`` averaged passes over ``docs``; the first writes the texts'
+    token ids, which the others read."""
     schema = "segment int, part int, weight double, vals binary"
     values = flat(new_model())
     texts = docs.select(F.col("text").cast("string").alias("text"))
     for turn in range(ROUNDS):
         held = docs.sparkSession.sparkContext.broadcast(((vocabulary.hashed, vocabulary.ids), values))
-        rows = texts.mapInArrow(_passes(held, turn), schema)
+        keep = turn == 0 and ROUNDS > 1
+        rows = texts.mapInArrow(_passes(held, turn, keep), schema + ", ids binary" * keep)
+        if keep:
+            rows = stage(rows, "ids")
+            texts = rows.where("segment is null").select("ids")
+            rows = rows.where("segment is not null").drop("ids")
         rows = rows.groupBy("segment", "part").applyInPandas(_averaged, schema).groupBy("segment").applyInPandas(_averaged, schema)
         got = sorted(rows.select("segment", "vals").collect())
         if got:
@@ -396,7 +430,7 @@ def score(docs: DataFrame, vocabulary: Vocabulary, model: Model) -> DataFrame:
         _scores(held), "row long, doc_id long, n_tokens long, word long, times long, other double")
     term = F.when(F.col("times") == 0, F.col("other")).otherwise(F.col("times") * F.coalesce("logp", "other"))
     rows = rows.join(vocabulary.words.hint("shuffle_hash"), "word", "left").groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), (F.sum(F.round(term / UNIT).cast("long")) * UNIT).alias("log_likelihood"))
+        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), (F.sum(F.rint(term / UNIT).cast("long")) * UNIT).alias("log_likelihood"))
     return rows.select("doc_id", "n_tokens", "log_likelihood",
                        F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_probability"))
 

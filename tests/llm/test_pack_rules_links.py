@@ -457,3 +457,19 @@ def test_a_pair_is_counted_by_its_first_shard(spark):
         run = vector_graph._shard_links(vector_graph.LINK, exact)
         first, second = run(shard[5]), run(shard[9])
         assert first["links"].tolist() == [2, 2, 2] and second["links"].tolist() == [5, 5, 5, 7, 7, 5] and second["root"].tolist() == [0] * 6
+
+
+def test_later_rounds_read_the_token_ids_of_the_first():
+    rng = random.Random(4)
+    texts = ["", None, "é", *(" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (1, 2, 300, 5000))]
+
+    class held:
+        value = ((np.zeros(0, np.uint64), np.zeros(0, np.int64)), pseudo_likelihood.flat(pseudo_likelihood.new_model()))
+
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    kept = [b for b in pseudo_likelihood._passes(held, 0, keep=True)([batch.slice(0, 3), batch.slice(3)])]
+    ids = pa.concat_arrays([b.column("ids") for b in kept]).drop_null()
+    assert len(ids) == len(texts) and [len(x) // 2 for x in ids.to_pylist()] == [len((t or "").split()) for t in texts]
+    plain, = pseudo_likelihood._passes(held, 1)([batch])
+    again, = pseudo_likelihood._passes(held, 1)([pa.RecordBatch.from_arrays([ids], ["ids"])])
+    assert plain.equals(again)
