@@ -10,7 +10,7 @@ later than the delay is dropped, as event-time streams do.
 The hash of its id puts a job in one of ``PARTS`` parts, which share state calls and timers: a
 batch makes a few calls for each part, however many jobs it holds. State is kept in columns, a
 list element or value for many events or jobs. A part's waiting events and job states must fit
-a task's memory; more parts make them smaller. A checkpoint keeps the number of its first run.
+a task's memory; more parts make them smaller. The number must not change while a checkpoint lives.
 
 **Claims.** A job is claimed by compare-and-set on its folded state: an attempt is granted if
 the job is submitted, or runs under a lease that has ended, and each grant raises the job's
