@@ -247,8 +247,8 @@ def _pairs(batches):
     """(a, b) to compare, from rows sorted by token: the pairs of a cell whose regions differ
     and that may link if this is their first common token. A link's sets differ in (n + m) / 9
     tokens at most; unshared tokens differ, and so does a token for each parity class in which
-    the sets disagree. Large cells are worked in blocks, so memory stays bounded however many
-    sets a cell holds."""
+    the sets disagree. Large cells are worked in blocks, and found pairs go out between them, so
+    memory stays bounded however many sets a cell holds."""
     found: list[np.ndarray] = []
     for rows in _whole_cells(batches):
         token, fp, n, rest, apart, region = (rows[c].to_numpy() for c in ("token", "fp", "n", "rest", "apart", "region"))
@@ -277,6 +277,9 @@ def _pairs(batches):
                 p, q = np.meshgrid(np.arange(i, min(i + 256, e)), np.arange(i + 1, e), indexing="ij")
                 ahead = p < q
                 add(p[ahead], q[ahead])
+                if sum(map(len, found)) > 200_000:
+                    yield _pair_batch(np.unique(np.concatenate(found), axis=0))
+                    found.clear()
         if sum(map(len, found)) > 200_000:
             yield _pair_batch(np.unique(np.concatenate(found), axis=0))
             found.clear()

@@ -2,12 +2,15 @@
 
 import random
 import re
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fieldcat.llm import jaccard_join, mixing, pii
+from fieldcat.llm import jaccard_join, mixing, pii, support
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -233,3 +236,21 @@ def test_texts_of_null_ids_link_with_any_number_of_survivors(spark, monkeypatch)
         monkeypatch.setattr(jaccard_join, "BROADCAST_SETS", most)
         got = [(r.component_id, r.n_shingles, r.doc_id) for r in jaccard_join.join(frame(spark, rows)).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_arrow_memory_is_given_back_between_batches(monkeypatch):
+    given = []
+    monkeypatch.setattr(support.pa, "default_memory_pool", lambda: SimpleNamespace(release_unused=lambda: given.append(1)))
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b", None, "c"])], ["text"])
+    pieces = support.text_pieces(batch, most=1)
+    assert next(pieces).num_rows and given == [1]
+    list(pieces)
+    assert given == [1, 1]
+
+
+def test_pairs_of_a_large_cell_go_out_in_blocks():
+    n = 1500
+    cell = pa.RecordBatch.from_pandas(pd.DataFrame({
+        "token": 7, "fp": np.arange(n), "n": 100, "rest": 100, "apart": 0, "parity": [b"\0" * (jaccard_join.PARITY // 8)] * n, "region": np.arange(n)}))
+    sizes = [len(b) for b in jaccard_join._pairs([cell])]
+    assert sum(sizes) == n * (n - 1) // 2 and max(sizes) <= 200_000 + 256 * n
