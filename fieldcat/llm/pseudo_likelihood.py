@@ -46,6 +46,8 @@ SIDE, EMBED, HIDDEN = 2, 16, 32
 TOKENS = WORDS + RARE
 INSIDE = TOKENS // CLASSES
 ROUNDS, BATCH, RATE = 2, 4096, 0.15
+#: Leading bits of a word's hash that name the bucket in which it is counted.
+BUCKET_BITS = 11
 #: Occurrences from which a word is in the vocabulary; rarer ones are spelled.
 SEEN = 2
 #: The mark at both ends of a spelled word, beside the 256 bytes.
@@ -167,7 +169,8 @@ def _exponentials(z: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple
     """The exponentials of (positions, scores) in their place, up to a factor of each position,
     and each position's sum. The hidden values lie in -1 to 1, so the weights bound the scores;
     only where they could pass single precision is each position's greatest score taken off."""
-    if np.abs(weights).sum(-2).max() + np.abs(bias).max() > SAFE:
+    most = max(bias.max(), -bias.min())
+    if HIDDEN * max(weights.max(), -weights.min()) + most > SAFE and np.abs(weights).sum(-2).max() + most > SAFE:
         z -= z.max(1, keepdims=True)
     np.exp(z, out=z)
     return z, z @ np.ones(z.shape[1], z.dtype)
@@ -250,13 +253,50 @@ def gradient(model: Model, around: np.ndarray, target: np.ndarray) -> Model:
 
 
 def _count_words(batches):
+    """(bucket, words, n, spellings): the distinct words of a piece, dealt out by their hash."""
     for batch in batches:
         for piece in text_pieces(batch):
             words, code, _ = distinct_words(piece.column("text"))
-            count = np.bincount(code, minlength=len(words))
-            some = pa.array(count > 0)
-            yield pa.RecordBatch.from_arrays([pa.array(hash_strings(words).view(np.int64)), pa.array(count), words],
-                                             ["word", "n", "spelling"]).filter(some)
+            hashed, count = hash_strings(words), np.bincount(code, minlength=len(words))
+            bucket = (hashed >> np.uint64(64 - BUCKET_BITS)).astype(np.uint16)
+            order = np.argsort(bucket, kind="stable")
+            order = order[count[order] > 0]
+            hashed, count, bucket = hashed[order], count[order].astype(np.int64), bucket[order].astype(np.int32)
+            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            off = np.append(starts, len(order)).astype(np.int32)
+            # no word holds a space
+            spellings = pc.binary_join(pa.ListArray.from_arrays(pa.array(off), words.take(pa.array(order)).cast(pa.string())), " ")
+            packed = pa.py_buffer((off * 8).astype(np.int32))
+            held = [pa.Array.from_buffers(pa.binary(), len(starts), [None, packed, pa.py_buffer(x)]) for x in (hashed, count)]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *held, spellings], ["bucket", "words", "n", "spellings"])
+
+
+def _sum_words(batches):
+    """(word, n, spelling) of each word, from dealt rows sorted by bucket."""
+    def summed(rows):
+        word, n = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.int64) for c in ("words", "n"))
+        spelling = pc.list_flatten(pc.split_pattern(rows.column("spellings").combine_chunks(), " "))
+        word, first, back = np.unique(word, return_index=True, return_inverse=True)
+        total = np.zeros(len(word), np.int64)
+        np.add.at(total, back, n)
+        return pa.RecordBatch.from_arrays([pa.array(word), pa.array(total), spelling.take(pa.array(first))], ["word", "n", "spelling"])
+
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        bucket = batch.column("bucket").to_numpy()
+        # the last bucket's rows wait for the rest of it
+        cut = int(np.searchsorted(bucket, bucket[-1]))
+        if held and bucket[-1] != last:
+            yield summed(pa.concat_tables([*held, rows.slice(0, cut)]))
+            held = []
+        elif cut:
+            yield summed(rows.slice(0, cut))
+        held, last = [*held, rows.slice(cut)], bucket[-1]
+    if held:
+        yield summed(pa.concat_tables(held))
 
 
 def _count_pairs(batches):
@@ -270,8 +310,9 @@ def _count_pairs(batches):
 
 def vocabulary_of(docs: DataFrame) -> Vocabulary:
     """The vocabulary of all documents: the most frequent words by rank, the others as a table."""
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_words, "word long, n long, spelling string")
-    counts = stage(counts.groupBy("word").agg(F.sum("n").alias("n"), F.first("spelling").alias("spelling")), "words")
+    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count_words, "bucket int, words binary, n binary, spellings string")
+    counts = counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sum_words, "word long, n long, spelling string")
+    counts = stage(counts, "words")
     top = counts.select("word", "n").orderBy(F.desc("n"), "word").limit(WORDS).collect()
     hashed = np.array([r["word"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(hashed)
@@ -413,7 +454,7 @@ def _scores(held):
                 other = np.zeros(len(words))
                 other[grouped] = others[token[grouped] - WORDS] + spelled(words.take(pa.array(grouped)), spelling)
                 place = np.flatnonzero(ids >= WORDS)
-                pair, times = np.unique((np.searchsorted(off, place, side="right") - 1) * len(words) + code[place], return_counts=True)
+                pair, times = np.unique(np.repeat(np.arange(len(piece)), np.diff(off))[place] * len(words) + code[place], return_counts=True)
                 for s in range(0, len(pair), _BLOCK):
                     of, word = np.divmod(pair[s:s + _BLOCK], len(words))
                     yield pa.RecordBatch.from_arrays(

@@ -9,7 +9,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _FOLD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
                   0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x2127599BF4325C37], np.uint64)
 
@@ -22,20 +21,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def hash_strings(values: pa.Array) -> np.ndarray:
-    """A 64-bit hash for each string: polynomial over its bytes from prefix sums, then mixed."""
+    """A 64-bit hash for each string: polynomial over its bytes, then mixed."""
     if not len(values):
         return np.zeros(0, np.uint64)
     off = np.frombuffer(values.buffers()[1], np.int32)[values.offset:values.offset + len(values) + 1].astype(np.int64)
     data = np.frombuffer(values.buffers()[2] or b"", np.uint8)[off[0]:off[-1]].astype(np.uint64) + np.uint64(1)
     off = off - off[0]
-    power = np.full(len(data) + 1, _BASE, np.uint64)
+    size = np.diff(off)
+    power = np.full(int(size.max()) + 1, _BASE, np.uint64)
     power[0] = 1
     np.cumprod(power, out=power)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data * power[:-1], dtype=np.uint64)])
-    back = np.full(len(data) + 1, _UNBASE, np.uint64)
-    back[0] = 1
-    np.cumprod(back, out=back)
-    return mix((total[off[1:]] - total[off[:-1]]) * back[off[:-1]] + np.diff(off).astype(np.uint64))
+    data *= power[np.arange(len(data)) - np.repeat(off[:-1], size)]
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data, dtype=np.uint64)])
+    return mix(total[off[1:]] - total[off[:-1]] + size.astype(np.uint64))
 
 
 def distinct_words(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:

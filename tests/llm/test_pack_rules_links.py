@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fieldcat.llm import licenses, packing, pseudo_likelihood, quality, quotes, url_filter, vector_graph
 from fieldcat.llm.queries import tokenizer_path
-from fieldcat.llm.shingles import word_codes
+from fieldcat.llm.shingles import hash_strings, word_codes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, shard long, words_ string, row long, length long"
@@ -236,6 +236,21 @@ def test_pseudo_likelihood_learns_from_both_sides(spark):
     assert pseudo_likelihood.score_corpus(docs(spark, [])).collect() == []
 
 
+def test_words_are_counted_by_dealt_buckets(monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "BUCKET_BITS", 3)
+    rng = random.Random(5)
+    texts = [None, "", " \n"] + [" ".join(rng.choice(["Ünï", "a,b", "X"]) + str(rng.randrange(40)) for _ in range(rng.randrange(60))) for _ in range(50)]
+    dealt = pa.Table.from_batches([row for s in range(0, 53, 9) for row in pseudo_likelihood._count_words(
+        [pa.RecordBatch.from_arrays([pa.array(texts[s:s + 9], pa.string())], ["text"])])])
+    assert dealt.num_rows <= 6 * 8
+    for size in (1, 3, 7, 1000):
+        got = pa.Table.from_batches(pseudo_likelihood._sum_words(dealt.sort_by("bucket").combine_chunks().to_batches(max_chunksize=size)))
+        assert dict(zip(got["spelling"].to_pylist(), got["n"].to_pylist())) == collections.Counter(w for x in texts for w in (x or "").replace("X", "x").split())
+        assert got["word"].to_numpy().view(np.uint64).tolist() == hash_strings(got["spelling"].combine_chunks()).tolist()
+        assert len(set(got["word"].to_pylist())) == got.num_rows
+    assert list(pseudo_likelihood._sum_words([])) == []
+
+
 def test_gradient_of_the_window_network():
     rng = np.random.default_rng(0)
     model = {k: v.astype(float) for k, v in pseudo_likelihood.new_model(1).items()}
