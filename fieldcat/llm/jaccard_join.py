@@ -40,11 +40,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldcat.llm.shingles import mix, shingle_sets
-from fieldcat.llm.support import BROADCAST_ROWS, connected_components, small_side, stage, text_pieces
+from fieldcat.llm.support import BROADCAST_ROWS, connected_components, small_batches, small_side, stage, text_pieces
 
 WIDTH = 5
 #: Tokens that one bucket should hold.
 BUCKET_TOKENS = 50_000
+#: Text whose sets are made at once: the kernels hold its words several times.
+SET_BYTES = 1_000_000
+#: Tokens (with their sets and sizes) that a task deals out at once, in bytes.
+DEAL_BYTES = 5_000_000
+#: Sets whose repeats a task leaves out when it deals tokens.
+SEEN_SETS = 8192
 #: Min-hash orders that choose pivots.
 ORDERS = 6
 #: Survivors that may be broadcast to choose their rows; beyond it the same join shuffles.
@@ -75,7 +81,7 @@ def _fingerprints(values: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
-        for piece in text_pieces(batch):
+        for piece in text_pieces(batch, most=SET_BYTES):
             values, off = shingle_sets(piece.column("text"), WIDTH)
             yield piece, values, off, np.diff(off), _fingerprints(values, off)
 
@@ -100,6 +106,24 @@ def _deal(bucket: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *held], ["bucket", *columns])
 
 
+def _deals(parts: Iterator[dict[str, np.ndarray]], by: str, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The rows of many parts dealt out together by the column ``by``, DEAL_BYTES at a time: few
+    rows for each bucket, however small the parts are."""
+    held: list[dict[str, np.ndarray]] = []
+
+    def dealt():
+        whole = {c: np.concatenate([part[c] for part in held]) for c in held[0]}
+        held.clear()
+        return _deal(_bucket(whole[by], buckets), **whole)
+
+    for part in parts:
+        held.append(part)
+        if sum(c.nbytes for x in held for c in x.values()) >= DEAL_BYTES:
+            yield dealt()
+    if held:
+        yield dealt()
+
+
 def _buckets(batches, **kinds) -> Iterator[tuple[np.ndarray, ...]]:
     """The columns of one bucket after another, from dealt rows sorted by bucket."""
     held: list[pd.DataFrame] = []
@@ -124,16 +148,20 @@ def _bucket(values: np.ndarray, buckets: int) -> np.ndarray:
 def _low_tokens(buckets: int):
     """Tokens below the level of their sets, dealt out with their sets and whether they count
     for the set itself."""
-    def run(batches):
+    def low(batches):
+        seen = np.zeros(0, np.int64)
         for _, values, _, n, fp in _sets(batches):
             once = np.zeros(len(n), bool)
             once[np.unique(fp, return_index=True)[1]] = True
+            once &= ~np.isin(fp, seen)
+            seen = np.append(seen, fp[once])[-SEEN_SETS:]
             share, own = level(n), level(1.25 * n)
             rows = np.repeat(np.arange(len(n)), n)
             take = once[rows] & _below(values, share[rows])
             token, rows = values[take], rows[take]
-            yield _deal(_bucket(token, buckets), tokens=token, fps=fp[rows], mine=_below(token, own[rows]).astype(np.uint8))
-    return run
+            yield {"tokens": token, "fps": fp[rows], "mine": _below(token, own[rows]).astype(np.uint8)}
+
+    return lambda batches: _deals(low(batches), "tokens", buckets)
 
 
 def _shared(batches):
@@ -189,26 +217,26 @@ def linked():
 
 def _all_tokens(buckets: int):
     """All tokens of the sets, dealt out."""
-    def run(batches):
+    def tokens(batches):
         for batch in batches:
             raw = batch.column("tokens").to_pylist()
             count = [len(r) // 8 for r in raw]
-            token = np.frombuffer(b"".join(raw), np.int64)
             fp, n = (np.repeat(batch.column(c).to_numpy(), count) for c in ("fp", "n"))
-            yield _deal(_bucket(token, buckets), tokens=token, fps=fp, ns=n)
-    return run
+            yield {"tokens": np.frombuffer(b"".join(raw), np.int64), "fps": fp, "ns": n}
+
+    return lambda batches: _deals(tokens(batches), "tokens", buckets)
 
 
 def _several(buckets: int):
     """The tokens that two or more sets hold, with that number, dealt out by set."""
-    def run(batches):
+    def several(batches):
         for token, fp, n in _buckets(batches, tokens=np.int64, fps=np.int64, ns=np.int64):
             _, back, count = np.unique(token, return_inverse=True, return_counts=True)
             df = count[back]
             keep = df > 1
-            fp = fp[keep]
-            yield _deal(_bucket(fp, buckets), tokens=token[keep], fps=fp, ns=n[keep], dfs=df[keep])
-    return run
+            yield {"tokens": token[keep], "fps": fp[keep], "ns": n[keep], "dfs": df[keep]}
+
+    return lambda batches: _deals(several(batches), "fps", buckets)
 
 
 def _prefix(batches):
@@ -239,6 +267,8 @@ def _prefix(batches):
 
 #: Cells up to this size are paired all at once, larger ones in blocks of rows.
 SMALL_CELL = 48
+#: Rows of a large cell that are paired at once, with so many of the rows after them.
+BLOCK, ACROSS = 256, 1024
 #: Hash classes of the parity bits.
 PARITY = 512
 
@@ -273,8 +303,8 @@ def _pairs(batches):
                 break
             add(small[:-k][same], small[k:][same])
         for s, e in zip(starts[mixed & (size > SMALL_CELL)].tolist(), (starts + size)[mixed & (size > SMALL_CELL)].tolist()):
-            for i in range(s, e, 256):
-                p, q = np.meshgrid(np.arange(i, min(i + 256, e)), np.arange(i + 1, e), indexing="ij")
+            for i, k in ((i, k) for i in range(s, e, BLOCK) for k in range(i + 1, e, ACROSS)):
+                p, q = np.meshgrid(np.arange(i, min(i + BLOCK, e)), np.arange(k, min(k + ACROSS, e)), indexing="ij")
                 ahead = p < q
                 add(p[ahead], q[ahead])
                 if sum(map(len, found)) > 200_000:
@@ -310,7 +340,12 @@ def _whole_cells(batches):
 
 def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_hash, n, fp, own) of every row of ``docs`` (doc_id, text), and (fp, least,
-    root) of every set that is not empty; sets of one component have one root."""
+    root) of every set that is not empty; sets of one component have one root. Both are staged."""
+    with small_batches(docs.sparkSession):
+        return _grouped(docs)
+
+
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     every = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from types import SimpleNamespace
 
 import numpy as np
@@ -254,3 +255,51 @@ def test_pairs_of_a_large_cell_go_out_in_blocks():
         "token": 7, "fp": np.arange(n), "n": 100, "rest": 100, "apart": 0, "parity": [b"\0" * (jaccard_join.PARITY // 8)] * n, "region": np.arange(n)}))
     sizes = [len(b) for b in jaccard_join._pairs([cell])]
     assert sum(sizes) == n * (n - 1) // 2 and max(sizes) <= 200_000 + 256 * n
+
+
+def test_near_duplicates_hand_over_small_batches(spark, monkeypatch):
+    name, jobs, staged = "spark.sql.execution.arrow.maxBytesPerBatch", [], jaccard_join.stage
+    before = spark.conf.get(name)
+    monkeypatch.setattr(jaccard_join, "stage", lambda df, what: jobs.append(int(spark.conf.get(name))) or staged(df, what))
+    text = "a b c d e f g h"
+    got = jaccard_join.join(frame(spark, [(1, text, "s"), (2, text, "s"), (3, "x y z", "s")]))
+    assert jobs and set(jobs) == {support.BATCH_BYTES} and spark.conf.get(name) == before
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 4, 1), (2, 4, 1), (3, 1, 3)]
+    # a failed job gives the old limit back too
+    with pytest.raises(ValueError), support.small_batches(spark):
+        raise ValueError
+    assert spark.conf.get(name) == before
+
+
+def test_tokens_of_many_small_batches_are_dealt_together_and_repeats_once():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(map(str, rng.integers(0, 1000, 60))) for _ in range(200)]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i, i], "text": [t, None], "text_hash": [i, i]}) for i, t in enumerate(texts + texts)]
+    rows = [r for b in jaccard_join._low_tokens(8)(iter(batches)) for r in b.to_pylist()]
+    assert sorted(r["bucket"] for r in rows) == list(range(8))  # not a row for each batch and bucket
+    got = sorted((t, f, m) for r in rows for t, f, m in zip(
+        np.frombuffer(r["tokens"], np.uint64).tolist(), np.frombuffer(r["fps"], np.int64).tolist(), list(r["mine"])))
+    want = []
+    for _, values, off, n, fp in jaccard_join._sets(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(200)), "text": texts})])):
+        for i in range(len(n)):
+            own = values[off[i]:off[i + 1]]
+            own = own[jaccard_join._below(own, jaccard_join.level(n[i]))]
+            want += zip(own.tolist(), [int(fp[i])] * len(own), jaccard_join._below(own, jaccard_join.level(1.25 * n[i])).astype(int).tolist())
+    assert got == sorted(want)
+
+
+def test_sets_and_large_cells_are_worked_in_small_blocks():
+    words = " ".join(str(i) for i in range(20_000))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(30)), "text": [words] * 30, "text_hash": [0] * 30})
+    sizes = [len(n) for _, _, _, n, _ in jaccard_join._sets([batch])]
+    assert sum(sizes) == 30 and max(sizes) * len(words) <= jaccard_join.SET_BYTES + len(words)
+    n = 6000
+    cell = pa.RecordBatch.from_pandas(pd.DataFrame({
+        "token": 7, "fp": np.arange(n), "n": 100, "rest": [100 if i % 1500 == 0 else 0 for i in range(n)], "apart": 0,
+        "parity": [b"\0" * (jaccard_join.PARITY // 8)] * n, "region": np.arange(n)}))
+    tracemalloc.start()
+    pairs = [(r["a"], r["b"]) for b in jaccard_join._pairs([cell]) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(pairs) == [(0, 1500), (0, 3000), (0, 4500), (1500, 3000), (1500, 4500), (3000, 4500)]
+    assert peak < 25_000_000
