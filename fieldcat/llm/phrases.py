@@ -5,16 +5,19 @@ Texts (A-Z lower-cased) are cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and those
 (Apriori): a pair counts only where both words are frequent, a triple only where both its
 pairs may be. "May be" is a bitmap of hashes whose summed counts reach the limit; a hash's
 count is never below a phrase's, so hashes pass too much at worst. The candidates' texts come
-from joins of the hashes with the words; they are built into double-array tries of bytes, one
-for each bounded shard, and broadcast. Numpy advances the states of all words of a batch at
-once, a byte a level, and bincounts the accepting states. These sums alone are the counts of
-phrases.
-
-Bounds: a bitmap has at most 2**30 bits, a trie at most ``SHARD_PHRASES`` phrases and
-``SHARD_BYTES`` bytes of text (a longer phrase makes a shard of its own); more candidates
-make more shards, each a pass over the texts, not larger ones. Counts are pre-summed in each
-task, so a language or phrase with a third of all words is a few rows a task. The first
-``top`` of a language are cut in ``PARTS`` parts before they meet.
+from joins of the hashes with the words; they are dealt to shards by their first two words and
+built there into a double-array trie of bytes. One pass over the texts, however many the shards,
+sends each shard the windows of text that begin with its pairs: from each word on, as many words
+as may be a phrase. Numpy advances the states of all windows of a batch at once, a byte a level,
+and bincounts the accepting states. These sums alone are the counts of phrases.
+
+Bounds: a bitmap has at most 2**30 bits. Shards grow with the candidates (about ``SHARD_PHRASES``
+phrases and ``SHARD_BYTES`` bytes of text each, more only where one pair of words begins more)
+and with the words; a shard's trie is made in the task that reads its windows, so the driver
+holds none. Runs are counted by buckets of their hashes, a row for each bucket and piece of text.
+Windows and runs that are alike count once in a piece, so a language or phrase with a third of all
+words is a few rows a task. The first ``top`` of a language are cut in ``PARTS`` parts before
+they meet.
 
 Defined results: a null text is empty; a null lang is ``und``. Rows given twice count twice,
 ties are ordered by the phrase's bytes, phrases are found in whole texts however long, and
@@ -30,17 +33,19 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldcat.llm.shingles import mix
-from fieldcat.llm.support import stage, text_pieces
+from fieldcat.llm.support import small_batches, stage, text_pieces
 
-SHARD_PHRASES = 500_000
-SHARD_BYTES = 32_000_000
+SHARD_PHRASES = 100_000
+SHARD_BYTES = 6_400_000
 BITMAP_BITS = 1 << 30
-#: Trie states sent at once.
-SLICE = 1 << 18
+#: Words for which there is one more bucket of hashes or shard, and the least number of these.
+BUCKET_WORDS, BUCKETS = 1 << 20, 64
+#: Bytes of an Arrow batch, and of windows walked at once.
+BATCH_BYTES, WALK_BYTES = 16_000_000, 2_000_000
 #: Parts of a language whose first ``top`` are cut before the language's own.
 PARTS = 64
 
@@ -52,6 +57,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK, _END = 0x20, 0x0A
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: The first 0 to 8 bytes of a number.
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 class Words:
@@ -81,22 +88,43 @@ class Words:
         self.langs = [v.encode() for v in coded.dictionary.to_pylist()]
         self.lang = coded.indices.to_numpy(zero_copy_only=False)[np.searchsorted(ends, start, side="right")]
 
+    @cached_property
+    def _blocks(self) -> np.ndarray:
+        """The eight bytes from each byte on, as a number (little end first)."""
+        data = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        return np.ndarray((len(self.data) + 1,), "<u8", data, strides=(1,))
+
+    def eight(self, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """Up to eight bytes from ``at`` on, of ``left`` (one or more)."""
+        return self._blocks[at] & _MASK[np.minimum(left, 8)]
+
+    def differ(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Whether the ``n`` bytes from ``a`` and those from ``b`` differ."""
+        out, live = np.zeros(len(a), bool), np.arange(len(a))
+        while len(live):
+            unlike = self.eight(a, n) != self.eight(b, n)
+            out[live[unlike]] = True
+            more = np.flatnonzero(~unlike & (n > 8))
+            live, a, b, n = live[more], a[more] + 8, b[more] + 8, n[more] - 8
+        return out
+
     @cached_property
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word and its language."""
         seeds = [mix(np.array([int.from_bytes(hashlib.blake2b(v, digest_size=8).digest(), "little")], np.uint64))[0] for v in self.langs]
         out = np.array(seeds or [0], np.uint64)[self.lang]
         size = self.end - self.start
-        at, live, value, k = self.start, np.arange(len(size)), out.copy(), 0
-        while len(live) and k < 64:
-            value = (value ^ self.data[at + k]) * _BASE
+        out ^= size.astype(np.uint64)
+        at, left, live, value, k = self.start, size, np.arange(len(size)), out, 0
+        while len(live) and k < 8:
+            value = (value ^ self.eight(at, left)) * _BASE
             value ^= value >> np.uint64(29)
             k += 1
             out[live] = value
-            more = np.flatnonzero(size[live] > k)
-            live, at, value = live[more], at[more], value[more]
+            more = np.flatnonzero(left > 8)
+            live, at, left, value = live[more], at[more] + 8, left[more] - 8, value[more]
         for i in live.tolist():  # the rest of very long words, one by one
-            rest = np.frombuffer(self.data[self.start[i] + k:self.end[i]].tobytes() + bytes(-int(size[i] - k) % 8), np.uint64)
+            rest = np.frombuffer(self.data[self.start[i] + 8 * k:self.end[i]].tobytes() + bytes(-int(size[i] - 8 * k) % 8), np.uint64)
             out[i] ^= np.bitwise_xor.reduce(mix(rest + np.arange(len(rest), dtype=np.uint64) * _BASE))
         return mix(out)
 
@@ -155,7 +183,7 @@ class Bitmap:
         shared, bits = self.shared, self.bits
 
         def has(h: np.ndarray) -> np.ndarray:
-            at = (h.view(np.int64) % np.int64(bits)).astype(np.int64)
+            at = (h & np.uint64(bits - 1)).view(np.int64)  # pmod: the bits are a power of two
             return (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         return has
 
@@ -233,12 +261,6 @@ class DoubleArray:
         base[single] = free - byte[first[single]]
         return base
 
-    @classmethod
-    def load(cls, parts: dict[str, bytes]) -> DoubleArray:
-        out = cls.__new__(cls)
-        out.base, out.check, out.accept = (np.frombuffer(parts[name], np.int32) for name in ("base", "check", "accept"))
-        return out
-
     def step(self, state: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         to = self.base[state] + byte
         return to, self.check[to] == state
@@ -246,28 +268,37 @@ class DoubleArray:
     def count(self, words: Words, phrases: int) -> np.ndarray:
         """Occurrences of each phrase, a key being ``lang``, a zero byte and the words joined by
         blanks, at all words of the batch."""
-        root = []
-        for lang in words.langs:
-            state = np.array([256])
-            for b in lang + b"\0":
-                state, ok = self.step(state, np.int32(b))
-                if not ok[0]:
-                    state = np.array([-1])
-                    break
-            root.append(int(state[0]))
-        state = np.array(root or [-1], np.int64)[words.lang]
+        state = np.array([self.root(lang) for lang in words.langs] or [-1], np.int64)[words.lang]
+        return self.walk(words.data, words.start, state, np.ones(len(state), np.int64), phrases)
+
+    def root(self, lang: bytes) -> int:
+        """The state after ``lang`` and a zero byte, -1 if no phrase is of it."""
+        state = np.array([256])
+        for b in lang + b"\0":
+            state, ok = self.step(state, np.int32(b))
+            if not ok[0]:
+                return -1
+        return int(state[0])
+
+    def walk(self, data: np.ndarray, at: np.ndarray, state: np.ndarray, times: np.ndarray, phrases: int) -> np.ndarray:
+        """How often each phrase begins at the places ``at`` of ``data``, each of which is there
+        ``times``; ``state``: the roots of their langs."""
         live = np.flatnonzero(state >= 0)
-        state, at = state[live], words.start[live]
-        accepted = []
+        state, at, times = state[live], at[live], times[live]
+        accepted, often = [], []
         while len(state):
-            byte = words.data[at]
+            byte = data[at]
             ends = np.flatnonzero((byte == _BLANK) | (byte == _END))
             found = self.accept[state[ends]]
             accepted.append(found[found >= 0])
+            often.append(times[ends[found >= 0]])
             state, ok = self.step(state, byte)
             ok = np.flatnonzero(ok)
-            state, at = state[ok], at[ok] + 1
-        return np.bincount(np.concatenate(accepted), minlength=phrases) if accepted else np.zeros(phrases, np.int64)
+            state, at, times = state[ok], at[ok] + 1, times[ok]
+        out = np.zeros(phrases, np.int64)
+        if accepted:
+            np.add.at(out, np.concatenate(accepted), np.concatenate(often))
+        return out
 
 
 # ---------------------------------------------------------------- passes
@@ -287,9 +318,15 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["lang", "phrase", "hash", "n"])
 
 
-def _run_counts(n: int, has):
-    """Counts of runs of ``n`` words whose two runs of ``n - 1`` words pass; a run is told by
-    the hash of its first ``n - 1`` words and that of its last."""
+def _dealt(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The bytes of ``values``, cut at ``starts``."""
+    off = np.append(starts, len(values)) * values.itemsize
+    return pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _run_counts(n: int, has, bits: int):
+    """Counts of runs of ``n`` words whose two runs of ``n - 1`` words pass, dealt to ``2**bits``
+    buckets; a run is told by the hash of its first ``n - 1`` words and that of its last."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _batches(batches):
             shorter = words.runs(n - 1)
@@ -299,91 +336,171 @@ def _run_counts(n: int, has):
             passes[shorter] = has(before[shorter])
             runs = words.runs(n)
             runs = runs[passes[runs] & passes[runs + 1]]
-            _, first, count = distinct(run_hashes(words.hashes, runs, n))
+            value, first, count = distinct(mix(before[runs] * _BASE + words.hashes[runs + n - 1]))
             first = runs[first]
-            yield pa.RecordBatch.from_arrays([pa.array(before[first].view(np.int64)), pa.array(words.hashes[first + n - 1].view(np.int64)),
-                                              pa.array(count)], ["head", "tail", "n"])
+            bucket = (value >> np.uint64(64 - bits)).astype(np.int32)
+            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), _dealt(before[first], starts), _dealt(words.hashes[first + n - 1], starts),
+                                              _dealt(count.astype(np.uint32), starts)], ["bucket", "head", "tail", "n"])
     return run
 
 
-def _run_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        head, tail = (batch.column(c).to_numpy().view(np.uint64) for c in ("head", "tail"))
-        yield pa.RecordBatch.from_arrays([batch.column("head"), batch.column("tail"), pa.array(mix(head * _BASE + tail).view(np.int64))],
-                                         ["head", "tail", "hash"])
+def _frequent_runs(least: int):
+    """(head, tail, hash) of the runs found ``least`` times or more, from dealt rows sorted by bucket."""
+    def frequent(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        head, tail, n = (np.concatenate([np.frombuffer(v.as_buffer(), kind) for r in rows for v in r.column(c)])
+                         for c, kind in (("head", np.uint64), ("tail", np.uint64), ("n", np.uint32)))
+        value = mix(head * _BASE + tail)
+        order = np.argsort(value)
+        value = value[order]
+        new = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+        keep = np.add.reduceat(n[order].astype(np.int64), new) >= least
+        at = order[new[keep]]
+        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (head[at], tail[at], value[new[keep]])], ["head", "tail", "hash"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for bucket, rows in _segments(batches, "bucket"):
+            if held and bucket != last:
+                yield frequent(held)
+                held = []
+            held, last = [*held, rows], bucket
+        if held:
+            yield frequent(held)
+    return run
 
 
-def candidates_of(texts: DataFrame, words: DataFrame, longest: int, least: int) -> DataFrame:
-    """(lang, phrase) of 2 to ``longest`` words that may be found ``least`` times or more: all
-    that are, and those that share a hash with others. ``words``: the frequent ones (lang, phrase, hash)."""
-    level, out = words, None
+def _segments(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
+    """Neighbouring rows of a batch that agree on the (whole number) columns: these numbers, and the rows."""
+    for batch in batches:
+        if batch.num_rows:
+            keys = [batch.column(c).to_numpy() for c in columns]
+            new = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+            for start, end in zip(new.tolist(), [*new[1:].tolist(), batch.num_rows]):
+                yield *(int(k[start]) for k in keys), batch.slice(start, end - start)
+
+
+def candidates_of(texts: DataFrame, words: DataFrame, longest: int, least: int, parts: int = BUCKETS) -> tuple[DataFrame, list[Bitmap]]:
+    """(lang, phrase, pair) of 2 to ``longest`` words that may be found ``least`` times or more: all
+    that are, and those that share a hash with others; ``pair`` is the hash of the first two words.
+    With them a bitmap of the hashes for each length. ``words``: the frequent ones (lang, phrase,
+    hash); ``parts``: the buckets in which runs are counted."""
+    level, bitmap, out, bitmaps = words, Bitmap(words.select("hash")), None, []
+    bits = max(1, (parts - 1).bit_length())
     for n in range(2, longest + 1):
-        counts = texts.mapInArrow(_run_counts(n, Bitmap(level.select("hash")).test()), "head long, tail long, n long").groupBy("head", "tail").agg(
-            F.sum("n").alias("n")).where(F.col("n") >= least)
-        keys = stage(counts.select("head", "tail").mapInArrow(_run_hash, "head long, tail long, hash long"), "hashes")
-        first = level.select("lang", F.col("phrase").alias("first"), F.col("hash").alias("head"))
+        counts = texts.mapInArrow(_run_counts(n, bitmap.test(), bits), "bucket int, head binary, tail binary, n binary")
+        with small_batches(texts.sparkSession, BATCH_BYTES):
+            keys = stage(counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_frequent_runs(least), "head long, tail long, hash long"),
+                         "hashes")
+        pair = F.col("hash") if n == 2 else F.col("pair")
+        first = level.select("lang", F.col("phrase").alias("first"), F.col("hash").alias("head"), *([] if n == 2 else ["pair"]))
         last = words.select("lang", F.col("phrase").alias("last"), F.col("hash").alias("tail"))
-        level = stage(keys.join(first, "head").join(last, ["lang", "tail"]).select("lang", F.concat_ws(" ", "first", "last").alias("phrase"), "hash"),
-                      "found")
+        level = stage(keys.join(first, "head").join(last, ["lang", "tail"]).select(
+            "lang", F.concat_ws(" ", "first", "last").alias("phrase"), "hash", pair.alias("pair")), "found")
+        bitmap = Bitmap(level.select("hash"))
+        bitmaps.append(bitmap)
         out = level if out is None else out.unionAll(level)
-    return out.select("lang", "phrase").distinct()
+    return out.select("lang", "phrase", "pair").distinct(), bitmaps
 
 
-def _shards(candidates: DataFrame) -> DataFrame:
-    """``candidates`` (lang, phrase) with a ``shard``: neighbours in their order, so that a
-    shard's phrases share their beginnings and foreign ones leave its trie at once."""
-    rows = stage(candidates.orderBy("lang", "phrase").withColumn("id_", F.monotonically_increasing_id()), "ordered-candidates")
-    room = F.greatest(F.lit(1), F.expr(f"(octet_length(phrase) + octet_length(lang)) div {SHARD_BYTES // SHARD_PHRASES}"))
-    rows = rows.withColumns({"range_": F.shiftright("id_", 33), "room_": room})
-    before = rows.groupBy("range_").agg(F.sum("room_").alias("room_")).select("range_", F.coalesce(F.sum("room_").over(
-        Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before_"))
-    upto = F.sum("room_").over(Window.partitionBy("range_").orderBy("id_"))
-    return rows.withColumn("upto_", upto).join(before, "range_").select(
-        "lang", "phrase", F.expr(f"(before_ + upto_ - 1) div {SHARD_PHRASES}").alias("shard"))
-
-
-def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One trie of all rows (lang, phrase), as bytes."""
-    rows = pa.Table.from_batches(list(batches))
-    keys = [a.encode() + b"\0" + b.encode() for a, b in zip(rows.column("lang").to_pylist(), rows.column("phrase").to_pylist())]
-    trie = DoubleArray(keys)
-    for name in ("base", "check", "accept"):
-        data = getattr(trie, name)
-        for at in range(0, len(data), SLICE):
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([at]), pa.array([data[at:at + SLICE].tobytes()])], ["part", "at", "data"])
-
-
-def count_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(lang, phrase, f) of the candidates: exact occurrences in ``texts`` (lang, text)."""
-    spark: SparkSession = texts.sparkSession
-    rows = stage(_shards(candidates), "candidates")
-    shards = (rows.agg(F.max("shard")).first()[0] or 0) + 1
-    out = spark.createDataFrame([], "lang string, phrase string, f long")
-    for shard in range(shards):
-        # one staged file: the order of its rows numbers the phrases
-        keys = stage(rows.where(F.col("shard") == shard).select("lang", "phrase").coalesce(1).withColumn(
-            "at", F.monotonically_increasing_id().cast("int")), "shard")
-        many = keys.count()
-        if not many:
+def _shard_of(pair: np.ndarray, shards: int) -> np.ndarray:
+    return ((pair >> np.uint64(33)).view(np.int64) % shards).astype(np.int32)
+
+
+def _windows(tests: list, shards: int):
+    """The windows of the texts: from each word on as many words as pass ``tests`` (of two words,
+    three, ...), if two do, followed by an end of piece. A row has those of a lang and shard, and
+    how often each is there."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words in _batches(batches):
+            first = words.runs(2)
+            pair = run_hashes(words.hashes, first, 2)
+            ok = tests[0](pair)
+            first, pair = first[ok], pair[ok]
+            whole, last, live = pair.copy(), first + 1, np.arange(len(first))
+            for test in tests[1:]:
+                live = live[~words.last[last[live]]]
+                longer = mix(whole[live] * _BASE + words.hashes[last[live] + 1])
+                ok = test(longer)
+                live = live[ok]
+                whole[live] = longer[ok]
+                last[live] += 1
+            start = words.start[first]
+            size = words.end[last] - start
+            order = np.argsort(whole)
+            a, b = order[1:], order[:-1]
+            new = (whole[a] != whole[b]) | (size[a] != size[b]) | (words.lang[first[a]] != words.lang[first[b]])
+            alike = np.flatnonzero(~new)  # by their hashes
+            new[alike] = words.differ(start[a[alike]], start[b[alike]], size[a[alike]])
+            new = np.flatnonzero(np.concatenate([[True], new])) if len(order) else np.zeros(0, np.int64)
+            at, count = order[new], np.diff(np.append(new, len(order)))
+            part = _shard_of(pair[at], shards).astype(np.int64) * len(words.langs) + words.lang[first[at]]
+            order = np.argsort(part, kind="stable")
+            at, count, part = at[order], count[order], part[order]
+            starts = np.flatnonzero(np.diff(part, prepend=-1))
+            start, size = start[at], size[at] + 1
+            off = np.concatenate([[0], np.cumsum(size)])
+            data = words.data[np.repeat(start - off[:-1], size) + np.arange(off[-1])]
+            data[off[1:] - 1] = _END
+            cut = np.append(off[starts], off[-1]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((part[starts] // len(words.langs)).astype(np.int32)), pa.array(np.ones(len(starts), np.int32)),
+                 pa.array([v.decode() for v in words.langs], pa.string()).take(pa.array(part[starts] % len(words.langs))),
+                 pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(cut), pa.py_buffer(data)]),
+                 _dealt(count.astype(np.uint32), starts)], ["shard", "kind", "lang", "data", "n"])
+    return run
+
+
+def _count_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, f) of the phrases (rows of kind 0) found in the windows (of kind 1), the rows
+    being sorted by shard and kind: a shard's trie, then its windows past it."""
+    now, langs, phrases, trie, sums = None, [], [], None, None
+
+    def found() -> pa.RecordBatch:
+        at = np.flatnonzero(sums)
+        return pa.RecordBatch.from_arrays([pa.array([langs[i] for i in at], pa.string()), pa.array([phrases[i].decode() for i in at], pa.string()),
+                                           pa.array(sums[at])], ["lang", "phrase", "f"])
+
+    for shard, kind, rows in _segments(batches, "shard", "kind"):
+        if shard != now:
+            if trie is not None:
+                yield found()
+            now, langs, phrases, trie = shard, [], [], None
+        if kind == 0:
+            langs += rows.column("lang").to_pylist()
+            phrases += rows.column("data").to_pylist()
             continue
-        slices = keys.coalesce(1).sortWithinPartitions("at").select("lang", "phrase").mapInArrow(_build, "part string, at long, data binary")
-        parts: dict[str, list] = {"base": [], "check": [], "accept": []}
-        for r in slices.repartition(16, "part", "at").toLocalIterator():  # a few slices in the driver's JVM at a time
-            parts[r.part].append((r.at, r.data))
-        trie = spark.sparkContext.broadcast({name: b"".join(d for _, d in sorted(found)) for name, found in parts.items()})
-        del parts
-
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tables, sums = DoubleArray.load(trie.value), np.zeros(many, np.int64)
-            for words in _batches(batches):
-                sums += tables.count(words, many)
-            at = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(sums[at])], ["at", "f"])
-
-        counted = texts.mapInArrow(count, "at int, f long").groupBy("at").agg(F.sum("f").alias("f"))
-        out = out.unionAll(stage(keys.join(counted, "at").select("lang", "phrase", "f"), "phrase-counts"))
-        trie.destroy()
-    return out
+        if not phrases:
+            continue  # windows of hashes that only look like a phrase's
+        if trie is None:
+            trie, sums = DoubleArray([a.encode() + b"\0" + b for a, b in zip(langs, phrases)]), np.zeros(len(phrases), np.int64)
+        coded = rows.column("lang").dictionary_encode()
+        root = np.array([trie.root(v.encode()) for v in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()]
+        size = pc.binary_length(rows.column("data")).to_numpy().astype(np.int64)
+        part = np.cumsum(size) // WALK_BYTES
+        for some in np.split(np.arange(len(size)), np.flatnonzero(np.diff(part)) + 1):
+            held = rows.slice(int(some[0]), len(some))
+            data = np.frombuffer(b"".join(held.column("data").to_pylist()), np.uint8)
+            often = np.frombuffer(b"".join(held.column("n").to_pylist()), np.uint32).astype(np.int64)
+            start = np.flatnonzero(np.concatenate([[True], data[:-1] == _END]))
+            many = (pc.binary_length(held.column("n")).to_numpy() // 4).astype(np.int64)
+            sums += trie.walk(data, start, np.repeat(root[some], many), often, len(phrases))
+    if trie is not None:
+        yield found()
+
+
+def count_phrases(texts: DataFrame, candidates: DataFrame, bitmaps: list[Bitmap], parts: int = BUCKETS) -> DataFrame:
+    """(lang, phrase, f) of the candidates: exact occurrences in ``texts`` (lang, text). ``parts``:
+    the least number of shards."""
+    rows = stage(candidates, "candidates")
+    room = F.greatest(F.lit(1), F.expr(f"(octet_length(phrase) + octet_length(lang)) div {SHARD_BYTES // SHARD_PHRASES}"))
+    shards = max(parts, -(-(rows.agg(F.sum(room)).first()[0] or 0) // SHARD_PHRASES))
+    shard = F.pmod(F.shiftrightunsigned("pair", 33), F.lit(shards)).cast("int").alias("shard")
+    tries = rows.select(shard, F.lit(0).alias("kind"), "lang", F.encode("phrase", "UTF-8").alias("data"), F.lit(None).cast("binary").alias("n"))
+    windows = texts.mapInArrow(_windows([b.test() for b in bitmaps], shards), "shard int, kind int, lang string, data binary, n binary")
+    with small_batches(texts.sparkSession, BATCH_BYTES):
+        return stage(tries.unionAll(windows).repartition("shard").sortWithinPartitions("shard", "kind")
+                     .mapInArrow(_count_windows, "lang string, phrase string, f long"), "phrase-counts")
 
 
 def mine(docs: DataFrame, longest: int = 3, least: int = 10, top: int = 2000, cover: int = 50) -> DataFrame:
@@ -393,8 +510,9 @@ def mine(docs: DataFrame, longest: int = 3, least: int = 10, top: int = 2000, co
     words = stage(texts.mapInArrow(_count_words, "lang string, phrase string, hash long, n long")
                   .groupBy("lang", "phrase", "hash").agg(F.sum("n").alias("f")), "words")
     frequent = words.where(F.col("f") >= least)
-    found = candidates_of(texts, frequent.select("lang", "phrase", "hash"), longest, least)
-    f = count_phrases(texts, found).where(F.col("f") >= least).withColumn("words", F.size(F.split("phrase", " ")))
+    parts = max(BUCKETS, (words.agg(F.sum("f")).first()[0] or 0) // BUCKET_WORDS)
+    found, bitmaps = candidates_of(texts, frequent.select("lang", "phrase", "hash"), longest, least, parts)
+    f = count_phrases(texts, found, bitmaps, parts).where(F.col("f") >= least).withColumn("words", F.size(F.split("phrase", " ")))
     return rank(frequent, words, f, top, cover)
 
 

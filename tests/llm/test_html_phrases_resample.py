@@ -113,6 +113,35 @@ def test_collocations_of_nothing(spark):
     assert mined(spark, []) == [] and mined(spark, [("en", None), (None, ". ,")]) == []
 
 
+def test_one_pass_counts_phrases_however_many_the_shards(spark, monkeypatch):
+    rows = [("en", f"w{i % 40} w{i % 39} w{i % 38} w{i % 37}") for i in range(6000)]
+    kind = type(spark.range(1))
+    passes, plain = [], kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, *a, **k: passes.append(df.columns) or plain(df, *a, **k))
+    few = mined(spark, rows, least=2)
+    one = len(passes)
+    monkeypatch.setattr(phrases, "SHARD_PHRASES", 50)
+    assert mined(spark, rows, least=2) == few and len(few) > 1000
+    assert len(passes) == 2 * one  # before: a pass over the texts for each shard
+
+
+def test_windows_of_one_hash_are_told_apart_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(phrases, "mix", lambda x: x * np.uint64(0))
+    text = "a long word a long word a long wort. a longer one, a longer one" + " very-long-words" * 5
+    every = lambda h: np.ones(len(h), bool)
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "fr"]), pa.array([text, "a long word"])], ["lang", "text"])
+    got = collections.Counter()
+    for out in phrases._windows([every, every], 7)([batch]):
+        for r in out.to_pylist():
+            for window, n in zip(r["data"].decode().split("\n"), np.frombuffer(r["n"], np.uint32).tolist()):
+                got[r["lang"], window] += n
+    want = collections.Counter([("fr", "a long word"), ("fr", "long word")])
+    for piece in text.replace(",", ".").split("."):
+        w = piece.split()
+        want.update(("en", " ".join(w[i:i + 3])) for i in range(len(w) - 1))
+    assert got == want
+
+
 def test_trie_accepts_its_keys_only():
     rng = np.random.default_rng(3)
     words = sorted({bytes(rng.integers(97, 123, rng.integers(1, 6)).astype(np.uint8)) for _ in range(3000)})
