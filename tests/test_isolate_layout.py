@@ -164,6 +164,26 @@ def test_visible_pairs_stream_past_blocks_of_users(spark, monkeypatch):
     assert "ShuffledHashJoin" in plan
 
 
+def test_a_record_joins_a_block_of_users_once(spark, monkeypatch):
+    """No row of the join for each pair; equal and null users, owners held by some, and no owner."""
+    monkeypatch.setattr(access, "USERS_OF_BLOCK", 50)
+    rng = random.Random(9)
+    groups = [f"g{i}" for i in range(6)]
+    records = [(i % 50, rng.choice([None, "a-not-held", "z-not-held", *groups]), rng.choice([None, ["all", None], ["all", *rng.sample(groups, 2)]]))
+               for i in range(80)]
+    users = [(rng.choice([None, *"abcdefgh"]), rng.choice([None, ["all"], ["all", *rng.sample(groups, 2), None]])) for _ in range(120)]
+    ds = spark.createDataFrame(records, "pid long, ownerGroup string, accessGroups array<string>")
+    us = spark.createDataFrame(users, "user string, groups array<string>")
+    out = access.visible(ds, us)
+    want = []
+    for u, held in users:
+        own = {g for g in held or [] if g}
+        want += [(u, p, True, o in own) for p, o, more in records if own & {o, *(more or [])} - {None}]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str) and len(want) > 1000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert -1 < plan.find("Generate inline") < plan.find("Join")  # the users of a block are listed after the last join
+
+
 # ---------------------------------------------------------------- layouts
 
 def test_events_by_job_are_not_shuffled(spark, tmp_path):
