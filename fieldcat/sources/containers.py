@@ -18,6 +18,8 @@ members ``<key>#0``, ``<key>#1`` ... of ``chunk`` values each.
   in Spark 4.1 two filters over one Python scan share the filters pushed last.
 * ``sampleSize``: rows of ``SAMPLES``, the stride sample of each array; of a chunked array
   only the chunks that hold a kept index are read.
+* Driver: folders are listed one at a time in path order; a slice holds its paths compressed (some
+  bytes a file), and a written task's files stand in a hidden list that the commit reads.
 * Streams: files are taken in (modification time, path) order; one younger than
   ``settleSeconds`` waits, so that a file of the same instant cannot be passed over.
 
@@ -32,8 +34,10 @@ import io
 import json
 import math
 import time
+import uuid
 import zipfile
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -201,15 +205,17 @@ class Container:
 
 # ---------------------------------------------------------------- reading
 
-@dataclass
 class Slice(InputPartition):
-    """Files of one task; ``keys`` are the members of the single file of a split one."""
-
-    files: list[str]
-    keys: list[str] | None = None
+    """Files of one task, their paths compressed: the driver holds the slices of all files at once.
+    ``keys`` are the members of the single file of a split one."""
 
     def __init__(self, files: list[str], keys: list[str] | None = None):
-        self.files, self.keys = files, keys
+        self.packed = zlib.compress("\0".join(files).encode("utf-8", "surrogateescape")) if files else b""
+        self.keys = keys
+
+    @property
+    def files(self) -> list[str]:
+        return zlib.decompress(self.packed).decode("utf-8", "surrogateescape").split("\0") if self.packed else []
 
 
 class _Scan:
@@ -228,22 +234,44 @@ class _Scan:
         self.keys = set(json.loads(options["keys"])) if "keys" in options else None
         self.paths = set(json.loads(options["paths"])) if "paths" in options else None
 
+    def walk(self, folder: str | None = None) -> Iterator[tuple[int, str, int]]:
+        """(modification time, path, bytes) of the containers below the root, in path order; holds
+        one folder of each level."""
+        found = self.system.get_file_info(fs.FileSelector(folder or self.root, allow_not_found=True))
+        for f in sorted(found, key=lambda f: f.path + "/" * (f.type == fs.FileType.Directory)):
+            if f.type == fs.FileType.Directory:
+                yield from self.walk(f.path)
+            elif f.type == fs.FileType.File and f.path.endswith(SUFFIX) and not f.base_name.startswith(("_", ".")):
+                if self.glob and not fnmatch.fnmatch(f.base_name, self.glob):
+                    continue
+                if self.paths is None or self.logical(f.path) in self.paths:
+                    yield int(f.mtime_ns or 0), f.path, int(f.size or 0)
+
     def listed(self) -> list[tuple[int, str, int]]:
-        """(modification time, path, bytes) of the containers below the root."""
-        found = self.system.get_file_info(fs.FileSelector(self.root, recursive=True, allow_not_found=True))
-        files = [(int(f.mtime_ns or 0), f.path, int(f.size or 0)) for f in found
-                 if f.type == fs.FileType.File and f.path.endswith(SUFFIX) and not f.base_name.startswith(("_", "."))]
-        if self.glob:
-            files = [f for f in files if fnmatch.fnmatch(f[1].rsplit("/", 1)[-1], self.glob)]
-        return [f for f in files if self.paths is None or self.logical(f[1]) in self.paths]
+        return list(self.walk())
 
     def logical(self, path: str) -> str:
         return path[len(self.root):].removesuffix(SUFFIX)
 
     def slices(self, files: list[tuple[int, str, int]]) -> list[Slice]:
+        return self._slices(sorted(files, key=lambda f: f[1]), self._size(files))
+
+    def slices_of(self, wanted: Callable[[tuple], bool] = lambda f: True) -> list[Slice]:
+        """The slices of the wanted files below the root, which are listed twice and never held."""
+        return self._slices(filter(wanted, self.walk()), self._size(filter(wanted, self.walk())) if self.tasks else self.most)
+
+    def _size(self, files: Iterable[tuple[int, str, int]]) -> int:
+        """Bytes of a slice."""
+        total = 0
+        for _, _, n in files if self.tasks else ():
+            total += n + self.open
+            if total >= self.most * self.tasks:
+                return self.most
+        return total // self.tasks if self.tasks else self.most
+
+    def _slices(self, files: Iterable[tuple[int, str, int]], most: int) -> list[Slice]:
         out, held, size = [], [], 0
-        most = min(self.most, sum(n + self.open for _, _, n in files) // self.tasks) if self.tasks else self.most
-        for _, path, n in sorted(files, key=lambda f: f[1]):
+        for _, path, n in files:
             if n > self.most:
                 out += self._split(path)
                 continue
@@ -302,7 +330,7 @@ class ContainerReader(DataSourceReader):
         self.scan = _Scan(schema, options)
 
     def partitions(self) -> list[Slice]:
-        return self.scan.slices(self.scan.listed()) or [Slice([])]
+        return self.scan.slices_of() or [Slice([])]
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         yield from self.scan.decode(partition)
@@ -320,13 +348,12 @@ class ContainerStreamReader(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         until = (time.time() - self.settle) * 1e9
-        ready = [f[:2] for f in self.scan.listed() if f[0] <= until]
-        last = max(ready, default=(-1, ""))
+        last = max((f[:2] for f in self.scan.walk() if f[0] <= until), default=(-1, ""))
         return {"time": last[0], "path": last[1]}
 
     def partitions(self, start: dict, end: dict) -> list[Slice]:
         low, high = (start["time"], start["path"]), (end["time"], end["path"])
-        return self.scan.slices([f for f in self.scan.listed() if low < f[:2] <= high])
+        return self.scan.slices_of(lambda f: low < f[:2] <= high)
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         yield from self.scan.decode(partition)
@@ -336,7 +363,9 @@ class ContainerStreamReader(DataSourceStreamReader):
 
 @dataclass
 class Written(WriterCommitMessage):
-    files: list[tuple[str, str]]
+    """The hidden list of a task's files, None if it wrote none."""
+
+    path: str | None
 
 
 class ContainerWriter(DataSourceArrowWriter):
@@ -347,8 +376,6 @@ class ContainerWriter(DataSourceArrowWriter):
         self.chunk = int(options.get("chunk", 0))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        import uuid
-
         done, path, archive, sink, folders = [], None, None, None, set()
 
         def close():
@@ -377,7 +404,23 @@ class ContainerWriter(DataSourceArrowWriter):
                     done.append((hidden, final))
                 self._put(archive, row)
         close()
-        return Written(done)
+        if not done:
+            return Written(None)
+        self.scan.system.create_dir(self.scan.root, recursive=True)
+        written = f"{self.scan.root}/.{uuid.uuid4().hex}.written"
+        with self.scan.system.open_output_stream(written) as f:
+            f.write(json.dumps(done).encode())
+        return Written(written)
+
+    def _each(self, messages: list[Written], do: Callable[[str, str], None]) -> None:
+        """``do`` for the files (hidden, final) of the tasks, one task's list at a time."""
+        for message in messages:
+            if message and message.path:
+                with self.scan.system.open_input_stream(message.path) as f:
+                    done = json.loads(f.read())
+                for hidden, final in done:
+                    do(hidden, final)
+                self.scan.system.delete_file(message.path)
 
     def _put(self, archive: zipfile.ZipFile, row: dict) -> None:
         key, kind = row["key"].lstrip("/"), row["kind"]
@@ -400,14 +443,10 @@ class ContainerWriter(DataSourceArrowWriter):
         archive.writestr(key + "@", json.dumps(attributes))
 
     def commit(self, messages: list[Written]) -> None:
-        for message in messages:
-            for hidden, final in message.files if message else []:
-                self.scan.system.move(hidden, final)
+        self._each(messages, self.scan.system.move)
 
     def abort(self, messages: list[Written]) -> None:
-        for message in messages:
-            for hidden, _ in message.files if message else []:
-                self.scan.system.delete_file(hidden)
+        self._each(messages, lambda hidden, _: self.scan.system.delete_file(hidden))
 
 
 class ContainerSource(DataSource):

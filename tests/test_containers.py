@@ -4,8 +4,10 @@ import os
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from fieldcat.operators import sampling
 from fieldcat.schemas import FIELDS
@@ -136,6 +138,52 @@ def test_small_files_fill_few_tasks_and_every_core_has_some(spark, tmp_path):
     assert len(scan(openbytes=options["openBytes"], tasks="1").slices(files)) == 10  # 128 MB of files and openings
 
 
+def test_the_driver_holds_some_bytes_a_file(tmp_path, monkeypatch):
+    from pyspark import cloudpickle
+    root = str(tmp_path / "c")
+    files = [f"{root}/{d}/x{i:05}.npz" for d in ("a", "a.b", "b/c") for i in range(700)]
+    for f in files:
+        os.makedirs(os.path.dirname(f), exist_ok=True)
+        open(f, "w").close()
+    scan = C._Scan(None, {"path": root, "tasks": "3", "openbytes": "10"})
+    parts = scan.slices_of()
+    assert [f for p in parts for f in p.files] == sorted(files) == [f for p in scan.slices(scan.listed()) for f in p.files]
+    assert 3 <= len(parts) <= 4 and sum(len(cloudpickle.dumps(p)) for p in parts) < 12 * len(files) < sum(map(len, files)) / 3
+    assert [f for p in scan.slices_of(lambda f: "/b/" in f[1]) for f in p.files] == sorted(f for f in files if "/b/c/" in f)
+    most, listing = [], scan.system.get_file_info
+    monkeypatch.setattr(scan, "system", type("S", (), {"get_file_info": lambda self, s: most.append(listing(s)) or most[-1]})())
+    scan.slices_of()
+    assert max(map(len, most)) <= 700  # a folder at a time
+
+
+def test_a_write_tells_the_driver_one_path_a_task(tmp_path):
+    root = str(tmp_path / "c")
+    writer = C.ContainerWriter({"path": root})
+    rows = pa.RecordBatch.from_pylist([dict(zip(FIELDS.names, field(f"/{i}", "/k", i=[i]))) for i in range(50)], to_arrow_schema(FIELDS))
+    kept, dropped = writer.write(iter([rows])), writer.write(iter([rows]))
+    assert isinstance(kept.path, str) and writer.write(iter([])).path is None and writer.scan.listed() == []
+    writer.abort([dropped, None, C.Written(None)])
+    writer.commit([kept, None, C.Written(None)])
+    assert sorted(os.listdir(root)) == sorted(f"{i}.npz" for i in range(50))
+
+
+def test_a_tree_of_files_is_listed_in_tasks(spark, tmp_path):
+    from fieldcat.sources.files import scan_files
+    root = tmp_path / "t"
+    for name in ("x.npz", "a/y.npz", "a/b c/é.npz", "a/b c/n.txt", "a/.h.npz", "a/_h.npz", "_hidden/z.npz", ".h/z.npz", "_k=1/w.npz", "d.npz/v.npz"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(b"12345"[:len(name) % 6])
+    (root / "empty").mkdir()
+    plain = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    for glob in (None, "*.npz", "?.npz"):
+        want = (plain.option("pathGlobFilter", glob) if glob else plain).load(str(root)).select("path", "length", "modificationTime")
+        for path in (str(root), f"file://{root}", f"file:{root}/"):
+            out = scan_files(spark, path, glob, recursive=True)
+            assert sorted(map(tuple, out.select("file_path", "size", "mod_time").collect())) == sorted(map(tuple, want.collect()))
+            assert "binaryFile" not in out._jdf.queryExecution().executedPlan().toString()
+    assert scan_files(spark, str(root / "empty"), recursive=True).count() == 0
+
+
 def test_a_query_over_samples_opens_each_file_once(spark, tmp_path, monkeypatch):
     from fieldcat.plans import scan_queries
     spark.createDataFrame([(i, [0.5] * 80, i) for i in range(12)], "vec_id long, embedding array<float>, label int").write.parquet(
